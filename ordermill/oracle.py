@@ -130,6 +130,331 @@ ORDER BY i.stock_on_hand ASC, i.product_id, i.warehouse_id
 """
 
 
+
+# --- raw (all-string) tables with dirty cells ------------------------------
+
+STATUS_SQL = """CASE l.l_returnflag WHEN 'N' THEN 'completed' WHEN 'R' THEN 'returned'
+                              WHEN 'A' THEN 'cancelled' END"""
+
+RAW_ORDERS = """
+raw_orders AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) AS order_id,
+         CASE o.o_orderkey % 50 WHEN 0 THEN 'garbage' WHEN 1 THEN NULL
+              WHEN 2 THEN strftime(o.o_orderdate, '%Y/%m/%d')
+              WHEN 3 THEN strftime(o.o_orderdate, '%m/%d/%Y')
+              ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS order_date,
+         CAST(l.l_partkey AS VARCHAR) AS product_id,
+         CASE o.o_orderkey % 40 WHEN 0 THEN '-1' WHEN 1 THEN 'abc' WHEN 2 THEN '2.5' WHEN 3 THEN '2.0'
+              ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) END AS qty,
+         CASE o.o_orderkey % 70
+              WHEN 5 THEN '-' || CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)
+              WHEN 6 THEN 'free' WHEN 7 THEN NULL
+              ELSE CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
+         CASE WHEN o.o_orderkey % 60 = 7 THEN NULL ELSE CAST(o.o_custkey AS VARCHAR) END AS user_id,
+         CASE WHEN o.o_orderkey % 60 = 8 THEN NULL ELSE """ + STATUS_SQL + """ END AS order_status,
+         strftime(o.o_orderdate, '%Y-%m-%d') AS file_day
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+RAW_PRODUCTS = """
+raw_products AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
+         CASE WHEN p_partkey % 25 = 3 THEN NULL ELSE p_type END AS category,
+         CASE WHEN p_partkey % 10 = 0 THEN '-' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)
+              ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS price
+  FROM part
+)"""
+
+RAW_INVENTORY = INVENTORY + """,
+raw_inventory AS (
+  SELECT CAST(product_id AS VARCHAR) AS product_id, warehouse_id,
+         CASE WHEN product_id % 30 = 0 THEN '-5' ELSE CAST(stock_on_hand AS VARCHAR) END AS stock_on_hand,
+         CASE WHEN product_id % 45 = 1 THEN 'not a date'
+              ELSE strftime(last_restock_date, '%Y-%m-%d') END AS last_restock_date
+  FROM inventory
+)"""
+
+
+def parse_sql(c: str) -> str:
+    """Strict yyyy-M-d, then the fixed fallback list, first hit wins."""
+    return f"""COALESCE(
+      try_strptime({c}, '%Y-%m-%d'),
+      try_strptime({c}, '%Y-%m-%d'),
+      CASE WHEN regexp_matches({c}, '^\\s*\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}[ T]')
+           THEN TRY_CAST(trim({c}) AS TIMESTAMP) END,
+      try_strptime({c}, '%Y/%m/%d'), try_strptime({c}, '%m/%d/%Y'), try_strptime({c}, '%d/%m/%Y'),
+      try_strptime({c}, '%d %b %Y'), try_strptime({c}, '%Y%m%d'))"""
+
+
+INT_RE = "'^\\s*[+-]?\\d+(\\.0*)?\\s*$'"
+INT_PART_RE = "'^\\s*([+-]?\\d+)'"
+
+
+def int_sql(c: str, typ: str = "BIGINT") -> str:
+    return f"CASE WHEN regexp_matches({c}, {INT_RE}) THEN TRY_CAST(regexp_extract({c}, {INT_PART_RE}, 1) AS {typ}) END"
+
+
+def num_ok_sql(c: str) -> str:
+    d = f"TRY_CAST({c} AS DOUBLE)"
+    return f"({d} IS NOT NULL AND NOT isnan({d}) AND NOT isinf({d}))"
+
+
+def msg_int(c: str, required: bool = True, ge: bool = False, typ: str = "BIGINT") -> str:
+    head = f"WHEN {c} IS NULL THEN '{c}: field required'" if required else f"WHEN {c} IS NULL THEN NULL"
+    out = f"CASE {head} WHEN {int_sql(c, typ)} IS NULL THEN '{c}: value is not a valid integer'"
+    if ge:
+        out += f" WHEN {int_sql(c, typ)} < 0 THEN '{c}: value must be >= 0'"
+    return out + " END"
+
+
+def msg_num(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN '{c}: field required' "
+            f"WHEN NOT {num_ok_sql(c)} THEN '{c}: value is not a valid number' "
+            f"WHEN TRY_CAST({c} AS DOUBLE) < 0 THEN '{c}: value must be >= 0' END")
+
+
+def msg_str(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '{c}: field required' END"
+
+
+TAGGED_ORDERS = RAW_ORDERS + """,
+parsed_orders AS (
+  SELECT *, """ + parse_sql("order_date") + """ AS ts,
+         try_strptime(order_date, '%Y-%m-%d') AS ts_strict
+  FROM raw_orders
+),
+tagged_orders AS (
+  SELECT *,
+    CASE WHEN ts IS NULL THEN 'Flexible parsing also failed' END AS _parse_error,
+    CASE WHEN ts IS NOT NULL THEN concat_ws('; ',
+      """ + msg_int("order_id") + """,
+      """ + msg_int("product_id") + """,
+      """ + msg_int("qty", ge=True, typ="INTEGER") + """,
+      """ + msg_num("unit_price") + """,
+      """ + msg_int("user_id", required=False) + """,
+      CASE WHEN strftime(ts, '%Y-%m-%d') <> file_day THEN 'order_date: outside run date ' || file_day END)
+    END AS _error,
+    ts_strict IS NULL AND ts IS NOT NULL AS _date_recovered,
+    file_day AS date
+  FROM parsed_orders
+),
+flagged_orders AS (
+  SELECT *, (ts IS NOT NULL AND _error = '') AS good,
+         CASE WHEN ts IS NOT NULL AND _error = '' THEN
+           ROUND(""" + int_sql("qty", "INTEGER") + """ * TRY_CAST(unit_price AS DECIMAL(18,6)), 2) END AS total
+  FROM tagged_orders
+)"""
+
+VALID_PRODUCTS = RAW_PRODUCTS + """,
+products_checked AS (
+  SELECT *, concat_ws('; ', """ + msg_int("product_id") + """, """ + msg_str("product_name") + """,
+                       """ + msg_num("price") + """) AS _error
+  FROM raw_products
+),
+valid_products AS (
+  SELECT """ + int_sql("product_id") + """ AS product_id, product_name, category,
+         TRY_CAST(price AS DECIMAL(18,6)) AS product_price
+  FROM products_checked WHERE _error = ''
+)"""
+
+ENRICHED = """
+enriched AS (
+  SELECT o.order_id, o.order_date, o.product_id, o.qty, o.unit_price, o.order_status,
+         ROUND(o.qty * CAST(o.unit_price AS DECIMAL(18,6)), 2) AS order_total,
+         COALESCE(p.product_name, 'unknown_product') AS product_name,
+         COALESCE(p.category, 'unknown_category') AS category,
+         p.product_price
+  FROM orders_all o LEFT JOIN valid_products p ON o.product_id = p.product_id
+)"""
+
+F1_ORDER_TOTAL = _with(ORDERS_ALL) + """
+SELECT order_id, product_id, qty, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(ROUND(qty * CAST(unit_price AS DECIMAL(18,6)), 2) AS DOUBLE) AS order_total
+FROM orders_all
+"""
+
+F2_ORDER_DATE_ISO = _with(ORDERS_ALL) + """
+SELECT order_id, product_id, strftime(order_date, '%Y-%m-%d') AS order_date_iso FROM orders_all
+"""
+
+J1_ENRICH_LEFT = _with(ORDERS_ALL, VALID_PRODUCTS, ENRICHED) + """
+SELECT order_id, product_id, product_name, category, CAST(product_price AS DOUBLE) AS product_price,
+       CAST(order_total AS DOUBLE) AS order_total
+FROM enriched
+"""
+
+J2_ENRICH_INNER = _with(ORDERS_ALL, VALID_PRODUCTS) + """
+SELECT o.order_id, o.product_id, p.product_name, COALESCE(p.category, 'unknown_category') AS category,
+       CAST(p.product_price AS DOUBLE) AS product_price,
+       CAST(ROUND(o.qty * CAST(o.unit_price AS DECIMAL(18,6)), 2) AS DOUBLE) AS order_total
+FROM orders_all o JOIN valid_products p ON o.product_id = p.product_id
+"""
+
+A1_DAILY_CATEGORY_REVENUE = _with(ORDERS_ALL, VALID_PRODUCTS, ENRICHED) + """
+SELECT strftime(order_date, '%Y-%m-%d') AS order_date_iso, category,
+       CAST(ROUND(SUM(order_total), 2) AS DOUBLE) AS total_revenue,
+       CAST(SUM(qty) AS BIGINT) AS total_units
+FROM enriched GROUP BY 1, 2 ORDER BY 1, 2
+"""
+
+T1_TOP_PRODUCTS = _with(ORDERS_ALL, VALID_PRODUCTS, ENRICHED, """
+per_product AS (
+  SELECT product_id, product_name, category, SUM(order_total) AS total_revenue,
+         CAST(SUM(qty) AS BIGINT) AS total_units
+  FROM enriched GROUP BY product_id, product_name, category
+)""") + """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id NULLS FIRST) AS INTEGER) AS rank,
+       product_id, product_name, category, CAST(ROUND(total_revenue, 2) AS DOUBLE) AS total_revenue,
+       total_units
+FROM per_product ORDER BY total_revenue DESC, product_id NULLS FIRST LIMIT 10
+"""
+
+U1_UNION_ALL = _with(ORDERS_ALL) + """
+SELECT order_id, order_date, product_id, qty, CAST(unit_price AS DOUBLE) AS unit_price, user_id, order_status
+FROM orders_all WHERE order_date < TIMESTAMP '1998-01-01 00:00:00'
+UNION ALL
+SELECT order_id, order_date, product_id, qty, CAST(unit_price AS DOUBLE) AS unit_price, user_id, order_status
+FROM orders_all WHERE order_date >= TIMESTAMP '1998-01-01 00:00:00'
+"""
+
+C3_DATES_GOOD = _with(TAGGED_ORDERS) + """
+SELECT order_id, product_id, ts AS order_date, _date_recovered FROM tagged_orders WHERE ts IS NOT NULL
+"""
+
+C3_DATES_BAD = _with(TAGGED_ORDERS) + """
+SELECT order_id, product_id, order_date, _parse_error FROM tagged_orders WHERE ts IS NULL
+"""
+
+C6_NUMERIC_COERCE = _with(RAW_ORDERS, """
+coerced AS (
+  SELECT order_id, COALESCE(TRY_CAST(trunc(TRY_CAST(qty AS DOUBLE)) AS INTEGER), 0) AS qty,
+         COALESCE(TRY_CAST(unit_price AS DECIMAL(18,6)), CAST(0 AS DECIMAL(18,6))) AS unit_price
+  FROM raw_orders
+)""") + """
+SELECT order_id, qty, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(ROUND(qty * unit_price, 2) AS DOUBLE) AS order_total
+FROM coerced
+"""
+
+V2_ORDERS_GOOD = _with(TAGGED_ORDERS) + """
+SELECT """ + int_sql("order_id") + """ AS order_id, ts AS order_date,
+       """ + int_sql("product_id") + """ AS product_id, """ + int_sql("qty", "INTEGER") + """ AS qty,
+       CAST(TRY_CAST(unit_price AS DECIMAL(18,6)) AS DOUBLE) AS unit_price,
+       """ + int_sql("user_id") + """ AS user_id, order_status, _date_recovered
+FROM tagged_orders WHERE ts IS NOT NULL AND _error = ''
+"""
+
+V2_ORDERS_BAD = _with(TAGGED_ORDERS) + """
+SELECT order_id, order_date, product_id, qty, unit_price, user_id, order_status, date, _error
+FROM tagged_orders WHERE ts IS NOT NULL AND _error <> ''
+"""
+
+V6_BAD_UNION = _with(TAGGED_ORDERS) + """
+SELECT order_id, order_date, product_id, qty, unit_price, _parse_error, NULL AS _error
+FROM tagged_orders WHERE ts IS NULL
+UNION ALL
+SELECT order_id, strftime(ts, '%Y-%m-%d') AS order_date, product_id, qty, unit_price,
+       NULL AS _parse_error,
+       concat_ws('; ', """ + msg_int("order_id") + """, """ + msg_int("product_id") + """,
+                 """ + msg_int("qty", ge=True, typ="INTEGER") + """, """ + msg_num("unit_price") + """,
+                 """ + msg_int("user_id", required=False) + """) AS _error
+FROM tagged_orders
+WHERE ts IS NOT NULL AND concat_ws('; ', """ + msg_int("order_id") + """, """ + msg_int("product_id") + """,
+      """ + msg_int("qty", ge=True, typ="INTEGER") + """, """ + msg_num("unit_price") + """,
+      """ + msg_int("user_id", required=False) + """) <> ''
+"""
+
+V3_PRODUCTS_BAD = _with(VALID_PRODUCTS) + """
+SELECT product_id, product_name, category, price, _error FROM products_checked WHERE _error <> ''
+"""
+
+V4_INVENTORY_BAD = _with(RAW_INVENTORY, """
+inv_parsed AS (
+  SELECT *, """ + parse_sql("last_restock_date") + """ AS ts FROM raw_inventory
+),
+inv_checked AS (
+  SELECT *, concat_ws('; ', """ + msg_int("product_id") + """, """ + msg_str("warehouse_id") + """,
+                       """ + msg_int("stock_on_hand", ge=True, typ="INTEGER") + """) AS rule_error
+  FROM inv_parsed
+)""") + """
+SELECT product_id, warehouse_id, stock_on_hand, last_restock_date,
+       'Flexible parsing also failed' AS _parse_error, NULL AS _error
+FROM inv_checked WHERE ts IS NULL
+UNION ALL
+SELECT product_id, warehouse_id, stock_on_hand, strftime(ts, '%Y-%m-%d') AS last_restock_date,
+       NULL AS _parse_error, rule_error AS _error
+FROM inv_checked WHERE ts IS NOT NULL AND rule_error <> ''
+"""
+
+A6_RUN_SUMMARY = _with(TAGGED_ORDERS, """
+per_day AS (
+  SELECT date, COUNT(*) FILTER (WHERE good) AS rows,
+         COALESCE(CAST(ROUND(SUM(total), 2) AS DOUBLE), 0.0) AS revenue,
+         COUNT(*) FILTER (WHERE NOT good) AS bad_rows
+  FROM flagged_orders GROUP BY date
+)""") + """
+SELECT CAST(SUM(rows) AS BIGINT) AS rows, ROUND(SUM(revenue), 2) AS revenue,
+       CAST(SUM(bad_rows) AS BIGINT) AS bad_rows
+FROM per_day
+"""
+
+P3_BACKFILL = _with(TAGGED_ORDERS, """
+per_day AS (
+  SELECT date, COUNT(*) FILTER (WHERE good) AS rows,
+         COALESCE(CAST(ROUND(SUM(total), 2) AS DOUBLE), 0.0) AS revenue,
+         COUNT(*) FILTER (WHERE NOT good) AS bad_rows
+  FROM flagged_orders GROUP BY date
+),
+spine AS (
+  SELECT strftime(d, '%Y-%m-%d') AS date, strftime(d, '%Y%m%d') AS run_date
+  FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 DAY) t(d)
+)""") + """
+SELECT s.date, s.run_date, CAST(p.rows AS BIGINT) AS rows, p.revenue, CAST(p.bad_rows AS BIGINT) AS bad_rows,
+       CASE WHEN p.rows IS NULL THEN 'missing' WHEN p.rows = 0 THEN 'no_valid_rows' ELSE 'ok' END AS status,
+       CASE WHEN p.rows IS NULL THEN 'No order file for date ' || s.run_date END AS error
+FROM spine s LEFT JOIN per_day p ON s.date = p.date
+"""
+
+W1_PARQUET_ROUNDTRIP = _with(TAGGED_ORDERS, VALID_PRODUCTS, """
+good AS (
+  SELECT """ + int_sql("order_id") + """ AS order_id, """ + int_sql("product_id") + """ AS product_id,
+         """ + int_sql("qty", "INTEGER") + """ AS qty, total, date
+  FROM flagged_orders WHERE good
+)""") + """
+SELECT g.order_id, g.product_id, g.qty, CAST(g.total AS DOUBLE) AS order_total,
+       COALESCE(p.product_name, 'unknown_product') AS product_name,
+       COALESCE(p.category, 'unknown_category') AS category, g.date
+FROM good g LEFT JOIN valid_products p ON g.product_id = p.product_id
+"""
+
+W2_SUMMARY_ROUNDTRIP = _with(TAGGED_ORDERS) + """
+SELECT date, CAST(COUNT(*) FILTER (WHERE good) AS BIGINT) AS rows,
+       COALESCE(CAST(ROUND(SUM(total), 2) AS DOUBLE), 0.0) AS revenue
+FROM flagged_orders GROUP BY date HAVING COUNT(*) FILTER (WHERE good) > 0
+"""
+
+W3_BAD_CSV_ROUNDTRIP = _with(TAGGED_ORDERS) + """
+SELECT order_id, order_date, qty, unit_price, _parse_error, _error
+FROM flagged_orders WHERE NOT good
+"""
+
+RAW_COLS = {
+    "orders": ["order_id", "order_date", "product_id", "qty", "unit_price", "user_id", "order_status"],
+    "products": ["product_id", "product_name", "category", "price"],
+    "inventory": ["product_id", "warehouse_id", "stock_on_hand", "last_restock_date"],
+}
+
+A7_NULL_COUNTS = _with(RAW_ORDERS) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count FROM raw_orders"
+    for c in RAW_COLS["orders"])
+
+P7_PROFILE = _with(RAW_ORDERS, RAW_PRODUCTS, RAW_INVENTORY) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{ds}' AS dataset, {i} AS position, '{c}' AS \"column\", 'string' AS dtype, "
+    f"CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT({c}) AS BIGINT) AS non_null, "
+    f"CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count FROM raw_{ds}"
+    for ds, cols in RAW_COLS.items() for i, c in enumerate(cols))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_daily_revenue": P4_DAILY_REVENUE,
@@ -137,4 +462,26 @@ def oracle_sql() -> dict[str, str]:
         "p5_product_performance": P5_PRODUCT_PERFORMANCE,
         "a5_status_sums": A5_STATUS_SUMS,
         "p6_inventory_alerts": P6_INVENTORY_ALERTS,
+        "u1_union_all": U1_UNION_ALL,
+        "f1_order_total": F1_ORDER_TOTAL,
+        "f2_order_date_iso": F2_ORDER_DATE_ISO,
+        "j1_enrich_left": J1_ENRICH_LEFT,
+        "j2_enrich_inner": J2_ENRICH_INNER,
+        "a1_daily_category_revenue": A1_DAILY_CATEGORY_REVENUE,
+        "t1_top_products": T1_TOP_PRODUCTS,
+        "c3_dates_good": C3_DATES_GOOD,
+        "c3_dates_bad": C3_DATES_BAD,
+        "c6_numeric_coerce": C6_NUMERIC_COERCE,
+        "v2_orders_good": V2_ORDERS_GOOD,
+        "v2_orders_bad": V2_ORDERS_BAD,
+        "v6_bad_union": V6_BAD_UNION,
+        "v3_products_bad": V3_PRODUCTS_BAD,
+        "v4_inventory_bad": V4_INVENTORY_BAD,
+        "a6_run_summary": A6_RUN_SUMMARY,
+        "p3_backfill": P3_BACKFILL,
+        "w1_parquet_roundtrip": W1_PARQUET_ROUNDTRIP,
+        "w2_summary_roundtrip": W2_SUMMARY_ROUNDTRIP,
+        "w3_bad_csv_roundtrip": W3_BAD_CSV_ROUNDTRIP,
+        "a7_null_counts": A7_NULL_COUNTS,
+        "p7_profile": P7_PROFILE,
     }

@@ -1,7 +1,8 @@
 """Registered queries: one callable per inventory ID, (spark, sf_dir) → DataFrame.
 
 Every query reads the driver's full tables (or data Spark derives from
-them); none caps, samples or subsets rows.
+them); none caps, samples or subsets rows. Money leaves as DOUBLE,
+computed exactly in DECIMAL before.
 """
 
 from __future__ import annotations
@@ -9,14 +10,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordermill.operators.aggregate import status_sums
-from ordermill.plans import reports
-from ordermill.session import configure
+from ordermill.operators import aggregate
+from ordermill.operators import validate as V
+from ordermill.operators.transforms import (add_order_date_iso, add_order_total,
+                                            compute_daily_category_revenue, enrich_with_products,
+                                            top_n_products_by_revenue)
+from ordermill.plans import pipeline, profile, reports
+from ordermill.schemas import INVENTORY, ORDERS, PRODUCTS
+from ordermill.session import configure, scratch_path
+from ordermill.sinks import files
 from ordermill.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The full order-date range of the driver's tables (the
+# backfill's parameters) and the split day of the two-table union.
+BACKFILL_START, BACKFILL_END = "1995-01-01", "2001-08-01"
+UNION_SPLIT = "1998-01-01 00:00:00"
+
+
+def _dbl(c: str) -> F.Column:
+    return F.col(c).cast("double").alias(c)
+
+
+# --- reports (P4–P6) and their parts (A3–A5, N1) -------------------------
 
 def p4_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
@@ -24,8 +43,6 @@ def p4_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def n1_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     configure(spark)
     daily_cat = reports.daily_category_net(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
     top = reports.top_category(daily_cat)
@@ -40,13 +57,10 @@ def p5_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a5_status_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     configure(spark)
-    sums = status_sums(tables.orders(spark, sf_dir), "product_id")
+    sums = aggregate.status_sums(tables.orders(spark, sf_dir), "product_id")
     return sums.select("product_id", "units_completed", "units_returned",
-                       F.col("revenue_completed").cast("double").alias("revenue_completed"),
-                       F.col("revenue_returned").cast("double").alias("revenue_returned"))
+                       _dbl("revenue_completed"), _dbl("revenue_returned"))
 
 
 def p6_inventory_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +68,204 @@ def p6_inventory_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.inventory_alerts(tables.inventory(spark, sf_dir), tables.products(spark, sf_dir))
 
 
+def u1_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two 'day tables' (before / from the split day) stacked by name."""
+    configure(spark)
+    o = tables.orders(spark, sf_dir)
+    split = F.lit(UNION_SPLIT).cast("timestamp_ntz")
+    first = o.where(F.col("order_date") < split)
+    second = o.where(F.col("order_date") >= split).select(*reversed(o.columns))
+    out = first.unionByName(second)
+    return out.select("order_id", "order_date", "product_id", "qty", _dbl("unit_price"),
+                      "user_id", "order_status")
+
+
+# --- pipeline transforms (F1, F2, J1, J2, A1, T1) ---------------------------
+
+def _valid_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = V.validate_dataframe(tables.raw_products(spark, sf_dir), PRODUCTS)
+    return good
+
+
+def _enriched(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+    totals = add_order_total(tables.orders(spark, sf_dir))
+    return enrich_with_products(totals, _valid_products(spark, sf_dir), how)
+
+
+def f1_order_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    out = add_order_total(tables.orders(spark, sf_dir))
+    return out.select("order_id", "product_id", "qty", _dbl("unit_price"), _dbl("order_total"))
+
+
+def f2_order_date_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    out = add_order_date_iso(tables.orders(spark, sf_dir))
+    return out.select("order_id", "product_id", "order_date_iso")
+
+
+def j1_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    out = _enriched(spark, sf_dir, "left")
+    return out.select("order_id", "product_id", "product_name", "category",
+                      _dbl("product_price"), _dbl("order_total"))
+
+
+def j2_enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    out = _enriched(spark, sf_dir, "inner")
+    return out.select("order_id", "product_id", "product_name", "category",
+                      _dbl("product_price"), _dbl("order_total"))
+
+
+def a1_daily_category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return compute_daily_category_revenue(_enriched(spark, sf_dir))
+
+
+def t1_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return top_n_products_by_revenue(_enriched(spark, sf_dir), 10)
+
+
+# --- cleaning and validation on raw rows (C3, C6, V2–V7) --------------------
+
+def c3_dates_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    good, _ = V.parse_date_column(tables.raw_orders(spark, sf_dir), "order_date")
+    return good.select("order_id", "product_id", "order_date", V.RECOVERED)
+
+
+def c3_dates_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    _, bad = V.parse_date_column(tables.raw_orders(spark, sf_dir), "order_date")
+    return bad.select("order_id", "product_id", "order_date", V.PARSE_ERROR)
+
+
+def c6_numeric_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    raw = tables.raw_orders(spark, sf_dir)
+    out = add_order_total(raw)
+    return out.select("order_id", "qty", _dbl("unit_price"), _dbl("order_total"))
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.tag_orders(tables.raw_orders(spark, sf_dir))
+
+
+def v2_orders_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    good = pipeline.good_orders(_tagged(spark, sf_dir))
+    return good.select("order_id", "order_date", "product_id", "qty", _dbl("unit_price"),
+                       "user_id", "order_status", V.RECOVERED)
+
+
+def v2_orders_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the order rules reject (after a successful date parse)."""
+    configure(spark)
+    bad = pipeline.bad_orders(_tagged(spark, sf_dir))
+    return bad.where(F.col(V.ERROR).isNotNull()).select(
+        "order_id", "order_date", "product_id", "qty", "unit_price", "user_id",
+        "order_status", "date", V.ERROR)
+
+
+def v6_bad_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse rejects and rule rejects, two channels unioned by name."""
+    configure(spark)
+    raw = tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day")
+    parsed_good, parse_bad = V.parse_date_column(raw, "order_date")
+    _, rule_bad = V.validate_dataframe(parsed_good.drop(V.RECOVERED), ORDERS)
+    rule_bad = rule_bad.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
+    both = V.union_bad(parse_bad.drop(V.RECOVERED), rule_bad)
+    return both.select("order_id", "order_date", "product_id", "qty", "unit_price",
+                       V.PARSE_ERROR, V.ERROR)
+
+
+def v3_products_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    _, bad = V.validate_dataframe(tables.raw_products(spark, sf_dir), PRODUCTS)
+    return bad.select("product_id", "product_name", "category", "price", V.ERROR)
+
+
+def v4_inventory_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    raw = tables.raw_inventory(spark, sf_dir)
+    parsed, parse_bad = V.parse_date_column(raw, "last_restock_date")
+    _, rule_bad = V.validate_dataframe(parsed.drop(V.RECOVERED), INVENTORY)
+    rule_bad = rule_bad.withColumn("last_restock_date", F.date_format("last_restock_date", "yyyy-MM-dd"))
+    both = V.union_bad(parse_bad.drop(V.RECOVERED), rule_bad)
+    return both.select("product_id", "warehouse_id", "stock_on_hand", "last_restock_date",
+                       V.PARSE_ERROR, V.ERROR)
+
+
+def a6_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + V7 over the whole raw orders table: one row."""
+    configure(spark)
+    per_day = pipeline.day_summary(_tagged(spark, sf_dir))
+    return per_day.agg(F.sum("rows").alias("rows"),
+                       F.round(F.sum("revenue"), 2).alias("revenue"),
+                       F.sum("bad_rows").alias("bad_rows"))
+
+
+def p3_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 (dry run) over the tables' full date range: one row per day."""
+    configure(spark)
+    return pipeline.backfill(spark, BACKFILL_START, BACKFILL_END,
+                             pipeline.table_inputs(spark, sf_dir), dry_run=True)
+
+
+# --- sinks, read back (W1–W3) ----------------------------------------------
+
+def w1_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched valid orders written date-partitioned, read back."""
+    configure(spark)
+    enriched = pipeline.enrich(pipeline.good_orders(_tagged(spark, sf_dir)),
+                               _valid_products(spark, sf_dir), 2_000_000)
+    out = scratch_path(spark, "processed")
+    files.write_parquet_partition(enriched, out, "date")
+    back = spark.read.parquet(out)
+    return back.select("order_id", "product_id", "qty", _dbl("order_total"), "product_name",
+                       "category", F.col("date").cast("string").alias("date"))
+
+
+def w2_summary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-day summaries written as JSON partitions, read back."""
+    configure(spark)
+    summary = pipeline.day_summary(_tagged(spark, sf_dir)).where(F.col("rows") > 0)
+    out = scratch_path(spark, "summaries")
+    files.write_summaries(summary.select("date", "rows", "revenue"), out)
+    back = spark.read.schema("rows bigint, revenue double, date string").json(out)
+    return back.select("date", "rows", "revenue")
+
+
+def w3_bad_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad order rows written as header CSV, read back as text."""
+    configure(spark)
+    bad = pipeline.bad_orders(_tagged(spark, sf_dir)).drop("_source_file")
+    out = scratch_path(spark, "bad_rows")
+    files.write_bad_rows(bad.drop("date"), out, "orders", None)
+    schema = ("order_id string, order_date string, product_id string, qty string, unit_price string, "
+              "user_id string, order_status string, _parse_error string, _error string")
+    back = spark.read.schema(schema).option("header", True).csv(f"{out}/dataset=orders")
+    return back.select("order_id", "order_date", "qty", "unit_price", V.PARSE_ERROR, V.ERROR)
+
+
+# --- profiling (A7, A8, P7) --------------------------------------------------
+
+def a7_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return profile.null_counts(tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day"))
+
+
+def p7_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return profile.profile_datasets({
+        "orders": tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day"),
+        "products": tables.raw_products(spark, sf_dir),
+        "inventory": tables.raw_inventory(spark, sf_dir),
+    })
+
+
 def queries() -> dict[str, Query]:
     return {
         "p4_daily_revenue": p4_daily_revenue,
@@ -61,4 +273,26 @@ def queries() -> dict[str, Query]:
         "p5_product_performance": p5_product_performance,
         "a5_status_sums": a5_status_sums,
         "p6_inventory_alerts": p6_inventory_alerts,
+        "u1_union_all": u1_union_all,
+        "f1_order_total": f1_order_total,
+        "f2_order_date_iso": f2_order_date_iso,
+        "j1_enrich_left": j1_enrich_left,
+        "j2_enrich_inner": j2_enrich_inner,
+        "a1_daily_category_revenue": a1_daily_category_revenue,
+        "t1_top_products": t1_top_products,
+        "c3_dates_good": c3_dates_good,
+        "c3_dates_bad": c3_dates_bad,
+        "c6_numeric_coerce": c6_numeric_coerce,
+        "v2_orders_good": v2_orders_good,
+        "v2_orders_bad": v2_orders_bad,
+        "v6_bad_union": v6_bad_union,
+        "v3_products_bad": v3_products_bad,
+        "v4_inventory_bad": v4_inventory_bad,
+        "a6_run_summary": a6_run_summary,
+        "p3_backfill": p3_backfill,
+        "w1_parquet_roundtrip": w1_parquet_roundtrip,
+        "w2_summary_roundtrip": w2_summary_roundtrip,
+        "w3_bad_csv_roundtrip": w3_bad_csv_roundtrip,
+        "a7_null_counts": a7_null_counts,
+        "p7_profile": p7_profile,
     }

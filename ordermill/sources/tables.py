@@ -125,11 +125,40 @@ def raw_price(key: Column, price: Column) -> Column:
             .otherwise(text))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a CSV reader would hand them over: every cell a string."""
+def _day_filter(days: list[str] | None) -> Column | None:
+    """Pushable bounds on o_orderdate for a list of YYYYMMDD days, plus an
+    exact membership test for lists with gaps."""
+    if not days:
+        return None
+    import datetime as _dt
+
+    parsed = sorted(_dt.datetime.strptime(d.replace("-", ""), "%Y%m%d") for d in days)
+    lo, hi = parsed[0], parsed[-1] + _dt.timedelta(days=1)
+    def bound(d):
+        return F.lit(d.strftime("%Y-%m-%d 00:00:00")).cast("timestamp_ntz")
+
+    cond = (F.col("o_orderdate") >= bound(lo)) & (F.col("o_orderdate") < bound(hi))
+    if len(parsed) != (hi - lo).days:
+        cond = cond & F.date_format("o_orderdate", "yyyyMMdd").isin([p.strftime("%Y%m%d") for p in parsed])
+    return cond
+
+
+def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None) -> DataFrame:
+    """Orders as a CSV reader would hand them over: every cell a string.
+
+    Each order's lines stand for one daily file, ``order_<YYYYMMDD>.csv``
+    of its order date (``_source_file``, ``_file_day``). ``days`` keeps
+    only those files' rows, as a filter the Parquet scan of ``orders``
+    receives.
+    """
     k = F.col("o_orderkey")
     m60 = k % 60
-    return _order_lines(spark, sf_dir).select(
+    lines = _order_lines(spark, sf_dir)
+    cond = _day_filter(days)
+    if cond is not None:
+        lines = lines.where(cond)
+    file_day = F.date_format("o_orderdate", "yyyyMMdd")
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         raw_order_date(k, F.col("o_orderdate")).alias("order_date"),
         F.col("l_partkey").cast("string").alias("product_id"),
@@ -139,6 +168,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
         F.when(m60 == 8, F.lit(None).cast("string"))
          .otherwise(_status(F.col("l_returnflag"))).alias("order_status"),
+        F.concat(F.lit("order_"), file_day, F.lit(".csv")).alias("_source_file"),
+        file_day.alias("_file_day"),
     )
 
 
