@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.schemas import CORRUPT_COLUMN
 from ordermill.session import configure
 
+MALFORMED_LINE = "_malformed_line"
+
 
 def _balanced(df: DataFrame, by: list[str]) -> DataFrame:
     """Group rows of one partition value into few tasks before a
@@ -57,6 +60,10 @@ def write_bad_rows(bad: DataFrame, output_dir: str, dataset: str, date: str | No
     if empty:
         return None
     out = bad.withColumn("dataset", F.lit(dataset))
+    if CORRUPT_COLUMN in out.columns:
+        # A column of this name in a CSV header is taken for Spark's own
+        # corrupt-record slot when the file is read back; store it apart.
+        out = out.withColumnRenamed(CORRUPT_COLUMN, MALFORMED_LINE)
     if date is not None or "date" not in out.columns:
         out = out.withColumn("date", F.lit(date or "run"))
     # CSV holds only atomic values; arrays (if any) are joined.
