@@ -47,10 +47,19 @@ def spark_pattern(fmt: str) -> str:
     return "".join(out)
 
 
+# A plain ISO date; text of this shape is read by the date cast, which is
+# much cheaper than a pattern-based parse and accepts the same values as
+# the pattern yyyy-M-d.
+ISO_DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+
+
 def _one_format(c: Column, fmt: str) -> Column:
     if fmt == "ISO":
         return F.when(c.rlike(ISO_TIMESTAMP_GUARD), F.trim(c).try_cast("timestamp_ntz"))
-    return F.try_to_timestamp(c, F.lit(spark_pattern(fmt))).cast("timestamp_ntz")
+    pattern = spark_pattern(fmt)
+    if pattern == "yyyy-M-d":
+        return F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("date").cast("timestamp_ntz"))
+    return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
 
 
 def parse_strict(c: Column, fmt: str | None) -> Column:
@@ -66,10 +75,19 @@ def parse_fallback(c: Column, formats: tuple[str, ...] = FALLBACK_FORMATS) -> Co
     return F.coalesce(*[_one_format(c, f) for f in formats])
 
 
+def without(fmt: str | None, formats: tuple[str, ...] = FALLBACK_FORMATS) -> tuple[str, ...]:
+    """The fallback list minus the strict format (no pattern is tried twice)."""
+    if fmt is None:
+        return formats
+    return tuple(f for f in formats if spark_pattern(f) != spark_pattern(fmt))
+
+
 def parse_date(c: Column, fmt: str | None = "%Y-%m-%d",
                formats: tuple[str, ...] = FALLBACK_FORMATS) -> Column:
     """Strict format first, fallback list for the rows it rejects."""
-    return F.coalesce(parse_strict(c, fmt), parse_fallback(c, formats))
+    if fmt is None:
+        return parse_fallback(c, formats)
+    return F.coalesce(parse_strict(c, fmt), parse_fallback(c, without(fmt, formats)))
 
 
 def ensure_timestamp(c: Column, is_timestamp: bool) -> Column:

@@ -25,7 +25,10 @@ def int_value(c: Column, dtype: DataType) -> Column:
     if isinstance(dtype, IntegralType):
         return c.cast("bigint")
     if isinstance(dtype, StringType):
-        return F.when(c.rlike(INT_TEXT), F.regexp_extract(c, INT_PART, 1).try_cast("bigint"))
+        # Fast path: a plain integer casts directly (no regex); only text
+        # like "2.0" takes the pattern route.
+        return F.coalesce(c.try_cast("bigint"),
+                          F.when(c.rlike(INT_TEXT), F.regexp_extract(c, INT_PART, 1).try_cast("bigint")))
     if isinstance(dtype, (DoubleType, FloatType, DecimalType)):
         whole = c.cast("double")
         return F.when(~F.isnan(whole) & (whole == F.floor(whole).try_cast("double")),

@@ -1,10 +1,14 @@
 """Columnar row validation (V1–V7) and the date-parse split.
 
 The reference validates row by row with a pydantic object; here each
-field rule is a boolean Column and a row's failures are gathered into an
-``array<string>`` in the same projection. Good and bad rows are two
-filters over one tagged frame, so a caller that needs both persists the
-tagged frame once instead of evaluating the rules twice.
+field rule is a boolean Column and a row's failures are joined into one
+``_error`` text in the same projection (``concat_ws`` skips the rules
+that pass; an empty text means a valid row). It stays inside generated
+code: an array built with a lambda (``array_compact``/``filter``) would
+force interpreted evaluation of every rule and cost several times more.
+Good and bad rows are two filters over one tagged frame, so a caller that
+needs both persists the tagged frame once instead of evaluating the rules
+twice.
 """
 
 from __future__ import annotations
@@ -19,8 +23,8 @@ from ordermill.functions.dates import parse_date
 from ordermill.functions.numeric import float_value, int_value
 from ordermill.schemas import CORRUPT_COLUMN, Field, Schema
 
-ERRORS = "_errors"
 ERROR = "_error"
+SEPARATOR = "; "
 PARSE_ERROR = "_parse_error"
 RECOVERED = "_date_recovered"
 
@@ -102,36 +106,41 @@ def typed_values(df: DataFrame, schema: Schema, overrides: dict[str, Column] | N
     return {f.name: _value_and_checks(df, f, overrides.get(f.name))[0] for f in schema.fields}
 
 
-def error_list(df: DataFrame, schema: Schema, strict_optional: bool = False,
-               overrides: dict[str, Column] | None = None, extra: list[Column] | None = None) -> Column:
-    """All failures of a row, in field order, as ``array<string>``."""
+def error_text(df: DataFrame, schema: Schema, strict_optional: bool = False,
+               overrides: dict[str, Column] | None = None, extra: list[Column] | None = None,
+               exclude: tuple[str, ...] = ()) -> Column:
+    """All failures of a row, in field order, "; "-joined; '' when valid.
+    ``exclude`` names fields an earlier stage has already checked."""
     overrides = overrides or {}
     msgs = []
     if CORRUPT_COLUMN in df.columns:
         msgs.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MSG_CORRUPT)))
-    msgs += [field_message(df, f, strict_optional, overrides.get(f.name)) for f in schema.fields]
+    msgs += [field_message(df, f, strict_optional, overrides.get(f.name))
+             for f in schema.fields if f.name not in exclude]
     msgs += extra or []
-    return F.array_compact(F.array(*msgs))
+    return F.concat_ws(SEPARATOR, *msgs)
+
+
+def is_valid(error: Column) -> Column:
+    return error == F.lit("")
 
 
 def tag(df: DataFrame, schema: Schema, strict_optional: bool = False) -> DataFrame:
-    """V1 first half: add ``_errors`` (empty array = valid row)."""
+    """V1 first half: add ``_error`` ('' = valid row)."""
     df = with_required_columns(df, schema)
-    return df.withColumn(ERRORS, error_list(df, schema, strict_optional))
+    return df.withColumn(ERROR, error_text(df, schema, strict_optional))
 
 
 def good_rows(tagged: DataFrame, schema: Schema) -> DataFrame:
     """Valid rows with typed values (extra columns pass through)."""
-    base = tagged.where(F.size(ERRORS) == 0)
-    cols = [c for c in tagged.columns if c not in (ERRORS, CORRUPT_COLUMN)]
+    base = tagged.where(is_valid(F.col(ERROR)))
+    cols = [c for c in tagged.columns if c not in (ERROR, CORRUPT_COLUMN)]
     return base.withColumns(typed_values(tagged, schema)).select(*cols)
 
 
 def bad_rows(tagged: DataFrame) -> DataFrame:
-    """Rejected rows: original values plus ``_error`` ("; "-joined)."""
-    return (tagged.where(F.size(ERRORS) > 0)
-            .withColumn(ERROR, F.array_join(ERRORS, "; "))
-            .drop(ERRORS))
+    """Rejected rows: original values plus ``_error``."""
+    return tagged.where(~is_valid(F.col(ERROR)))
 
 
 def validate_dataframe(df: DataFrame, schema: Schema,
@@ -142,9 +151,9 @@ def validate_dataframe(df: DataFrame, schema: Schema,
     return good_rows(tagged, schema), bad_rows(tagged)
 
 
-def bad_row_count(errors: str = ERRORS) -> Column:
+def bad_row_count(error: str = ERROR) -> Column:
     """V7: count of bad rows, for use inside a larger ``agg``."""
-    return F.count_if(F.size(F.col(errors)) > 0)
+    return F.count_if(~is_valid(F.col(error)))
 
 
 def union_bad(*frames: DataFrame) -> DataFrame:
@@ -166,16 +175,20 @@ def tag_dates(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d",
     """Add the parsed value, whether the fallback recovered it, and the
     parse error text (NULL for parsed rows)."""
     require_column(df, column)
-    from ordermill.functions.dates import parse_strict
+    from ordermill.functions.dates import parse_fallback, parse_strict, without
 
-    raw = F.col(column).cast("string") if not _is_time(df.schema[column].dataType) else None
-    if raw is None:
-        parsed, strict = F.col(column).cast("timestamp_ntz"), F.col(column).cast("timestamp_ntz")
+    strict_col = f"{parsed_col}_strict"
+    if _is_time(df.schema[column].dataType):
+        df = df.withColumn(strict_col, F.col(column).cast("timestamp_ntz"))
+        fallback = F.lit(None).cast("timestamp_ntz")
     else:
-        parsed, strict = parse_date(raw, date_format), parse_strict(raw, date_format)
-    return (df.withColumn(parsed_col, parsed)
-              .withColumn(RECOVERED, strict.isNull() & F.col(parsed_col).isNotNull())
-              .withColumn(PARSE_ERROR, F.when(F.col(parsed_col).isNull(), F.lit(MSG_PARSE_FAILED))))
+        raw = F.col(column).cast("string")
+        df = df.withColumn(strict_col, parse_strict(raw, date_format))
+        fallback = parse_fallback(raw, without(date_format))
+    return (df.withColumn(parsed_col, F.coalesce(F.col(strict_col), fallback))
+              .withColumn(RECOVERED, F.col(strict_col).isNull() & F.col(parsed_col).isNotNull())
+              .withColumn(PARSE_ERROR, F.when(F.col(parsed_col).isNull(), F.lit(MSG_PARSE_FAILED)))
+              .drop(strict_col))
 
 
 def parse_date_column(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d"

@@ -78,8 +78,8 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
 
     Adds: ``__order_ts`` (parsed date), ``_date_recovered``,
     ``_parse_error`` (rows the parse rejects; they skip validation, as in
-    the reference), ``_errors`` (validation failures, NULL for parse
-    rejects), ``date`` (the day the row is filed under: its file's day, or
+    the reference), ``_error`` (validation failures, '' when none, NULL
+    for parse rejects), ``date`` (the day the row is filed under: its file's day, or
     its own date when the file name has none), ``__good`` and ``__total``
     (the rounded line total of a good row).
 
@@ -92,10 +92,10 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
     df = df.withColumn(DAY, F.coalesce(file_day, iso_date(F.col(TS))))
     outside = F.when(file_day.isNotNull() & (iso_date(F.col(TS)) != file_day),
                      F.concat(F.lit("order_date: outside run date "), file_day))
-    errs = V.error_list(df, ORDERS, strict_optional, overrides={"order_date": F.col(TS)},
-                        extra=[outside])
-    df = df.withColumn(V.ERRORS, F.when(F.col(TS).isNotNull(), errs))
-    df = df.withColumn(GOOD, F.coalesce(F.size(V.ERRORS) == 0, F.lit(False)))
+    # order_date was checked by the parse stage: only parsed rows get here.
+    errs = V.error_text(df, ORDERS, strict_optional, extra=[outside], exclude=("order_date",))
+    df = df.withColumn(V.ERROR, F.when(F.col(TS).isNotNull(), errs))
+    df = df.withColumn(GOOD, F.coalesce(V.is_valid(F.col(V.ERROR)), F.lit(False)))
     typed = V.typed_values(df, ORDERS, overrides={"order_date": F.col(TS)})
     return df.withColumn(TOTAL, F.when(F.col(GOOD), line_total(typed["qty"], typed["unit_price"])))
 
@@ -114,9 +114,7 @@ def bad_orders(tagged: DataFrame) -> DataFrame:
     keep = [c for c in ORDERS.names + ["_source_file", DAY] if c in tagged.columns]
     if CORRUPT_COLUMN in tagged.columns:
         keep.append(CORRUPT_COLUMN)
-    return tagged.where(~F.col(GOOD)).select(
-        *keep, F.col(V.PARSE_ERROR),
-        F.when(F.col(V.ERRORS).isNotNull(), F.array_join(V.ERRORS, "; ")).alias(V.ERROR))
+    return tagged.where(~F.col(GOOD)).select(*keep, F.col(V.PARSE_ERROR), F.col(V.ERROR))
 
 
 def day_summary(tagged: DataFrame) -> DataFrame:
