@@ -35,13 +35,23 @@ def _status(flag: Column) -> Column:
     return expr
 
 
+def _fact_join(lines: DataFrame, orders_: DataFrame) -> DataFrame:
+    """lineitem ⋈ orders on the order key as a sort-merge join.
+
+    orders is a fact table (a quarter of lineitem's rows), so broadcasting
+    it does not scale; the merge hint fixes the plan a cluster needs at
+    every size. The shuffle also spreads the per-row work that follows
+    over all shuffle partitions, however few splits the input files give,
+    and AQE splits a skewed order key.
+    """
+    return lines.join(orders_.hint("merge"), lines.l_orderkey == orders_.o_orderkey, "inner")
+
+
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem ⋈ orders on the order key (a shuffle join at scale; AQE
-    splits a skewed order key and may switch to broadcast at run time)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
-    return li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    return _fact_join(li, od)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,25 +114,22 @@ def raw_order_date(key: Column, ts: Column) -> Column:
             .otherwise(_iso(ts)))
 
 
-def raw_qty(key: Column, qty: Column) -> Column:
+def raw_qty(m40: Column, qty_text: Column) -> Column:
     """FIXTURES §5 raw_qty: by key mod 40, 0 → -1, 1 → text, 2 → 2.5,
     3 → 2.0, else the line's quantity."""
-    m = key % 40
-    return (F.when(m == 0, F.lit("-1"))
-            .when(m == 1, F.lit("abc"))
-            .when(m == 2, F.lit("2.5"))
-            .when(m == 3, F.lit("2.0"))
-            .otherwise(qty.cast("int").cast("string")))
+    return (F.when(m40 == 0, F.lit("-1"))
+            .when(m40 == 1, F.lit("abc"))
+            .when(m40 == 2, F.lit("2.5"))
+            .when(m40 == 3, F.lit("2.0"))
+            .otherwise(qty_text))
 
 
-def raw_price(key: Column, price: Column) -> Column:
+def raw_price(m70: Column, price_text: Column) -> Column:
     """By key mod 70: 5 → negative, 6 → text, 7 → blank, else the price."""
-    m = key % 70
-    text = price.cast("decimal(12,2)").cast("string")
-    return (F.when(m == 5, F.concat(F.lit("-"), text))
-            .when(m == 6, F.lit("free"))
-            .when(m == 7, F.lit(None).cast("string"))
-            .otherwise(text))
+    return (F.when(m70 == 5, F.concat(F.lit("-"), price_text))
+            .when(m70 == 6, F.lit("free"))
+            .when(m70 == 7, F.lit(None).cast("string"))
+            .otherwise(price_text))
 
 
 def _day_filter(days: list[str] | None) -> Column | None:
@@ -134,6 +141,7 @@ def _day_filter(days: list[str] | None) -> Column | None:
 
     parsed = sorted(_dt.datetime.strptime(d.replace("-", ""), "%Y%m%d") for d in days)
     lo, hi = parsed[0], parsed[-1] + _dt.timedelta(days=1)
+
     def bound(d):
         return F.lit(d.strftime("%Y-%m-%d 00:00:00")).cast("timestamp_ntz")
 
@@ -150,27 +158,44 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None)
     of its order date (``_source_file``, ``_file_day``). ``days`` keeps
     only those files' rows, as a filter the Parquet scan of ``orders``
     receives.
+
+    Every text cell is derived on its own side of the join (order-level
+    cells once per order, line-level cells once per line), so later
+    filters that Catalyst pushes into the join condition reference plain
+    columns instead of re-deriving the text at every use.
     """
     k = F.col("o_orderkey")
-    m60 = k % 60
-    lines = _order_lines(spark, sf_dir)
+    od = table(spark, sf_dir, "orders")
     cond = _day_filter(days)
     if cond is not None:
-        lines = lines.where(cond)
+        od = od.where(cond)
     file_day = F.date_format("o_orderdate", "yyyyMMdd")
-    return lines.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+    od = od.select(
+        "o_orderkey",
         raw_order_date(k, F.col("o_orderdate")).alias("order_date"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        raw_qty(k, F.col("l_quantity")).alias("qty"),
-        raw_price(k, F.col("l_extendedprice")).alias("unit_price"),
-        F.when(m60 == 7, F.lit(None).cast("string"))
+        F.when(k % 60 == 7, F.lit(None).cast("string"))
          .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
-        F.when(m60 == 8, F.lit(None).cast("string"))
-         .otherwise(_status(F.col("l_returnflag"))).alias("order_status"),
-        F.concat(F.lit("order_"), file_day, F.lit(".csv")).alias("_source_file"),
+        (k % 40).alias("_m40"), (k % 70).alias("_m70"), (k % 60 == 8).alias("_no_status"),
         file_day.alias("_file_day"),
     )
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_quantity").cast("int").cast("string").alias("_qty_text"),
+        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("_price_text"),
+        _status(F.col("l_returnflag")).alias("_status"),
+    )
+    lines = _fact_join(li, od)
+    return lines.select(
+        "order_id", "order_date", "product_id",
+        raw_qty(F.col("_m40"), F.col("_qty_text")).alias("qty"),
+        raw_price(F.col("_m70"), F.col("_price_text")).alias("unit_price"),
+        "user_id",
+        F.when(F.col("_no_status"), F.lit(None).cast("string")).otherwise(F.col("_status")).alias("order_status"),
+        F.concat(F.lit("order_"), F.col("_file_day"), F.lit(".csv")).alias("_source_file"),
+        "_file_day",
+    )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
