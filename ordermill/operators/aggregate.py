@@ -47,11 +47,11 @@ def top_per_group(df: DataFrame, group: str, item: str, measure: str,
 def daily_category_revenue(enriched: DataFrame) -> DataFrame:
     """A1: revenue (sum of rounded line totals, rounded) and units per
     (order_date_iso, category); NULL keys form their own groups; sorted by
-    the keys."""
+    the keys, NULL last (as pandas groupby orders them)."""
     return (enriched.groupBy("order_date_iso", "category")
             .agg(money_out(F.sum("order_total")).alias("total_revenue"),
                  F.sum("qty").alias("total_units"))
-            .orderBy("order_date_iso", "category"))
+            .orderBy(F.asc_nulls_last("order_date_iso"), F.asc_nulls_last("category")))
 
 
 def product_revenue(enriched: DataFrame) -> DataFrame:
@@ -69,9 +69,9 @@ def top_n_products(enriched: DataFrame, n: int = 10) -> DataFrame:
     n rows per task reach the final merge.
     """
     top = (product_revenue(enriched)
-           .orderBy(F.desc("total_revenue"), F.asc_nulls_first("product_id"))
+           .orderBy(F.desc("total_revenue"), F.asc_nulls_last("product_id"))
            .limit(n))
-    rank = F.row_number().over(Window.orderBy(F.desc("total_revenue"), F.asc_nulls_first("product_id")))
+    rank = F.row_number().over(Window.orderBy(F.desc("total_revenue"), F.asc_nulls_last("product_id")))
     return top.select(
         rank.alias("rank"), "product_id", "product_name", "category",
         money_out(F.col("total_revenue")).alias("total_revenue"),

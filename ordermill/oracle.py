@@ -294,7 +294,7 @@ A1_DAILY_CATEGORY_REVENUE = _with(ORDERS_ALL, VALID_PRODUCTS, ENRICHED) + """
 SELECT strftime(order_date, '%Y-%m-%d') AS order_date_iso, category,
        CAST(ROUND(SUM(order_total), 2) AS DOUBLE) AS total_revenue,
        CAST(SUM(qty) AS BIGINT) AS total_units
-FROM enriched GROUP BY 1, 2 ORDER BY 1, 2
+FROM enriched GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2 NULLS LAST
 """
 
 T1_TOP_PRODUCTS = _with(ORDERS_ALL, VALID_PRODUCTS, ENRICHED, """
@@ -303,10 +303,10 @@ per_product AS (
          CAST(SUM(qty) AS BIGINT) AS total_units
   FROM enriched GROUP BY product_id, product_name, category
 )""") + """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id NULLS FIRST) AS INTEGER) AS rank,
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id NULLS LAST) AS INTEGER) AS rank,
        product_id, product_name, category, CAST(ROUND(total_revenue, 2) AS DOUBLE) AS total_revenue,
        total_units
-FROM per_product ORDER BY total_revenue DESC, product_id NULLS FIRST LIMIT 10
+FROM per_product ORDER BY total_revenue DESC, product_id NULLS LAST LIMIT 10
 """
 
 U1_UNION_ALL = _with(ORDERS_ALL) + """

@@ -120,7 +120,7 @@ def test_daily_category_revenue_derives_missing_columns(spark):
         "order_date timestamp_ntz, category string, qty long, unit_price string")
     rows = [tuple(r) for r in compute_daily_category_revenue(df).collect()]
     # rounded per line (2.01 + 1.01), then summed; NULL category is a group
-    assert rows == [("2025-10-25", None, 3.0, 1), ("2025-10-25", "a", 3.02, 3)]
+    assert rows == [("2025-10-25", "a", 3.02, 3), ("2025-10-25", None, 3.0, 1)]
 
 
 def test_top_n_products(spark):
