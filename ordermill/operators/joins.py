@@ -1,11 +1,15 @@
 """Joins against the product dimension.
 
-Broadcast is used only behind a measured bound: ``bounded_rows`` runs a
-``limit(n + 1).count()`` job, which stops reading once it has seen more
-than ``n`` rows, so the check itself never scans a large table fully.
+Broadcast is used only behind a measured bound: ``bounded_rows`` counts
+the side (a distributed count: partial counts per task, one number to
+the driver; on a projection of a Parquet table it reads no column data).
 A side that passes is hinted for broadcast (no shuffle of the big side,
 immune to key skew); a side that fails is joined by shuffle, where AQE
 can still split skewed partitions.
+
+(A ``limit(n + 1).count()`` probe would stop early, but its global limit
+moves up to n rows from every partition into a single task, which does
+not hold at scale.)
 """
 
 from __future__ import annotations
@@ -13,17 +17,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for a broadcast dimension. The product side carries four
-# narrow columns (< ~100 bytes a row), so this caps the broadcast at a
-# few hundred MB even for wide names.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Default bound for a broadcast dimension. The product side carries at
+# most four narrow columns (~100 bytes a row), so the broadcast stays near
+# 100 MB.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 JOIN_TYPES = ("left", "inner", "right", "outer")
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (early-stopping check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"] <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -33,6 +37,14 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tu
     return df, False
 
 
+def key_stats(df: DataFrame, key: str) -> tuple[int, int]:
+    """(rows, largest number of rows sharing one key) in one job: the
+    size bound and the many-to-one check from the same pass."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    row = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("dup")).collect()[0]
+    return int(row["rows"] or 0), int(row["dup"] or 0)
+
+
 def assert_unique_key(df: DataFrame, key: str, what: str = "right side") -> None:
     """Eager many-to-one guard (J3): raise when ``key`` repeats in ``df``.
 

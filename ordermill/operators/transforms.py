@@ -12,7 +12,7 @@ from ordermill.functions.dates import ensure_timestamp, iso_date
 from ordermill.functions.numeric import PRICE_TYPE, coerce_int, coerce_key, coerce_price, line_total
 from ordermill.operators import aggregate
 from ordermill.operators.joins import (DEFAULT_BROADCAST_ROWS, JOIN_TYPES, assert_unique_key,
-                                       maybe_broadcast)
+                                       key_stats, maybe_broadcast)
 
 # Accepted spellings of the price column (case-insensitive)
 # and the fill texts for orders without a product.
@@ -94,8 +94,12 @@ def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "lef
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
     right = product_side(products)
     if validate:
-        assert_unique_key(right, "product_id", "products")
-    if how in ("left", "inner"):
+        rows, dup = key_stats(right, "product_id")
+        if dup > 1:
+            assert_unique_key(right, "product_id", "products")  # names the key, raises
+        if how in ("left", "inner") and 0 < broadcast_rows and rows <= broadcast_rows:
+            right = F.broadcast(right)
+    elif how in ("left", "inner"):
         right, _ = maybe_broadcast(right, broadcast_rows)
     joined = _key(orders).join(right, on="product_id", how=how)
     return joined.fillna({"product_name": UNKNOWN_PRODUCT, "category": UNKNOWN_CATEGORY})

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import aggregate
+from ordermill.operators.joins import DEFAULT_BROADCAST_ROWS
 from ordermill.operators import validate as V
 from ordermill.operators.transforms import (add_order_date_iso, add_order_total,
                                             compute_daily_category_revenue, enrich_with_products,
@@ -220,7 +221,7 @@ def w1_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched valid orders written date-partitioned, read back."""
     configure(spark)
     enriched = pipeline.enrich(pipeline.good_orders(_tagged(spark, sf_dir)),
-                               _valid_products(spark, sf_dir), 2_000_000)
+                               _valid_products(spark, sf_dir), DEFAULT_BROADCAST_ROWS)
     out = scratch_path(spark, "processed")
     files.write_parquet_partition(enriched, out, "date")
     back = spark.read.parquet(out)
