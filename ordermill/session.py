@@ -48,6 +48,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(executors: int, cores_per_executor: int = 4,
+                 advisory_bytes: str = "256m") -> dict[str, str]:
+    """Suggested settings for a large cluster (pass to your launcher).
+
+    Shuffles start with ~3 partitions per core so that no task's share of
+    a 100 TB stage outgrows its memory; AQE then merges them up to
+    ``advisory_bytes`` and splits skewed ones. Scan splits stay at the
+    Parquet-friendly 256 MB.
+    """
+    cores = executors * cores_per_executor
+    return {
+        **REQUIRED_CONF,
+        "spark.sql.shuffle.partitions": str(max(200, 3 * cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_bytes,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
     for key, value in REQUIRED_CONF.items():
