@@ -455,6 +455,50 @@ P7_PROFILE = _with(RAW_ORDERS, RAW_PRODUCTS, RAW_INVENTORY) + "\n" + "\nUNION AL
     for ds, cols in RAW_COLS.items() for i, c in enumerate(cols))
 
 
+C1_STRICT_DATES = _with(RAW_ORDERS) + """
+SELECT order_id, order_date, try_strptime(order_date, '%Y-%m-%d') AS order_ts FROM raw_orders
+"""
+
+C5_ALIAS_NORMALIZE = C6_NUMERIC_COERCE
+
+V5_MISSING_COLUMN = _with(RAW_PRODUCTS) + """
+SELECT product_id, product_name,
+       concat_ws('; ', """ + msg_int("product_id") + """, """ + msg_str("product_name") + """,
+                 'price: field required') AS _error
+FROM raw_products
+"""
+
+A2_PRODUCT_REVENUE = _with(ORDERS_ALL, VALID_PRODUCTS, ENRICHED) + """
+SELECT product_id, product_name, category, CAST(SUM(order_total) AS DOUBLE) AS total_revenue,
+       CAST(SUM(qty) AS BIGINT) AS total_units
+FROM enriched GROUP BY product_id, product_name, category
+"""
+
+A3_DAILY_CATEGORY_NET = _with(ORDERS_ALL, PRODUCTS, DAILY_CAT) + """
+SELECT order_date_only, category, CAST(revenue AS DOUBLE) AS revenue FROM daily_cat
+"""
+
+A4_DAILY_TOTALS = _with(ORDERS_ALL, PRODUCTS, DAILY_CAT) + """
+SELECT order_date_only, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS total_revenue
+FROM daily_cat GROUP BY order_date_only
+"""
+
+F7_RETURN_RATE = _with(ORDERS_ALL, """
+sums AS (
+  SELECT product_id,
+         SUM(CASE WHEN order_status = 'completed' THEN qty ELSE 0 END) AS units_completed,
+         SUM(CASE WHEN order_status = 'returned' THEN qty ELSE 0 END) AS units_returned
+  FROM orders_all GROUP BY product_id
+)""") + """
+SELECT product_id, CAST(units_completed + units_returned AS BIGINT) AS total_units_transacted,
+       CASE WHEN (units_completed + units_returned) = 0 THEN CAST(0 AS DOUBLE)
+            ELSE CAST((units_returned * 20000 + (units_completed + units_returned))
+                      // (2 * (units_completed + units_returned)) AS DOUBLE) / 100
+       END AS return_rate_percent
+FROM sums
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_daily_revenue": P4_DAILY_REVENUE,
@@ -484,4 +528,11 @@ def oracle_sql() -> dict[str, str]:
         "w3_bad_csv_roundtrip": W3_BAD_CSV_ROUNDTRIP,
         "a7_null_counts": A7_NULL_COUNTS,
         "p7_profile": P7_PROFILE,
+        "c1_strict_dates": C1_STRICT_DATES,
+        "c5_alias_normalize": C5_ALIAS_NORMALIZE,
+        "v5_missing_column": V5_MISSING_COLUMN,
+        "a2_product_revenue": A2_PRODUCT_REVENUE,
+        "a3_daily_category_net": A3_DAILY_CATEGORY_NET,
+        "a4_daily_totals": A4_DAILY_TOTALS,
+        "f7_return_rate": F7_RETURN_RATE,
     }

@@ -267,6 +267,64 @@ def p7_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+# --- further standalone operators (C1, C5, V5, A2–A4, F7) -------------------
+
+def c1_strict_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict ``%Y-%m-%d`` parse alone (NULL where it fails)."""
+    from ordermill.functions.dates import parse_strict
+
+    configure(spark)
+    raw = tables.raw_orders(spark, sf_dir)
+    return raw.select("order_id", "order_date",
+                      parse_strict(F.col("order_date"), "%Y-%m-%d").alias("order_ts"))
+
+
+def c5_alias_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differently cased / named columns are found and totalled."""
+    configure(spark)
+    odd = tables.raw_orders(spark, sf_dir).withColumnsRenamed({"qty": "QTY", "unit_price": "UnitPrice"})
+    out = add_order_total(odd)
+    return out.select("order_id", "qty", _dbl("unit_price"), _dbl("order_total"))
+
+
+def v5_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5: a product file without its price column fails every row."""
+    configure(spark)
+    _, bad = V.validate_dataframe(tables.raw_products(spark, sf_dir).drop("price"), PRODUCTS)
+    return bad.select("product_id", "product_name", V.ERROR)
+
+
+def a2_product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    out = aggregate.product_revenue(_enriched(spark, sf_dir))
+    return out.select("product_id", "product_name", "category", _dbl("total_revenue"), "total_units")
+
+
+def a3_daily_category_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    daily_cat = reports.daily_category_net(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
+    return daily_cat.select("order_date_only", "category", _dbl("revenue"))
+
+
+def a4_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: day totals re-aggregated from the day × category result."""
+    configure(spark)
+    daily_cat = reports.daily_category_net(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
+    return (daily_cat.groupBy("order_date_only")
+            .agg(F.round(F.sum("revenue"), 2).cast("double").alias("total_revenue")))
+
+
+def f7_return_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return rate per ordered product id (zero-safe, exact)."""
+    from ordermill.functions.numeric import percent_half_up
+
+    configure(spark)
+    sums = aggregate.status_sums(tables.orders(spark, sf_dir), "product_id")
+    total = F.col("units_completed") + F.col("units_returned")
+    return sums.select("product_id", total.alias("total_units_transacted"),
+                       percent_half_up(F.col("units_returned"), total).alias("return_rate_percent"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p4_daily_revenue": p4_daily_revenue,
@@ -296,4 +354,11 @@ def queries() -> dict[str, Query]:
         "w3_bad_csv_roundtrip": w3_bad_csv_roundtrip,
         "a7_null_counts": a7_null_counts,
         "p7_profile": p7_profile,
+        "c1_strict_dates": c1_strict_dates,
+        "c5_alias_normalize": c5_alias_normalize,
+        "v5_missing_column": v5_missing_column,
+        "a2_product_revenue": a2_product_revenue,
+        "a3_daily_category_net": a3_daily_category_net,
+        "a4_daily_totals": a4_daily_totals,
+        "f7_return_rate": f7_return_rate,
     }
