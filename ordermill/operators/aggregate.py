@@ -39,8 +39,9 @@ def top_per_group(df: DataFrame, group: str, item: str, measure: str,
     desc, item asc nulls first) = 1`` joined to the group total, but runs as
     a hash aggregate with a partial phase: no sort, no window, no self-join.
     """
-    best = F.min(F.struct((-F.col(measure)).alias("neg"), F.col(item).alias("item"),
-                          F.col(measure).alias("value")))
+    # NULL measures rank last, as in ORDER BY measure DESC.
+    best = F.min(F.struct(F.col(measure).isNull().alias("missing"), (-F.col(measure)).alias("neg"),
+                          F.col(item).alias("item"), F.col(measure).alias("value")))
     return df.groupBy(group).agg(F.sum(measure).alias(total_alias), best.alias(top_alias))
 
 

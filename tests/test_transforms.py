@@ -128,3 +128,13 @@ def test_top_n_products(spark):
     df = spark.createDataFrame(rows, "product_id long, product_name string, category string, qty long, unit_price double")
     out = [tuple(r) for r in top_n_products_by_revenue(df, 2).collect()]
     assert out == [(1, 3, "p3", "c", 15.0, 5), (2, 2, "p2", "c", 10.0, 5)]
+
+
+def test_top_per_group_ties_and_nulls(spark):
+    from ordermill.operators.aggregate import top_per_group
+
+    df = spark.createDataFrame([("d", "b", 5.0), ("d", "a", 5.0), ("d", None, 5.0), ("d", "z", None),
+                                ("e", "x", None), ("e", "y", 1.0)], "day string, cat string, rev double")
+    out = {r["day"]: (r["top"]["item"], r["top"]["value"], r["total"])
+           for r in top_per_group(df, "day", "cat", "rev").collect()}
+    assert out == {"d": (None, 5.0, 15.0), "e": ("y", 1.0, 1.0)}
