@@ -65,10 +65,11 @@ def _value_and_checks(df: DataFrame, f: Field, override: Column | None) -> tuple
         return v, ok, rng
     if f.kind == "float":
         d = float_value(c, dtype)
-        # NaN and ±inf are not numbers here (inf does not fit a decimal).
-        ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf")))
+        # NaN, ±inf and values too large for the decimal are not numbers here.
+        v = c.try_cast(f.spark_type)
+        ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))) & v.isNotNull()
         rng = d >= F.lit(f.ge) if f.ge is not None else F.lit(True)
-        return c.try_cast(f.spark_type), ok, rng
+        return v, ok, rng
     if f.kind == "datetime":
         if override is not None:
             v = override

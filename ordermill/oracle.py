@@ -196,7 +196,8 @@ def int_sql(c: str, typ: str = "BIGINT") -> str:
 
 def num_ok_sql(c: str) -> str:
     d = f"TRY_CAST({c} AS DOUBLE)"
-    return f"({d} IS NOT NULL AND NOT isnan({d}) AND NOT isinf({d}))"
+    return (f"({d} IS NOT NULL AND NOT isnan({d}) AND NOT isinf({d}) "
+            f"AND TRY_CAST({c} AS DECIMAL(18,6)) IS NOT NULL)")
 
 
 def msg_int(c: str, required: bool = True, ge: bool = False, typ: str = "BIGINT") -> str:
