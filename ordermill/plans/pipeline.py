@@ -40,7 +40,7 @@ TOTAL = "__total"
 STATUS_OK = "ok"
 STATUS_NO_VALID = "no_valid_rows"
 STATUS_MISSING = "missing"
-MSG_NO_FILE = "No order file for date {day}"
+MSG_NO_FILE = "No order file for date "
 
 
 @dataclass
@@ -237,7 +237,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
               .otherwise(F.lit(STATUS_OK)))
     report = report.select(
         DAY, "run_date", "rows", "revenue", "bad_rows", status.alias("status"),
-        F.when(F.col("rows").isNull(), F.concat(F.lit("No order file for date "), F.col("run_date")))
+        F.when(F.col("rows").isNull(), F.concat(F.lit(MSG_NO_FILE), F.col("run_date")))
          .alias("error"))
     if dry_run or per_day is None:
         return report

@@ -50,12 +50,14 @@ def write_summaries(summary: DataFrame, output_dir: str) -> str:
                              output_dir, "date", "json")
 
 
-def write_bad_rows(bad: DataFrame, output_dir: str, dataset: str, date: str | None = None,
+def write_bad_rows(bad: DataFrame | None, output_dir: str, dataset: str, date: str | None = None,
                    known_empty: bool | None = None) -> str | None:
     """Rejected rows as header CSV under
     ``dataset=<name>/date=<day>/``. Returns None and writes nothing when
     there are no rows (``known_empty`` skips the emptiness probe when the
     caller already counted them)."""
+    if bad is None:
+        return None
     empty = bad.isEmpty() if known_empty is None else known_empty
     if empty:
         return None

@@ -39,6 +39,7 @@ def test_summary_and_bad_rows_writers(spark, tmp_path):
     b = files.write_bad_rows(bad, str(tmp_path / "bad_rows"), "orders", "2025-10-25")
     assert b and os.path.isdir(f"{b}/date=2025-10-25")
     assert files.write_bad_rows(bad.where("col > 5"), str(tmp_path / "none"), "orders") is None
+    assert files.write_bad_rows(None, str(tmp_path / "none"), "orders") is None
     assert not (tmp_path / "none").exists()
 
 
