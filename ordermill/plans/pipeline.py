@@ -89,13 +89,23 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
     df = V.with_required_columns(raw, ORDERS)
     df = V.tag_dates(df, "order_date", date_format, parsed_col=TS)
     file_day = _file_day_iso(F.col("_file_day")) if "_file_day" in df.columns else F.lit(None)
-    df = df.withColumn(DAY, F.coalesce(file_day, iso_date(F.col(TS))))
-    outside = F.when(file_day.isNotNull() & (iso_date(F.col(TS)) != file_day),
-                     F.concat(F.lit("order_date: outside run date "), file_day))
-    # order_date was checked by the parse stage: only parsed rows get here.
-    errs = V.error_text(df, ORDERS, strict_optional, extra=[outside], exclude=("order_date",))
-    df = df.withColumn(V.ERROR, F.when(F.col(TS).isNotNull(), errs))
-    df = df.withColumn(GOOD, F.coalesce(V.is_valid(F.col(V.ERROR)), F.lit(False)))
+    iso_ts = iso_date(F.col(TS))
+    df = df.withColumn(DAY, F.coalesce(file_day, iso_ts))
+    # order_date itself was checked by the parse stage.
+    rules = V.error_text(df, ORDERS, strict_optional, exclude=("order_date",))
+    # "<parsed day>|" starts with "<file day>|" (with "" when the file name
+    # has no day) exactly when the date parsed and lies on the file's day.
+    # Written with a single reference to the parsed date on purpose: a
+    # filter on the good flag is pushed below this projection, and
+    # Catalyst then inlines the whole parse at every reference.
+    on_day = F.coalesce(
+        F.concat(iso_ts, F.lit("|")).startswith(F.coalesce(F.concat(file_day, F.lit("|")), F.lit(""))),
+        F.lit(False))
+    df = df.withColumns({"__rules": rules, "__on_day": on_day})
+    outside = F.when(~F.col("__on_day"), F.concat(F.lit("order_date: outside run date "), file_day))
+    df = df.withColumn(V.ERROR, F.when(F.col(TS).isNotNull(),
+                                       F.concat_ws(V.SEPARATOR, F.nullif(F.col("__rules"), F.lit("")), outside)))
+    df = df.withColumn(GOOD, V.is_valid(F.col("__rules")) & F.col("__on_day")).drop("__rules", "__on_day")
     typed = V.typed_values(df, ORDERS, overrides={"order_date": F.col(TS)})
     return df.withColumn(TOTAL, F.when(F.col(GOOD), line_total(typed["qty"], typed["unit_price"])))
 
