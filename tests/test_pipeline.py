@@ -158,3 +158,15 @@ def test_single_pass_bad_rows_equal_two_channel_union(spark, data_dir, tmp_path)
     _, vb = V.validate_dataframe(pg.drop(V.RECOVERED), ORDERS)
     union = V.union_bad(pb, vb).select("order_id", V.PARSE_ERROR, V.ERROR)
     assert sorted(map(tuple, single.collect())) == sorted(map(tuple, union.collect()))
+
+
+def test_duplicate_product_stops_the_run(spark, data_dir, tmp_path):
+    from conftest import PRODUCTS as P
+    data = write_files(tmp_path / "d", {"order_20251025.csv": ORDERS_20251025,
+                                        "products.csv": P + '1001,"Tee again",Apparel,1.00\n'})
+    out = tmp_path / "o"
+    with pytest.raises(ValueError, match="duplicate"):
+        pipeline.run_for_date(spark, "20251025", pipeline.csv_inputs(spark, data), str(out))
+    assert not (out / "processed").exists()
+    with pytest.raises(ValueError, match="duplicate"):
+        pipeline.run_for_date(spark, "20251025", pipeline.csv_inputs(spark, data), dry_run=True)
