@@ -75,9 +75,19 @@ def cluster_conf(executors: int, cores_per_executor: int = 4,
     }
 
 
+# Local mode only: partition discovery over many directories is launched
+# as a Spark job (one task per path above 32 paths). On a cluster that
+# spreads object-store listing; in one local JVM it only adds task
+# overhead (measured 3.3 s vs 0.3 s for 2,400 date directories).
+LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
-    for key, value in REQUIRED_CONF.items():
+    conf = dict(REQUIRED_CONF)
+    if spark.sparkContext.master.startswith("local"):
+        conf.update(LOCAL_CONF)
+    for key, value in conf.items():
         spark.conf.set(key, value)
     return spark
 

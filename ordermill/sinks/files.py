@@ -26,12 +26,24 @@ def _balanced(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, output_dir: str, by: str | list[str] = "date",
-                      fmt: str = "parquet", header: bool = True) -> str:
+                      fmt: str = "parquet", header: bool = True, small_rows: bool = False) -> str:
     """W1 (and the W2/W3 layouts): write ``df`` under ``output_dir/by=value/``
-    replacing only the partition values present in ``df``."""
+    replacing only the partition values present in ``df``.
+
+    ``small_rows`` is for frames with a handful of rows per partition value
+    (summaries): they are hash-partitioned by the value, so the many small
+    files are created by all writers in parallel (REBALANCE sizes tasks by
+    bytes and would give one task every file).
+    """
     by = [by] if isinstance(by, str) else list(by)
     configure(df.sparkSession)
-    writer = _balanced(df, by).write.mode("overwrite").partitionBy(*by)
+    if small_rows:
+        # An explicit count: AQE would merge a tiny frame back into one task.
+        parallel = df.sparkSession.sparkContext.defaultParallelism
+        arranged = df.repartition(parallel, *[F.col(c) for c in by])
+    else:
+        arranged = _balanced(df, by)
+    writer = arranged.write.mode("overwrite").partitionBy(*by)
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.format(fmt).save(output_dir)
@@ -47,7 +59,7 @@ def write_summaries(summary: DataFrame, output_dir: str) -> str:
     """Summary rows as JSON, one partition per date; a row without a
     date is filed under ``date=run``."""
     return write_partitioned(summary.withColumn("date", F.coalesce(F.col("date"), F.lit("run"))),
-                             output_dir, "date", "json")
+                             output_dir, "date", "json", small_rows=True)
 
 
 def write_bad_rows(bad: DataFrame | None, output_dir: str, dataset: str, date: str | None = None,
