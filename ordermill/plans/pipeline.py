@@ -174,6 +174,8 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
     ISO date → summary → write. Returns the summary as a dict; ``date`` is
     the day as given, the stored summary uses the ISO day."""
     configure(spark)
+    if not dry_run and not output_dir:
+        raise ValueError("output_dir is required unless dry_run")
     day = normalize_date_str(date_str)
     products_good, products_bad = valid_products(inputs.products())
     if dry_run:  # a writing run checks J3 while enriching

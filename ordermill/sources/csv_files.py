@@ -47,6 +47,9 @@ def read_table_csv(spark: SparkSession, path: str | list[str], schema: Schema,
     file name each row came from. A missing path raises FileNotFoundError."""
     reader = (spark.read.schema(schema.raw_struct())
               .option("header", True)
+              # Check every file's header against the schema: columns are
+              # bound by position, so a reordered file must fail, not shift.
+              .option("enforceSchema", False)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
               .option("multiLine", False))

@@ -50,3 +50,10 @@ def test_multi_day_scan_tags_file_day(spark, data_dir):
     days = sorted({(r["_file_day"], r["_source_file"]) for r in df.collect()})
     assert days == [("20251025", "order_20251025.csv"), ("20251026", "order_20251026.csv")]
     assert csv_files.read_orders(spark, data_dir).count() == 5
+
+
+def test_reordered_header_fails_loudly(spark, tmp_path):
+    text = "product_name,product_id,category,price\nTee,1001,Apparel,1.0\n"
+    data = write_files(tmp_path / "d", {"products.csv": text})
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        csv_files.read_products(spark, data).collect()
