@@ -36,16 +36,11 @@ def int_value(c: Column, dtype: DataType) -> Column:
     return F.lit(None).cast("bigint")
 
 
-def float_value(c: Column, dtype: DataType) -> Column:
+def float_value(c: Column) -> Column:
     """Number as double; NULL for text that is not a number."""
     return c.try_cast("double")
 
 
-def finite_nonneg(d: Column) -> Column:
-    """d is a finite number >= 0 (NaN and +inf rejected)."""
-    return d.isNotNull() & ~F.isnan(d) & (d >= 0) & (d < F.lit(float("inf")))
-
-
 def coerce_int(c: Column) -> Column:
     """C6 for qty: numeric or 0, truncated toward zero ("2.7" → 2)."""
     return F.coalesce(c.try_cast("double").try_cast("int"), F.lit(0))

@@ -64,7 +64,7 @@ def _value_and_checks(df: DataFrame, f: Field, override: Column | None) -> tuple
         rng = v >= F.lit(f.ge) if f.ge is not None else F.lit(True)
         return v, ok, rng
     if f.kind == "float":
-        d = float_value(c, dtype)
+        d = float_value(c)
         # NaN, ±inf and values too large for the decimal are not numbers here.
         v = c.try_cast(f.spark_type)
         ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))) & v.isNotNull()
