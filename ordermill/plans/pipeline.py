@@ -117,14 +117,19 @@ def good_orders(tagged: DataFrame) -> DataFrame:
         *[typed[n].alias(n) for n in ORDERS.names], F.col(V.RECOVERED))
 
 
-def bad_orders(tagged: DataFrame) -> DataFrame:
+def bad_orders(tagged: DataFrame, keep_parsed: bool = False) -> DataFrame:
     """V6: parse rejects (``_parse_error``) and rule rejects (``_error``)
     in one frame, original text kept; the same rows a schema-widening
-    union of the two channels gives."""
+    union of the two channels gives. With ``keep_parsed`` a rule reject
+    shows its parsed order date (``YYYY-MM-DD``) instead of the text."""
     keep = [c for c in ORDERS.names + ["_source_file", DAY] if c in tagged.columns]
     if CORRUPT_COLUMN in tagged.columns:
         keep.append(CORRUPT_COLUMN)
-    return tagged.where(~F.col(GOOD)).select(*keep, F.col(V.PARSE_ERROR), F.col(V.ERROR))
+    cols = [F.col(c) for c in keep]
+    if keep_parsed:
+        cols = [F.coalesce(iso_date(F.col(TS)), F.col(c)).alias(c) if c == "order_date" else F.col(c)
+                for c in keep]
+    return tagged.where(~F.col(GOOD)).select(*cols, F.col(V.PARSE_ERROR), F.col(V.ERROR))
 
 
 def day_summary(tagged: DataFrame) -> DataFrame:

@@ -171,15 +171,17 @@ def v2_orders_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v6_bad_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parse rejects and rule rejects, two channels unioned by name."""
+    """Parse rejects and rule rejects together.
+
+    Computed in the pipeline's single tagged pass (one scan) instead of a
+    union of two filtered scans; ``tests/test_pipeline.py`` checks it equals
+    ``union_bad`` of the two channels. Rule rejects carry the parsed date,
+    as the reference's validation stage sees it.
+    """
     configure(spark)
-    raw = tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day")
-    parsed_good, parse_bad = V.parse_date_column(raw, "order_date")
-    _, rule_bad = V.validate_dataframe(parsed_good.drop(V.RECOVERED), ORDERS)
-    rule_bad = rule_bad.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
-    both = V.union_bad(parse_bad.drop(V.RECOVERED), rule_bad)
-    return both.select("order_id", "order_date", "product_id", "qty", "unit_price",
-                       V.PARSE_ERROR, V.ERROR)
+    bad = pipeline.bad_orders(_tagged(spark, sf_dir), keep_parsed=True)
+    return bad.select("order_id", "order_date", "product_id", "qty", "unit_price",
+                      V.PARSE_ERROR, V.ERROR)
 
 
 def v3_products_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
