@@ -15,12 +15,14 @@ one aggregate, one dynamic-overwrite write per output.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ordermill.functions.dates import iso_date, normalize_date_str
 from ordermill.functions.numeric import line_total, money_out
@@ -41,6 +43,7 @@ STATUS_OK = "ok"
 STATUS_NO_VALID = "no_valid_rows"
 STATUS_MISSING = "missing"
 MSG_NO_FILE = "No order file for date "
+SUMMARY_SCHEMA = "date string, rows bigint, revenue double, bad_rows bigint"
 
 
 @dataclass
@@ -156,7 +159,7 @@ def enrich(good: DataFrame, products: DataFrame, broadcast_rows: int) -> DataFra
     return out.withColumn(DAY, F.col("order_date_iso"))
 
 
-def _write_outputs(tagged: DataFrame, products_good: DataFrame, products_bad: DataFrame,
+def _write_outputs(tagged: DataFrame, products_good: DataFrame,
                    output_dir: str, summary: DataFrame, any_good: bool, any_bad: bool,
                    broadcast_rows: int) -> str | None:
     out = output_dir.rstrip("/")
@@ -168,7 +171,6 @@ def _write_outputs(tagged: DataFrame, products_good: DataFrame, products_bad: Da
                               f"{out}/summaries")
     if any_bad:
         files.write_bad_rows(bad_orders(tagged), f"{out}/bad_rows", "orders", known_empty=False)
-    files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
     return parquet
 
 
@@ -196,8 +198,9 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
         revenue = float(row["revenue"] or 0.0)
         parquet = None
         if not dry_run:
-            parquet = _write_outputs(tagged, products_good, products_bad, output_dir, summary,
+            parquet = _write_outputs(tagged, products_good, output_dir, summary,
                                      rows > 0, bad > 0, broadcast_rows)
+            files.write_bad_rows(products_bad, f"{output_dir.rstrip('/')}/bad_rows", "products")
     finally:
         if not dry_run:
             tagged.unpersist()
@@ -222,29 +225,7 @@ def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
             .select(iso_date(F.col("d")).alias(DAY), F.date_format("d", "yyyyMMdd").alias("run_date")))
 
 
-def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_dir: str | None = None,
-             dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
-             broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Every day of [start, end] in one job.
-
-    Returns one row per day: date, run_date, rows, revenue, bad_rows,
-    status (ok / no_valid_rows / missing) and error (for missing days).
-    A day without a file does not stop the others.
-    """
-    configure(spark)
-    days = day_range(start, end)
-    try:
-        raw = inputs.orders(days)
-    except FileNotFoundError:
-        raw = None
-    spine = date_spine(spark, start, end)
-    if raw is None:
-        per_day = None
-    else:
-        tagged = tag_orders(raw, date_format)
-        if not dry_run:
-            tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        per_day = day_summary(tagged)
+def _report(spine: DataFrame, per_day: DataFrame | None) -> DataFrame:
     if per_day is None:
         report = spine.select(DAY, "run_date", *[F.lit(None).cast(t).alias(c) for c, t in
                                                  (("rows", "bigint"), ("revenue", "double"),
@@ -254,22 +235,67 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
     status = (F.when(F.col("rows").isNull(), F.lit(STATUS_MISSING))
               .when(F.col("rows") == 0, F.lit(STATUS_NO_VALID))
               .otherwise(F.lit(STATUS_OK)))
-    report = report.select(
+    return report.select(
         DAY, "run_date", "rows", "revenue", "bad_rows", status.alias("status"),
         F.when(F.col("rows").isNull(), F.concat(F.lit(MSG_NO_FILE), F.col("run_date")))
          .alias("error"))
-    if dry_run or per_day is None:
-        return report
+
+
+def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_dir: str | None = None,
+             dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
+             broadcast_rows: int = DEFAULT_BROADCAST_ROWS, window_days: int = 31) -> DataFrame:
+    """Every day of [start, end].
+
+    Returns one row per day: date, run_date, rows, revenue, bad_rows,
+    status (ok / no_valid_rows / missing) and error (for missing days).
+    A day without a file does not stop the others.
+
+    A dry run is one aggregate over the whole range. A writing run works
+    through the range in windows of ``window_days`` days: each window is
+    one scan of its files, one persisted tagged frame (so the cached
+    volume is bounded by the window, not by the range) and one
+    dynamic-overwrite write per output. Windows are idempotent; the
+    per-window day summaries and the final report are written to the
+    output folder and the report is read back from there.
+    """
+    configure(spark)
+    days = day_range(start, end)
+    spine = date_spine(spark, start, end)
+    if dry_run:
+        try:
+            raw = inputs.orders(days)
+        except FileNotFoundError:
+            return _report(spine, None)
+        return _report(spine, day_summary(tag_orders(raw, date_format)))
+    if not output_dir:
+        raise ValueError("output_dir is required unless dry_run")
+    out = output_dir.rstrip("/")
+    run_dir = f"{out}/runs/{days[0]}_{days[-1]}/attempt-{uuid.uuid4().hex[:12]}"
+    products_good, products_bad = valid_products(inputs.products())
+    products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        products_good, products_bad = valid_products(inputs.products())
-        totals = per_day.agg(F.sum("rows").alias("g"), F.sum("bad_rows").alias("b")).collect()[0]
-        _write_outputs(tagged, products_good, products_bad, output_dir,
-                       per_day.join(spine, DAY, "inner"), (totals["g"] or 0) > 0,
-                       (totals["b"] or 0) > 0, broadcast_rows)
-        # Store the run report next to the outputs and hand back the stored
-        # table, so callers do not re-run the pipeline's lineage.
-        report_dir = f"{output_dir.rstrip('/')}/runs/{days[0]}_{days[-1]}"
-        report.write.mode("overwrite").parquet(report_dir)
+        for i in range(0, len(days), max(1, window_days)):
+            window = days[i:i + max(1, window_days)]
+            try:
+                raw = inputs.orders(window)
+            except FileNotFoundError:
+                continue
+            tagged = tag_orders(raw, date_format).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                window_dir = f"{run_dir}/days/window={window[0]}"
+                day_summary(tagged).write.mode("overwrite").parquet(window_dir)
+                per_day = spark.read.parquet(window_dir)
+                totals = per_day.agg(F.sum("rows").alias("g"), F.sum("bad_rows").alias("b")).collect()[0]
+                _write_outputs(tagged, products_good, out, per_day.join(spine, DAY, "inner"),
+                               (totals["g"] or 0) > 0, (totals["b"] or 0) > 0, broadcast_rows)
+            finally:
+                tagged.unpersist()
+        files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
     finally:
-        tagged.unpersist()
-    return spark.read.parquet(report_dir)
+        products_good.unpersist()
+    try:
+        per_day = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{run_dir}/days")
+    except AnalysisException:  # no window had a file
+        per_day = None
+    _report(spine, per_day).write.mode("overwrite").parquet(f"{run_dir}/report")
+    return spark.read.parquet(f"{run_dir}/report")
