@@ -51,3 +51,21 @@ def test_run_summaries_golden(spark, data_dir):
     # The stored notebook summary shows the unrounded float 139.95999999999998.
     assert (s26["rows"], s26["revenue"]) == (2, 139.96)
     assert s26["date"] == "2025-10-26"
+
+
+def test_reports_on_processed_table(spark, data_dir, tmp_path):
+    """End to end: backfill writes the processed table, the flagship report
+    reads it back (partition-pruned by day) and gives the golden."""
+    out = str(tmp_path / "out")
+    inputs = pipeline.csv_inputs(spark, data_dir)
+    pipeline.backfill(spark, "20251025", "20251026", inputs, out)
+    processed = spark.read.parquet(f"{out}/processed")
+    products, _ = pipeline.valid_products(inputs.products())
+    rows = [tuple(r) for r in reports.daily_revenue(processed, products).collect()]
+    assert rows == [("2025-10-25", 248.48, "Electronics", 199.0),
+                    ("2025-10-26", 79.99, "Footwear", 79.99)]
+    one_day = processed.where("date = '2025-10-26'")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2025-10-26" in plan
+    assert [tuple(r) for r in reports.daily_revenue(one_day, products).collect()] == [
+        ("2025-10-26", 79.99, "Footwear", 79.99)]
