@@ -180,3 +180,14 @@ def test_backfill_windows_give_the_same_outputs(spark, data_dir, tmp_path):
     assert sorted(map(tuple, rep_a.collect())) == sorted(map(tuple, rep_b.collect()))
     read = lambda p: sorted(map(tuple, spark.read.parquet(f"{p}/processed").collect()))
     assert read(a) == read(b)
+
+
+def test_command_line(spark, data_dir, tmp_path, capsys):
+    from ordermill.__main__ import main
+    main(["--start-date", "2025-10-25", "--data-dir", data_dir, "--dry-run"])
+    one = json.loads(capsys.readouterr().out.strip())
+    assert (one["date"], one["rows"], one["revenue"]) == ("20251025", 3, 248.48)
+    main(["--start-date", "20251025", "--end-date", "20251026", "--data-dir", data_dir,
+          "--output-dir", str(tmp_path / "o")])
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert [(x["date"], x["rows"], x["status"]) for x in lines] == [("2025-10-25", 3, "ok"), ("2025-10-26", 2, "ok")]
