@@ -500,6 +500,17 @@ FROM sums
 """
 
 
+S1_PRODUCTS_CSV = _with(VALID_PRODUCTS) + """
+SELECT product_id, product_name, category, CAST(product_price AS DOUBLE) AS price FROM valid_products
+"""
+
+S2_INVENTORY_CSV = _with(RAW_INVENTORY) + """
+SELECT product_id, warehouse_id, stock_on_hand, ts AS last_restock_date
+FROM (SELECT *, """ + parse_sql("last_restock_date") + """ AS ts FROM raw_inventory)
+WHERE ts IS NOT NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_daily_revenue": P4_DAILY_REVENUE,
@@ -536,4 +547,6 @@ def oracle_sql() -> dict[str, str]:
         "a3_daily_category_net": A3_DAILY_CATEGORY_NET,
         "a4_daily_totals": A4_DAILY_TOTALS,
         "f7_return_rate": F7_RETURN_RATE,
+        "s1_products_csv": S1_PRODUCTS_CSV,
+        "s2_inventory_csv": S2_INVENTORY_CSV,
     }

@@ -327,6 +327,36 @@ def f7_return_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        percent_half_up(F.col("units_returned"), total).alias("return_rate_percent"))
 
 
+# --- CSV sources over the whole tables (S1, S2, S5, S6) ---------------------
+
+def _csv_copy(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write ``df`` as header CSV to ``<scratch>/<name>.csv/`` (a folder of
+    part files, which the sources read like one file); return the folder."""
+    base = scratch_path(spark, "csv-source")
+    df.write.mode("overwrite").option("header", True).csv(f"{base}/{name}.csv")
+    return base
+
+
+def s1_products_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + V3: products read back from header CSV, valid rows typed."""
+    from ordermill.sources import csv_files
+
+    configure(spark)
+    base = _csv_copy(spark, tables.raw_products(spark, sf_dir), "products")
+    good, _ = V.validate_dataframe(csv_files.read_products(spark, base), PRODUCTS)
+    return good.select("product_id", "product_name", "category", _dbl("price"))
+
+
+def s2_inventory_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory read back from header CSV with the restock date parsed."""
+    from ordermill.sources import csv_files
+
+    configure(spark)
+    base = _csv_copy(spark, tables.raw_inventory(spark, sf_dir), "inventory")
+    good, _ = csv_files.read_inventory(spark, base)
+    return good.select("product_id", "warehouse_id", "stock_on_hand", "last_restock_date")
+
+
 def queries() -> dict[str, Query]:
     return {
         "p4_daily_revenue": p4_daily_revenue,
@@ -363,4 +393,6 @@ def queries() -> dict[str, Query]:
         "a3_daily_category_net": a3_daily_category_net,
         "a4_daily_totals": a4_daily_totals,
         "f7_return_rate": f7_return_rate,
+        "s1_products_csv": s1_products_csv,
+        "s2_inventory_csv": s2_inventory_csv,
     }
