@@ -8,8 +8,10 @@ so a lost executor's blocks are recomputed) and evaluates the rules
 once; a dry run executes only the summary aggregate.
 
 Where the reference loops over days and calls the one-day run for each,
-the backfill (P3) is a single job: one scan of all files in the range,
-one aggregate, one dynamic-overwrite write per output.
+the backfill (P3) scans many days at once: a dry run is one aggregate
+over the range; a writing run goes through bounded windows of days, each
+one scan, one persisted tagged frame and one dynamic-overwrite write per
+output.
 """
 
 from __future__ import annotations
@@ -198,8 +200,10 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
         revenue = float(row["revenue"] or 0.0)
         parquet = None
         if not dry_run:
-            parquet = _write_outputs(tagged, products_good, output_dir, summary,
-                                     rows > 0, bad > 0, broadcast_rows)
+            table_dir = _write_outputs(tagged, products_good, output_dir, summary,
+                                       rows > 0, bad > 0, broadcast_rows)
+            if table_dir:  # the day's partition, as the reference returns its file
+                parquet = f"{table_dir}/{DAY}={day[:4]}-{day[4:6]}-{day[6:]}"
             files.write_bad_rows(products_bad, f"{output_dir.rstrip('/')}/bad_rows", "products")
     finally:
         if not dry_run:

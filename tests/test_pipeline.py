@@ -61,6 +61,7 @@ def test_write_run(spark, data_dir, tmp_path):
     out = tmp_path / "output"
     s = pipeline.run_for_date(spark, "20251026", pipeline.csv_inputs(spark, data_dir), str(out))
     assert (s["rows"], s["revenue"], s["bad_rows"]) == (2, 139.96, 0)
+    assert s["parquet_path"].endswith("processed/date=2025-10-26") and os.path.isdir(s["parquet_path"])
     summaries = [p for p in _files(out / "summaries") if p.endswith(".json")]
     assert summaries and "date=2025-10-26" in summaries[0]
     content = json.loads(open(summaries[0]).read().splitlines()[0])
