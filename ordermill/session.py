@@ -85,13 +85,22 @@ LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
     conf = dict(REQUIRED_CONF)
-    if spark.sparkContext.master.startswith("local"):
+    sc = _context(spark)
+    if sc is not None and sc.master.startswith("local"):
         conf.update(LOCAL_CONF)
     for key, value in conf.items():
         spark.conf.set(key, value)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -99,20 +108,28 @@ def shared_dir(spark: SparkSession) -> str:
     executor). Only a local-mode session without it gets a private
     folder, as in tests.
     """
+    sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="ordermill-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the job (shuffle partitions where unknown)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one output."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

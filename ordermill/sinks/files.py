@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.schemas import CORRUPT_COLUMN
-from ordermill.session import configure
+from ordermill.session import configure, parallelism
 
 MALFORMED_LINE = "_malformed_line"
 
@@ -39,7 +39,7 @@ def write_partitioned(df: DataFrame, output_dir: str, by: str | list[str] = "dat
     configure(df.sparkSession)
     if small_rows:
         # An explicit count: AQE would merge a tiny frame back into one task.
-        parallel = df.sparkSession.sparkContext.defaultParallelism
+        parallel = parallelism(df.sparkSession)
         arranged = df.repartition(parallel, *[F.col(c) for c in by])
     else:
         arranged = _balanced(df, by)
