@@ -549,4 +549,5 @@ def oracle_sql() -> dict[str, str]:
         "f7_return_rate": F7_RETURN_RATE,
         "s1_products_csv": S1_PRODUCTS_CSV,
         "s2_inventory_csv": S2_INVENTORY_CSV,
+        "s3_orders_csv_backfill": P3_BACKFILL,
     }

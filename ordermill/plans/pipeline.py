@@ -58,10 +58,12 @@ class Inputs:
     products: Callable[[], DataFrame]
 
 
-def csv_inputs(spark: SparkSession, data_dir: str) -> Inputs:
+def csv_inputs(spark: SparkSession, data_dir: str, layout: str = "files") -> Inputs:
+    """Order and product CSVs in ``data_dir`` (``layout`` as in
+    ``csv_files.read_orders``)."""
     from ordermill.sources import csv_files
 
-    return Inputs(lambda days: csv_files.read_orders(spark, data_dir, days),
+    return Inputs(lambda days: csv_files.read_orders(spark, data_dir, days, layout=layout),
                   lambda: csv_files.read_products(spark, data_dir))
 
 

@@ -357,6 +357,24 @@ def s2_inventory_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("product_id", "warehouse_id", "stock_on_hand", "last_restock_date")
 
 
+def s3_orders_csv_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S4 + P3 on CSV: the whole raw orders table written as one daily
+    order file per day (a folder of part files each), then the backfill
+    run over those files. Equals ``p3_backfill`` (same oracle)."""
+    configure(spark)
+    raw = tables.raw_orders(spark, sf_dir)
+    base = scratch_path(spark, "csv-orders")
+    files.write_partitioned(raw.drop("_file_day").withColumnRenamed("_source_file", "file"),
+                            base, "file", "csv")
+    _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/products.csv")
+    inputs = pipeline.csv_inputs(spark, base, layout="folders")
+    return pipeline.backfill(spark, BACKFILL_START, BACKFILL_END, inputs, dry_run=True)
+
+
+def _csv_copy_to(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
 def queries() -> dict[str, Query]:
     return {
         "p4_daily_revenue": p4_daily_revenue,
@@ -395,4 +413,5 @@ def queries() -> dict[str, Query]:
         "f7_return_rate": f7_return_rate,
         "s1_products_csv": s1_products_csv,
         "s2_inventory_csv": s2_inventory_csv,
+        "s3_orders_csv_backfill": s3_orders_csv_backfill,
     }

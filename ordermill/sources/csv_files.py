@@ -94,18 +94,31 @@ def order_glob(data_dir: str, days: list[str] | None = None) -> str:
 
 
 def read_orders(spark: SparkSession, data_dir: str, days: list[str] | None = None,
-                tokens: tuple[str, ...] = PANDAS_NULL_TOKENS) -> DataFrame:
+                tokens: tuple[str, ...] = PANDAS_NULL_TOKENS, layout: str = "files") -> DataFrame:
     """All order files (name contains "order", any case) whose name
     holds one of ``days`` (``YYYYMMDD`` or ``YYYY-MM-DD``), as one scan.
-    Adds ``_file_day``. Raises FileNotFoundError when nothing matches."""
+    Adds ``_file_day``. Raises FileNotFoundError when nothing matches.
+
+    ``layout="folders"`` reads daily "files" that are folders of part
+    files (``order_20251025.csv/part-….csv``, as distributed writers
+    produce them): the folder name carries "order" and the day.
+    """
     days = [normalize_date_str(d) for d in days] if days else None
-    path = order_glob(data_dir, days)
-    df = read_table_csv(spark, path, ORDERS, tokens, glob_filter=ORDER_GLOB)
+    if layout == "folders":
+        base = data_dir.rstrip("/")
+        alt = "" if not days else (days[0] if len(days) == 1 else "{" + ",".join(days) + "}")
+        path = f"{base}/{ORDER_GLOB}{alt}*/*" if days else f"{base}/{ORDER_GLOB}/*"
+        df = read_table_csv(spark, path, ORDERS, tokens, glob_filter="*.csv")
+        day = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?(\d{8})[^/]*/[^/]*$", 1)
+    else:
+        path = order_glob(data_dir, days)
+        df = read_table_csv(spark, path, ORDERS, tokens, glob_filter=ORDER_GLOB)
+        day = file_day(F.col(SOURCE_FILE))
     # The glob may match only non-order files; inputFiles() lists the
     # matched files from metadata without reading any data.
     if not df.inputFiles():
         raise FileNotFoundError(f"No order file for {days or 'any date'} in {data_dir}")
-    return df.withColumn(FILE_DAY, file_day(F.col(SOURCE_FILE)))
+    return df.withColumn(FILE_DAY, day)
 
 
 def read_orders_for_date(spark: SparkSession, date_str: str, data_dir: str,

@@ -57,3 +57,17 @@ def test_reordered_header_fails_loudly(spark, tmp_path):
     data = write_files(tmp_path / "d", {"products.csv": text})
     with pytest.raises(Exception, match="(?i)header|schema"):
         csv_files.read_products(spark, data).collect()
+
+
+def test_folder_per_day_layout(spark, data_dir, tmp_path):
+    from ordermill.plans import pipeline
+    # daily "files" written by Spark: order_<day>.csv/ folders of part files
+    orders = csv_files.read_orders(spark, data_dir).drop("_file_day", "_corrupt_record")
+    out = str(tmp_path / "drop")
+    (orders.withColumnRenamed("_source_file", "file").write.partitionBy("file")
+     .option("header", True).csv(out))
+    df = csv_files.read_orders(spark, out, ["20251026"], layout="folders")
+    assert [r["_file_day"] for r in df.collect()] == ["20251026", "20251026"]
+    write_files(tmp_path / "drop", {"products.csv": open(f"{data_dir}/products.csv").read()})
+    s = pipeline.run_for_date(spark, "20251025", pipeline.csv_inputs(spark, out, "folders"), dry_run=True)
+    assert (s["rows"], s["revenue"]) == (3, 248.48)
