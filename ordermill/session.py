@@ -68,6 +68,9 @@ def cluster_conf(executors: int, cores_per_executor: int = 4,
         **REQUIRED_CONF,
         "spark.sql.shuffle.partitions": str(max(200, 3 * cores)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_bytes,
+        # merge small shuffle partitions up to the advisory size instead of
+        # keeping one per core (fewer tasks and files on a shared cluster)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
