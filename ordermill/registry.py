@@ -333,7 +333,7 @@ def _csv_copy(spark: SparkSession, df: DataFrame, name: str) -> str:
     """Write ``df`` as header CSV to ``<scratch>/<name>.csv/`` (a folder of
     part files, which the sources read like one file); return the folder."""
     base = scratch_path(spark, "csv-source")
-    df.write.mode("overwrite").option("header", True).csv(f"{base}/{name}.csv")
+    _csv_copy_to(df, f"{base}/{name}.csv")
     return base
 
 
