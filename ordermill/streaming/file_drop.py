@@ -17,15 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.plans import pipeline
-from ordermill.schemas import ORDERS
 from ordermill.session import configure, scratch_path
 from ordermill.sources.csv_files import ORDER_GLOB, file_day
 
+# The binaryFile source's schema (streams must declare it).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def _run_days(spark: SparkSession, data_dir: str, output_dir: str):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # The distinct days of one batch: at most a few values per file.
-        days = sorted(r[0] for r in batch.select(file_day(F.col("file_name")).alias("d"))
+        name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
+        days = sorted(r[0] for r in batch.select(file_day(name).alias("d"))
                       .where(F.col("d") != "").distinct().collect())
         if not days:
             return
@@ -59,11 +62,14 @@ def start_file_drop(spark: SparkSession, data_dir: str, output_dir: str,
     """Start the stream. ``available_now`` processes what is there and
     stops (a scheduled run); otherwise it polls every ``interval``."""
     configure(spark)
-    stream = (spark.readStream.schema(ORDERS.raw_struct(corrupt=False))
-              .option("header", True)
+    # Only the names of new files are needed here (the backfill reads the
+    # rows): a binaryFile stream with just ``path`` selected lists files
+    # without reading their contents.
+    stream = (spark.readStream.format("binaryFile")
+              .schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", ORDER_GLOB)
-              .csv(data_dir)
-              .select("order_id", "_metadata.file_name"))
+              .load(data_dir)
+              .select("path"))
     writer = (stream.writeStream.foreachBatch(_run_days(spark, data_dir, output_dir))
               .option("checkpointLocation", checkpoint or scratch_path(spark, "file-drop-checkpoint")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
