@@ -387,16 +387,11 @@ SELECT product_id, warehouse_id, stock_on_hand, strftime(ts, '%Y-%m-%d') AS last
 FROM inv_checked WHERE ts IS NOT NULL AND rule_error <> ''
 """
 
-A6_RUN_SUMMARY = _with(TAGGED_ORDERS, """
-per_day AS (
-  SELECT date, COUNT(*) FILTER (WHERE good) AS rows,
-         COALESCE(CAST(ROUND(SUM(total), 2) AS DOUBLE), 0.0) AS revenue,
-         COUNT(*) FILTER (WHERE NOT good) AS bad_rows
-  FROM flagged_orders GROUP BY date
-)""") + """
-SELECT CAST(SUM(rows) AS BIGINT) AS rows, ROUND(SUM(revenue), 2) AS revenue,
-       CAST(SUM(bad_rows) AS BIGINT) AS bad_rows
-FROM per_day
+A6_RUN_SUMMARY = _with(TAGGED_ORDERS) + """
+SELECT CAST(COUNT(*) FILTER (WHERE good) AS BIGINT) AS rows,
+       CAST(ROUND(SUM(total), 2) AS DOUBLE) AS revenue,
+       CAST(COUNT(*) FILTER (WHERE NOT good) AS BIGINT) AS bad_rows
+FROM flagged_orders
 """
 
 P3_BACKFILL = _with(TAGGED_ORDERS, """
