@@ -118,3 +118,17 @@ def test_bad_union_widens_schema(spark):
     b = spark.createDataFrame([(2, "y")], "id long, _error string")
     out = V.union_bad(a, b).orderBy("id").collect()
     assert [tuple(r) for r in out] == [(1, "x", None), (2, None, "y")]
+
+
+def test_defaults_are_not_applied(spark):
+    # valid rows keep their own values: a blank status stays NULL, not "completed",
+    # and a blank category stays NULL, not "unknown"
+    orders = spark.createDataFrame([("1", "2025-01-01", "10", "1", "1.0", None, None)],
+                                   ", ".join(f"{n} string" for n in ORDERS.names))
+    good, _ = V.validate_dataframe(orders, ORDERS)
+    row = good.collect()[0]
+    assert row["order_status"] is None and row["user_id"] is None
+    products = spark.createDataFrame([("1", "n", None, "2.0")],
+                                     "product_id string, product_name string, category string, price string")
+    good, _ = V.validate_dataframe(products, PRODUCTS)
+    assert good.collect()[0]["category"] is None
