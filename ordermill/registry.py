@@ -39,11 +39,13 @@ def _dbl(c: str) -> F.Column:
 # --- reports (P4–P6) and their parts (A3–A5, N1) -------------------------
 
 def p4_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 (flagship): daily net revenue and top category, by date."""
     configure(spark)
     return reports.daily_revenue(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
 
 
 def n1_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top category of each day (ties → smallest category)."""
     configure(spark)
     daily_cat = reports.daily_category_net(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
     top = reports.top_category(daily_cat)
@@ -53,11 +55,13 @@ def n1_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: completed/returned units and revenue and return rate per product."""
     configure(spark)
     return reports.product_performance(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
 
 
 def a5_status_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: conditional sums by status per ordered product id."""
     configure(spark)
     sums = aggregate.status_sums(tables.orders(spark, sf_dir), "product_id")
     return sums.select("product_id", "units_completed", "units_returned",
@@ -65,6 +69,7 @@ def a5_status_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_inventory_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory with stock below 50 and its product name."""
     configure(spark)
     return reports.inventory_alerts(tables.inventory(spark, sf_dir), tables.products(spark, sf_dir))
 
@@ -94,18 +99,21 @@ def _enriched(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
 
 
 def f1_order_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 (+C6): rounded line totals on the typed orders."""
     configure(spark)
     out = add_order_total(tables.orders(spark, sf_dir))
     return out.select("order_id", "product_id", "qty", _dbl("unit_price"), _dbl("order_total"))
 
 
 def f2_order_date_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO date text of each order line."""
     configure(spark)
     out = add_order_date_iso(tables.orders(spark, sf_dir))
     return out.select("order_id", "product_id", "order_date_iso")
 
 
 def j1_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 (+C7, C8, J3): left enrichment with the valid products."""
     configure(spark)
     out = _enriched(spark, sf_dir, "left")
     return out.select("order_id", "product_id", "product_name", "category",
@@ -113,6 +121,7 @@ def j1_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j2_enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same enrichment as an inner join."""
     configure(spark)
     out = _enriched(spark, sf_dir, "inner")
     return out.select("order_id", "product_id", "product_name", "category",
@@ -120,11 +129,13 @@ def j2_enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a1_daily_category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: revenue and units per (ISO day, category), every status counted."""
     configure(spark)
     return compute_daily_category_revenue(_enriched(spark, sf_dir))
 
 
 def t1_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten products with the highest revenue, ranked."""
     configure(spark)
     return top_n_products_by_revenue(_enriched(spark, sf_dir), 10)
 
@@ -132,18 +143,21 @@ def t1_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cleaning and validation on raw rows (C3, C6, V2–V7) --------------------
 
 def c3_dates_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose order date parses (strict or fallback)."""
     configure(spark)
     good, _ = V.parse_date_column(tables.raw_orders(spark, sf_dir), "order_date")
     return good.select("order_id", "product_id", "order_date", V.RECOVERED)
 
 
 def c3_dates_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose order date no format parses."""
     configure(spark)
     _, bad = V.parse_date_column(tables.raw_orders(spark, sf_dir), "order_date")
     return bad.select("order_id", "product_id", "order_date", V.PARSE_ERROR)
 
 
 def c6_numeric_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """qty/price coerced from raw text (invalid → 0) and totalled."""
     configure(spark)
     raw = tables.raw_orders(spark, sf_dir)
     out = add_order_total(raw)
@@ -155,6 +169,7 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v2_orders_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: valid orders, typed."""
     configure(spark)
     good = pipeline.good_orders(_tagged(spark, sf_dir))
     return good.select("order_id", "order_date", "product_id", "qty", _dbl("unit_price"),
@@ -185,12 +200,14 @@ def v6_bad_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v3_products_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3: products the rules reject, with the reason."""
     configure(spark)
     _, bad = V.validate_dataframe(tables.raw_products(spark, sf_dir), PRODUCTS)
     return bad.select("product_id", "product_name", "category", "price", V.ERROR)
 
 
 def v4_inventory_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 (+S2 parse): inventory rows rejected by the date parse or the rules."""
     configure(spark)
     raw = tables.raw_inventory(spark, sf_dir)
     parsed, parse_bad = V.parse_date_column(raw, "last_restock_date")
@@ -258,11 +275,13 @@ def w3_bad_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- profiling (A7, A8, P7) --------------------------------------------------
 
 def a7_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null count per raw order column."""
     configure(spark)
     return profile.null_counts(tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day"))
 
 
 def p7_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 (+A8): column profile of the three raw datasets."""
     configure(spark)
     return profile.profile_datasets({
         "orders": tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day"),
@@ -299,12 +318,14 @@ def v5_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a2_product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: revenue and units per (product id, name, category)."""
     configure(spark)
     out = aggregate.product_revenue(_enriched(spark, sf_dir))
     return out.select("product_id", "product_name", "category", _dbl("total_revenue"), "total_units")
 
 
 def a3_daily_category_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: net revenue per (day, category), cancelled lines as 0."""
     configure(spark)
     daily_cat = reports.daily_category_net(tables.orders(spark, sf_dir), tables.products(spark, sf_dir))
     return daily_cat.select("order_date_only", "category", _dbl("revenue"))
