@@ -207,15 +207,12 @@ def v3_products_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v4_inventory_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4 (+S2 parse): inventory rows rejected by the date parse or the rules."""
-    configure(spark)
-    raw = tables.raw_inventory(spark, sf_dir)
-    parsed, parse_bad = V.parse_date_column(raw, "last_restock_date")
-    _, rule_bad = V.validate_dataframe(parsed.drop(V.RECOVERED), INVENTORY)
-    rule_bad = rule_bad.withColumn("last_restock_date", F.date_format("last_restock_date", "yyyy-MM-dd"))
-    both = V.union_bad(parse_bad.drop(V.RECOVERED), rule_bad)
-    return both.select("product_id", "warehouse_id", "stock_on_hand", "last_restock_date",
-                       V.PARSE_ERROR, V.ERROR)
+    """V4 (+S2 parse): inventory rows rejected by the date parse or the
+    rules, from one parse-and-validate pass over the inventory."""
+    configure(spark)
+    tagged = V.tag_parse_validate(tables.raw_inventory(spark, sf_dir), INVENTORY, "last_restock_date")
+    return V.rejected(tagged, "last_restock_date").select(
+        "product_id", "warehouse_id", "stock_on_hand", "last_restock_date", V.PARSE_ERROR, V.ERROR)
 
 
 def a6_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

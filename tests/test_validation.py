@@ -132,3 +132,19 @@ def test_defaults_are_not_applied(spark):
                                      "product_id string, product_name string, category string, price string")
     good, _ = V.validate_dataframe(products, PRODUCTS)
     assert good.collect()[0]["category"] is None
+
+
+def test_single_pass_rejects_equal_two_channel_union(spark):
+    from pyspark.sql import functions as F
+    rows = [("1", "W1", "5", "2025-10-18"), ("2", "W1", "-5", "2025-10-18"), ("3", "W2", "7", "not a date"),
+            ("x", "W3", "1", "10/01/2025"), ("4", None, "2", "2025-10-01")]
+    df = spark.createDataFrame(rows, "product_id string, warehouse_id string, stock_on_hand string, "
+                                     "last_restock_date string")
+    single = V.rejected(V.tag_parse_validate(df, INVENTORY, "last_restock_date"), "last_restock_date")
+    parsed, parse_bad = V.parse_date_column(df, "last_restock_date")
+    _, rule_bad = V.validate_dataframe(parsed.drop(V.RECOVERED), INVENTORY)
+    rule_bad = rule_bad.withColumn("last_restock_date", F.date_format("last_restock_date", "yyyy-MM-dd"))
+    union = V.union_bad(parse_bad.drop(V.RECOVERED), rule_bad)
+    cols = ["product_id", "last_restock_date", V.PARSE_ERROR, V.ERROR]
+    assert sorted(map(tuple, single.select(cols).collect())) == sorted(map(tuple, union.select(cols).collect()))
+    assert single.count() == 4
