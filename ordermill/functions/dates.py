@@ -71,23 +71,20 @@ def parse_strict(c: Column, fmt: str | None) -> Column:
 
 
 def parse_fallback(c: Column, formats: tuple[str, ...] = FALLBACK_FORMATS) -> Column:
-    """C3 fallback: first format of the fixed list that parses, per row."""
-    return F.coalesce(*[_one_format(c, f) for f in formats])
-
-
-def without(fmt: str | None, formats: tuple[str, ...] = FALLBACK_FORMATS) -> tuple[str, ...]:
-    """The fallback list minus the strict format (no pattern is tried twice)."""
-    if fmt is None:
-        return formats
-    return tuple(f for f in formats if spark_pattern(f) != spark_pattern(fmt))
+    """C3 fallback: first format of the fixed list that parses, per row.
+    Surrounding blanks are ignored here (the strict format keeps them)."""
+    t = F.trim(c)
+    return F.coalesce(*[_one_format(t, f) for f in formats])
 
 
 def parse_date(c: Column, fmt: str | None = "%Y-%m-%d",
                formats: tuple[str, ...] = FALLBACK_FORMATS) -> Column:
-    """Strict format first, fallback list for the rows it rejects."""
+    """Strict format first, fallback list (on the trimmed text) for the
+    rows it rejects; ``coalesce`` stops at the first hit, so a row the
+    strict format parses is parsed once."""
     if fmt is None:
         return parse_fallback(c, formats)
-    return F.coalesce(parse_strict(c, fmt), parse_fallback(c, without(fmt, formats)))
+    return F.coalesce(parse_strict(c, fmt), parse_fallback(c, formats))
 
 
 def ensure_timestamp(c: Column, is_timestamp: bool) -> Column:

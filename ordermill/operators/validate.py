@@ -176,7 +176,7 @@ def tag_dates(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d",
     """Add the parsed value, whether the fallback recovered it, and the
     parse error text (NULL for parsed rows)."""
     require_column(df, column)
-    from ordermill.functions.dates import parse_fallback, parse_strict, without
+    from ordermill.functions.dates import parse_fallback, parse_strict
 
     strict_col = f"{parsed_col}_strict"
     if _is_time(df.schema[column].dataType):
@@ -185,7 +185,7 @@ def tag_dates(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d",
     else:
         raw = F.col(column).cast("string")
         df = df.withColumn(strict_col, parse_strict(raw, date_format))
-        fallback = parse_fallback(raw, without(date_format))
+        fallback = parse_fallback(raw)
     return (df.withColumn(parsed_col, F.coalesce(F.col(strict_col), fallback))
               .withColumn(RECOVERED, F.col(strict_col).isNull() & F.col(parsed_col).isNotNull())
               .withColumn(PARSE_ERROR, F.when(F.col(parsed_col).isNull(), F.lit(MSG_PARSE_FAILED)))

@@ -176,14 +176,16 @@ raw_inventory AS (
 
 
 def parse_sql(c: str) -> str:
-    """Strict yyyy-M-d, then the fixed fallback list, first hit wins."""
+    """Strict yyyy-M-d, then the fixed fallback list on the trimmed text,
+    first hit wins."""
+    t = f"trim({c})"
     return f"""COALESCE(
       try_strptime({c}, '%Y-%m-%d'),
-      try_strptime({c}, '%Y-%m-%d'),
-      CASE WHEN regexp_matches({c}, '^\\s*\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}[ T]')
-           THEN TRY_CAST(trim({c}) AS TIMESTAMP) END,
-      try_strptime({c}, '%Y/%m/%d'), try_strptime({c}, '%m/%d/%Y'), try_strptime({c}, '%d/%m/%Y'),
-      try_strptime({c}, '%d %b %Y'), try_strptime({c}, '%Y%m%d'))"""
+      try_strptime({t}, '%Y-%m-%d'),
+      CASE WHEN regexp_matches({t}, '^\\s*\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}[ T]')
+           THEN TRY_CAST({t} AS TIMESTAMP) END,
+      try_strptime({t}, '%Y/%m/%d'), try_strptime({t}, '%m/%d/%Y'), try_strptime({t}, '%d/%m/%Y'),
+      try_strptime({t}, '%d %b %Y'), try_strptime({t}, '%Y%m%d'))"""
 
 
 INT_RE = "'^\\s*[+-]?\\d+(\\.0*)?\\s*$'"

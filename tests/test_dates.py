@@ -65,3 +65,11 @@ def test_missing_date_column_raises(spark):
 def test_normalize_date_str():
     assert normalize_date_str("2025-10-25") == "20251025"
     assert normalize_date_str("20251025") == "20251025"
+
+
+def test_blanks_around_a_date_are_recovered(spark):
+    df = spark.createDataFrame([(1, " 2025-10-25 "), (2, "2025-10-25")], "id long, order_date string")
+    good, bad = V.parse_date_column(df, "order_date")
+    rows = {r["id"]: (r["order_date"], r["_date_recovered"]) for r in good.collect()}
+    assert rows == {1: (dt.datetime(2025, 10, 25), True), 2: (dt.datetime(2025, 10, 25), False)}
+    assert bad.count() == 0
