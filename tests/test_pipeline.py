@@ -192,3 +192,11 @@ def test_command_line(spark, data_dir, tmp_path, capsys):
           "--output-dir", str(tmp_path / "o")])
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [(x["date"], x["rows"], x["status"]) for x in lines] == [("2025-10-25", 3, "ok"), ("2025-10-26", 2, "ok")]
+
+
+def test_writing_runs_need_an_output_folder(spark, data_dir):
+    inputs = pipeline.csv_inputs(spark, data_dir)
+    with pytest.raises(ValueError, match="output_dir"):
+        pipeline.run_for_date(spark, "20251025", inputs)
+    with pytest.raises(ValueError, match="output_dir"):
+        pipeline.backfill(spark, "20251025", "20251026", inputs)
