@@ -37,14 +37,6 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tu
     return df, False
 
 
-def key_stats(df: DataFrame, key: str) -> tuple[int, int]:
-    """(rows, largest number of rows sharing one key) in one job: the
-    size bound and the many-to-one check from the same pass."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("dup")).collect()[0]
-    return int(row["rows"] or 0), int(row["dup"] or 0)
-
-
 def assert_unique_key(df: DataFrame, key: str, what: str = "right side") -> None:
     """Eager many-to-one guard (J3): raise when ``key`` repeats in ``df``.
 

@@ -12,7 +12,7 @@ from ordermill.functions.dates import ensure_timestamp, iso_date
 from ordermill.functions.numeric import PRICE_TYPE, coerce_int, coerce_key, coerce_price, line_total
 from ordermill.operators import aggregate
 from ordermill.operators.joins import (DEFAULT_BROADCAST_ROWS, JOIN_TYPES, assert_unique_key,
-                                       key_stats, maybe_broadcast)
+                                       bounded_rows, guard_unique)
 
 # Accepted spellings of the price column (case-insensitive)
 # and the fill texts for orders without a product.
@@ -85,7 +85,9 @@ def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "lef
     """Join product name, category and price onto orders.
 
     ``how`` is one of left (default), inner, right, outer (J2). With
-    ``validate`` the product key must be unique (J3, an eager check).
+    ``validate`` the product key must be unique (J3): an eager check when
+    the product side is broadcast, a guard folded into the join's own
+    shuffle otherwise.
     Missing product metadata becomes ``unknown_product`` /
     ``unknown_category`` (C8). The product side is broadcast only when a
     bounded count proves it small; otherwise it is a shuffle join.
@@ -93,14 +95,17 @@ def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "lef
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
     right = product_side(products)
-    if validate:
-        rows, dup = key_stats(right, "product_id")
-        if dup > 1:
-            assert_unique_key(right, "product_id", "products")  # names the key, raises
-        if how in ("left", "inner") and 0 < broadcast_rows and rows <= broadcast_rows:
-            right = F.broadcast(right)
-    elif how in ("left", "inner"):
-        right, _ = maybe_broadcast(right, broadcast_rows)
+    small = how in ("left", "inner") and 0 < broadcast_rows and bounded_rows(right, broadcast_rows)
+    if validate and small:
+        assert_unique_key(right, "product_id", "products")  # a small eager aggregate
+    elif validate:
+        # Too big to broadcast: the join shuffles products by product_id
+        # anyway, and a count over that same partitioning rides on it (no
+        # separate aggregate over the whole catalogue); a duplicate key
+        # fails the job when the join reads product_name.
+        right = guard_unique(right, "product_id", "product_name")
+    if small:
+        right = F.broadcast(right)
     joined = _key(orders).join(right, on="product_id", how=how)
     return joined.fillna({"product_name": UNKNOWN_PRODUCT, "category": UNKNOWN_CATEGORY})
 

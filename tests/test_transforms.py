@@ -138,3 +138,12 @@ def test_top_per_group_ties_and_nulls(spark):
     out = {r["day"]: (r["top"]["item"], r["top"]["value"], r["total"])
            for r in top_per_group(df, "day", "cat", "rev").collect()}
     assert out == {"d": (None, 5.0, 15.0), "e": ("y", 1.0, 1.0)}
+
+
+def test_guard_rides_on_shuffle_join_for_big_products(spark):
+    orders = spark.createDataFrame([(1, 1001), (2, 1002)], "order_id long, product_id long")
+    dup = _products(spark, [(1001, "A", "x", 1.0), (1001, "B", "y", 2.0), (1002, "C", "z", 3.0)])
+    with pytest.raises(Exception, match="duplicate product_id"):
+        enrich_with_products(orders, dup, broadcast_rows=0).collect()
+    ok = enrich_with_products(orders, _products(spark), broadcast_rows=0)
+    assert sorted(r["product_name"] for r in ok.collect()) == ["Shoes", "Tee"]
