@@ -38,7 +38,7 @@ MSG_DATETIME = "{field}: value is not a valid datetime"
 MSG_GE = "{field}: value must be >= {ge:g}"
 MSG_CORRUPT = "row: malformed CSV line"
 MSG_PARSE_FAILED = "Flexible parsing also failed"
-MSG_OUTSIDE_RUN = "order_date: outside run date {run_date}"
+MSG_OUTSIDE_RUN = "order_date: outside run date "  # followed by the run's day
 
 
 def _is_time(dtype) -> bool:

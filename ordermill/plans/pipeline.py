@@ -109,7 +109,7 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
         F.concat(iso_ts, F.lit("|")).startswith(F.coalesce(F.concat(file_day, F.lit("|")), F.lit(""))),
         F.lit(False))
     df = df.withColumns({"__rules": rules, "__on_day": on_day})
-    outside = F.when(~F.col("__on_day"), F.concat(F.lit("order_date: outside run date "), file_day))
+    outside = F.when(~F.col("__on_day"), F.concat(F.lit(V.MSG_OUTSIDE_RUN), file_day))
     df = df.withColumn(V.ERROR, F.when(F.col(TS).isNotNull(),
                                        F.concat_ws(V.SEPARATOR, F.nullif(F.col("__rules"), F.lit("")), outside)))
     df = df.withColumn(GOOD, V.is_valid(F.col("__rules")) & F.col("__on_day")).drop("__rules", "__on_day")
