@@ -219,6 +219,8 @@ def day_range(start: str, end: str | None = None) -> list[str]:
     length of the range, not of the data)."""
     s = dt.datetime.strptime(normalize_date_str(start), "%Y%m%d")
     e = dt.datetime.strptime(normalize_date_str(end or start), "%Y%m%d")
+    if e < s:
+        raise ValueError(f"end date {end} is before start date {start}")
     return [(s + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((e - s).days + 1)]
 
 

@@ -200,3 +200,10 @@ def test_writing_runs_need_an_output_folder(spark, data_dir):
         pipeline.run_for_date(spark, "20251025", inputs)
     with pytest.raises(ValueError, match="output_dir"):
         pipeline.backfill(spark, "20251025", "20251026", inputs)
+
+
+def test_day_range():
+    assert pipeline.day_range("2025-10-30", "20251102") == ["20251030", "20251031", "20251101", "20251102"]
+    assert pipeline.day_range("20251025") == ["20251025"]
+    with pytest.raises(ValueError):
+        pipeline.day_range("20251026", "20251025")
