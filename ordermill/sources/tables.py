@@ -52,21 +52,14 @@ def _status(flag: Column) -> Column:
     return expr
 
 
-def _by_order(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition one join side by the order key *before* deriving
-    columns from it: the derivation then runs in every post-shuffle task
-    (not in the scan tasks, however few splits the files give), the
-    shuffle carries compact typed values instead of text, and the merge
-    join finds both sides already partitioned (no second exchange)."""
-    return df.repartition(F.col(key))
-
-
 def _fact_join(lines: DataFrame, orders_: DataFrame) -> DataFrame:
     """lineitem ⋈ orders on the order key as a sort-merge join.
 
     orders is a fact table (a quarter of lineitem's rows), so broadcasting
     it does not scale; the merge hint fixes the plan a cluster needs at
-    every size, and AQE splits a skewed order key.
+    every size. The shuffles are the ones the join requires (no explicit
+    repartition): only those let AQE split the partition of an order key
+    that holds a large share of the lines.
     """
     return lines.join(orders_.hint("merge"), lines.l_orderkey == orders_.o_orderkey, "inner")
 
@@ -75,7 +68,7 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
-    return _fact_join(_by_order(li, "l_orderkey"), _by_order(od, "o_orderkey"))
+    return _fact_join(li, od)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +188,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None)
     if cond is not None:
         od = od.where(cond)
     file_day = F.date_format("o_orderdate", "yyyyMMdd")
-    od = _by_order(od, "o_orderkey").select(
+    od = od.select(
         "o_orderkey",
         raw_order_date(k, F.col("o_orderdate")).alias("order_date"),
         F.when(k % 60 == 7, F.lit(None).cast("string"))
@@ -204,8 +197,6 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None)
         file_day.alias("_file_day"),
     )
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
-    li = _by_order(li, "l_orderkey").select(
         "l_orderkey",
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").cast("string").alias("product_id"),

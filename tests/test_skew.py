@@ -67,3 +67,36 @@ def test_hot_date_write_is_split(spark, tmp_path):
     hot = [f for f in os.listdir(f"{out}/date=2025-01-01") if f.endswith(".parquet")]
     assert len(hot) > 1                      # the hot day spread over several tasks
     assert spark.read.parquet(out).count() == 30000
+
+
+def test_hot_order_key_is_split_in_the_mapping_join(spark, tmp_path):
+    from ordermill.sources import tables
+    d = str(tmp_path / "sf")
+    n = 60000
+    lines = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("l_orderkey"),
+        (F.col("id") % 200).alias("l_partkey"), F.lit(1).cast("bigint").alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(3.0).alias("l_quantity"), F.lit(10.0).alias("l_extendedprice"),
+        F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"),
+        F.lit("2025-01-01 00:00:00").cast("timestamp_ntz").alias("l_shipdate"))
+    lines.repartition(8).write.parquet(f"{d}/lineitem.parquet")
+    spark.range(5000).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"), F.lit("2025-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{d}/orders.parquet")
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = tables.orders(spark, d).select("order_id", "qty")
+        assert len(df.collect()) == n                            # whole: no line dropped
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan                               # the hot key's partition was split
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
