@@ -207,3 +207,16 @@ def test_day_range():
     assert pipeline.day_range("20251025") == ["20251025"]
     with pytest.raises(ValueError):
         pipeline.day_range("20251026", "20251025")
+
+
+def test_backfill_day_with_only_bad_rows(spark, data_dir, tmp_path):
+    bad_day = "order_id,order_date,product_id,qty,unit_price,user_id,order_status\n9,2025-10-27,1001,-3,1,1,x\n"
+    write_files(tmp_path / "extra", {})
+    import shutil
+    data = str(tmp_path / "d")
+    shutil.copytree(data_dir, data)
+    write_files(tmp_path / "d", {"order_20251027.csv": bad_day})
+    rep = pipeline.backfill(spark, "20251026", "20251028", pipeline.csv_inputs(spark, data), dry_run=True)
+    got = {r["date"]: (r["rows"], r["bad_rows"], r["status"]) for r in rep.collect()}
+    assert got == {"2025-10-26": (2, 0, "ok"), "2025-10-27": (0, 1, "no_valid_rows"),
+                   "2025-10-28": (None, None, "missing")}
