@@ -211,7 +211,6 @@ def test_day_range():
 
 def test_backfill_day_with_only_bad_rows(spark, data_dir, tmp_path):
     bad_day = "order_id,order_date,product_id,qty,unit_price,user_id,order_status\n9,2025-10-27,1001,-3,1,1,x\n"
-    write_files(tmp_path / "extra", {})
     import shutil
     data = str(tmp_path / "d")
     shutil.copytree(data_dir, data)
