@@ -26,8 +26,6 @@ def _formatted(df) -> str:
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_in_any_plan(spark, name):
-    if name.startswith("w"):
-        pytest.skip("sink queries write files; covered by the oracle run")
     text = _formatted(registry.queries()[name](spark, SF_SMALL))
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
