@@ -219,3 +219,10 @@ def test_backfill_day_with_only_bad_rows(spark, data_dir, tmp_path):
     got = {r["date"]: (r["rows"], r["bad_rows"], r["status"]) for r in rep.collect()}
     assert got == {"2025-10-26": (2, 0, "ok"), "2025-10-27": (0, 1, "no_valid_rows"),
                    "2025-10-28": (None, None, "missing")}
+
+
+def test_show_table_prints_rows(spark, capsys):
+    df = spark.createDataFrame([("2025-10-25", 248.48)], "date string, revenue double")
+    files.show_table(df, 5)
+    out = capsys.readouterr().out
+    assert "2025-10-25" in out and "248.48" in out
