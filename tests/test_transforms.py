@@ -147,3 +147,13 @@ def test_guard_rides_on_shuffle_join_for_big_products(spark):
         enrich_with_products(orders, dup, broadcast_rows=0).collect()
     ok = enrich_with_products(orders, _products(spark), broadcast_rows=0)
     assert sorted(r["product_name"] for r in ok.collect()) == ["Shoes", "Tee"]
+
+
+def test_return_rate_is_exact_half_up(spark):
+    from pyspark.sql import functions as F
+    from ordermill.functions.numeric import percent_half_up
+    cases = [(1, 800, 0.13), (5, 8000, 0.06), (1, 8, 12.5), (1, 3, 33.33), (2, 3, 66.67), (0, 0, 0.0),
+             (3, 3, 100.0), (1, 1600, 0.06), (7, 16, 43.75)]
+    df = spark.createDataFrame([(p, w) for p, w, _ in cases], "part long, whole long")
+    got = [r[0] for r in df.select(percent_half_up(F.col("part"), F.col("whole"))).collect()]
+    assert got == [want for _, _, want in cases]
