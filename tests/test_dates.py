@@ -73,3 +73,9 @@ def test_blanks_around_a_date_are_recovered(spark):
     rows = {r["id"]: (r["order_date"], r["_date_recovered"]) for r in good.collect()}
     assert rows == {1: (dt.datetime(2025, 10, 25), True), 2: (dt.datetime(2025, 10, 25), False)}
     assert bad.count() == 0
+
+
+def test_day_first_and_ambiguous_rows_are_parsed_separately(spark):
+    # pandas would guess day-first for both from the first row; here each row
+    # parses on its own: 25/10 can only be day-first, 01/02 is month-first.
+    assert _parse(spark, ["25/10/2025", "01/02/2025"]) == [dt.datetime(2025, 10, 25), dt.datetime(2025, 1, 2)]
