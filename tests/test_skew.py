@@ -100,3 +100,35 @@ def test_hot_order_key_is_split_in_the_mapping_join(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_hot_product_is_split_when_products_are_not_broadcast(spark):
+    from ordermill.operators.transforms import enrich_with_products
+    n = 60000
+    orders = spark.range(n).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("product_id"),
+        F.lit(1).alias("qty"), F.lit(2.0).alias("unit_price")).repartition(8)
+    products = spark.range(5000).select(F.col("id").alias("product_id"),
+                                        F.concat(F.lit("p"), F.col("id")).alias("product_name"),
+                                        F.lit("c").alias("category"), F.lit(1.0).alias("price"))
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = enrich_with_products(orders, products, broadcast_rows=0).select("order_id", "product_name")
+        assert len(df.collect()) == n
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
