@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontaminate, exact_dedup, language_id, packing, simhash
+from ordermill.llm import decontaminate, exact_dedup, html_extract, language_id, license_scan, lm, packing, simhash, suffix_dedup, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -26,13 +26,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id", "component_size")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings of documents, all but their first place removed."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def _held_out(parts: int, part: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False)).alias("held_out")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(language_id.learn_rows(docs))
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    return language_id.predict(docs, model).select(
-        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+    return language_id.predict(docs, model).select("doc_id", _held_out(4, 2), "lang_pred", "score", "rejected")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,11 +54,30 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney score of every document, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(lm.learn_rows(docs))).select(
+        "doc_id", _held_out(10, 0), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4,096 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, toxicity.learn_labels(_table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select("doc_id", _held_out(5, 0), "score", "predicted", "n_clauses")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates among documents; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))

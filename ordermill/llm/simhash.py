@@ -3,7 +3,8 @@
 Two fingerprints at distance <= 2h share a value at distance <= h from
 both, and two that share such a value are at distance <= 2h. So every
 distinct fingerprint stands for all its variants within h flipped bits,
-and fingerprints that meet in a variant are linked.
+and fingerprints that meet in a variant are linked. (For an odd radius
+2h - 1, one of the two must be within h - 1 of the variant.)
 
 The variants are not shuffled one by one (2,081 for h = 2). A variant is
 dealt by its first ``prefix`` bits, and a fingerprint is sent once to each
@@ -113,20 +114,22 @@ def collide(fps: np.ndarray, budget: np.ndarray, free: int, radius: int) -> Iter
                 yield from collide(fps[left >= 0], left[left >= 0], free - 4, radius)
         return
     low = fps & np.uint64((1 << free) - 1)
-    values, owners = [], []
-    for r in range(len(sets)):
-        who = np.flatnonzero(budget == r)
-        if len(who):
-            flips = np.concatenate(sets[:r + 1])
+    odd = radius % 2
+    values, owners, far = [], [], []
+    for outer in range(1 + odd):  # of an odd radius, the variants at h flips come last
+        for r in range(len(sets)):
+            who = np.flatnonzero(budget == r)
+            flips = sets[r] if outer else np.concatenate([np.empty(0, np.uint64), *sets[:r + 1 - odd]])
             values.append((low[who][:, None] ^ flips).ravel())
             owners.append(np.repeat(who.astype(np.int32), len(flips)))
-    if not values:
-        return
-    value, owner = np.concatenate(values), np.concatenate(owners)
-    order = np.argsort(value)
-    value, owner = value[order], owner[order]
-    same = np.flatnonzero(value[1:] == value[:-1])
-    a, b = owner[same], owner[same + 1]
+            far.append(np.full(len(values[-1]), bool(outer)))
+    value, owner, far = np.concatenate(values), np.concatenate(owners), np.concatenate(far)
+    order = np.argsort(value, kind="stable" if odd else None)
+    value, owner, far = value[order], owner[order], far[order]
+    same = np.concatenate([[False], value[1:] == value[:-1]])
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(value))))
+    same &= ~far[first]
+    a, b = owner[first[same]], owner[same]
     near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
     a, b = a[near], b[near]
     if len(a):
