@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import map_arrow
 
 #: Rows of each label that the grammar is learned from at most.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 10_000
 #: A learned entry is in so many toxic sample texts at least, and its log-odds are this high.
-MIN_TEXTS, MIN_ODDS = 5, 2.5
+MIN_TEXTS, MIN_ODDS = 3, 2.5
+#: Clean texts that an entry is taken to be in besides those it is in.
+DOUBT = 2.0
 #: Lengths of the word beginnings that may be learned.
-STEMS = (4, 5, 6)
+STEMS = (5,)
 #: Weight of an entry that the sample has not shown.
 PRIOR = 2.0
 #: Words whose symbols a task remembers.
@@ -179,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         return model
     counts = map_arrow(sample.select("text", "toxic"), entries, "entry string, toxic int").groupBy("entry").agg(
         F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-    odds = F.log((F.col("t") + 0.5) / (n1 + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (n0 + 1))
+    odds = F.log((F.col("t") + 0.5) / (n1 + 1)) - F.log((F.col("n") - F.col("t") + DOUBT) / (n0 + DOUBT))
     listed = F.col("entry").isin([w for w, (k, _) in words.items() if k <= THREAT])
     for r in counts.withColumn("odds", odds).where(listed | ((F.col("t") >= MIN_TEXTS) & (F.col("odds") >= MIN_ODDS))).collect():
         if r.entry.endswith("*"):
