@@ -37,7 +37,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName("ordermill").getOrCreate())
     inputs = pipeline.csv_inputs(spark, args.data_dir)
     if start == end:
-        print(json.dumps(pipeline.run_for_date(spark, start, inputs, args.output_dir, args.dry_run)))
+        try:
+            summary = pipeline.run_for_date(spark, start, inputs, args.output_dir, args.dry_run)
+        except Exception as exc:  # noqa: BLE001 - reported, as for a day of a range
+            summary = {"date": start, "error": str(exc).splitlines()[0]}
+        print(json.dumps(summary))
     else:
         report = pipeline.backfill(spark, start, end, inputs, args.output_dir, args.dry_run,
                                    window_days=args.window_days)

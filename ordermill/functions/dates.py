@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 # The ordered fallback list used when the strict format
 # fails. "ISO" stands for an ISO timestamp with a
 # time of day, parsed by a guarded cast.
-FALLBACK_FORMATS = ("yyyy-M-d", "ISO", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "yyyyMMdd")
+FALLBACK_FORMATS = (
+    "yyyy-M-d", "ISO", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "yyyyMMdd",
+    "M-d-yyyy", "d-M-yyyy", "yyyy.M.d", "d.M.yyyy",
+    "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+    "yyyy/M/d H:m:s", "yyyy/M/d H:m", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "d/M/yyyy H:m:s", "d/M/yyyy H:m",
+    "yyyy-M-d h:m a", "M/d/yyyy h:m a",
+)
 
 # Guard for the ISO step: a bare cast accepts '12:00' (today at noon) and
 # '2025' (1 January), so require a full date followed by a time part.
 ISO_TIMESTAMP_GUARD = r"^\s*\d{4}-\d{1,2}-\d{1,2}[ T]"
+# An ISO timestamp that ends in an offset is an instant; it is read as UTC
+# (the offset is applied, not dropped).
+OFFSET_GUARD = r"[ T][\d:.]+\s*([zZ]|UTC|GMT|[+-]\d{1,2}(:?\d{2})?)$"
 
 # Strftime directives and the Spark pattern letters that
 # read the same text (single letters accept one or two digits, as pandas
@@ -55,7 +64,10 @@ ISO_DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 def _one_format(c: Column, fmt: str) -> Column:
     if fmt == "ISO":
-        return F.when(c.rlike(ISO_TIMESTAMP_GUARD), F.trim(c).try_cast("timestamp_ntz"))
+        t = F.trim(c)
+        instant = F.to_utc_timestamp(t.try_cast("timestamp"), F.current_timezone()).cast("timestamp_ntz")
+        return F.when(c.rlike(ISO_TIMESTAMP_GUARD),
+                      F.when(t.rlike(OFFSET_GUARD), instant).otherwise(t.try_cast("timestamp_ntz")))
     pattern = spark_pattern(fmt)
     if pattern == "yyyy-M-d":
         return F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("date").cast("timestamp_ntz"))
@@ -104,11 +116,6 @@ def day(c: Column) -> Column:
     return F.to_date(c)
 
 
-def compact_date_text(c: Column) -> Column:
-    """F12 as a column: ``YYYY-MM-DD`` → ``YYYYMMDD``."""
-    return F.regexp_replace(c, "-", "")
-
-
 def normalize_date_str(s: str) -> str:
-    """F12 for a driver-side argument: ``YYYY-MM-DD`` → ``YYYYMMDD``."""
+    """``YYYY-MM-DD`` → ``YYYYMMDD``."""
     return s.replace("-", "") if "-" in s else s

@@ -16,8 +16,13 @@ from pyspark.sql.types import (DataType, DecimalType, DoubleType, FloatType,
 # "2" and "2.0", rejects "2.5" and words), and the integral part of it.
 INT_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
 INT_PART = r"^\s*([+-]?\d+)"
+# Plain decimal text, and decimal text with an exponent. Java
+# also reads a type suffix ("5d", "2f") as a number; these do not.
+DECIMAL_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+EXPONENT_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d+\s*$"
 
-PRICE_TYPE = "decimal(18,6)"
+# Prices up to 10^22 with six decimals.
+PRICE_TYPE = "decimal(28,6)"
 
 
 def int_value(c: Column, dtype: DataType) -> Column:
@@ -41,19 +46,44 @@ def float_value(c: Column) -> Column:
     return c.try_cast("double")
 
 
-def coerce_int(c: Column) -> Column:
-    """C6 for qty: numeric or 0, truncated toward zero ("2.7" → 2)."""
-    return F.coalesce(c.try_cast("double").try_cast("int"), F.lit(0))
-
-
-def coerce_price(c: Column) -> Column:
-    """C6 for unit_price: exact decimal or 0."""
-    return F.coalesce(c.try_cast(PRICE_TYPE), F.lit(0).cast(PRICE_TYPE))
-
-
-def coerce_key(c: Column) -> Column:
-    """Join key as bigint via double so "1001.0" matches 1001."""
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+def coerce_int(c: Column, dtype: DataType) -> Column:
+    """C6 for qty: a number cut to its integral part ("2.7" → 2), else 0.
+    Exact for plain text of any length a bigint holds."""
+    if isinstance(dtype, IntegralType):
+        value = c.cast("bigint")
+    elif isinstance(dtype, StringType):
+        value = F.coalesce(
+            c.try_cast("bigint"),
+            F.when(c.rlike(DECIMAL_TEXT), F.coalesce(
+                F.nullif(F.regexp_extract(c, INT_PART, 1), F.lit("")).try_cast("bigint"))),
+            F.when(c.rlike(EXPONENT_TEXT), c.try_cast("double").try_cast("bigint")))
+    else:
+        value = c.try_cast("bigint")
+    return F.coalesce(value, F.lit(0).cast("bigint"))
+
+
+def coerce_price(c: Column, dtype: DataType) -> Column:
+    """C6 for unit_price: exact decimal, else 0. A finite number too large
+    for the decimal stays NULL, and with it the line's total: it is not a
+    price of nothing."""
+    value = c.try_cast(PRICE_TYPE)
+    if isinstance(dtype, IntegralType):
+        return F.coalesce(value, F.lit(0).cast(PRICE_TYPE))
+    d = c.try_cast("double")
+    if isinstance(dtype, StringType):
+        d = F.when(c.rlike(DECIMAL_TEXT) | c.rlike(EXPONENT_TEXT), d)
+    huge = value.isNull() & d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf")))
+    return F.when(~F.coalesce(huge, F.lit(False)), F.coalesce(value, F.lit(0).cast(PRICE_TYPE)))
+
+
+def coerce_key(c: Column, dtype: DataType) -> Column:
+    """Join key as bigint, so "1001.0" matches 1001; text or a number
+    that is not integral ("1001.7", "1001d") matches nothing."""
+    value = int_value(c, dtype)
+    if not isinstance(dtype, StringType):
+        return value
+    d = F.when(c.rlike(EXPONENT_TEXT), c.try_cast("double"))
+    return F.coalesce(value, F.when(d == F.floor(d).cast("double"), d.try_cast("bigint")))
 
 
 def line_total(qty: Column, price: Column) -> Column:

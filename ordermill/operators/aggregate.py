@@ -36,8 +36,10 @@ def top_per_group(df: DataFrame, group: str, item: str, measure: str,
     NULL item first).
 
     Equivalent to ``row_number() over (partition by group order by measure
-    desc, item asc nulls first) = 1`` joined to the group total, but runs as
-    a hash aggregate with a partial phase: no sort, no window, no self-join.
+    desc, item asc nulls first) = 1`` joined to the group total, without a
+    window or a self-join: one aggregate with a partial phase. The minimum
+    of a struct with a text is kept by Spark's sort aggregate, which sorts
+    the rows of each phase by group.
     """
     # NULL measures rank last, as in ORDER BY measure DESC.
     best = F.min(F.struct(F.col(measure).isNull().alias("missing"), (-F.col(measure)).alias("neg"),
@@ -63,15 +65,19 @@ def product_revenue(enriched: DataFrame) -> DataFrame:
 
 
 def top_n_products(enriched: DataFrame, n: int = 10) -> DataFrame:
+    """T1 of enriched order rows."""
+    return top_n(product_revenue(enriched), n)
+
+
+def top_n(revenue: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` products with the highest revenue, ranked 1..n.
 
     Sorted before rounding, ties broken by product_id. ``orderBy + limit``
     plans as TakeOrderedAndProject: each task keeps its own top n, only
-    n rows per task reach the final merge.
+    n rows per task reach the final merge. The rank is numbered over those
+    n rows, in one task: n is meant to be a report's length, thousands at most.
     """
-    top = (product_revenue(enriched)
-           .orderBy(F.desc("total_revenue"), F.asc_nulls_last("product_id"))
-           .limit(n))
+    top = revenue.orderBy(F.desc("total_revenue"), F.asc_nulls_last("product_id")).limit(n)
     rank = F.row_number().over(Window.orderBy(F.desc("total_revenue"), F.asc_nulls_last("product_id")))
     return top.select(
         rank.alias("rank"), "product_id", "product_name", "category",

@@ -1,61 +1,55 @@
 """Joins against the product dimension.
 
-Broadcast is used only behind a measured bound: ``bounded_rows`` counts
-the side (a distributed count: partial counts per task, one number to
-the driver; on a projection of a Parquet table it reads no column data).
-A side that passes is hinted for broadcast (no shuffle of the big side,
-immune to key skew); a side that fails is joined by shuffle, where AQE
-can still split skewed partitions.
-
-(A ``limit(n + 1).count()`` probe would stop early, but its global limit
-moves up to n rows from every partition into a single task, which does
-not hold at scale.)
+No join carries a broadcast hint: Spark broadcasts a side whose size it
+knows or measures (AQE, in bytes) to be below
+``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise, where
+AQE splits skewed partitions. ``broadcast=False`` asks for the shuffle
+join. Neither choice changes a row or an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default bound for a broadcast dimension. The product side carries at
-# most four narrow columns (~100 bytes a row), so the broadcast stays near
-# 100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 JOIN_TYPES = ("left", "inner", "right", "outer")
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"] <= max_rows
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of ``df`` is below its broadcast
+    threshold. No job; used only to choose between plans of equal result."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Hint ``df`` for broadcast when its size is proven small."""
-    if max_rows > 0 and bounded_rows(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+def dimension(df: DataFrame, broadcast: bool = True) -> DataFrame:
+    """A join's small side: left to Spark, or a shuffle join if not ``broadcast``."""
+    return df if broadcast else df.hint("merge")
 
 
-def assert_unique_key(df: DataFrame, key: str, what: str = "right side") -> None:
-    """Eager many-to-one guard (J3): raise when ``key`` repeats in ``df``.
+def unique_key(df: DataFrame, key: str, what: str = "right side") -> DataFrame:
+    """Many-to-one guard (J3): reading ``key`` of the result raises if it repeats.
 
-    One aggregate job; partial aggregation keeps the shuffle to one row
-    per key and task.
+    The check sits in the key itself, so every join on it makes it,
+    whatever the join type and strategy and whichever columns are read.
+    It costs one shuffle of ``df`` by the key, which a shuffle join needs
+    anyway.
     """
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(
-            f"join is not many-to-one: {what} has duplicate {key} {dup[0][key]!r}")
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return df.withColumn(key, F.when(n > 1, _duplicate(key, what)).otherwise(F.col(key)))
 
 
-def guard_unique(df: DataFrame, key: str, carrier: str) -> DataFrame:
-    """Lazy form of the guard: the check is folded into ``carrier`` so that
-    it runs inside the job that reads that column (SURVEY §2.12 item 8)."""
-    from pyspark.sql import Window
+def _duplicate(key: str, what: str) -> Column:
+    text = F.concat(F.lit(f"join is not many-to-one: {what} has duplicate {key} "),
+                    F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    return F.raise_error(text).cast("bigint")
 
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    return df.withColumn(
-        carrier,
-        F.when(n > 1, F.raise_error(F.concat(F.lit(f"duplicate {key} "), F.col(key).cast("string"))))
-         .otherwise(F.col(carrier)))
+
+def assert_unique_key(df: DataFrame, key: str, what: str = "right side") -> None:
+    """The same guard as one aggregate job, for plans that run no join (dry
+    runs); partial aggregation keeps the shuffle to one row per key and task."""
+    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"join is not many-to-one: {what} has duplicate {key} {dup[0][key]}")

@@ -11,8 +11,7 @@ from pyspark.sql.types import DecimalType, IntegralType, StringType, TimestampNT
 from ordermill.functions.dates import ensure_timestamp, iso_date
 from ordermill.functions.numeric import PRICE_TYPE, coerce_int, coerce_key, coerce_price, line_total
 from ordermill.operators import aggregate
-from ordermill.operators.joins import (DEFAULT_BROADCAST_ROWS, JOIN_TYPES, assert_unique_key,
-                                       bounded_rows, guard_unique)
+from ordermill.operators.joins import JOIN_TYPES, dimension, fits_broadcast, unique_key
 
 # Accepted spellings of the price column (case-insensitive)
 # and the fill texts for orders without a product.
@@ -44,33 +43,21 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def add_order_total(orders: DataFrame) -> DataFrame:
     """``order_total = round(qty × unit_price, 2)``, exact decimal.
 
-    qty is coerced to int (invalid → 0, "2.7" → 2), unit_price to
-    DECIMAL(18,6) (invalid → 0); a missing column counts as 0.
+    qty is coerced to bigint (invalid or NULL → 0, "2.7" → 2), unit_price
+    to DECIMAL(28,6) (invalid or NULL → 0); a missing column counts as 0.
     """
     df = normalize_columns(orders)
     types = {f.name: f.dataType for f in df.schema.fields}
-    if "qty" not in types:
-        qty = F.lit(0)
-    elif isinstance(types["qty"], IntegralType):
-        qty = F.col("qty").cast("int")
-    else:
-        qty = coerce_int(F.col("qty").cast("string") if isinstance(types["qty"], StringType)
-                         else F.col("qty"))
-    if "unit_price" not in types:
-        price = F.lit(0).cast(PRICE_TYPE)
-    elif isinstance(types["unit_price"], DecimalType):
-        price = F.col("unit_price").cast(PRICE_TYPE)
-    else:
-        price = coerce_price(F.col("unit_price"))
+    qty = coerce_int(F.col("qty"), types["qty"]) if "qty" in types else F.lit(0).cast("bigint")
+    price = (coerce_price(F.col("unit_price"), types["unit_price"]) if "unit_price" in types
+             else F.lit(0).cast(PRICE_TYPE))
     df = df.withColumns({"qty": qty, "unit_price": price})
     return df.withColumn("order_total", line_total(F.col("qty"), F.col("unit_price")))
 
 
 def _key(df: DataFrame) -> DataFrame:
     """Numeric join key on either side."""
-    if isinstance(df.schema["product_id"].dataType, IntegralType):
-        return df.withColumn("product_id", F.col("product_id").cast("bigint"))
-    return df.withColumn("product_id", coerce_key(F.col("product_id")))
+    return df.withColumn("product_id", coerce_key(F.col("product_id"), df.schema["product_id"].dataType))
 
 
 def product_side(products: DataFrame) -> DataFrame:
@@ -80,36 +67,61 @@ def product_side(products: DataFrame) -> DataFrame:
 
 
 def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "left",
-                         validate: bool = True,
-                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                         validate: bool = True, broadcast: bool = True) -> DataFrame:
     """Join product name, category and price onto orders.
 
     ``how`` is one of left (default), inner, right, outer (J2). With
-    ``validate`` the product key must be unique (J3): an eager check when
-    the product side is broadcast, a guard folded into the join's own
-    shuffle otherwise.
-    Missing product metadata becomes ``unknown_product`` /
-    ``unknown_category`` (C8). The product side is broadcast only when a
-    bounded count proves it small; otherwise it is a shuffle join.
+    ``validate`` the product key must be unique (J3); a job that joins on a
+    repeated key fails with "join is not many-to-one", for every type and
+    strategy of the join. Missing product metadata becomes
+    ``unknown_product`` / ``unknown_category`` (C8).
+
+    Right and outer joins cannot be split on the orders side, so their
+    matches are a left join (which can) and the products without orders are
+    added to it.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
-    right = product_side(products)
-    small = how in ("left", "inner") and 0 < broadcast_rows and bounded_rows(right, broadcast_rows)
-    if validate and small:
-        assert_unique_key(right, "product_id", "products")  # a small eager aggregate
-    elif validate:
-        # Too big to broadcast: the join shuffles products by product_id
-        # anyway, and a count over that same partitioning rides on it (no
-        # separate aggregate over the whole catalogue); a duplicate key
-        # fails the job when the join reads product_name.
-        right = guard_unique(right, "product_id", "product_name")
-    if small:
-        right = F.broadcast(right)
-    joined = _key(orders).join(right, on="product_id", how=how)
+    left, right = _key(orders), product_side(products)
+    if validate:
+        right = unique_key(right, "product_id", "products")
+    right = dimension(right, broadcast)
+    joined = left.join(right, on="product_id", how="inner" if how in ("inner", "right") else "left")
+    if how in ("right", "outer"):
+        unsold = right.join(left.select("product_id").distinct(), on="product_id", how="left_anti")
+        joined = joined.unionByName(unsold, allowMissingColumns=True)
     return joined.fillna({"product_name": UNKNOWN_PRODUCT, "category": UNKNOWN_CATEGORY})
 
 
+def _summed(orders: DataFrame, keys: list[str]) -> DataFrame:
+    """Line totals and units per ``keys``, as rows that can be enriched."""
+    return orders.groupBy(*keys).agg(F.sum("order_total").alias("order_total"), F.sum("qty").alias("qty"))
+
+
+def daily_category_revenue(orders: DataFrame, products: DataFrame, broadcast: bool = True) -> DataFrame:
+    """F1 → F2 → J1 → A1 from orders and products. Where the products are
+    not known to fit a broadcast, lines are first summed per (day, product):
+    partial sums are shuffled, never the lines."""
+    lines = _key(add_order_date_iso(add_order_total(orders)))
+    if not broadcast or not fits_broadcast(products):
+        lines = _summed(lines, ["order_date_iso", "product_id"])
+    return aggregate.daily_category_revenue(enrich_with_products(lines, products, broadcast=broadcast))
+
+
+def product_revenue(orders: DataFrame, products: DataFrame, broadcast: bool = True) -> DataFrame:
+    """F1 → J1 → A2 from orders and products: lines are summed per product
+    before the join, one row per product and task in the only shuffle."""
+    lines = _summed(_key(add_order_total(orders)), ["product_id"])
+    enriched = enrich_with_products(lines, products, broadcast=broadcast)
+    return enriched.select("product_id", "product_name", "category",
+                           F.col("order_total").alias("total_revenue"), F.col("qty").alias("total_units"))
+
+
+def top_products(orders: DataFrame, products: DataFrame, n: int = 10, broadcast: bool = True) -> DataFrame:
+    """T1 from orders and products."""
+    return aggregate.top_n(product_revenue(orders, products, broadcast), n)
+
+
 def add_order_date_iso(df: DataFrame, date_col: str = "order_date",
                        out_col: str = "order_date_iso") -> DataFrame:
     """``YYYY-MM-DD`` text of the order date; a non-timestamp column is

@@ -24,12 +24,11 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ordermill.functions.dates import iso_date, normalize_date_str
 from ordermill.functions.numeric import line_total, money_out
 from ordermill.operators import validate as V
-from ordermill.operators.joins import DEFAULT_BROADCAST_ROWS, assert_unique_key
+from ordermill.operators.joins import assert_unique_key
 from ordermill.operators.transforms import add_order_date_iso, add_order_total, enrich_with_products
 from ordermill.schemas import CORRUPT_COLUMN, ORDERS, PRODUCTS
 from ordermill.session import configure
@@ -44,8 +43,10 @@ TOTAL = "__total"
 STATUS_OK = "ok"
 STATUS_NO_VALID = "no_valid_rows"
 STATUS_MISSING = "missing"
+STATUS_ERROR = "error"
 MSG_NO_FILE = "No order file for date "
-SUMMARY_SCHEMA = "date string, rows bigint, revenue double, bad_rows bigint"
+REPORT_SCHEMA = ("date string, run_date string, rows bigint, revenue double, bad_rows bigint, "
+                 "status string, error string")
 
 
 @dataclass
@@ -154,63 +155,78 @@ def valid_products(raw_products: DataFrame) -> tuple[DataFrame, DataFrame]:
     return V.validate_dataframe(raw_products, PRODUCTS)
 
 
-def enrich(good: DataFrame, products: DataFrame, broadcast_rows: int) -> DataFrame:
-    """F1 → J1 → F2 on valid rows; the partition column is ``date``. The
-    many-to-one check and the broadcast bound come from one key aggregate."""
+def enrich(good: DataFrame, products: DataFrame, broadcast: bool = True) -> DataFrame:
+    """F1 → J1 → F2 on valid rows; the partition column is ``date``."""
     out = add_order_total(good)
-    out = enrich_with_products(out, products, "left", validate=True, broadcast_rows=broadcast_rows)
+    out = enrich_with_products(out, products, "left", validate=True, broadcast=broadcast)
     out = add_order_date_iso(out, "order_date", "order_date_iso")
     return out.withColumn(DAY, F.col("order_date_iso"))
 
 
-def _write_outputs(tagged: DataFrame, products_good: DataFrame,
-                   output_dir: str, summary: DataFrame, any_good: bool, any_bad: bool,
-                   broadcast_rows: int) -> str | None:
-    out = output_dir.rstrip("/")
+def _iso_day(day: str) -> str:
+    return f"{day[:4]}-{day[4:6]}-{day[6:]}"
+
+
+def _write_outputs(tagged: DataFrame, products_good: DataFrame, out: str, summary: DataFrame,
+                   counts: list[tuple[str, int, int]], broadcast: bool) -> str | None:
+    """Write the outputs of the days in ``counts`` (ISO day, good rows, bad
+    rows) and remove what an earlier run of a day left of a kind it has no
+    rows of now."""
+    spark = tagged.sparkSession
     parquet = None
-    if any_good:
-        enriched = enrich(good_orders(tagged), products_good, broadcast_rows)
+    if any(good for _, good, _ in counts):
+        enriched = enrich(good_orders(tagged), products_good, broadcast)
         parquet = files.write_parquet_partition(enriched, f"{out}/processed", DAY)
         files.write_summaries(summary.where(F.col("rows") > 0).select(DAY, "run_date", "rows", "revenue"),
                               f"{out}/summaries")
-    if any_bad:
+    if any(bad for _, _, bad in counts):
         files.write_bad_rows(bad_orders(tagged), f"{out}/bad_rows", "orders", known_empty=False)
+    for day, good, bad in counts:
+        if not good:
+            files.remove(spark, f"{out}/processed/{DAY}={day}")
+            files.remove(spark, f"{out}/summaries/{DAY}={day}")
+        if not bad:
+            files.remove(spark, f"{out}/bad_rows/dataset=orders/{DAY}={day}")
     return parquet
 
 
 def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir: str | None = None,
                  dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict:
+                 broadcast: bool = True) -> dict:
     """P1 (+P2, W5): one day, read → parse → validate → total → enrich →
     ISO date → summary → write. Returns the summary as a dict; ``date`` is
-    the day as given, the stored summary uses the ISO day."""
+    the day as given, the stored summary uses the ISO day. Re-running a day
+    leaves the files of the last run alone."""
     configure(spark)
     if not dry_run and not output_dir:
         raise ValueError("output_dir is required unless dry_run")
     day = normalize_date_str(date_str)
+    raw = inputs.orders([day])
     products_good, products_bad = valid_products(inputs.products())
-    if dry_run:  # a writing run checks J3 while enriching
-        assert_unique_key(products_good.select("product_id"), "product_id", "products")
-    tagged = tag_orders(inputs.orders([day]), date_format)
+    tagged = tag_orders(raw, date_format)
     if not dry_run:
+        products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        summary = day_summary(tagged).withColumn("run_date", F.lit(day))
-        row = summary.agg(F.sum("rows").alias("rows"), F.sum("revenue").alias("revenue"),
-                          F.sum("bad_rows").alias("bad_rows")).collect()[0]
-        rows, bad = int(row["rows"] or 0), int(row["bad_rows"] or 0)
-        revenue = float(row["revenue"] or 0.0)
+        # before anything is written, and in a dry run too, which joins nothing
+        assert_unique_key(products_good.select("product_id"), "product_id", "products")
+        row = tagged.agg(F.count_if(F.col(GOOD)).alias("rows"),
+                         F.coalesce(money_out(F.sum(TOTAL)), F.lit(0.0)).alias("revenue"),
+                         F.count_if(~F.col(GOOD)).alias("bad_rows")).collect()[0]
+        rows, bad = int(row["rows"]), int(row["bad_rows"])
         parquet = None
         if not dry_run:
-            table_dir = _write_outputs(tagged, products_good, output_dir, summary,
-                                       rows > 0, bad > 0, broadcast_rows)
+            out = output_dir.rstrip("/")
+            summary = day_summary(tagged).withColumn("run_date", F.lit(day))
+            table_dir = _write_outputs(tagged, products_good, out, summary, [(_iso_day(day), rows, bad)], broadcast)
             if table_dir:  # the day's partition, as the reference returns its file
-                parquet = f"{table_dir}/{DAY}={day[:4]}-{day[4:6]}-{day[6:]}"
-            files.write_bad_rows(products_bad, f"{output_dir.rstrip('/')}/bad_rows", "products")
+                parquet = f"{table_dir}/{DAY}={_iso_day(day)}"
+            files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
     finally:
         if not dry_run:
             tagged.unpersist()
-    return {"date": date_str, "rows": rows, "revenue": revenue, "bad_rows": bad,
+            products_good.unpersist()
+    return {"date": date_str, "rows": rows, "revenue": float(row["revenue"]), "bad_rows": bad,
             "parquet_path": parquet}
 
 
@@ -224,86 +240,116 @@ def day_range(start: str, end: str | None = None) -> list[str]:
     return [(s + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((e - s).days + 1)]
 
 
-def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """One row per day of [start, end] as ``date`` (ISO) and ``run_date``."""
-    s, e = day_range(start)[0], day_range(end)[0]
-    iso = [f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in (s, e)]
-    days = F.explode(F.sequence(F.to_date(F.lit(iso[0])), F.to_date(F.lit(iso[1]))))
-    return (spark.range(1).select(days.alias("d"))
-            .select(iso_date(F.col("d")).alias(DAY), F.date_format("d", "yyyyMMdd").alias("run_date")))
-
-
-def _report(spine: DataFrame, per_day: DataFrame | None) -> DataFrame:
-    if per_day is None:
-        report = spine.select(DAY, "run_date", *[F.lit(None).cast(t).alias(c) for c, t in
-                                                 (("rows", "bigint"), ("revenue", "double"),
-                                                  ("bad_rows", "bigint"))])
-    else:
-        report = spine.join(per_day, DAY, "left")
-    status = (F.when(F.col("rows").isNull(), F.lit(STATUS_MISSING))
-              .when(F.col("rows") == 0, F.lit(STATUS_NO_VALID))
-              .otherwise(F.lit(STATUS_OK)))
-    return report.select(
-        DAY, "run_date", "rows", "revenue", "bad_rows", status.alias("status"),
-        F.when(F.col("rows").isNull(), F.concat(F.lit(MSG_NO_FILE), F.col("run_date")))
-         .alias("error"))
+def _each_day(days: list[str], work: Callable[[list[str]], list]) -> tuple[list, dict[str, str]]:
+    """``work`` on all days at once; where it fails, on each half, down to
+    the days that fail alone: (rows of the others, error text by day)."""
+    try:
+        return work(days), {}
+    except FileNotFoundError:
+        return [], {}
+    except Exception as exc:  # noqa: BLE001 - recorded for the day, as the reference does
+        if len(days) == 1:
+            return [], {days[0]: _error_text(exc)}
+    half = len(days) // 2
+    first, errors = _each_day(days[:half], work)
+    second, more = _each_day(days[half:], work)
+    return first + second, errors | more
+
+
+def _error_text(exc: Exception) -> str:
+    lines = [x.strip() for x in str(exc).splitlines() if x.strip()]
+    return next((x for x in lines if "many-to-one" in x), lines[0] if lines else type(exc).__name__)
+
+
+def _report(spark: SparkSession, days: list[str], rows: list, errors: dict[str, str],
+            products_error: str | None) -> DataFrame:
+    """One row per day of the range."""
+    found = {r[DAY]: r for r in rows}
+    out = []
+    for day in days:
+        r = found.get(_iso_day(day))
+        if day in errors or (r is not None and products_error):
+            out.append((_iso_day(day), day, None, None, None, STATUS_ERROR, errors.get(day, products_error)))
+        elif r is None:
+            out.append((_iso_day(day), day, None, None, None, STATUS_MISSING, MSG_NO_FILE + day))
+        else:
+            out.append((_iso_day(day), day, r["rows"], r["revenue"], r["bad_rows"],
+                        STATUS_OK if r["rows"] else STATUS_NO_VALID, None))
+    return spark.createDataFrame(out, REPORT_SCHEMA)
+
+
+def _products_error(products: Callable[[], DataFrame]) -> str | None:
+    """Why no day can be enriched: a missing product file or a repeated key."""
+    try:
+        good, _ = valid_products(products())
+        assert_unique_key(good.select("product_id"), "product_id", "products")
+    except (FileNotFoundError, ValueError) as exc:
+        return _error_text(exc)
+    return None
 
 
 def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_dir: str | None = None,
              dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
-             broadcast_rows: int = DEFAULT_BROADCAST_ROWS, window_days: int = 31) -> DataFrame:
+             broadcast: bool = True, window_days: int = 31) -> DataFrame:
     """Every day of [start, end].
 
     Returns one row per day: date, run_date, rows, revenue, bad_rows,
-    status (ok / no_valid_rows / missing) and error (for missing days).
-    A day without a file does not stop the others.
+    status (ok / no_valid_rows / missing / error) and error. A day without
+    a file or whose run fails does not stop the others: work that fails is
+    repeated on ever smaller parts of the range until the failing days
+    stand alone. Products that cannot be joined (no file, repeated key)
+    are an error of every day that has a file, in a dry run too.
 
     A dry run is one aggregate over the whole range. A writing run works
     through the range in windows of ``window_days`` days: each window is
     one scan of its files, one persisted tagged frame (so the cached
     volume is bounded by the window, not by the range) and one
-    dynamic-overwrite write per output. Windows are idempotent; the
-    per-window day summaries and the final report are written to the
-    output folder and the report is read back from there.
+    dynamic-overwrite write per output. Windows are idempotent. The report
+    (one row per day) is written to the output folder and read back.
     """
     configure(spark)
-    days = day_range(start, end)
-    spine = date_spine(spark, start, end)
-    if dry_run:
-        try:
-            raw = inputs.orders(days)
-        except FileNotFoundError:
-            return _report(spine, None)
-        return _report(spine, day_summary(tag_orders(raw, date_format)))
-    if not output_dir:
+    if not dry_run and not output_dir:
         raise ValueError("output_dir is required unless dry_run")
-    out = output_dir.rstrip("/")
-    run_dir = f"{out}/runs/{days[0]}_{days[-1]}/attempt-{uuid.uuid4().hex[:12]}"
-    products_good, products_bad = valid_products(inputs.products())
-    products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for i in range(0, len(days), max(1, window_days)):
-            window = days[i:i + max(1, window_days)]
-            try:
-                raw = inputs.orders(window)
-            except FileNotFoundError:
-                continue
-            tagged = tag_orders(raw, date_format).persist(StorageLevel.MEMORY_AND_DISK)
+    days = day_range(start, end)
+    in_range = F.col(DAY).isin([_iso_day(d) for d in days]) if len(days) <= 100 else (
+        F.col(DAY).between(_iso_day(days[0]), _iso_day(days[-1])))
+    products_error = _products_error(inputs.products)
+
+    def summarise(part: list[str]) -> list:
+        return day_summary(tag_orders(inputs.orders(part), date_format)).where(in_range).collect()
+
+    if dry_run or products_error:
+        rows, errors = _each_day(days, summarise)
+        report = _report(spark, days, rows, errors, products_error)
+        if dry_run:
+            return report
+    else:
+        out = output_dir.rstrip("/")
+        products_good, products_bad = valid_products(inputs.products())
+        products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def write(window: list[str]) -> list:
+            tagged = tag_orders(inputs.orders(window), date_format).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                window_dir = f"{run_dir}/days/window={window[0]}"
-                day_summary(tagged).write.mode("overwrite").parquet(window_dir)
-                per_day = spark.read.parquet(window_dir)
-                totals = per_day.agg(F.sum("rows").alias("g"), F.sum("bad_rows").alias("b")).collect()[0]
-                _write_outputs(tagged, products_good, out, per_day.join(spine, DAY, "inner"),
-                               (totals["g"] or 0) > 0, (totals["b"] or 0) > 0, broadcast_rows)
+                per_day = day_summary(tagged).where(in_range).collect()
+                counts = [(r[DAY], r["rows"], r["bad_rows"]) for r in per_day]
+                summary = spark.createDataFrame(
+                    [(r[DAY], r[DAY].replace("-", ""), r["rows"], r["revenue"]) for r in per_day],
+                    "date string, run_date string, rows bigint, revenue double")
+                _write_outputs(tagged, products_good, out, summary, counts, broadcast)
+                return per_day
             finally:
                 tagged.unpersist()
-        files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
-    finally:
-        products_good.unpersist()
-    try:
-        per_day = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{run_dir}/days")
-    except AnalysisException:  # no window had a file
-        per_day = None
-    _report(spine, per_day).write.mode("overwrite").parquet(f"{run_dir}/report")
-    return spark.read.parquet(f"{run_dir}/report")
+
+        rows, errors = [], {}
+        try:
+            for i in range(0, len(days), max(1, window_days)):
+                done, failed = _each_day(days[i:i + max(1, window_days)], write)
+                rows, errors = rows + done, errors | failed
+            files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
+        finally:
+            products_good.unpersist()
+        report = _report(spark, days, rows, errors, None)
+    path = f"{output_dir.rstrip('/')}/runs/{days[0]}_{days[-1]}/attempt-{uuid.uuid4().hex[:12]}/report"
+    report.coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)

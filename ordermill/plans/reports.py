@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.dates import day, iso_date
 from ordermill.functions.numeric import money_out, net_amount, percent_half_up
 from ordermill.operators.aggregate import status_sums, top_per_group
-from ordermill.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from ordermill.operators.joins import dimension, fits_broadcast
 
 
 def _product_side(products: DataFrame, *cols: str) -> DataFrame:
@@ -23,13 +23,13 @@ def _product_side(products: DataFrame, *cols: str) -> DataFrame:
 
 
 def daily_category_net(orders: DataFrame, products: DataFrame,
-                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       broadcast: bool = True) -> DataFrame:
     """A3: net revenue (cancelled = 0) per (order_date_only, category)."""
     lines = orders.select(day(F.col("order_date")).alias("order_date_only"), "product_id",
                           net_amount(F.col("order_status"), F.col("qty"), F.col("unit_price"))
                           .alias("order_amount"))
-    prod, small = maybe_broadcast(_product_side(products, "category"), broadcast_rows)
-    if not small:
+    prod = dimension(_product_side(products, "category"), broadcast)
+    if not broadcast or not fits_broadcast(prod):
         # Shuffle join ahead: collapse lines to one row per (day, product)
         # first, so a hot product is pre-summed map-side instead of landing
         # whole in one join task.
@@ -47,13 +47,13 @@ def top_category(daily_cat: DataFrame) -> DataFrame:
 
 
 def daily_revenue(orders: DataFrame, products: DataFrame,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast: bool = True) -> DataFrame:
     """P4 (flagship): per day, net revenue and its top category.
 
     Columns: date, total_revenue, top_category, top_category_revenue;
     ordered by date.
     """
-    per_day = top_category(daily_category_net(orders, products, broadcast_rows))
+    per_day = top_category(daily_category_net(orders, products, broadcast))
     return (per_day.orderBy("order_date_only")
             .select(iso_date(F.col("order_date_only")).alias("date"),
                     money_out(F.col("total_revenue")).alias("total_revenue"),
@@ -62,7 +62,7 @@ def daily_revenue(orders: DataFrame, products: DataFrame,
 
 
 def product_performance(orders: DataFrame, products: DataFrame,
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        broadcast: bool = True) -> DataFrame:
     """P5: units and revenue of completed and returned lines per product,
     with the return rate in percent; ordered by completed revenue.
 
@@ -72,7 +72,7 @@ def product_performance(orders: DataFrame, products: DataFrame,
     orders fall into one NULL row, as in the SQL).
     """
     per_pid = status_sums(orders, "product_id")
-    prod, _ = maybe_broadcast(_product_side(products, "product_name", "category"), broadcast_rows)
+    prod = dimension(_product_side(products, "product_name", "category"), broadcast)
     joined = per_pid.join(prod, per_pid.product_id == prod.p_product_id, "left")
     perf = (joined.groupBy(F.col("p_product_id").alias("product_id"), "product_name", "category")
             .agg(*[F.sum(c).alias(c) for c in
@@ -91,11 +91,11 @@ def product_performance(orders: DataFrame, products: DataFrame,
 
 
 def inventory_alerts(inventory: DataFrame, products: DataFrame, threshold: int = 50,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     broadcast: bool = True) -> DataFrame:
     """Inventory rows with stock below ``threshold`` and their product
     name; ordered by stock, then product and warehouse."""
     low = inventory.where(F.col("stock_on_hand") < F.lit(threshold))
-    prod, _ = maybe_broadcast(_product_side(products, "product_name"), broadcast_rows)
+    prod = dimension(_product_side(products, "product_name"), broadcast)
     joined = low.join(prod, low.product_id == prod.p_product_id, "left")
     return (joined.select(
                 F.col("product_id"), F.col("product_name"), F.col("warehouse_id"),

@@ -45,8 +45,8 @@ ORDERS = Schema("orders", (
     Field("order_id", "int", spark_type="bigint"),
     Field("order_date", "datetime", spark_type="timestamp_ntz"),
     Field("product_id", "int", spark_type="bigint"),
-    Field("qty", "int", ge=0, spark_type="int"),
-    Field("unit_price", "float", ge=0, spark_type="decimal(18,6)"),
+    Field("qty", "int", ge=0, spark_type="bigint"),
+    Field("unit_price", "float", ge=0, spark_type="decimal(28,6)"),
     Field("user_id", "int", required=False, spark_type="bigint"),
     Field("order_status", "str", required=False, spark_type="string"),
 ))
@@ -55,15 +55,12 @@ PRODUCTS = Schema("products", (
     Field("product_id", "int", spark_type="bigint"),
     Field("product_name", "str", spark_type="string"),
     Field("category", "str", required=False, spark_type="string"),
-    Field("price", "float", ge=0, spark_type="decimal(18,6)"),
+    Field("price", "float", ge=0, spark_type="decimal(28,6)"),
 ))
 
 INVENTORY = Schema("inventory", (
     Field("product_id", "int", spark_type="bigint"),
     Field("warehouse_id", "str", spark_type="string"),
-    Field("stock_on_hand", "int", ge=0, spark_type="int"),
+    Field("stock_on_hand", "int", ge=0, spark_type="bigint"),
     Field("last_restock_date", "datetime", spark_type="timestamp_ntz"),
 ))
-
-# The date column each reader parses.
-DATE_COLUMN = {"orders": "order_date", "inventory": "last_restock_date"}

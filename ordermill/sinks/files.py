@@ -2,8 +2,9 @@
 
 All writes go through Spark's commit protocol (the reference's temp file
 plus rename) and dynamic partition overwrite, so a run replaces exactly
-the partitions it produces and leaves the others alone; re-running a day
-is idempotent.
+the partitions it produces and leaves the others alone. Partitions of a
+re-run day that come out empty are removed, so a re-run leaves the same
+files as a first run.
 """
 
 from __future__ import annotations
@@ -55,6 +56,13 @@ def write_parquet_partition(df: DataFrame, output_dir: str, partition_col: str =
     return write_partitioned(df, output_dir, partition_col, "parquet")
 
 
+def remove(df_or_spark, path: str) -> None:
+    """Delete a partition folder that a re-run leaves empty, if it is there."""
+    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_summaries(summary: DataFrame, output_dir: str) -> str:
     """Summary rows as JSON, one partition per date; a row without a
     date is filed under ``date=run``."""
@@ -67,11 +75,14 @@ def write_bad_rows(bad: DataFrame | None, output_dir: str, dataset: str, date: s
     """Rejected rows as header CSV under
     ``dataset=<name>/date=<day>/``. Returns None and writes nothing when
     there are no rows (``known_empty`` skips the emptiness probe when the
-    caller already counted them)."""
+    caller already counted them); rows that an earlier run left under the
+    same ``date`` (``run`` where rows have none) are removed then."""
     if bad is None:
         return None
     empty = bad.isEmpty() if known_empty is None else known_empty
     if empty:
+        if date is not None or "date" not in bad.columns:
+            remove(bad, f"{output_dir}/dataset={dataset}/date={date or 'run'}")
         return None
     out = bad.withColumn("dataset", F.lit(dataset))
     if CORRUPT_COLUMN in out.columns:

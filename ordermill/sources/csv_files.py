@@ -1,16 +1,30 @@
 """CSV sources.
 
-Files are read with an explicit all-string schema, PERMISSIVE mode and a
+Files are read as all-string rows, in PERMISSIVE mode with a
 corrupt-record column, so a malformed cell or line never changes a
 column's type or fails the job; such rows go to the bad-row channel.
 Many files are one scan (the reference's per-day UNION ALL), the day a
 row came from is taken from ``_metadata.file_name``.
+
+Columns are bound by name, file by file: a first pass takes the first
+line of every file and only the distinct header texts reach the driver.
+Files of one header are one scan with that header's columns; a column a
+file lacks is NULL, one the schema lacks is left out. Reading several
+different headers costs one scan of the files for each of them.
+
+Quoting follows RFC 4180 (doubled quotes, separators in quotes). A line
+break inside quotes ends the row unless ``multi_line`` is set, which
+reads each file in one task: Spark can only split files at line breaks.
 """
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ordermill.functions.dates import normalize_date_str
@@ -18,6 +32,7 @@ from ordermill.operators.validate import parse_date_column
 from ordermill.schemas import CORRUPT_COLUMN, INVENTORY, ORDERS, PRODUCTS, Schema
 
 SOURCE_FILE = "_source_file"
+SOURCE_PATH = "_source_path"
 FILE_DAY = "_file_day"
 
 # Text that pandas.read_csv reads as missing by default
@@ -40,47 +55,90 @@ def null_tokens(df: DataFrame, columns: list[str], tokens: tuple[str, ...] = PAN
                               .otherwise(F.col(c)) for c in columns})
 
 
+def _options(reader, glob_filter: str | None):
+    return reader.option("pathGlobFilter", glob_filter) if glob_filter else reader
+
+
+def headers(spark: SparkSession, path: str | list[str], glob_filter: str | None = None) -> DataFrame:
+    """(file, header): the first line of every file that has one. Reads the
+    first split of each file; one row per file and task is shuffled."""
+    lines = _options(spark.read, glob_filter).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("i"), "value")
+    first = F.min(F.struct("i", "value")).alias("first")
+    return lines.where("start = 0").groupBy("file").agg(first).select("file", F.col("first.value").alias("header"))
+
+
+def _columns(header: str) -> list[str]:
+    return [c.strip() for c in next(csv.reader([header.lstrip("\ufeff")]), [])]
+
+
 def read_table_csv(spark: SparkSession, path: str | list[str], schema: Schema,
                    tokens: tuple[str, ...] = PANDAS_NULL_TOKENS,
-                   glob_filter: str | None = None) -> DataFrame:
-    """Header CSV with the raw schema; ``_source_file`` holds the
-    file name each row came from. A missing path raises FileNotFoundError."""
-    reader = (spark.read.schema(schema.raw_struct())
-              .option("header", True)
-              # Check every file's header against the schema: columns are
-              # bound by position, so a reordered file must fail, not shift.
-              .option("enforceSchema", False)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-              .option("multiLine", False))
-    if glob_filter:
-        reader = reader.option("pathGlobFilter", glob_filter)
+                   glob_filter: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Header CSV as the schema's columns, all text, by name;
+    ``_source_file`` holds the file name each row came from and
+    ``_source_path`` its path. A missing path, or one without any line,
+    raises FileNotFoundError."""
     try:
-        df = reader.csv(path)
+        named = headers(spark, path, glob_filter)
+        found = sorted(r["header"] for r in named.select("header").distinct().collect())
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"no {schema.name} file at {path}") from exc
         raise
-    df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-    return null_tokens(df, schema.names, tokens)
+    if not found:
+        raise FileNotFoundError(f"no {schema.name} file at {path}")
+    parts = []
+    for header in found:
+        columns = _columns(header)
+        struct = StructType([StructField(f"c{i}", StringType()) for i in range(len(columns))]
+                            + [StructField(CORRUPT_COLUMN, StringType())])
+        df = (_options(spark.read, glob_filter).schema(struct)
+              .option("header", True)
+              .option("enforceSchema", True)  # the header line is skipped; its names are bound here
+              # Without this a column that no one reads is not parsed, and
+              # a short or long line passes as a good row.
+              .option("columnPruning", False)
+              .option("escape", '"')
+              .option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+              .option("multiLine", multi_line)
+              .csv(path))
+        df = df.withColumns({SOURCE_FILE: F.col("_metadata.file_name"), SOURCE_PATH: F.col("_metadata.file_path")})
+        if len(found) > 1:
+            mine = named.where(F.col("header") == F.lit(header)).select(F.col("file").alias(SOURCE_PATH))
+            df = df.join(mine, SOURCE_PATH, "left_semi")
+        at = {name: i for i, name in reversed(list(enumerate(columns)))}
+        parts.append(df.select(
+            *[(F.col(f"c{at[n]}") if n in at else F.lit(None).cast("string")).alias(n) for n in schema.names],
+            CORRUPT_COLUMN, SOURCE_FILE, SOURCE_PATH))
+    return null_tokens(reduce(DataFrame.unionByName, parts), schema.names, tokens)
 
 
 def read_products(spark: SparkSession, data_dir: str,
                   tokens: tuple[str, ...] = PANDAS_NULL_TOKENS) -> DataFrame:
     """``products.csv`` as raw strings (validate with V3)."""
-    return read_table_csv(spark, f"{data_dir.rstrip('/')}/products.csv", PRODUCTS, tokens)
+    return read_table_csv(spark, f"{data_dir.rstrip('/')}/products.csv", PRODUCTS, tokens).drop(SOURCE_PATH)
 
 
 def read_inventory(spark: SparkSession, data_dir: str, date_format: str | None = "%Y-%m-%d",
                    tokens: tuple[str, ...] = PANDAS_NULL_TOKENS) -> tuple[DataFrame, DataFrame]:
     """``inventory.csv`` with ``last_restock_date`` parsed: (good, bad)."""
-    raw = read_table_csv(spark, f"{data_dir.rstrip('/')}/inventory.csv", INVENTORY, tokens)
+    raw = read_table_csv(spark, f"{data_dir.rstrip('/')}/inventory.csv", INVENTORY, tokens).drop(SOURCE_PATH)
     return parse_date_column(raw, "last_restock_date", date_format)
 
 
-def file_day(name: Column) -> Column:
-    """The ``YYYYMMDD`` day in a file name (empty when none)."""
-    return F.regexp_extract(name, r"(\d{8})", 1)
+def file_day(name: Column, days: list[str] | None = None) -> Column:
+    """The ``YYYYMMDD`` day in a file name: the asked day it holds when
+    ``days`` are given, otherwise the first eight digits that form a date
+    (empty when there is none)."""
+    if days:
+        return F.regexp_extract(name, "(" + "|".join(days) + ")", 1)
+    is_day = lambda c: F.try_to_timestamp(c, F.lit("yyyyMMdd")).isNotNull()
+    first = F.regexp_extract(name, r"(\d{8})", 1)
+    return F.when(is_day(first), first).otherwise(F.coalesce(
+        F.get(F.filter(F.regexp_extract_all(name, F.lit(r"(?=(\d{8}))"), F.lit(1)), is_day), 0), F.lit("")))
 
 
 def order_glob(data_dir: str, days: list[str] | None = None) -> str:
@@ -108,21 +166,18 @@ def read_orders(spark: SparkSession, data_dir: str, days: list[str] | None = Non
         base = data_dir.rstrip("/")
         alt = "" if not days else (days[0] if len(days) == 1 else "{" + ",".join(days) + "}")
         path = f"{base}/{ORDER_GLOB}{alt}*/*" if days else f"{base}/{ORDER_GLOB}/*"
-        df = read_table_csv(spark, path, ORDERS, tokens, glob_filter="*.csv")
-        day = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?(\d{8})[^/]*/[^/]*$", 1)
+        df = _orders_csv(spark, path, days, data_dir, tokens, "*.csv")
+        day = file_day(F.regexp_extract(SOURCE_PATH, r"/([^/]*)/[^/]*$", 1), days)
     else:
         path = order_glob(data_dir, days)
-        df = read_table_csv(spark, path, ORDERS, tokens, glob_filter=ORDER_GLOB)
-        day = file_day(F.col(SOURCE_FILE))
-    # The glob may match only non-order files; inputFiles() lists the
-    # matched files from metadata without reading any data.
-    if not df.inputFiles():
-        raise FileNotFoundError(f"No order file for {days or 'any date'} in {data_dir}")
-    return df.withColumn(FILE_DAY, day)
-
-
-def read_orders_for_date(spark: SparkSession, date_str: str, data_dir: str,
-                         tokens: tuple[str, ...] = PANDAS_NULL_TOKENS) -> DataFrame:
-    """S3: the order file(s) of one day, raw. Date parsing and validation
-    follow in one tagged pass (see ``plans.pipeline.tag_orders``)."""
-    return read_orders(spark, data_dir, [date_str], tokens)
+        df = _orders_csv(spark, path, days, data_dir, tokens, ORDER_GLOB)
+        day = file_day(F.col(SOURCE_FILE), days)
+    return df.withColumn(FILE_DAY, day).drop(SOURCE_PATH)
+
+
+def _orders_csv(spark: SparkSession, path: str, days: list[str] | None, data_dir: str,
+                tokens: tuple[str, ...], glob_filter: str) -> DataFrame:
+    try:
+        return read_table_csv(spark, path, ORDERS, tokens, glob_filter)
+    except FileNotFoundError as exc:
+        raise FileNotFoundError(f"No order file for {', '.join(days) if days else 'any date'} in {data_dir}") from exc

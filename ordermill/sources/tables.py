@@ -52,16 +52,18 @@ def _status(flag: Column) -> Column:
     return expr
 
 
-def _fact_join(lines: DataFrame, orders_: DataFrame) -> DataFrame:
+def _fact_join(lines: DataFrame, orders_: DataFrame, few_orders: bool = False) -> DataFrame:
     """lineitem ⋈ orders on the order key as a sort-merge join.
 
     orders is a fact table (a quarter of lineitem's rows), so broadcasting
     it does not scale; the merge hint fixes the plan a cluster needs at
     every size. The shuffles are the ones the join requires (no explicit
     repartition): only those let AQE split the partition of an order key
-    that holds a large share of the lines.
+    that holds a large share of the lines. With ``few_orders`` (a filter on
+    some days) there is no hint: the measured size decides.
     """
-    return lines.join(orders_.hint("merge"), lines.l_orderkey == orders_.o_orderkey, "inner")
+    right = orders_ if few_orders else orders_.hint("merge")
+    return lines.join(right, lines.l_orderkey == orders_.o_orderkey, "inner")
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,25 +123,37 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
+# The date forms other than ISO in the raw orders, by key.
+# Days above 12 are read day first or month first as they fit; the dashed
+# and dotted forms put the month first only where it must be.
+RAW_DATE_FORMS = (
+    "yyyy/MM/dd", "MM/dd/yyyy", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm", "MMMM dd, yyyy", "MMM dd, yyyy",
+    "dd-MMM-yyyy", "yyyy.MM.dd", "dd MMMM yyyy", "MM-dd-yyyy", "yyyy-MM-dd hh:mm a", "yyyyMMdd",
+    "yyyy-MM-dd'T'HH:mm:ss'+02:00'",
+)
+
+
 def raw_order_date(key: Column, ts: Column) -> Column:
-    """FIXTURES §5 raw_date: by key mod 50, 0 → text, 1 → blank,
-    2 → yyyy/MM/dd, 3 → MM/dd/yyyy, else ISO."""
+    """FIXTURES §5 raw_date: by key mod 50, 0 → text, 1 → blank, 2 onwards
+    the other date forms, else ISO."""
     m = key % 50
-    return (F.when(m == 0, F.lit("garbage"))
-            .when(m == 1, F.lit(None).cast("string"))
-            .when(m == 2, F.date_format(ts, "yyyy/MM/dd"))
-            .when(m == 3, F.date_format(ts, "MM/dd/yyyy"))
-            .otherwise(_iso(ts)))
+    out = F.when(m == 0, F.lit("garbage")).when(m == 1, F.lit(None).cast("string"))
+    for i, pattern in enumerate(RAW_DATE_FORMS, start=2):
+        out = out.when(m == i, F.date_format(ts, pattern))
+    return out.otherwise(_iso(ts))
+
+
+# The dirty quantities in the raw orders, by key.
+RAW_QTY = ("-1", "abc", "2.5", "2.0", "5d", "3000000000", None, "2.7", "1e2")
 
 
 def raw_qty(m40: Column, qty_text: Column) -> Column:
-    """FIXTURES §5 raw_qty: by key mod 40, 0 → -1, 1 → text, 2 → 2.5,
-    3 → 2.0, else the line's quantity."""
-    return (F.when(m40 == 0, F.lit("-1"))
-            .when(m40 == 1, F.lit("abc"))
-            .when(m40 == 2, F.lit("2.5"))
-            .when(m40 == 3, F.lit("2.0"))
-            .otherwise(qty_text))
+    """FIXTURES §5 raw_qty: by key mod 40 one of the dirty cells, else the
+    line's quantity."""
+    out = F.when(m40 == 0, F.lit(RAW_QTY[0]))
+    for i, text in enumerate(RAW_QTY[1:], start=1):
+        out = out.when(m40 == i, F.lit(text).cast("string"))
+    return out.otherwise(qty_text)
 
 
 def raw_price(m70: Column, price_text: Column) -> Column:
@@ -204,7 +218,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None)
         F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("_price_text"),
         _status(F.col("l_returnflag")).alias("_status"),
     )
-    lines = _fact_join(li, od)
+    lines = _fact_join(li, od, few_orders=bool(days) and len(days) <= 31)
     return lines.select(
         "order_id", "order_date", "product_id",
         raw_qty(F.col("_m40"), F.col("_qty_text")).alias("qty"),
@@ -229,6 +243,16 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_keys(orders_: DataFrame) -> DataFrame:
+    """Typed orders with the product id as text, by order key mod 8 in the
+    forms 12.0, 12.7, 12d, NULL, ' 12 ', 1.2e1-like (key with e0), 12."""
+    k, p = F.col("order_id") % 8, F.col("product_id").cast("string")
+    text = (F.when(k == 0, F.concat(p, F.lit(".0"))).when(k == 1, F.concat(p, F.lit(".7")))
+            .when(k == 2, F.concat(p, F.lit("d"))).when(k == 3, F.lit(None).cast("string"))
+            .when(k == 4, F.concat(F.lit(" "), p, F.lit(" "))).when(k == 5, F.concat(p, F.lit("e0"))).otherwise(p))
+    return orders_.withColumn("product_id", text)
+
+
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory as strings: key mod 30 = 0 → stock -5, key mod 45 = 1 →
     unparseable restock date."""

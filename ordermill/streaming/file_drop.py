@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.plans import pipeline
-from ordermill.session import configure, scratch_path
+from ordermill.session import configure
 from ordermill.sources.csv_files import ORDER_GLOB, file_day
 
 # The binaryFile source's schema (streams must declare it).
@@ -60,7 +60,9 @@ def start_file_drop(spark: SparkSession, data_dir: str, output_dir: str,
                     checkpoint: str | None = None, available_now: bool = True,
                     interval: str = "1 minute") -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and
-    stops (a scheduled run); otherwise it polls every ``interval``."""
+    stops (a scheduled run); otherwise it polls every ``interval``. The
+    checkpoint, by default a folder of the output, tells a restart which
+    files it has seen."""
     configure(spark)
     # Only the names of new files are needed here (the backfill reads the
     # rows): a binaryFile stream with just ``path`` selected lists files
@@ -71,6 +73,6 @@ def start_file_drop(spark: SparkSession, data_dir: str, output_dir: str,
               .load(data_dir)
               .select("path"))
     writer = (stream.writeStream.foreachBatch(_run_days(spark, data_dir, output_dir))
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "file-drop-checkpoint")))
+              .option("checkpointLocation", checkpoint or f"{output_dir.rstrip('/')}/_file_drop_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

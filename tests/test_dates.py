@@ -37,6 +37,19 @@ def test_fallback_is_per_row_and_deterministic(spark):
     assert _parse(spark, ["01/02/2025"]) == [dt.datetime(2025, 1, 2)]
 
 
+def test_wider_fallback(spark):
+    d = dt.datetime(2025, 10, 25)
+    texts = ["2025/10/25 10:00:00", "10/25/2025 10:00", "October 25, 2025", "Oct 25, 2025", "25-Oct-2025", "25-10-2025",
+             "2025.10.25", "25 October 2025", "10-25-2025", "2025-10-25 10:00 PM"]
+    hours = [10, 10, 0, 0, 0, 0, 0, 0, 0, 22]
+    assert _parse(spark, texts) == [d.replace(hour=h) for h in hours]
+
+
+def test_an_offset_is_applied(spark):
+    assert _parse(spark, ["2025-10-25T23:30:00+02:00", "2025-10-25T23:30:00Z", "2025-10-25 23:30:00 -01:00"]) == [
+        dt.datetime(2025, 10, 25, 21, 30), dt.datetime(2025, 10, 25, 23, 30), dt.datetime(2025, 10, 26, 0, 30)]
+
+
 def test_rejects(spark):
     assert _parse(spark, ["2025-02-30", "12:00", "2025", "garbage", None, ""]) == [None] * 6
 

@@ -173,6 +173,67 @@ def test_duplicate_product_stops_the_run(spark, data_dir, tmp_path):
         pipeline.run_for_date(spark, "20251025", pipeline.csv_inputs(spark, data), dry_run=True)
 
 
+def test_backfill_records_failing_days_and_goes_on(spark, data_dir, tmp_path):
+    """One day of three cannot be read: the others are processed, in both modes."""
+    inputs = pipeline.csv_inputs(spark, data_dir)
+
+    def orders(days):
+        raw = inputs.orders(days)
+        boom = F.when(F.col("_file_day") == "20251026", F.raise_error(F.lit("cannot read this file")).cast("string"))
+        return raw.withColumn("qty", F.coalesce(boom, F.col("qty")))
+
+    broken = pipeline.Inputs(orders, inputs.products)
+    want = {"2025-10-24": ("missing", None), "2025-10-25": ("ok", 3), "2025-10-26": ("error", None)}
+    out = str(tmp_path / "o")
+    for dry in (True, False):
+        rep = pipeline.backfill(spark, "20251024", "20251026", broken, None if dry else out, dry_run=dry).collect()
+        assert {r["date"]: (r["status"], r["rows"]) for r in rep} == want
+        assert "cannot read this file" in next(r["error"] for r in rep if r["status"] == "error")
+    assert {str(r["date"]) for r in spark.read.parquet(f"{out}/processed").collect()} == {"2025-10-25"}
+
+
+def test_backfill_reports_products_that_cannot_be_joined(spark, data_dir, tmp_path):
+    inputs = pipeline.csv_inputs(spark, data_dir)
+    twice = pipeline.Inputs(inputs.orders, lambda: inputs.products().unionByName(inputs.products()))
+    none = pipeline.csv_inputs(spark, write_files(tmp_path / "d", {"order_20251025.csv": ORDERS_20251025}))
+    for products, text in ((twice, "many-to-one"), (none, "no products file")):
+        for dry in (True, False):
+            rep = pipeline.backfill(spark, "20251024", "20251025", products, str(tmp_path / "o"), dry_run=dry).collect()
+            assert [(r["status"]) for r in sorted(rep)] == ["missing", "error"]
+            assert text in next(r["error"] for r in rep if r["status"] == "error")
+    assert not (tmp_path / "o" / "processed").exists()
+
+
+def test_rerun_of_a_corrected_day_leaves_nothing_stale(spark, tmp_path):
+    head = "order_id,order_date,product_id,qty,unit_price,user_id,order_status\n"
+    good, bad = "1,2025-10-25,1001,1,1.00,1,completed\n", "2,2025-10-25,1001,-1,1.00,1,completed\n"
+    out = tmp_path / "o"
+    for text, kept in ((good + bad, (True, True)), (good, (True, False)), (bad, (False, True)), (good, (True, False))):
+        data = write_files(tmp_path / "d", {"order_20251025.csv": head + text, "products.csv": PRODUCTS})
+        for run in (lambda: pipeline.run_for_date(spark, "20251025", pipeline.csv_inputs(spark, data), str(out)),
+                    lambda: pipeline.backfill(spark, "20251025", "20251026", pipeline.csv_inputs(spark, data), str(out))):
+            run()
+            assert (out / "processed" / "date=2025-10-25").exists() == kept[0]
+            assert (out / "summaries" / "date=2025-10-25").exists() == kept[0]
+            assert (out / "bad_rows" / "dataset=orders" / "date=2025-10-25").exists() == kept[1]
+
+
+def test_dry_run_equals_write_run_on_malformed_lines(spark, tmp_path):
+    text = ("order_status,order_id,order_date,product_id,qty,unit_price,user_id,extra\n"
+            "completed,1,2025-10-25,1001,1,10.00,7,a\n"
+            "completed,2,2025-10-25,1001,1\n"
+            "completed,3,2025-10-25,1001,1,10.00,7,a,b,c\n"
+            '"com""pleted, x",4,2025-10-25,1002,1,10.00,7,"q, r"\n')
+    data = write_files(tmp_path / "d", {"order_20251025.csv": text, "products.csv": PRODUCTS})
+    inputs = pipeline.csv_inputs(spark, data)
+    runs = [pipeline.run_for_date(spark, "20251025", inputs, dry_run=True),
+            pipeline.run_for_date(spark, "20251025", inputs, str(tmp_path / "o"))]
+    for days in (True, False):
+        rep = pipeline.backfill(spark, "20251025", "20251026", inputs, str(tmp_path / "b"), dry_run=days).collect()
+        runs.append(next(r.asDict() for r in rep if r["rows"] is not None))
+    assert {(r["rows"], r["revenue"], r["bad_rows"]) for r in runs} == {(2, 20.0, 2)}
+
+
 def test_backfill_windows_give_the_same_outputs(spark, data_dir, tmp_path):
     inputs = pipeline.csv_inputs(spark, data_dir)
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
@@ -194,6 +255,12 @@ def test_command_line(spark, data_dir, tmp_path, capsys):
     assert [(x["date"], x["rows"], x["status"]) for x in lines] == [("2025-10-25", 3, "ok"), ("2025-10-26", 2, "ok")]
 
 
+def test_command_line_reports_a_failing_day(spark, data_dir, capsys):
+    from ordermill.__main__ import main
+    main(["--start-date", "20251101", "--data-dir", data_dir, "--dry-run"])
+    assert "No order file for 20251101" in json.loads(capsys.readouterr().out.strip())["error"]
+
+
 def test_writing_runs_need_an_output_folder(spark, data_dir):
     inputs = pipeline.csv_inputs(spark, data_dir)
     with pytest.raises(ValueError, match="output_dir"):

@@ -51,10 +51,24 @@ def test_filter_reaches_scan(spark):
 def test_shuffle_fallback_gives_same_answer(spark):
     o, p = tables.orders(spark, SF_SMALL), tables.products(spark, SF_SMALL)
     a = reports.daily_revenue(o, p).collect()
-    b = reports.daily_revenue(o, p, broadcast_rows=0).collect()
+    b = reports.daily_revenue(o, p, broadcast=False).collect()
     assert a == b
     assert sorted(reports.product_performance(o, p).collect()) == \
-        sorted(reports.product_performance(o, p, broadcast_rows=0).collect())
+        sorted(reports.product_performance(o, p, broadcast=False).collect())
+
+
+@pytest.mark.parametrize("plan", ["daily_category_revenue", "product_revenue", "top_products"])
+def test_lines_are_summed_before_a_shuffle_join(spark, plan):
+    """Off the broadcast path no exchange carries the order lines to the
+    products: what is joined has been summed per product (and day)."""
+    from ordermill.operators import transforms
+
+    build = getattr(transforms, plan)
+    o, p = tables.orders(spark, SF_SMALL), tables.products(spark, SF_SMALL)
+    text = build(o, p, broadcast=False)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(text.splitlines()) if "Join LeftOuter" in line)
+    assert "Aggregate [" in text.splitlines()[join + 1] or "Aggregate [" in text.splitlines()[join + 2]
+    assert sorted(map(str, build(o, p, broadcast=False).collect())) == sorted(map(str, build(o, p).collect()))
 
 
 def test_result_independent_of_shuffle_partitions(spark):

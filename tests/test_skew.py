@@ -38,7 +38,7 @@ def _products(spark):
 def test_hot_product_daily_revenue_same_both_join_paths(spark):
     o, p = _orders(spark), _products(spark)
     a = reports.daily_revenue(o, p).collect()
-    b = reports.daily_revenue(o, p, broadcast_rows=0).collect()
+    b = reports.daily_revenue(o, p, broadcast=False).collect()
     assert a == b and len(a) == o.select(F.to_date("order_date")).distinct().count()
     # whole: the sum over days equals the sum over all lines
     total = o.agg(F.sum(F.when(F.col("order_status") == "cancelled", 0)
@@ -50,7 +50,7 @@ def test_hot_product_is_pre_aggregated(spark):
     plan = status_sums(_orders(spark))._jdf.queryExecution().executedPlan().toString()
     # partial aggregate below the exchange
     assert plan.index("Exchange") < plan.rindex("HashAggregate")
-    perf = reports.product_performance(_orders(spark), _products(spark), broadcast_rows=0)
+    perf = reports.product_performance(_orders(spark), _products(spark), broadcast=False)
     row = perf.where("product_id = 7").collect()[0]
     assert row["total_units_transacted"] == row["units_sold"] + row["units_returned"]
 
@@ -122,7 +122,7 @@ def test_hot_product_is_split_when_products_are_not_broadcast(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        df = enrich_with_products(orders, products, broadcast_rows=0).select("order_id", "product_name")
+        df = enrich_with_products(orders, products, broadcast=False).select("order_id", "product_name")
         assert len(df.collect()) == n
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "skew=true" in plan

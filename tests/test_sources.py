@@ -52,11 +52,43 @@ def test_multi_day_scan_tags_file_day(spark, data_dir):
     assert csv_files.read_orders(spark, data_dir).count() == 5
 
 
-def test_reordered_header_fails_loudly(spark, tmp_path):
-    text = "product_name,product_id,category,price\nTee,1001,Apparel,1.0\n"
+def test_columns_are_bound_by_name_per_file(spark, tmp_path):
+    head = "order_id,order_date,product_id,qty,unit_price,user_id,order_status"
+    data = write_files(tmp_path / "d", {
+        "order_20251025.csv": f"{head}\n1,2025-10-25,1001,2,1.50,7,completed\n",
+        "order_20251026.csv": "qty,order_id,order_date,note,product_id,unit_price,order_status,user_id\n"
+                              "3,2,2025-10-26,hi,1002,2.00,returned,8\n4,3,2025-10-26\n",
+        "order_20251027.csv": "\ufefforder_id,order_date,product_id,unit_price\n4,2025-10-27,1001,1.00\n"})
+    rows = {r["order_id"]: r for r in csv_files.read_orders(spark, data).collect()}
+    assert (rows["1"]["qty"], rows["1"]["user_id"], rows["1"]["_corrupt_record"]) == ("2", "7", None)
+    assert (rows["2"]["qty"], rows["2"]["product_id"], rows["2"]["order_status"]) == ("3", "1002", "returned")
+    assert rows["3"]["_corrupt_record"] is not None and rows["4"]["qty"] is None and rows["4"]["_corrupt_record"] is None
+    assert {r["_file_day"] for r in rows.values()} == {"20251025", "20251026", "20251027"}
+
+
+def test_quoting(spark, tmp_path):
+    text = ('product_id,product_name,category,price\n1,"19"" Monitor, black",IT,1\n2,"a ""b"" c",x,2\n'
+            '3,"C:\\temp\\",x,3\n4,plain,x,4\n')
     data = write_files(tmp_path / "d", {"products.csv": text})
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        csv_files.read_products(spark, data).collect()
+    good, bad = V.validate_dataframe(csv_files.read_products(spark, data), PRODUCTS)
+    assert {r["product_id"]: r["product_name"] for r in good.collect()} == {
+        1: '19" Monitor, black', 2: 'a "b" c', 3: "C:\\temp\\", 4: "plain"}
+    assert bad.count() == 0
+    lines = write_files(tmp_path / "e", {"products.csv": 'product_id,product_name,category,price\n1,"two\nlines",x,1\n'})
+    whole = csv_files.read_table_csv(spark, f"{lines}/products.csv", PRODUCTS, multi_line=True)
+    assert [r["product_name"] for r in whole.collect()] == ["two\nlines"]
+
+
+def test_file_day_is_the_asked_day_or_the_first_date(spark, tmp_path):
+    from conftest import ORDERS_20251025
+    from ordermill.plans import pipeline
+
+    data = write_files(tmp_path / "d", {"store00012345_order_20251025.csv": ORDERS_20251025,
+                                        "products.csv": "product_id,product_name,category,price\n"})
+    assert {r["_file_day"] for r in csv_files.read_orders(spark, data).collect()} == {"20251025"}
+    assert {r["_file_day"] for r in csv_files.read_orders(spark, data, ["20251025"]).collect()} == {"20251025"}
+    rep = pipeline.backfill(spark, "20251025", "20251025", pipeline.csv_inputs(spark, data), dry_run=True)
+    assert [(r["rows"], r["status"]) for r in rep.collect()] == [(3, "ok")]
 
 
 def test_folder_per_day_layout(spark, data_dir, tmp_path):

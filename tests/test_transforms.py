@@ -86,20 +86,54 @@ def test_enrich_rejects_unknown_join_type(spark):
         enrich_with_products(orders, _products(spark), "cross")
 
 
-def test_many_to_one_guard(spark):
-    orders = spark.createDataFrame([(1, 1001)], "order_id long, product_id long")
+def test_many_to_one_guard_cannot_be_lost(spark):
+    """Every join type, strategy and set of columns read gives the same error."""
+    from ordermill.operators import transforms
+
+    orders = spark.createDataFrame([(1, 1001, 1, "10.00", "2025-10-25")],
+                                   "order_id long, product_id long, qty long, unit_price string, order_date string")
     dup = _products(spark, [(1001, "A", "x", 1.0), (1001, "B", "y", 2.0)])
-    with pytest.raises(ValueError, match="duplicate"):
-        enrich_with_products(orders, dup)
+    fails = lambda: pytest.raises(Exception, match="join is not many-to-one: products has duplicate product_id 1001")
+    for broadcast in (True, False):
+        for how in ("left", "inner", "right", "outer"):
+            joined = enrich_with_products(orders, dup, how, broadcast=broadcast)
+            for read in (lambda: joined.collect(), lambda: joined.count(), lambda: joined.groupBy("category").count().collect(),
+                         lambda: joined.select("order_id").collect()):
+                with fails():
+                    read()
+        for plan in (transforms.daily_category_revenue, transforms.product_revenue, transforms.top_products):
+            with fails():
+                plan(orders, dup, broadcast=broadcast).collect()
     assert enrich_with_products(orders, dup, validate=False).count() == 2
 
 
-def test_lazy_guard_in_used_column(spark):
-    from ordermill.operators.joins import guard_unique
+def test_join_types_keep_both_sides(spark):
+    orders = spark.createDataFrame([(1, 1001), (2, 5), (3, None)], "order_id long, product_id long")
+    products = _products(spark, [(1001, "A", "x", 1.0), (1002, "B", None, 2.0)])
+    for broadcast in (True, False):
+        got = {how: sorted((r["order_id"] or 0, r["product_id"] or 0, r["product_name"], r["category"])
+                           for r in enrich_with_products(orders, products, how, broadcast=broadcast).collect())
+               for how in ("left", "inner", "right", "outer")}
+        unknown = ("unknown_product", "unknown_category")
+        hit, sold, lost, none = (1, 1001, "A", "x"), (0, 1002, "B", "unknown_category"), (2, 5, *unknown), (3, 0, *unknown)
+        assert got == {"left": [hit, lost, none], "inner": [hit], "right": [sold, hit], "outer": [sold, hit, lost, none]}
 
-    dup = _products(spark, [(1001, "A", "x", 1.0), (1001, "B", "y", 2.0)])
-    with pytest.raises(Exception, match="duplicate product_id"):
-        guard_unique(dup, "product_id", "product_name").select("product_name").collect()
+
+def test_text_keys_and_quantities_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("1001", "2"), ("1001.0", "2.7"), ("1001.7", "5d"), ("1001d", "3000000000"), (" 1001 ", None), ("1.001e3", "1e2"),
+            ("9007199254740993.0", "9007199254740993.9"), (None, "abc"), ("x", "-2.5"), ("", ".5")]
+    df = spark.createDataFrame([(i, k, q, "1.5") for i, (k, q) in enumerate(rows)],
+                               "order_id int, product_id string, qty string, unit_price string")
+    out = enrich_with_products(add_order_total(df), _products(spark)).orderBy("order_id").collect()
+    assert [r["product_id"] for r in out] == [1001, 1001, None, None, 1001, 1001, 9007199254740993, None, None, None]
+    assert [r["qty"] for r in out] == [2, 2, 0, 3000000000, 0, 100, 9007199254740993, 0, -2, 0]
+    typed = spark.createDataFrame([(None, 2.0), (3000000000, None), (2, 1e30), (1, float("nan"))], "qty long, unit_price double")
+    totals = [r["order_total"] for r in add_order_total(typed).collect()]
+    assert [None if t is None else float(t) for t in totals] == [0.0, 0.0, None, 0.0]
+    big = spark.createDataFrame([("3", "1000000000000.25"), ("1", "1e40"), ("1", "inf"), ("1", "free")], "qty string, unit_price string")
+    assert [r[0] for r in add_order_total(big).select(F.col("order_total").cast("string")).collect()] == ["3000000000000.75", None, "0.00", "0.00"]
 
 
 def test_date_iso_requires_column(spark):
@@ -140,15 +174,6 @@ def test_top_per_group_ties_and_nulls(spark):
     assert out == {"d": (None, 5.0, 15.0), "e": ("y", 1.0, 1.0)}
 
 
-def test_guard_rides_on_shuffle_join_for_big_products(spark):
-    orders = spark.createDataFrame([(1, 1001), (2, 1002)], "order_id long, product_id long")
-    dup = _products(spark, [(1001, "A", "x", 1.0), (1001, "B", "y", 2.0), (1002, "C", "z", 3.0)])
-    with pytest.raises(Exception, match="duplicate product_id"):
-        enrich_with_products(orders, dup, broadcast_rows=0).collect()
-    ok = enrich_with_products(orders, _products(spark), broadcast_rows=0)
-    assert sorted(r["product_name"] for r in ok.collect()) == ["Shoes", "Tee"]
-
-
 def test_return_rate_is_exact_half_up(spark):
     from pyspark.sql import functions as F
     from ordermill.functions.numeric import percent_half_up
