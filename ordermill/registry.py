@@ -13,11 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import aggregate
-from ordermill.operators.joins import DEFAULT_BROADCAST_ROWS
+from ordermill.operators import transforms
 from ordermill.operators import validate as V
-from ordermill.operators.transforms import (add_order_date_iso, add_order_total,
-                                            compute_daily_category_revenue, enrich_with_products,
-                                            top_n_products_by_revenue)
+from ordermill.operators.transforms import add_order_date_iso, add_order_total, enrich_with_products
 from ordermill.plans import pipeline, profile, reports
 from ordermill.schemas import INVENTORY, ORDERS, PRODUCTS
 from ordermill.session import configure, scratch_path
@@ -26,9 +24,7 @@ from ordermill.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The full order-date range of the driver's tables (the
-# backfill's parameters) and the split day of the two-table union.
-BACKFILL_START, BACKFILL_END = "1995-01-01", "2001-08-01"
+# Fixed value: the split day of the two-table union.
 UNION_SPLIT = "1998-01-01 00:00:00"
 
 
@@ -80,7 +76,7 @@ def u1_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = tables.orders(spark, sf_dir)
     split = F.lit(UNION_SPLIT).cast("timestamp_ntz")
     first = o.where(F.col("order_date") < split)
-    second = o.where(F.col("order_date") >= split).select(*reversed(o.columns))
+    second = o.where((F.col("order_date") >= split) | F.col("order_date").isNull()).select(*reversed(o.columns))
     out = first.unionByName(second)
     return out.select("order_id", "order_date", "product_id", "qty", _dbl("unit_price"),
                       "user_id", "order_status")
@@ -128,16 +124,43 @@ def j2_enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _dbl("product_price"), _dbl("order_total"))
 
 
+def _enriched_half(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    """Enrichment where either side has rows without a partner: orders of
+    parts with an odd key, and all valid products."""
+    totals = add_order_total(tables.orders(spark, sf_dir).where(F.col("product_id") % 2 == 1))
+    return enrich_with_products(totals, _valid_products(spark, sf_dir), how).select(
+        "order_id", "product_id", "product_name", "category", _dbl("product_price"), _dbl("order_total"))
+
+
+def j2_enrich_right(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Right enrichment; products without orders stay."""
+    configure(spark)
+    return _enriched_half(spark, sf_dir, "right")
+
+
+def j2_enrich_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outer enrichment; neither side loses rows."""
+    configure(spark)
+    return _enriched_half(spark, sf_dir, "outer")
+
+
+def c7_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text product ids matched as integers; others match nothing."""
+    configure(spark)
+    out = enrich_with_products(tables.text_keys(tables.orders(spark, sf_dir)), _valid_products(spark, sf_dir))
+    return out.select("order_id", "qty", "product_id", "product_name")
+
+
 def a1_daily_category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: revenue and units per (ISO day, category), every status counted."""
     configure(spark)
-    return compute_daily_category_revenue(_enriched(spark, sf_dir))
+    return transforms.daily_category_revenue(tables.orders(spark, sf_dir), _valid_products(spark, sf_dir))
 
 
 def t1_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten products with the highest revenue, ranked."""
     configure(spark)
-    return top_n_products_by_revenue(_enriched(spark, sf_dir), 10)
+    return transforms.top_products(tables.orders(spark, sf_dir), _valid_products(spark, sf_dir), 10)
 
 
 # --- cleaning and validation on raw rows (C3, C6, V2–V7) --------------------
@@ -226,20 +249,73 @@ def a6_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.count_if(~F.col(pipeline.GOOD)).alias("bad_rows"))
 
 
+def _date_range(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The first and last order day of the table (one aggregate of one column)."""
+    low, high = tables.table(spark, sf_dir, "orders").agg(
+        F.date_format(F.min("o_orderdate"), "yyyyMMdd"), F.date_format(F.max("o_orderdate"), "yyyyMMdd")).first()
+    return low, high
+
+
 def p3_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 (dry run) over the tables' full date range: one row per day."""
     configure(spark)
-    return pipeline.backfill(spark, BACKFILL_START, BACKFILL_END,
+    return pipeline.backfill(spark, *_date_range(spark, sf_dir),
                              pipeline.table_inputs(spark, sf_dir), dry_run=True)
 
 
+def p3_backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 (writing) over the full range: the report next to what the
+    written day partitions hold."""
+    configure(spark)
+    out = scratch_path(spark, "backfill")
+    report = pipeline.backfill(spark, *_date_range(spark, sf_dir), pipeline.table_inputs(spark, sf_dir),
+                               out, window_days=1000)
+    held = spark.read.parquet(f"{out}/processed").groupBy(F.col("date").cast("string").alias("date")).agg(
+        F.count(F.lit(1)).alias("rows_held"), F.round(F.sum("order_total"), 2).cast("double").alias("revenue_held"))
+    return report.join(held, "date", "left").select("date", "rows", "revenue", "bad_rows", "status", "rows_held", "revenue_held")
+
+
+def _last_day(spark: SparkSession, sf_dir: str) -> str:
+    return _date_range(spark, sf_dir)[1]
+
+
+def p1_run_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of the table's last day, from its written outputs: the
+    processed rows, then the rejected ones (with their error)."""
+    configure(spark)
+    out = scratch_path(spark, "run-day")
+    pipeline.run_for_date(spark, _last_day(spark, sf_dir), pipeline.table_inputs(spark, sf_dir), out)
+    summary = spark.read.schema("rows bigint, revenue double, run_date string, date string").json(f"{out}/summaries")
+    good = spark.read.parquet(f"{out}/processed").select(
+        F.col("date").cast("string").alias("date"), F.col("order_id").cast("string").alias("order_id"),
+        F.col("qty").cast("string").alias("qty"), "product_name", _dbl("order_total"), F.lit(None).cast("string").alias("error"))
+    bad = spark.read.option("header", True).option("escape", '"').csv(f"{out}/bad_rows/dataset=orders").select(
+        F.col("date").cast("string").alias("date"), "order_id", "qty", F.lit(None).cast("string").alias("product_name"),
+        F.lit(None).cast("double").alias("order_total"), F.coalesce("_parse_error", "_error").alias("error"))
+    return good.unionByName(bad).join(summary.select("date", F.col("rows").alias("day_rows"), F.col("revenue").alias("day_revenue")), "date", "left")
+
+
+def p2_no_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose rows are all rejected: nothing is processed, and the
+    rejected rows are written."""
+    configure(spark)
+    out = scratch_path(spark, "run-empty")
+    inputs = pipeline.table_inputs(spark, sf_dir)
+    no_qty = pipeline.Inputs(lambda days: inputs.orders(days).withColumn("qty", F.lit("-1")), inputs.products)
+    done = pipeline.run_for_date(spark, _last_day(spark, sf_dir), no_qty, out)
+    bad = spark.read.option("header", True).csv(f"{out}/bad_rows/dataset=orders")
+    return bad.groupBy(F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("bad_rows")).withColumns(
+        {"rows": F.lit(done["rows"]).cast("bigint"), "revenue": F.lit(done["revenue"]),
+         "processed": F.lit(done["parquet_path"] is not None)})
+
+
 # --- sinks, read back (W1–W3) ----------------------------------------------
 
 def w1_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched valid orders written date-partitioned, read back."""
     configure(spark)
     enriched = pipeline.enrich(pipeline.good_orders(_tagged(spark, sf_dir)),
-                               _valid_products(spark, sf_dir), DEFAULT_BROADCAST_ROWS)
+                               _valid_products(spark, sf_dir))
     out = scratch_path(spark, "processed")
     files.write_parquet_partition(enriched, out, "date")
     back = spark.read.parquet(out)
@@ -269,6 +345,15 @@ def w3_bad_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("order_id", "order_date", "qty", "unit_price", V.PARSE_ERROR, V.ERROR)
 
 
+def w4_bad_rows_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad order rows filed under their day, read back with it."""
+    configure(spark)
+    out = scratch_path(spark, "bad_rows")
+    files.write_bad_rows(pipeline.bad_orders(_tagged(spark, sf_dir)), out, "orders", None)
+    back = spark.read.option("header", True).option("escape", '"').csv(f"{out}/dataset=orders")
+    return back.select(F.col("date").cast("string").alias("date"), "order_id", "qty", V.PARSE_ERROR, V.ERROR)
+
+
 # --- profiling (A7, A8, P7) --------------------------------------------------
 
 def a7_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +384,38 @@ def c1_strict_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
                       parse_strict(F.col("order_date"), "%Y-%m-%d").alias("order_ts"))
 
 
+def c2_formatless_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flexible parse alone, with no strict format."""
+    from ordermill.functions.dates import parse_date
+
+    configure(spark)
+    return tables.raw_orders(spark, sf_dir).select("order_id", "order_date", parse_date(F.col("order_date"), None).alias("order_ts"))
+
+
+def c9_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ISO day of an order date that is still text."""
+    configure(spark)
+    out = add_order_date_iso(tables.raw_orders(spark, sf_dir))
+    return out.select("order_id", "order_date_iso")
+
+
+def a9_emptiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the good and the bad channel of each day have rows, as a
+    run decides on its outputs; A6's totals beside it."""
+    configure(spark)
+    good = pipeline.good_orders(_tagged(spark, sf_dir))
+    totals = aggregate.run_totals(add_order_total(good))
+    return totals.withColumns({"no_good": F.lit(aggregate.is_empty(good)),
+                               "no_negative": F.lit(aggregate.is_empty(good.where("qty < 0")))})
+
+
+def t5_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the first five products by id (the limit is the feature)."""
+    configure(spark)
+    return profile.head_preview(tables.products(spark, sf_dir).orderBy("product_id"), 5).select(
+        "product_id", "product_name", "category", _dbl("price"))
+
+
 def c5_alias_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differently cased / named columns are found and totalled."""
     configure(spark)
@@ -317,7 +434,7 @@ def v5_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a2_product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: revenue and units per (product id, name, category)."""
     configure(spark)
-    out = aggregate.product_revenue(_enriched(spark, sf_dir))
+    out = transforms.product_revenue(tables.orders(spark, sf_dir), _valid_products(spark, sf_dir))
     return out.select("product_id", "product_name", "category", _dbl("total_revenue"), "total_units")
 
 
@@ -377,6 +494,34 @@ def s2_inventory_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("product_id", "warehouse_id", "stock_on_hand", "last_restock_date")
 
 
+def s6_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product file with short, long and quoted lines; the error of
+    every row ('' for a good one), though no other column is read."""
+    from ordermill.sources import csv_files
+
+    configure(spark)
+    raw = tables.raw_products(spark, sf_dir)
+    k = F.col("product_id").cast("bigint") % 20
+    quoted = F.concat(F.lit('"19"" '), F.col("product_name"), F.lit(', black"'))
+    name = F.when(k == 2, quoted).otherwise(F.col("product_name"))
+    cells = [F.col("product_id"), name, F.coalesce("category", F.lit("")), F.col("price")]
+    line = F.when(k == 5, F.concat_ws(",", *cells[:2])).when(k == 6, F.concat_ws(",", *cells, F.lit("extra"))).otherwise(
+        F.concat_ws(",", *cells))
+    base = scratch_path(spark, "csv-lines")
+    _with_headers(raw.select(F.col("product_id"), line.alias("value")), "product_id,product_name,category,price", f"{base}/products.csv")
+    tagged = V.tag(csv_files.read_products(spark, base), PRODUCTS)
+    return tagged.select("product_id", "product_name", V.ERROR)
+
+
+def _with_headers(lines: DataFrame, header: str, path: str, files_: int = 16) -> None:
+    """Write text lines to files that each begin with the header line."""
+    spark = lines.sparkSession
+    body = lines.select(F.pmod(F.xxhash64("product_id"), F.lit(files_)).alias("part"), F.lit(1).alias("at"), "value")
+    heads = spark.range(files_).select(F.col("id").alias("part"), F.lit(0).alias("at"), F.lit(header).alias("value"))
+    (body.unionByName(heads).repartition("part").sortWithinPartitions("part", "at")
+     .select("part", "value").write.partitionBy("part").text(path))
+
+
 def s3_orders_csv_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3/S4 + P3 on CSV: the whole raw orders table written as one daily
     order file per day (a folder of part files each), then the backfill
@@ -388,7 +533,7 @@ def s3_orders_csv_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
                             base, "file", "csv")
     _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/products.csv")
     inputs = pipeline.csv_inputs(spark, base, layout="folders")
-    return pipeline.backfill(spark, BACKFILL_START, BACKFILL_END, inputs, dry_run=True)
+    return pipeline.backfill(spark, *_date_range(spark, sf_dir), inputs, dry_run=True)
 
 
 def _csv_copy_to(df: DataFrame, path: str) -> None:
@@ -407,6 +552,9 @@ def queries() -> dict[str, Query]:
         "f2_order_date_iso": f2_order_date_iso,
         "j1_enrich_left": j1_enrich_left,
         "j2_enrich_inner": j2_enrich_inner,
+        "j2_enrich_right": j2_enrich_right,
+        "j2_enrich_outer": j2_enrich_outer,
+        "c7_text_keys": c7_text_keys,
         "a1_daily_category_revenue": a1_daily_category_revenue,
         "t1_top_products": t1_top_products,
         "c3_dates_good": c3_dates_good,
@@ -419,6 +567,15 @@ def queries() -> dict[str, Query]:
         "v4_inventory_bad": v4_inventory_bad,
         "a6_run_summary": a6_run_summary,
         "p3_backfill": p3_backfill,
+        "p3_backfill_written": p3_backfill_written,
+        "p1_run_day": p1_run_day,
+        "p2_no_valid_rows": p2_no_valid_rows,
+        "w4_bad_rows_by_date": w4_bad_rows_by_date,
+        "c2_formatless_dates": c2_formatless_dates,
+        "c9_text_dates": c9_text_dates,
+        "a9_emptiness": a9_emptiness,
+        "t5_head": t5_head,
+        "s6_malformed": s6_malformed,
         "w1_parquet_roundtrip": w1_parquet_roundtrip,
         "w2_summary_roundtrip": w2_summary_roundtrip,
         "w3_bad_csv_roundtrip": w3_bad_csv_roundtrip,
