@@ -44,7 +44,9 @@ BATCHES = 4
 #: Hits of one name beyond which it is dealt out by tiles of so many offsets.
 HOT, TILE = 20_000, 7
 #: Bytes of text a task samples at a time, suffixes it packs at a time, hits it compares at a time.
-STEP, PACK, SLICE = 1 << 20, 1_500_000, 50_000
+STEP, PACK, SLICE = 1 << 18, 400_000, 50_000
+#: Documents of a batch whose texts a task holds at a time.
+ROWS = 256
 NULL_ID = -(1 << 63)
 
 _random = np.random.default_rng(20_240_601)
@@ -158,6 +160,21 @@ def _merge(arrays: list[Suffixes]) -> Suffixes:
     return tuple(c[order] for c in joined)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
+def _lists(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Each row of an array-of-structs column as one NumPy array per field."""
+    column = batch.column(name)
+    fields = [f.to_numpy(zero_copy_only=False) for f in column.values.flatten()]
+    offsets = column.offsets.to_numpy()
+    for a, b in zip(offsets[:-1], offsets[1:]):
+        yield tuple(f[a:b] for f in fields)
+
+
 def _suffix_arrays(docs: DataFrame, bounds: list[int], shards: int, length: int) -> DataFrame:
     """(batch, shard, suffix array): sorted runs of each task's documents."""
 
@@ -175,7 +192,7 @@ def _suffix_arrays(docs: DataFrame, bounds: list[int], shards: int, length: int)
                         row = _pack(tuple(c[cuts[k]:cuts[k + 1]] for c in s))
                         yield pa.RecordBatch.from_pylist([{"batch": batch, "shard": k, **row}], schema=_ROW)
 
-        for batch in batches:
+        for batch in _pieces(batches):
             refs, ties = batch.column("ref").to_numpy(), batch.column("tie").to_numpy()
             numbers = np.searchsorted(np.array(bounds, np.int64), refs, side="left")
             for i, places, names in sampled(texts(batch), length):
@@ -254,12 +271,10 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
     back = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ref, tie, text, hits in zip(*(batch.column(c).to_pylist() for c in ("ref", "tie", "text", "hits"))):
-                b = np.frombuffer(text.encode() if isinstance(text, str) else text or b"", np.uint8)
-                place = np.array([h["place"] for h in hits], np.int64)
-                name = np.array([h["name"] for h in hits], np.int64).view(np.uint64)
-                hot = np.array([h["hot"] for h in hits], bool)
+        for batch in _pieces(batches):
+            for ref, tie, text, (place, name, hot) in zip(batch.column("ref").to_pylist(), batch.column("tie").to_pylist(),
+                                                          texts(batch), _lists(batch, "hits")):
+                b, name = np.frombuffer(text, np.uint8), name.view(np.uint64)
                 order = np.unique(place, return_index=True)[1]
                 place, name, hot = place[order], name[order], hot[order]
                 padded = np.concatenate([np.zeros(back, np.uint8), b, np.zeros(length, np.uint8)])
@@ -294,15 +309,26 @@ def repeated(names: np.ndarray, low: np.ndarray, high: np.ndarray, around: np.nd
     """For hits sorted by (name, place): which of their strings, by the
     offset of the gram, an earlier hit of the same name (or ``seen``) has.
     ``seen`` gets the string hashes of the last name."""
-    n, back = len(names), length - GRAM
-    out = np.zeros((n, back + 1), bool)
+    back = length - GRAM
+    out = np.zeros((len(names), back + 1), bool)
     bytes_ = np.ascontiguousarray(around.T)
+    salted = names * _MIX
+    whole = salted ^ (low.astype(np.uint64) << np.uint64(32)) ^ high.astype(np.uint64)
+    for column in bytes_:
+        whole = whole * _BASE + _TABLE[column]
+    order = np.argsort(whole, kind="stable")
+    again = order[1:][whole[order[1:]] == whole[order[:-1]]]  # all bytes around as before: every string is
+    offsets = np.arange(back + 1)
+    out[again] = (low[again, None] <= offsets) & (offsets <= high[again, None])
+    first = np.ones(len(names), bool)
+    first[again] = False
+    rows = np.flatnonzero(first)
+    bytes_, salted, low, high = np.ascontiguousarray(bytes_[:, first]), salted[first], low[first], high[first]
+    last = names[first] == names[-1]
     top = np.uint64(pow(int(_BASE), length, 1 << 64))
-    h = np.zeros(n, np.uint64)
+    h = np.zeros(len(rows), np.uint64)
     for j in range(length):
         h = h * _BASE + _TABLE[bytes_[j]]
-    salted = names * _MIX
-    last = names == names[-1]
     for start in range(back + 1):  # the string from column ``start``: offset back - start
         offset = back - start
         use = np.flatnonzero((low <= offset) & (offset <= high))
@@ -310,12 +336,12 @@ def repeated(names: np.ndarray, low: np.ndarray, high: np.ndarray, around: np.nd
             key = (h[use] ^ salted[use]) * _BASE
             order = np.argsort(key, kind="stable")
             ranked = key[order]
-            out[use[order[1:]], offset] = ranked[1:] == ranked[:-1]
+            out[rows[use[order[1:]]], offset] = ranked[1:] == ranked[:-1]
             if seen is not None:
                 if offset in seen and len(seen[offset]):
                     old = seen[offset]
                     at = np.minimum(np.searchsorted(old, key), len(old) - 1)
-                    out[use, offset] |= old[at] == key
+                    out[rows[use], offset] |= old[at] == key
                 seen[offset] = np.union1d(seen.get(offset, key[:0]), key[last[use]])
         if start < back:
             h = h * _BASE + _TABLE[bytes_[start + length]] - top * _TABLE[bytes_[start]]
@@ -379,24 +405,17 @@ def _compare(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.mapInArrow(run, "ref bigint, tie bigint, start bigint, end bigint")
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                  ("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-
-
-def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
-    """The bytes left and the maximal removed runs."""
-    runs: list[list[int]] = []
-    for a, b in sorted(spans):
-        a, b = max(0, a), min(b, len(text))
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        elif a < b:
-            runs.append([a, b])
-    left, at = [], 0
-    for a, b in runs:
-        left.append(text[at:a])
-        at = b
-    return b"".join([*left, text[at:]]), [(a, b) for a, b in runs]
+def cut(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The bytes left, and the starts and ends of the maximal removed runs."""
+    order = np.argsort(start, kind="stable")
+    start, end = np.maximum(start[order], 0), np.minimum(end[order], len(text))
+    if not len(start):
+        return text, start, end
+    reach = np.maximum.accumulate(end)
+    first = np.concatenate([[True], start[1:] > reach[:-1]])
+    start, end = start[first], reach[np.append(np.flatnonzero(first)[1:] - 1, len(reach) - 1)]
+    edges = [0, *np.column_stack([start, end]).ravel().tolist(), len(text)]
+    return b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2])]), start, end
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, shards: int | None = None) -> DataFrame:
@@ -411,11 +430,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
         raise ValueError(f"strings of at least {GRAM + 8} bytes")
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     plain = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("ref"), F.coalesce("text", F.lit("")).alias("text"))
-    facts = plain.select("ref").agg(F.count("ref").alias("n"), F.count_distinct("ref").alias("d"),
-                                    F.percentile_approx("ref", [k / batches for k in range(1, batches)] or [0.5])).first()
+    facts = plain.agg(F.count("ref").alias("n"), F.count_distinct("ref").alias("d")).first()
     tie = F.lit(0).cast("bigint") if facts.n == facts.d else F.xxhash64("text")
     rows = plain.select("ref", tie.alias("tie"), "text")
-    bounds = sorted(set(facts[2] or []))[:max(0, batches - 1)]
+    parts = [k / batches for k in range(1, batches)]
+    bounds = sorted(set(plain.agg(F.percentile_approx("ref", parts, 100)).first()[0] or [])) if parts else []
 
     path = scratch_path(spark, "suffix-batches")
     _suffix_arrays(rows, bounds, shards, length).write.partitionBy("batch").parquet(path)
@@ -448,15 +467,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     spans = spans.groupBy("ref", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def finish(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_:
-            out = []
-            for ref, text, found_ in zip(batch.column("ref").to_pylist(), texts(batch), batch.column("spans").to_pylist()):
-                left, runs = cut(text, [(s["start"], s["end"]) for s in found_ or []])
-                out.append({"doc_id": None if ref == NULL_ID else ref, "n_bytes": len(text), "n_removed": len(text) - len(left),
-                            "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest(),
-                            "spans": [{"start": a, "end": b} for a, b in runs]})
-            yield pa.RecordBatch.from_pylist(out, schema=_OUT)
-
-    return rows.join(spans, ["ref", "tie"], "left").select("ref", "text", "spans").mapInArrow(
+        for batch in _pieces(batches_):
+            size, removed, sha, starts, ends = [], [], [], [], []
+            for text, (start, end) in zip(texts(batch), _lists(batch, "spans")):
+                left, start, end = cut(text, start, end)
+                size.append(len(text))
+                removed.append(len(text) - len(left))
+                sha.append(hashlib.sha256(left).hexdigest())
+                starts.append(start)
+                ends.append(end)
+            runs = np.array([len(x) for x in starts], np.int64)
+            both = pa.StructArray.from_arrays([pa.array(np.concatenate(starts), pa.int64()), pa.array(np.concatenate(ends), pa.int64())], ["start", "end"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs), pa.array(sha, pa.string()),
+                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(runs)]), pa.int32()), both)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+
+    nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return rows.join(spans, ["ref", "tie"], "left").select(
+        F.nullif("ref", F.lit(NULL_ID)).alias("doc_id"), "text", F.coalesce("spans", nothing).alias("spans")).mapInArrow(
         finish, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
                 "spans array<struct<start: bigint, end: bigint>>")
