@@ -9,16 +9,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The ordered fallback list used when the strict format
-# fails. "ISO" stands for an ISO timestamp with a
-# time of day, parsed by a guarded cast.
-FALLBACK_FORMATS = (
-    "yyyy-M-d", "ISO", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "yyyyMMdd",
-    "M-d-yyyy", "d-M-yyyy", "yyyy.M.d", "d.M.yyyy",
-    "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy",
-    "yyyy/M/d H:m:s", "yyyy/M/d H:m", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "d/M/yyyy H:m:s", "d/M/yyyy H:m",
-    "yyyy-M-d h:m a", "M/d/yyyy h:m a",
-)
+# What the fallback reads when the strict format fails
+# (SURVEY §2.12 item 5), after an ISO date or timestamp: the shape of the
+# text (# four digits, 9 other digits, a letters) and the formats it may
+# have, the first that parses taken. Where day and month could be swapped
+# the month comes first, except in dotted dates.
+FALLBACK_FORMATS = {
+    "#-9-9": ("yyyy-M-d",),
+    "#/9/9": ("yyyy/M/d",),
+    "#.9.9": ("yyyy.M.d",),
+    "##": ("yyyyMMdd",),
+    "9/9/#": ("M/d/yyyy", "d/M/yyyy"),
+    "9-9-#": ("M-d-yyyy", "d-M-yyyy"),
+    "9.9.#": ("d.M.yyyy",),
+    "9 a #": ("d MMM yyyy", "d MMMM yyyy"),
+    "9-a-#": ("d-MMM-yyyy",),
+    "a 9, #": ("MMM d, yyyy", "MMMM d, yyyy"),
+    "#/9/9 9:9": ("yyyy/M/d H:m",),
+    "#/9/9 9:9:9": ("yyyy/M/d H:m:s",),
+    "9/9/# 9:9": ("M/d/yyyy H:m", "d/M/yyyy H:m"),
+    "9/9/# 9:9:9": ("M/d/yyyy H:m:s", "d/M/yyyy H:m:s"),
+    "#-9-9 9:9 a": ("yyyy-M-d h:m a",),
+    "9/9/# 9:9 a": ("M/d/yyyy h:m a",),
+}
 
 # Guard for the ISO step: a bare cast accepts '12:00' (today at noon) and
 # '2025' (1 January), so require a full date followed by a time part.
@@ -82,21 +95,31 @@ def parse_strict(c: Column, fmt: str | None) -> Column:
     return _one_format(c, fmt)
 
 
-def parse_fallback(c: Column, formats: tuple[str, ...] = FALLBACK_FORMATS) -> Column:
-    """C3 fallback: first format of the fixed list that parses, per row.
-    Surrounding blanks are ignored here (the strict format keeps them)."""
+def _shape(c: Column) -> Column:
+    years = F.regexp_replace(c, r"\d{4}", "#")
+    return F.regexp_replace(F.regexp_replace(years, "[a-zA-Z]+", "a"), r"\d+", "9")
+
+
+def parse_fallback(c: Column) -> Column:
+    """C3 fallback: the first format of the text's shape that parses, per
+    row. Surrounding blanks are ignored here (the strict format keeps
+    them). Looking the formats up by shape instead of trying each in turn
+    keeps the generated code small and a hopeless text cheap."""
     t = F.trim(c)
-    return F.coalesce(*[_one_format(t, f) for f in formats])
+    tries = []
+    for i in (0, 1):
+        pairs = [x for shape, formats in FALLBACK_FORMATS.items() if len(formats) > i for x in (F.lit(shape), F.lit(formats[i]))]
+        tries.append(F.try_to_timestamp(t, F.try_element_at(F.create_map(*pairs), _shape(t))).cast("timestamp_ntz"))
+    return F.coalesce(_one_format(t, "yyyy-M-d"), _one_format(t, "ISO"), *tries)
 
 
-def parse_date(c: Column, fmt: str | None = "%Y-%m-%d",
-               formats: tuple[str, ...] = FALLBACK_FORMATS) -> Column:
-    """Strict format first, fallback list (on the trimmed text) for the
-    rows it rejects; ``coalesce`` stops at the first hit, so a row the
-    strict format parses is parsed once."""
+def parse_date(c: Column, fmt: str | None = "%Y-%m-%d") -> Column:
+    """Strict format first, fallback (on the trimmed text) for the rows it
+    rejects; ``coalesce`` stops at the first hit, so a row the strict
+    format parses is parsed once."""
     if fmt is None:
-        return parse_fallback(c, formats)
-    return F.coalesce(parse_strict(c, fmt), parse_fallback(c, formats))
+        return parse_fallback(c)
+    return F.coalesce(parse_strict(c, fmt), parse_fallback(c))
 
 
 def ensure_timestamp(c: Column, is_timestamp: bool) -> Column:

@@ -184,7 +184,7 @@ def parse_sql(c: str) -> str:
       try_strptime({t}, '%Y-%m-%d'),
       CASE WHEN regexp_matches({t}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}[ T][0-9:.]+\\s*([zZ]|[+-]\\d{{2}}:?\\d{{2}})$')
            THEN timezone('UTC', TRY_CAST({t} AS TIMESTAMPTZ))
-           WHEN regexp_matches({t}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}[ T]') THEN TRY_CAST({t} AS TIMESTAMP) END,
+           WHEN regexp_matches({t}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}[ T][0-9:.]+$') THEN TRY_CAST({t} AS TIMESTAMP) END,
       {others})"""
 
 
@@ -356,15 +356,8 @@ V6_BAD_UNION = _with(TAGGED_ORDERS) + """
 SELECT order_id, order_date, product_id, qty, unit_price, _parse_error, NULL AS _error
 FROM tagged_orders WHERE ts IS NULL
 UNION ALL
-SELECT order_id, strftime(ts, '%Y-%m-%d') AS order_date, product_id, qty, unit_price,
-       NULL AS _parse_error,
-       concat_ws('; ', """ + msg_int("order_id") + """, """ + msg_int("product_id") + """,
-                 """ + msg_int("qty", ge=True, typ="BIGINT") + """, """ + msg_num("unit_price") + """,
-                 """ + msg_int("user_id", required=False) + """) AS _error
-FROM tagged_orders
-WHERE ts IS NOT NULL AND concat_ws('; ', """ + msg_int("order_id") + """, """ + msg_int("product_id") + """,
-      """ + msg_int("qty", ge=True, typ="BIGINT") + """, """ + msg_num("unit_price") + """,
-      """ + msg_int("user_id", required=False) + """) <> ''
+SELECT order_id, strftime(ts, '%Y-%m-%d') AS order_date, product_id, qty, unit_price, NULL AS _parse_error, _error
+FROM tagged_orders WHERE ts IS NOT NULL AND _error <> ''
 """
 
 V3_PRODUCTS_BAD = _with(VALID_PRODUCTS) + """

@@ -284,15 +284,18 @@ def p1_run_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     processed rows, then the rejected ones (with their error)."""
     configure(spark)
     out = scratch_path(spark, "run-day")
-    pipeline.run_for_date(spark, _last_day(spark, sf_dir), pipeline.table_inputs(spark, sf_dir), out)
+    done = pipeline.run_for_date(spark, _last_day(spark, sf_dir), pipeline.table_inputs(spark, sf_dir), out)
     summary = spark.read.schema("rows bigint, revenue double, run_date string, date string").json(f"{out}/summaries")
     good = spark.read.parquet(f"{out}/processed").select(
         F.col("date").cast("string").alias("date"), F.col("order_id").cast("string").alias("order_id"),
         F.col("qty").cast("string").alias("qty"), "product_name", _dbl("order_total"), F.lit(None).cast("string").alias("error"))
+    day = summary.select("date", F.col("rows").alias("day_rows"), F.col("revenue").alias("day_revenue"))
+    if not done["bad_rows"]:  # no such file then
+        return good.join(day, "date", "left")
     bad = spark.read.option("header", True).option("escape", '"').csv(f"{out}/bad_rows/dataset=orders").select(
         F.col("date").cast("string").alias("date"), "order_id", "qty", F.lit(None).cast("string").alias("product_name"),
         F.lit(None).cast("double").alias("order_total"), F.coalesce("_parse_error", "_error").alias("error"))
-    return good.unionByName(bad).join(summary.select("date", F.col("rows").alias("day_rows"), F.col("revenue").alias("day_revenue")), "date", "left")
+    return good.unionByName(bad).join(day, "date", "left")
 
 
 def p2_no_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

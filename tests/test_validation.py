@@ -61,7 +61,7 @@ def test_string_rules_lax_integers(spark):
     assert errs[None] == "qty: field required"
     good = V.good_rows(V.tag(df, ORDERS), ORDERS)
     assert sorted(r["qty"] for r in good.collect()) == [2, 2, 7]
-    assert dict(good.dtypes)["qty"] == "int"
+    assert dict(good.dtypes)["qty"] == "bigint"
 
 
 def test_float_rules(spark):
