@@ -287,6 +287,20 @@ def test_html_extract(spark):
     assert len(got[10]) == 2 and html_extract.extract(df.limit(0)).collect() == []
 
 
+def test_html_extract_drops_blocks_that_a_whole_host_shares(spark):
+    def page(i, extra=""):
+        return f"<article><p>Follow us every day</p><p>{words(12, 700 + i)}</p>{extra}<p>Copyright of all</p></article>"
+
+    quote = f"<p>{words(10, 999)}</p>"
+    rows = [(i, f"https://h.example/{i}", page(i, quote if i % 2 else "")) for i in range(20)]
+    rows += [(100 + i, f"https://h.example/copy{i}", page(0)) for i in range(60)]  # copies count once
+    rows += [(200 + i, f"https://small.example/{i}", page(i)) for i in range(5)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i] == words(12, 700 + i) + ("\n" + words(10, 999) if i % 2 else "") for i in range(20))
+    assert all(got[100 + i] == words(12, 700) for i in range(60))
+    assert all(got[200 + i].startswith("Follow us every day\n") for i in range(5))
+
+
 def test_html_extract_on_a_table(spark):
     got = queries.op7_html_extract(spark, SF).toPandas().set_index("page_id")
     pages = spark.read.parquet(f"{SF}/pages.parquet").toPandas()
