@@ -44,7 +44,7 @@ BATCHES = 4
 #: Hits of one name beyond which it is dealt out by tiles of so many offsets.
 HOT, TILE = 20_000, 7
 #: Bytes of text a task samples at a time, suffixes it packs at a time, hits it compares at a time.
-STEP, PACK, SLICE = 1 << 18, 400_000, 50_000
+STEP, PACK, SLICE = 1 << 15, 400_000, 8_000
 #: Documents of a batch whose texts a task holds at a time.
 ROWS = 256
 NULL_ID = -(1 << 63)
