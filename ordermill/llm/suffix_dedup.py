@@ -8,19 +8,21 @@ the same place, and about one suffix in 35 is kept. A suffix is ordered by
 a 56-bit name of its first ``GRAM`` bytes; arrays are cut into shards by
 ranges of names.
 
-1. Documents come in batches, in the order of doc_id. A batch's array is
+1. Whole copies of an earlier document are known by their SHA-256 and take
+   no part in the rest: all their bytes go.
+2. Documents come in batches, in the order of doc_id. A batch's array is
    merge-scanned, shard by shard, with the arrays of the levels that exist
    and with itself; suffixes that meet another with their name are hits.
    Two levels of equal size are merged into one of twice the size by the
    scan that reads them next, so every suffix is merged log(batches) times.
-2. Only hits need their text: it is joined to them by document, and each
-   carries the bytes around it that its strings can reach. Hits of equal
-   name are compared on all the strings that contain them, in the order of
-   their places, and all but the first of equal strings are spans to remove.
-3. The spans of a document are merged and cut from its text.
-
-Whole copies of a document are known by their SHA-256 and skip step 2. A
-name with very many hits is dealt out by longer parts of the strings
+3. Only hits need their text: it is joined to them by document. A string is
+   looked at where its sampled gram is, so a hit carries the bytes of the
+   strings that sample it. Hits of equal name are compared on all of these,
+   in the order of their places, and all but the first of equal strings are
+   spans to remove.
+4. The spans of a document are merged and cut from its text.
+
+A name with very many hits is dealt out by longer parts of the strings
 around it, so no task compares all of them.
 """
 
@@ -31,16 +33,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import texts
+from ordermill.llm.common import stored, texts
 from ordermill.session import scratch_path
 
 LENGTH = 100
 GRAM = 32
 BATCHES = 4
+#: Copies that are left out of the arrays by a broadcast of their ids (16 bytes
+#: each); with more, the arrays hold them and their hits are dropped later.
+MOST_COPIES = 4_000_000
 #: Hits of one name beyond which it is dealt out by tiles of so many offsets.
 HOT, TILE = 20_000, 7
 #: Bytes of text a task samples at a time, suffixes it packs at a time, hits it compares at a time.
@@ -94,6 +100,23 @@ def sample(b: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]
     return at, names[at] >> np.uint64(8)
 
 
+def windows(b: np.ndarray, places: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """For sampled places of a text, the smallest and largest offset of a
+    sampled gram in the strings that sample it there."""
+    names = _gram_names(b)
+    width = length - GRAM + 1
+    low = _extreme(names, width, np.minimum)
+    first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))  # runs of strings with one smallest hash
+    last, value = np.append(first[1:], len(low)) - 1, low[first]
+    run = np.minimum(np.searchsorted(last, places - width + 1), len(first) - 1)
+    found = value[run] == names[places]
+    while (more := ~found & (first[np.minimum(run + 1, len(first) - 1)] <= places) & (run + 1 < len(first))).any():
+        run += more
+        found = value[run] == names[places]
+    low_offset, high_offset = places - np.minimum(last[run], places), places - np.maximum(first[run], places - width + 1)
+    return np.where(found, low_offset, 1), np.where(found, high_offset, 0)  # none: sampled with a neighbouring text's bytes
+
+
 def sampled(texts_: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the text, places, names), over whole texts of any length."""
     group: list[tuple[int, int, int]] = []  # text, its place in the joined bytes, its size
@@ -219,7 +242,8 @@ class IndexFamily:
 
     def add(self, array: DataFrame) -> DataFrame:
         """Scan a batch, which follows all before it, against the levels and
-        itself; returns its hits and those of the levels (shard, array)."""
+        itself; returns the suffixes that are hits since (shard, kind,
+        array), of kind 2 if their name is hot."""
         spark = array.sparkSession
         merge = [i for i in range(1, len(self.levels)) if self.levels[i][0] == self.levels[i - 1][0]]
         twins = {merge[-1] - 1, merge[-1]} if merge else set()
@@ -237,71 +261,73 @@ class IndexFamily:
             if twins and any(i in arrays for i in twins):
                 out.append({"shard": shard, "kind": 0, **_pack(_merge([arrays[i] for i in sorted(twins) if i in arrays]))})
             if -1 in arrays:
-                new = arrays[-1][0]
-                edge = np.concatenate([[True], new[1:] != new[:-1], [True]])
-                many = ~(edge[:-1] & edge[1:])  # names that the batch has twice
-                for level, s in arrays.items():
-                    if level >= 0:
-                        at = np.minimum(np.searchsorted(new, s[0]), len(new) - 1)
-                        met = new[at] == s[0]
-                        if met.any():
-                            many |= np.isin(new, s[0][met])
-                            out.append({"shard": shard, "kind": 1, **_pack(tuple(c[met] for c in s))})
-                if many.any():
-                    out.append({"shard": shard, "kind": 1, **_pack(tuple(c[many] for c in arrays[-1]))})
+                new, before = arrays.pop(-1), _merge([s for level, s in arrays.items()])
+                names, times = np.unique(new[0], return_counts=True)
+                old_times = np.searchsorted(before[0], names, "right") - np.searchsorted(before[0], names, "left")
+                # an older suffix is a hit already if it has met another; all of a name are again when it turns hot
+                fresh = (old_times == 1) | ((old_times > 1) & (old_times <= HOT) & (old_times + times > HOT))
+                for s, of in ((new, times + old_times > 1), (before, fresh)):
+                    at = np.minimum(np.searchsorted(names, s[0]), len(names) - 1)
+                    met = (names[at] == s[0]) & of[at]
+                    hot = (times + old_times)[at] > HOT
+                    for kind, rows in ((1, met & ~hot), (2, met & hot)):
+                        if rows.any():
+                            out.append({"shard": shard, "kind": kind, **_pack(tuple(c[rows] for c in s))})
             return pa.Table.from_pylist(out, schema=_SCANNED)
 
         schema = f"shard bigint, kind int, {_PACKED}"
         path = scratch_path(spark, "suffix-level")
         rows.groupBy("shard").applyInArrow(scan, schema).write.partitionBy("kind").parquet(path)
-        stored = spark.read.schema(schema).parquet(path)
+        written = spark.read.schema(schema).parquet(path)
         if twins:
             size = sum(self.levels[i][0] for i in twins)
             self.levels = [x for i, x in enumerate(self.levels) if i not in twins]
-            self.levels.insert(min(twins), (size, stored.where("kind = 0").drop("kind")))
+            self.levels.insert(min(twins), (size, written.where("kind = 0").drop("kind")))
         self.levels.append((1, array))
-        return stored.where("kind = 1").drop("kind")
+        return written.where("kind > 0")
 
 
 _SCANNED = pa.schema([("shard", pa.int64()), ("kind", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """Each hit with the bytes that its strings can reach, by the name to compare it by."""
+    """Each hit with the bytes of the strings that sample it, by the name to compare it by."""
     back = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
-            for ref, tie, text, (place, name, hot) in zip(batch.column("ref").to_pylist(), batch.column("tie").to_pylist(),
-                                                          texts(batch), _lists(batch, "hits")):
-                b, name = np.frombuffer(text, np.uint8), name.view(np.uint64)
-                order = np.unique(place, return_index=True)[1]
-                place, name, hot = place[order], name[order], hot[order]
-                padded = np.concatenate([np.zeros(back, np.uint8), b, np.zeros(length, np.uint8)])
-                around = np.lib.stride_tricks.sliding_window_view(padded, back + length)[place]
-                # offsets of the string's start before the gram that stay in the text
-                low, high = np.maximum(0, place + length - len(b)), np.minimum(back, place)
-                parts = [(name[~hot], place[~hot], low[~hot], high[~hot], around[~hot])]
-                if hot.any():
-                    hashes = np.cumsum(_TABLE[around[hot]] * (_BASE ** np.arange(back + length, dtype=np.uint64)), axis=1, dtype=np.uint64)
-                    hashes = np.concatenate([np.zeros((len(hashes), 1), np.uint64), hashes], axis=1)
-                    for first in range(0, back + 1, TILE):
-                        last = min(back, first + TILE - 1)
-                        shared = (hashes[:, length + back - last] - hashes[:, back - first]) * _MIX + np.uint64(first)
-                        parts.append((name[hot] ^ shared, place[hot], np.maximum(low[hot], first), np.minimum(high[hot], last), around[hot]))
-                name, place, low, high, around = (np.concatenate(c) for c in zip(*parts))
+            out: list[tuple] = []
+            for ref, tie, packed, (place, name, hot) in zip(batch.column("ref").to_pylist(), batch.column("tie").to_pylist(),
+                                                            batch.column("packed").to_pylist(), _lists(batch, "hits")):
+                text = zstandard.decompress(packed)
+                order = np.lexsort((~hot, place))  # a name that has turned hot is hot in all its hits
+                order = order[np.unique(place[order], return_index=True)[1]]
+                place, name, hot = place[order], name[order].view(np.uint64), hot[order]
+                b = np.frombuffer(text, np.uint8)
+                low, high = windows(b, place, length)
                 use = low <= high
-                n = int(use.sum())
-                if n:
-                    data = np.ascontiguousarray(around[use])
-                    offsets = np.arange(n + 1, dtype=np.int32) * np.int32(data.shape[1])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(name[use].view(np.int64)), pa.array(np.full(n, ref)), pa.array(np.full(n, tie)), pa.array(place[use]),
-                         pa.array(low[use].astype(np.int32)), pa.array(high[use].astype(np.int32)),
-                         pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])],
-                        ["name", "ref", "tie", "place", "low", "high", "around"])
-
-    return rows.mapInArrow(run, "name bigint, ref bigint, tie bigint, place bigint, low int, high int, around binary")
+                place, name, hot, low, high = place[use], name[use], hot[use], low[use], high[use]
+                parts = [(name[~hot], place[~hot], low[~hot], high[~hot])]
+                for first in range(0, back + 1, TILE) if hot.any() else ():
+                    last = min(back, first + TILE - 1)
+                    at = place[hot]
+                    lows, highs = np.maximum(low[hot], first), np.minimum(high[hot], last)
+                    use = lows <= highs  # these strings all have the bytes from their first start to their last end
+                    shared = [xxhash.xxh64_intdigest(text[max(0, p - first):p - last + length]) for p in at[use].tolist()]
+                    parts.append((np.array(shared, np.uint64) ^ np.uint64(first), at[use], lows[use], highs[use]))
+                name, place, low, high = (np.concatenate(c) for c in zip(*parts))
+                around = [text[a:e] for a, e in zip((place - high).tolist(), (place - low + length).tolist())]
+                out.append((name.view(np.int64), np.full(len(name), ref), np.full(len(name), tie), place, low, high, around))
+            if out:
+                columns = list(zip(*out))
+                arrays = [pa.array(np.concatenate(c), pa.int64()) for c in columns[:6]]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array([x for c in columns[6] for x in c], pa.binary())], _CONTEXT)
+
+    kinds = ", ".join(f"{c} bigint" for c in _CONTEXT[:-1])
+    return rows.mapInArrow(run, f"{kinds}, around binary")
+
+
+_CONTEXT = ["name", "ref", "tie", "place", "low", "high", "around"]
 
 
 def repeated(names: np.ndarray, low: np.ndarray, high: np.ndarray, around: np.ndarray, length: int,
@@ -370,8 +396,9 @@ def _compare(contexts: DataFrame, length: int) -> DataFrame:
             table = table.combine_chunks()
             name, ref, tie, place, low, high = (table.column(c).to_numpy() for c in ("name", "ref", "tie", "place", "low", "high"))
             name = name.view(np.uint64)
-            data = b"".join(table.column("around").to_pylist())
-            around = np.frombuffer(data, np.uint8).reshape(len(name), -1)
+            around = np.zeros((len(name), 2 * length - GRAM), np.uint8)
+            for row, start, text in zip(around, (length - GRAM - high).tolist(), table.column("around").to_pylist()):
+                row[start:start + len(text)] = np.frombuffer(text, np.uint8)
             if seen_name is None or seen_name != name[0]:
                 seen = {}
             carry = keep or bool(seen)
@@ -436,8 +463,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     parts = [k / batches for k in range(1, batches)]
     bounds = sorted(set(plain.agg(F.percentile_approx("ref", parts, 100)).first()[0] or [])) if parts else []
 
+    # whole copies of an earlier document
+    marks = rows.select("ref", "tie", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.octet_length("text").cast("bigint").alias("n"))
+    firsts = marks.groupBy("sha").agg(F.min(F.struct("ref", "tie")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    copies = stored(marks.where(F.col("n") >= length).join(firsts, "sha").where(F.struct("ref", "tie") != F.col("first")).select(
+        "ref", "tie", "n").distinct(), "suffix-copies")
+    ids = copies.select("ref", "tie")
+    few = copies.count() <= MOST_COPIES
+    indexed = rows.join(F.broadcast(ids), ["ref", "tie"], "left_anti") if few else rows
+
     path = scratch_path(spark, "suffix-batches")
-    _suffix_arrays(rows, bounds, shards, length).write.partitionBy("batch").parquet(path)
+    _suffix_arrays(indexed.select("ref", "tie", "text"), bounds, shards, length).write.partitionBy("batch").parquet(path)
     arrays = spark.read.schema(f"shard bigint, {_PACKED}, batch int").parquet(path)
     family, found = IndexFamily(shards), None
     for k in range(len(bounds) + 1):
@@ -448,20 +484,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
         for batch in batches_:
             for row in batch.to_pylist():
                 names, refs, ties, places = _unpack(row)
-                yield pa.RecordBatch.from_arrays([pa.array(refs), pa.array(ties), pa.array(places), pa.array(names.view(np.int64))],
-                                                 ["ref", "tie", "place", "name"])
+                yield pa.RecordBatch.from_arrays([pa.array(refs), pa.array(ties), pa.array(places), pa.array(names.view(np.int64)),
+                                                  pa.array(np.full(len(refs), row["kind"] == 2))], ["ref", "tie", "place", "name", "hot"])
 
-    # whole copies of an earlier document, which the scan need not compare
-    marks = rows.select("ref", "tie", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.octet_length("text").cast("bigint").alias("n"))
-    firsts = marks.groupBy("sha").agg(F.min(F.struct("ref", "tie")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    copies = marks.where(F.col("n") >= length).join(firsts, "sha").where(F.struct("ref", "tie") != F.col("first")).select("ref", "tie", "n").distinct()
-
-    hits = found.mapInArrow(unpack, "ref bigint, tie bigint, place bigint, name bigint")
-    hits = hits.join(copies.select("ref", "tie"), ["ref", "tie"], "left_anti").distinct()
-    names = hits.groupBy("name").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    lists = hits.join(names, "name").groupBy("ref", "tie").agg(
-        F.collect_list(F.struct("place", "name", (F.col("times") > HOT).alias("hot"))).alias("hits"))
-    contexts = _contexts(rows.join(lists, ["ref", "tie"]).select("ref", "tie", "text", "hits"), length)
+    hits = found.mapInArrow(unpack, "ref bigint, tie bigint, place bigint, name bigint, hot boolean")
+    if not few:
+        hits = hits.join(ids, ["ref", "tie"], "left_anti")
+    lists = hits.groupBy("ref", "tie").agg(F.collect_list(F.struct("place", "name", "hot")).alias("hits"))
+
+    def pack_text(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches_):
+            yield pa.RecordBatch.from_arrays([batch.column("ref"), batch.column("tie"), pa.array(map(zstandard.compress, texts(batch)), pa.binary())],
+                                             ["ref", "tie", "packed"])
+
+    # the text is shuffled once, compressed, for the two joins that need it
+    packed = rows.mapInArrow(pack_text, "ref bigint not null, tie bigint not null, packed binary")
+    contexts = _contexts(packed.join(lists, ["ref", "tie"], "left").where("hits IS NOT NULL"), length)
     dealt = contexts.repartition("name").sortWithinPartitions("name", "ref", "tie", "place")
     spans = _compare(dealt, length).unionByName(copies.select("ref", "tie", F.lit(0).cast("bigint").alias("start"), F.col("n").alias("end")))
     spans = spans.groupBy("ref", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
@@ -469,7 +507,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     def finish(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches_):
             size, removed, sha, starts, ends = [], [], [], [], []
-            for text, (start, end) in zip(texts(batch), _lists(batch, "spans")):
+            for packed_text, (start, end) in zip(batch.column("packed").to_pylist(), _lists(batch, "spans")):
+                text = zstandard.decompress(packed_text)
                 left, start, end = cut(text, start, end)
                 size.append(len(text))
                 removed.append(len(text) - len(left))
@@ -484,7 +523,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    return rows.join(spans, ["ref", "tie"], "left").select(
-        F.nullif("ref", F.lit(NULL_ID)).alias("doc_id"), "text", F.coalesce("spans", nothing).alias("spans")).mapInArrow(
+    return packed.join(spans, ["ref", "tie"], "left").select(
+        F.nullif("ref", F.lit(NULL_ID)).alias("doc_id"), "packed", F.coalesce("spans", nothing).alias("spans")).mapInArrow(
         finish, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
                 "spans array<struct<start: bigint, end: bigint>>")
