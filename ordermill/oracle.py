@@ -458,19 +458,19 @@ T5_HEAD = _with(PRODUCTS) + """
 SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price FROM products ORDER BY product_id LIMIT 5
 """
 
-HALF = """
-orders_half AS (
-  SELECT order_id, product_id, ROUND(qty * CAST(unit_price AS DECIMAL(28,6)), 2) AS order_total
-  FROM orders_all WHERE product_id % 2 = 1
+SHIFTED = """
+shifted AS (
+  SELECT order_id, 2 * product_id AS product_id, ROUND(qty * CAST(unit_price AS DECIMAL(28,6)), 2) AS order_total
+  FROM orders_all
 )"""
 
 
-def _half(join: str) -> str:
-    return _with(ORDERS_ALL, VALID_PRODUCTS, HALF) + f"""
+def _shifted(join: str) -> str:
+    return _with(ORDERS_ALL, VALID_PRODUCTS, SHIFTED) + f"""
 SELECT o.order_id, COALESCE(o.product_id, p.product_id) AS product_id, COALESCE(p.product_name, 'unknown_product') AS product_name,
        COALESCE(p.category, 'unknown_category') AS category, CAST(p.product_price AS DOUBLE) AS product_price,
        CAST(o.order_total AS DOUBLE) AS order_total
-FROM orders_half o {join} JOIN valid_products p ON o.product_id = p.product_id
+FROM shifted o {join} JOIN valid_products p ON o.product_id = p.product_id
 """
 
 
@@ -608,8 +608,8 @@ def oracle_sql() -> dict[str, str]:
         "a9_emptiness": A9_EMPTINESS,
         "t5_head": T5_HEAD,
         "s6_malformed": S6_MALFORMED,
-        "j2_enrich_right": _half("RIGHT"),
-        "j2_enrich_outer": _half("FULL OUTER"),
+        "j2_enrich_right": _shifted("RIGHT"),
+        "j2_enrich_outer": _shifted("FULL OUTER"),
         "c7_text_keys": C7_TEXT_KEYS,
         "w1_parquet_roundtrip": W1_PARQUET_ROUNDTRIP,
         "w2_summary_roundtrip": W2_SUMMARY_ROUNDTRIP,

@@ -124,10 +124,11 @@ def j2_enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _dbl("product_price"), _dbl("order_total"))
 
 
-def _enriched_half(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
-    """Enrichment where either side has rows without a partner: orders of
-    parts with an odd key, and all valid products."""
-    totals = add_order_total(tables.orders(spark, sf_dir).where(F.col("product_id") % 2 == 1))
+def _enriched_shifted(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    """Enrichment where either side has rows without a partner: every order
+    counts for the product of twice its key, so odd products are unsold and
+    the orders of the upper half of the keys have none."""
+    totals = add_order_total(tables.orders(spark, sf_dir).withColumn("product_id", F.col("product_id") * 2))
     return enrich_with_products(totals, _valid_products(spark, sf_dir), how).select(
         "order_id", "product_id", "product_name", "category", _dbl("product_price"), _dbl("order_total"))
 
@@ -135,13 +136,13 @@ def _enriched_half(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
 def j2_enrich_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Right enrichment; products without orders stay."""
     configure(spark)
-    return _enriched_half(spark, sf_dir, "right")
+    return _enriched_shifted(spark, sf_dir, "right")
 
 
 def j2_enrich_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outer enrichment; neither side loses rows."""
     configure(spark)
-    return _enriched_half(spark, sf_dir, "outer")
+    return _enriched_shifted(spark, sf_dir, "outer")
 
 
 def c7_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ overwrite so a date-partitioned write replaces only the dates it holds.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,6 +34,13 @@ REQUIRED_CONF = {
 }
 
 
+# Local mode only: partition discovery over many directories is launched
+# as a Spark job (one task per path above 32 paths). On a cluster that
+# spreads object-store listing; in one local JVM it only adds task
+# overhead (measured 3.3 s vs 0.3 s for 2,400 date directories).
+LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "ordermill", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
@@ -47,7 +56,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
-    for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
+    local = LOCAL_CONF if master.startswith("local") else {}
+    for key, value in {**REQUIRED_CONF, **local, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,20 +88,9 @@ def cluster_conf(executors: int, cores_per_executor: int = 4,
     }
 
 
-# Local mode only: partition discovery over many directories is launched
-# as a Spark job (one task per path above 32 paths). On a cluster that
-# spreads object-store listing; in one local JVM it only adds task
-# overhead (measured 3.3 s vs 0.3 s for 2,400 date directories).
-LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
-    conf = dict(REQUIRED_CONF)
-    sc = _context(spark)
-    if sc is not None and sc.master.startswith("local"):
-        conf.update(LOCAL_CONF)
-    for key, value in conf.items():
+    for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
     return spark
 
@@ -119,6 +118,7 @@ def shared_dir(spark: SparkSession) -> str:
         if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="ordermill-shared-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
