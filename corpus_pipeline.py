@@ -12,19 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, exact_dedup, language_id, packing, simhash
-from ordermill.llm.common import stored
+from ordermill.llm.common import importable, stored
 from ordermill.llm.queries import tokenizer_path
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents that the model rejects go (no letter, or far
     from every centroid). The model learns from docs themselves."""
+    importable(spark)
     return language_id.accepted(docs, language_id.fit(language_id.learn_rows(docs)))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts, the row with the largest doc_id stays.
     Rows that repeat a doc_id and a text count as one."""
+    importable(spark)
     keep = exact_dedup.exact_duplicates(docs).where("kept").select(
         F.col("doc_id").alias("keep_doc"), F.col("text_sha256").alias("keep_sha"))
     named = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
@@ -35,6 +37,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup (4-word shingles, 4 bits): of each component the
     document with the smallest doc_id stays; rows without a doc_id stay."""
+    importable(spark)
     gone = simhash.near_duplicates(docs, width=4, radius=4).where("doc_id <> component_id").select(
         F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti").select(*docs.columns)
@@ -42,11 +45,13 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents with a benchmark window go."""
+    importable(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing of what is left into sequences of 4,096 tokens."""
+    importable(spark)
     return packing.pack(docs, tokenizer_path())
 
 

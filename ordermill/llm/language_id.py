@@ -29,7 +29,7 @@ DIMS = 8192
 SAMPLE_ROWS = 2000
 CENTROIDS = 4
 #: A text is rejected below this share of the lowest cosine in the sample (short texts are the lowest).
-REJECT = 0.5
+REJECT = 0.25
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _NOT_WORD = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))

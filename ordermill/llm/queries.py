@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, exact_dedup, html_extract, language_id, license_scan, lm, packing, simhash, suffix_dedup, toxicity
+from ordermill.llm.common import importable
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -17,6 +18,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
