@@ -5,7 +5,7 @@ or earlier in the same document) is removed. The arrays are sparse: of the
 ``length - GRAM + 1`` grams of ``GRAM`` bytes in each such string, the one
 with the smallest hash is sampled, so equal strings sample the same gram at
 the same place, and about one suffix in 35 is kept. A suffix is ordered by
-a 56-bit name of its first ``GRAM`` bytes; arrays are cut into shards by
+a 48-bit name of its first ``GRAM`` bytes; arrays are cut into shards by
 ranges of names.
 
 1. Whole copies of an earlier document are known by their SHA-256 and take
@@ -97,7 +97,14 @@ def sample(b: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]
     pad = np.zeros(width - 1, np.uint64)
     reach = _extreme(np.concatenate([pad, low, pad]), width, np.maximum)
     at = np.flatnonzero(reach == names)
-    return at, names[at] >> np.uint64(8)
+    return at, _spread(names[at])
+
+
+def _spread(smallest: np.ndarray) -> np.ndarray:
+    """48-bit names: the sampled hashes, being smallest ones, are close to 0."""
+    x = smallest * _MIX
+    x ^= x >> np.uint64(32)
+    return (x * _BASE) >> np.uint64(16)
 
 
 def windows(b: np.ndarray, places: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +215,7 @@ def _suffix_arrays(docs: DataFrame, bounds: list[int], shards: int, length: int)
         def flush() -> Iterator[pa.RecordBatch]:
             for batch, arrays in held.items():
                 s = _merge(arrays)
-                shard = ((s[0] >> np.uint64(24)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                shard = ((s[0] >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
                 cuts = np.searchsorted(shard, np.arange(shards + 1))
                 for k in range(shards):
                     if cuts[k] < cuts[k + 1]:
