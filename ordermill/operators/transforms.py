@@ -127,7 +127,7 @@ def add_order_date_iso(df: DataFrame, date_col: str = "order_date",
     """``YYYY-MM-DD`` text of the order date; a non-timestamp column is
     coerced first (C9), a missing one raises (C4)."""
     if date_col not in df.columns:
-        raise KeyError(f"{date_col} not found in dataframe for add_order_date_iso")
+        raise KeyError(f"no date column {date_col!r} among {', '.join(df.columns)}")
     dtype = df.schema[date_col].dataType
     is_ts = isinstance(dtype, (TimestampType, TimestampNTZType))
     if not is_ts:

@@ -152,11 +152,6 @@ def validate_dataframe(df: DataFrame, schema: Schema,
     return good_rows(tagged, schema), bad_rows(tagged)
 
 
-def bad_row_count(error: str = ERROR) -> Column:
-    """V7: count of bad rows, for use inside a larger ``agg``."""
-    return F.count_if(~is_valid(F.col(error)))
-
-
 def union_bad(*frames: DataFrame) -> DataFrame:
     """Schema-widening union (missing columns become NULL)."""
     frames = [f for f in frames if f is not None]
@@ -168,7 +163,7 @@ def union_bad(*frames: DataFrame) -> DataFrame:
 def require_column(df: DataFrame, column: str) -> None:
     """C4: a missing date column is an error at plan time."""
     if column not in df.columns:
-        raise KeyError(f"Column '{column}' not in dataframe")
+        raise KeyError(f"no date column {column!r} among {', '.join(df.columns)}")
 
 
 def tag_dates(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d",
