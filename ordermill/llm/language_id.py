@@ -110,6 +110,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTRO
     picked = named.select("doc_id", "lang").withColumn("i", F.row_number().over(order)).where(
         F.col("i") <= max(1, sample_rows // n)).select("doc_id").distinct()
     sample = named.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id", "left_semi")
+    sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # a repeated doc_id is one row
 
     def sparse(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, at, of = [], [], []

@@ -159,8 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = marked.withColumn("i", F.row_number().over(order)).where(F.col("i") <= sample_rows).select("doc_id", "toxic")
-    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
-        "doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic"))  # a repeated doc_id is one row
 
     def entries(batch: pa.RecordBatch) -> pa.RecordBatch:
         """The words and word beginnings of each text, once per text."""
