@@ -184,10 +184,17 @@ def _unpack(row: dict) -> Suffixes:
     return names, _unplanes(row["refs"], np.int64), ties, _unplanes(row["places"], np.int64)
 
 
-def _merge(arrays: list[Suffixes]) -> Suffixes:
+def _merge(arrays: list[Suffixes], distinct: bool = False) -> Suffixes:
+    """One array of several; ``distinct``: a suffix that rows of one document repeat is there once."""
     joined = [np.concatenate(c) for c in zip(*arrays)] if arrays else [np.empty(0, t) for t in (np.uint64, *[np.int64] * 3)]
-    order = np.argsort(joined[0], kind="stable")
-    return tuple(c[order] for c in joined)
+    if not distinct:
+        order = np.argsort(joined[0], kind="stable")
+        return tuple(c[order] for c in joined)
+    order = np.lexsort(joined[::-1])
+    joined = [c[order] for c in joined]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in joined], axis=0)
+    return tuple(c[new] for c in joined)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +212,7 @@ def _lists(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, ...]]
         yield tuple(f[a:b] for f in fields)
 
 
-def _suffix_arrays(docs: DataFrame, bounds: list[int], shards: int, length: int) -> DataFrame:
+def _suffix_arrays(docs: DataFrame, bounds: list[int], shards: int, length: int, distinct: bool) -> DataFrame:
     """(batch, shard, suffix array): sorted runs of each task's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +221,7 @@ def _suffix_arrays(docs: DataFrame, bounds: list[int], shards: int, length: int)
 
         def flush() -> Iterator[pa.RecordBatch]:
             for batch, arrays in held.items():
-                s = _merge(arrays)
+                s = _merge(arrays, distinct)
                 shard = ((s[0] >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
                 cuts = np.searchsorted(shard, np.arange(shards + 1))
                 for k in range(shards):
@@ -241,17 +248,19 @@ _ROW = pa.schema([("batch", pa.int32()), ("shard", pa.int64()), *((c, pa.binary(
 
 
 class IndexFamily:
-    """Suffix arrays in levels; each level is a table (shard, array) in the shared folder."""
+    """Suffix arrays in levels; each level is a table (shard, array) in the
+    shared folder. ``distinct``: rows may repeat a document, whose suffixes count once."""
 
-    def __init__(self, shards: int):
+    def __init__(self, shards: int, distinct: bool = False):
         self.shards = shards
+        self.distinct = distinct
         self.levels: list[tuple[int, DataFrame]] = []  # batches it holds, rows
 
     def add(self, array: DataFrame) -> DataFrame:
         """Scan a batch, which follows all before it, against the levels and
         itself; returns the suffixes that are hits since (shard, kind,
         array), of kind 2 if their name is hot."""
-        spark = array.sparkSession
+        spark, distinct = array.sparkSession, self.distinct
         merge = [i for i in range(1, len(self.levels)) if self.levels[i][0] == self.levels[i - 1][0]]
         twins = {merge[-1] - 1, merge[-1]} if merge else set()
         rows = array.withColumn("level", F.lit(-1))
@@ -263,7 +272,7 @@ class IndexFamily:
             for row in table.to_pylist():
                 found.setdefault(row["level"], []).append(_unpack(row))
             shard = table.column("shard")[0].as_py()
-            arrays = {level: _merge(parts) for level, parts in found.items()}
+            arrays = {level: _merge(parts, distinct) for level, parts in found.items()}
             out = []
             if twins and any(i in arrays for i in twins):
                 out.append({"shard": shard, "kind": 0, **_pack(_merge([arrays[i] for i in sorted(twins) if i in arrays]))})
@@ -465,7 +474,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     plain = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("ref"), F.coalesce("text", F.lit("")).alias("text"))
     facts = plain.agg(F.count("ref").alias("n"), F.count_distinct("ref").alias("d")).first()
-    tie = F.lit(0).cast("bigint") if facts.n == facts.d else F.xxhash64("text")
+    again = facts.n != facts.d  # rows may repeat a document: it is indexed and compared once
+    tie = F.xxhash64("text") if again else F.lit(0).cast("bigint")
     rows = plain.select("ref", tie.alias("tie"), "text")
     parts = [k / batches for k in range(1, batches)]
     bounds = sorted(set(plain.agg(F.percentile_approx("ref", parts, 100)).first()[0] or [])) if parts else []
@@ -480,9 +490,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     indexed = rows.join(F.broadcast(ids), ["ref", "tie"], "left_anti") if few else rows
 
     path = scratch_path(spark, "suffix-batches")
-    _suffix_arrays(indexed.select("ref", "tie", "text"), bounds, shards, length).write.partitionBy("batch").parquet(path)
+    _suffix_arrays(indexed.select("ref", "tie", "text"), bounds, shards, length, again).write.partitionBy("batch").parquet(path)
     arrays = spark.read.schema(f"shard bigint, {_PACKED}, batch int").parquet(path)
-    family, found = IndexFamily(shards), None
+    family, found = IndexFamily(shards, again), None
     for k in range(len(bounds) + 1):
         hits = family.add(arrays.where(F.col("batch") == k).drop("batch"))
         found = hits if found is None else found.unionByName(hits)
@@ -506,7 +516,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
 
     # the text is shuffled once, compressed, for the two joins that need it
     packed = rows.mapInArrow(pack_text, "ref bigint not null, tie bigint not null, packed binary")
-    contexts = _contexts(packed.join(lists, ["ref", "tie"], "left").where("hits IS NOT NULL"), length)
+    listed = packed.join(lists, ["ref", "tie"], "left").where("hits IS NOT NULL")
+    contexts = _contexts(listed.dropDuplicates(["ref", "tie"]) if again else listed, length)
     dealt = contexts.repartition("name").sortWithinPartitions("name", "ref", "tie", "place")
     spans = _compare(dealt, length).unionByName(copies.select("ref", "tie", F.lit(0).cast("bigint").alias("start"), F.col("n").alias("end")))
     spans = spans.groupBy("ref", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))

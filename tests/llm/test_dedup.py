@@ -185,6 +185,19 @@ def test_suffix_dedup_edges(spark):
     assert next(r for r in got if r.doc_id == 10).n_removed == 59_999  # a^100 starts first at 0
 
 
+@pytest.mark.parametrize("batches,hot", [(1, 20_000), (4, 20_000), (4, 1)])
+def test_suffix_dedup_of_a_document_listed_twice(spark, monkeypatch, batches, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    once = [(None, words(50, 40)), (1, words(60, 41)), (2, words(60, 42)), (3, words(20, 43) + words(60, 42)[30:] + words(20, 44)),
+            (4, words(60, 45)), (5, words(60, 41)), (6, words(50, 40)[20:] + words(9, 46))]
+    rows = once + [(None, words(50, 40)), (2, words(60, 42)), (2, words(60, 42)), (3, once[3][1]), (4, words(60, 45))]
+    want = brute_removed([(-1 if d is None else d, t.encode()) for d, t in once], 100)
+    got = Counter((r.doc_id, r.n_removed, r.kept_sha256) for r in suffix_dedup.remove_repeats(documents(spark, rows), batches=batches).collect())
+    kept = {d: bytes(x for x, c in zip(t.encode(), want[-1 if d is None else d]) if not c) for d, t in once}
+    assert got == Counter((d, len(t.encode()) - len(kept[d]), hashlib.sha256(kept[d]).hexdigest()) for d, t in rows)
+    assert kept[None] == words(50, 40).encode() and 0 < len(kept[3]) < len(once[3][1].encode())
+
+
 @pytest.mark.parametrize("run", [simhash.near_duplicates, exact_dedup.exact_duplicates, suffix_dedup.remove_repeats])
 def test_empty_table(spark, run):
     assert run(documents(spark, EDGES).limit(0)).collect() == []
