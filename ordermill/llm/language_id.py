@@ -4,8 +4,9 @@ Byte n-grams (1 to 3) of the lowered letters are hashed into ``DIMS``
 counts, weighted by log(1+tf)*idf and scaled to length one. Each
 language's sample is clustered into a few centroids (spherical k-means),
 and a text gets the language of the centroid with the largest cosine. It
-is rejected if that cosine is below a limit learned from the sample, or if
-it has no letter.
+is rejected if that cosine is below a limit learned from the sample's texts
+and slices of them, by language and by how many distinct n-grams a text has
+(short texts have lower cosines), or if it has no letter.
 
 Fit: on at most ``sample_rows`` labelled rows (a documented bound, dealt
 evenly to the languages, in the order of a hash of doc_id); their sparse
@@ -16,6 +17,7 @@ no shuffle.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,8 +30,14 @@ from ordermill.llm.common import map_arrow
 DIMS = 8192
 SAMPLE_ROWS = 2000
 CENTROIDS = 4
-#: A text is rejected below this share of the lowest cosine in the sample (short texts are the lowest).
-REJECT = 0.25
+#: A text is rejected below this share of a low quantile of the sample's cosines at its size.
+REJECT, QUANTILE = 0.35, 0.05
+#: Texts and slices that a quantile takes; a language (or size) with fewer has that of all (or of the sizes beside it).
+LEAST_TEXTS = 20
+#: Without so many in the sample at all: the share of its lowest cosine.
+REJECT_FEW = 0.25
+#: Characters of the slices of each sample row.
+SLICES = tuple(8 << k for k in range(8))
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _NOT_WORD = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
@@ -60,7 +68,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # one row each, of length one
     langs: list[str]  # of each centroid
-    limit: float  # a cosine below it is rejected
+    limits: dict[str, tuple[np.ndarray, np.ndarray]]  # by language, log2 of sizes and the cosine below which a text is rejected
 
     def vectors(self, rows: np.ndarray) -> np.ndarray:
         x = np.log1p(rows) * self.idf
@@ -75,12 +83,16 @@ class Model:
             return langs, score, rejected
         for at in range(0, len(known), 64):
             part = known[at:at + 64]
-            cosine = self.vectors(np.stack([counts(texts[i]) for i in part])) @ self.centroids.T
-            best = cosine.argmax(axis=1)
-            for i, k, c in zip(part, best, cosine.max(axis=1)):
-                langs[i], score[i], rejected[i] = self.langs[k], min(1.0, max(0.0, float(c))), c < self.limit
+            best, cosine, size = self.nearest(np.stack([counts(texts[i]) for i in part]))
+            for i, k, c, n in zip(part, best, cosine, size):
+                langs[i], score[i], rejected[i] = self.langs[k], min(1.0, max(0.0, float(c))), c < np.interp(n, *self.limits[self.langs[k]])
         return langs, score, rejected
 
+    def nearest(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The nearest centroid of count vectors, its cosine, and log2 of how many distinct n-grams there are."""
+        cosine = self.vectors(rows) @ self.centroids.T
+        return cosine.argmax(axis=1), cosine.max(axis=1), np.log2(np.maximum((rows > 0).sum(axis=1), 1))
+
 
 def _cluster(x: np.ndarray, k: int) -> tuple[np.ndarray, float]:
     """Spherical k-means from the mean and the rows farthest from what is chosen."""
@@ -98,6 +110,23 @@ def _cluster(x: np.ndarray, k: int) -> tuple[np.ndarray, float]:
     return c[np.unique(cosine.argmax(axis=1))], float(cosine.max(axis=1).min())
 
 
+def _curve(size: np.ndarray, cosine: np.ndarray, reject: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Limits at doubling sizes, of which each has texts enough; None if there is none."""
+    step = np.floor(size)
+    steps = [s for s in np.unique(step) if (step == s).sum() >= LEAST_TEXTS]
+    if not steps:
+        return None
+    return (np.array([size[step == s].mean() for s in steps]),
+            np.array([reject * np.quantile(cosine[step == s], QUANTILE) for s in steps]))
+
+
+def slices(text: str) -> list[str]:
+    """Parts of a text, of doubling sizes, from a place that a hash of it gives."""
+    at = zlib.crc32(text.encode("utf-8", "replace"))
+    parts = [text[at % (len(text) - n):][:n] for n in SLICES if n < len(text)]
+    return [t for t in parts if has_letter(t)]
+
+
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTROIDS, reject: float = REJECT) -> Model:
     """Learn from the rows of docs (doc_id, text, lang) that have a lang and a letter.
 
@@ -113,28 +142,44 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTRO
     sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # a repeated doc_id is one row
 
     def sparse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, at, of = [], [], []
+        langs, whole, at, of = [], [], [], []
         for t, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            if has_letter(t):
-                row = counts(t)
+            for part in [t, *slices(t)] if has_letter(t) else ():
+                row = counts(part)
                 used = np.flatnonzero(row)
                 langs.append(lang)
+                whole.append(part is t)
                 at.append(used.astype(np.uint16).tobytes())
                 of.append(row[used].tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(at, pa.binary()), pa.array(of, pa.binary())], ["lang", "at", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(whole, pa.bool_()), pa.array(at, pa.binary()),
+                                           pa.array(of, pa.binary())], ["lang", "whole", "at", "n"])
+
+    found = sorted(map(tuple, map_arrow(sample.select("text", "lang"), sparse, "lang string, whole boolean, at binary, n binary").collect()))
+    rows = [r for r in found if r[1]]
+
+    def unpacked(part: list[tuple]) -> np.ndarray:
+        out = np.zeros((len(part), DIMS), np.float32)
+        for i, (_, _, at, of) in enumerate(part):
+            out[i, np.frombuffer(at, np.uint16)] = np.frombuffer(of, np.float32)
+        return out
 
-    rows = sorted(map(tuple, map_arrow(sample.select("text", "lang"), sparse, "lang string, at binary, n binary").collect()))
-    dense = np.zeros((len(rows), DIMS), np.float32)
-    for i, (_, at, of) in enumerate(rows):
-        dense[i, np.frombuffer(at, np.uint16)] = np.frombuffer(of, np.float32)
+    dense = unpacked(rows)
     idf = np.log((1 + len(rows)) / (1 + (dense > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
-    model = Model(idf, np.zeros((0, DIMS), np.float32), [], 0.0)
+    model = Model(idf, np.zeros((0, DIMS), np.float32), [], {})
     x, langs = model.vectors(dense), np.array([r[0] for r in rows])
     parts = [(lang, *_cluster(x[langs == lang], centroids)) for lang in sorted(set(langs.tolist()))]
     if parts:
         model.centroids = np.concatenate([c for _, c, _ in parts]).astype(np.float32)
         model.langs = [lang for lang, c, _ in parts for _ in range(len(c))]
-        model.limit = reject * min(low for _, _, low in parts)
+        near = [model.nearest(unpacked(found[at:at + 64])) for at in range(0, len(found), 64)]
+        best, cosine, size = (np.concatenate(c) for c in zip(*near))
+        lang, named_ = np.array(model.langs)[best], np.array([r[0] for r in found])
+        few = np.zeros(1), np.full(1, REJECT_FEW * min(low for _, _, low in parts))
+        every = _curve(size, cosine, reject) if len(rows) >= LEAST_TEXTS else None
+        for name in set(model.langs):
+            own = (lang == name) & (named_ == name)
+            enough = (langs == name).sum() >= LEAST_TEXTS
+            model.limits[name] = (_curve(size[own], cosine[own], reject) if enough else None) or every or few
     return model
 
 

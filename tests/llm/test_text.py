@@ -48,6 +48,31 @@ def test_language_id_edges_and_rejection(spark):
     assert kept.columns == far.columns and [r.doc_id for r in kept.collect()] == [2]
 
 
+FOREIGN = [
+    "Bugün hava çok güzel olduğu için arkadaşlarımla birlikte parka gitmeye karar verdik ve akşama kadar orada oturup konuştuk",
+    "Tänään sää oli niin kaunis että päätimme lähteä ystävien kanssa puistoon ja istuimme siellä iltaan asti puhuen kaikesta",
+    "Dzisiaj pogoda była tak piękna że postanowiliśmy pójść z przyjaciółmi do parku i rozmawialiśmy tam do wieczora",
+    "Ma olyan szép idő volt hogy elhatároztuk hogy a barátainkkal elmegyünk a parkba és estig beszélgettünk ott",
+    "Leo hali ya hewa ilikuwa nzuri sana hivyo tuliamua kwenda bustanini pamoja na marafiki zetu na tukazungumza hadi jioni",
+    "qxv jzkw vqpf zzkj wqx kjvq pfx zqw jxkv qqz wvjk xpq zfk vjq"]
+CLEAN = [
+    "The weather was so nice today that we decided to go to the park with friends and talk until evening",
+    "Heute war das Wetter so schön dass wir beschlossen haben mit Freunden in den Park zu gehen und bis zum Abend zu reden",
+    "Il faisait si beau aujourd'hui que nous avons décidé d'aller au parc avec des amis et de parler jusqu'au soir",
+    "Hoy hacía tan buen tiempo que decidimos ir al parque con amigos y hablar hasta la noche", "the report of the day", "nicht mit der Frau"]
+
+
+def test_language_id_rejects_languages_that_are_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(language_id.learn_rows(docs))
+    _, _, rejected = model.predict([t for f in FOREIGN for t in (f, (f + " ") * 10)])
+    assert rejected.all()
+    langs, _, rejected = model.predict(CLEAN)
+    assert langs[:4] == ["en", "de", "fr", "es"] and not rejected.any()
+    assert not any(model.predict([(t + " ") * 10 for t in CLEAN])[2])
+    assert language_id.predict(docs, model).where("rejected").count() <= 2
+
+
 def test_language_id_counts_long_texts_in_steps(monkeypatch):
     text = words(3000, 5)
     whole = language_id.counts(text)
