@@ -36,11 +36,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup (4-word shingles, 4 bits): of each component the
-    document with the smallest doc_id stays; rows without a doc_id stay."""
+    document with the smallest doc_id stays (none: last; of equal ones the
+    text with the smallest hash). A row is known by doc_id and text."""
     importable(spark)
-    gone = simhash.near_duplicates(docs, width=4, radius=4).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti").select(*docs.columns)
+    named = docs.withColumn("__sha", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    near = simhash.labelled(named, width=4, radius=4, also=("__sha",)).where("component_size > 1")
+    near = stored(near.select("root", F.col("doc_id").alias("near_id"), F.col("__sha").alias("near_sha")), "simhash-near")
+    order = F.struct(F.col("near_id").isNull().alias("last"), "near_id", "near_sha")
+    first = near.groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("first.near_id").alias("keep_id"), F.col("first.near_sha").alias("keep_sha"))
+    gone = near.join(first, F.col("near_id").eqNullSafe(F.col("keep_id")) & (F.col("near_sha") == F.col("keep_sha")), "left_anti")
+    return named.join(gone, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("__sha") == F.col("near_sha")), "left_anti").select(
+        *docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,7 +66,7 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = 4, also: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, fp): fp is the 64-bit fingerprint as a signed BIGINT.
 
     Words are split at white space after A-Z are lowered, shingles of
@@ -77,9 +77,10 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t, width) for t in texts(batch)], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps), *map(batch.column, also)], ["doc_id", "fp", *also])
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, fp bigint")
+    extra = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.select(*also).schema)
+    return map_arrow(docs.select("doc_id", "text", *also), run, "doc_id bigint, fp bigint" + extra)
 
 
 def masks(bits: int, most: int) -> list[np.ndarray]:
@@ -172,12 +173,20 @@ def links(fps: DataFrame, radius: int, prefix: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
     """One row per row of docs: doc_id, fp, fingerprint, component_id, component_size.
+    See ``labelled``.
+    """
+    return labelled(docs, width, radius).drop("root")
+
+
+def labelled(docs: DataFrame, width: int = 4, radius: int = 4, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: doc_id, fp, fingerprint, component_id, component_size,
+    root (one value for each component), and docs' columns named in ``also``.
 
     component_id is the smallest doc_id that links of at most ``radius``
     differing bits reach (the row itself included; null doc_ids count as
     none, a component of only those has null). component_size counts rows.
     """
-    rows = stored(fingerprints(docs, width), "simhash-fp")
+    rows = stored(fingerprints(docs, width, also), "simhash-fp")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
     prefix = min(24, max(4, math.ceil(math.log2(max(1, rows.select("fp").distinct().count()) / 256 + 1))))
     found = connected_components(links(distinct, radius, prefix))
@@ -185,6 +194,6 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
         "fp", "low", "n", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "simhash-roots")
     groups = named.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("n").alias("component_size"))
-    ids = named.join(groups, "root").select("fp", "component_id", "component_size")
+    ids = named.join(groups, "root").select("fp", "component_id", "component_size", "root")
     return rows.join(ids, "fp").select(
-        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component_size")
+        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component_size", "root", *also)

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 from helpers import EDGES, SF, documents, words
-from ordermill.llm import decontaminate, html_extract, language_id, license_scan, lm, packing, queries, toxicity
+from ordermill.llm import decontaminate, html_extract, language_id, license_scan, lm, packing, queries, simhash, toxicity
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -361,6 +361,23 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.collect()} == seen[3]
 
 
+def test_pipeline_near_copies_go_by_row(spark):
+    import corpus_pipeline
+
+    near = lambda seed, end: words(400, seed) + " " + end
+    rows = [(1, near(950, "a")), (5, near(950, "b")), (5, words(200, 951)), (None, near(952, "a")), (None, near(952, "b")),
+            (None, near(953, "a")), (7, near(953, "b")), (8, near(954, "a")), (8, near(954, "b")), (9, words(200, 955))]
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    texts = [t for _, t in rows]
+    bits = [simhash.fingerprint(t.encode(), 4) for t in texts]
+    linked = [(0, 1), (3, 4), (5, 6), (7, 8)]
+    assert all((bits[a] ^ bits[b]).bit_count() <= 4 for a, b in linked)
+    kept = sorted(texts.index(r.text) for r in corpus_pipeline.drop_near(spark, docs, "").collect())
+    first = min((3, 4), key=lambda i: hashlib.sha256(texts[i].encode()).digest())
+    tie = min((7, 8), key=lambda i: hashlib.sha256(texts[i].encode()).digest())
+    assert kept == sorted([0, 2, first, 6, tie, 9])
+
+
 def common_dir(spark, item):
     from ordermill.session import scratch_path
 
