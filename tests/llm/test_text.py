@@ -326,6 +326,17 @@ def test_html_extract_drops_blocks_that_a_whole_host_shares(spark):
     assert all(got[200 + i].startswith("Follow us every day\n") for i in range(5))
 
 
+def test_html_extract_keeps_what_some_unmarked_pages_share(spark):
+    def part(i):
+        said = words(20, 3) if i % 8 == 0 else words(8, 2) if i % 2 else "none"
+        return f"{words(15, 800 + i)} x{i} {said} y{i} {words(15, 900 + i)}"
+
+    rows = [(i, f"https://big.example/{i}", f"<body><div>Menu</div><div>{words(14, 1)}</div><p>{words(12, 4)} w{i} {words(12, 5)}</p>"
+             f"<p>{part(i)}</p><div>Back to top</div></body>") for i in range(40)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"w{i}\n{part(i)}" for i in range(40)}
+
+
 def test_html_extract_on_a_table(spark):
     got = queries.op7_html_extract(spark, SF).toPandas().set_index("page_id")
     pages = spark.read.parquet(f"{SF}/pages.parquet").toPandas()
