@@ -8,7 +8,7 @@ predecessor kept, whatever its size (empty included).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, exact_dedup, language_id, packing, simhash
@@ -23,15 +23,45 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.accepted(docs, language_id.fit(language_id.learn_rows(docs)))
 
 
+#: Rows that go are broadcast up to this many (a key of 60 bytes each, so under 64 MB with its table), else joined by a shuffle.
+BROADCAST_ROWS = 400_000
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """docs with its columns renamed c0, c1, ... (so no name can clash with a
+    stage's own), and what a row is known by: its doc_id and its text's SHA-256."""
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = {name: F.col(f"c{i}") for i, name in enumerate(docs.columns)}
+    return own, at["doc_id"], F.unhex(F.sha2(F.coalesce(at["text"], F.lit("")).cast("binary"), 256))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of docs whose key is not in gone (gone_id, gone_sha; stored).
+    Texts stay where they are while gone is small enough to broadcast, and
+    else cross one shuffle."""
+    own, doc_id, sha = _keyed(docs)
+    small = gone.count() <= BROADCAST_ROWS
+    kept = own.join(F.broadcast(gone) if small else gone, doc_id.eqNullSafe(F.col("gone_id")) & (sha == F.col("gone_sha")), "left_anti")
+    return kept.toDF(*docs.columns)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts, the row with the largest doc_id stays.
-    Rows that repeat a doc_id and a text count as one."""
+    Rows that repeat a doc_id and a text count as one; which one is open, as
+    far as other columns differ."""
     importable(spark)
-    keep = exact_dedup.exact_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("keep_doc"), F.col("text_sha256").alias("keep_sha"))
-    named = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    kept = named.join(keep, F.col("doc_id").eqNullSafe(F.col("keep_doc")) & (F.col("__sha") == F.col("keep_sha")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__sha"]).select(*docs.columns)
+    rows = exact_dedup.exact_duplicates(docs).groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+    odd = stored(rows.where("NOT kept OR rows > 1").select(
+        F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_sha"), "kept"), "exact-odd")
+    kept = _without(docs, odd.select("gone_id", "gone_sha"))
+    again = odd.where("kept").select("gone_id", "gone_sha")
+    if again.isEmpty():
+        return kept
+    own, doc_id, sha = _keyed(docs)  # rows that stand there more than once: few, so only these are dealt by key
+    some = own.withColumns({"gone_id": doc_id, "gone_sha": sha})
+    some = some.join(again.toDF("again_id", "again_sha"), F.col("gone_id").eqNullSafe(F.col("again_id")) & (F.col("gone_sha") == F.col("again_sha")),
+                     "left_semi").dropDuplicates(["gone_id", "gone_sha"]).drop("gone_id", "gone_sha")
+    return kept.unionByName(some.toDF(*docs.columns))
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +69,16 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document with the smallest doc_id stays (none: last; of equal ones the
     text with the smallest hash). A row is known by doc_id and text."""
     importable(spark)
-    named = docs.withColumn("__sha", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    near = simhash.labelled(named, width=4, radius=4, also=("__sha",)).where("component_size > 1")
-    near = stored(near.select("root", F.col("doc_id").alias("near_id"), F.col("__sha").alias("near_sha")), "simhash-near")
-    order = F.struct(F.col("near_id").isNull().alias("last"), "near_id", "near_sha")
+    own, doc_id, sha = _keyed(docs)
+    text = own.columns[docs.columns.index("text")]
+    named = own.select(doc_id.alias("doc_id"), F.col(text).alias("text"), sha.alias("sha"))
+    near = simhash.labelled(named, width=4, radius=4, also=("sha",)).where("component_size > 1")
+    near = stored(near.select("root", F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha")), "simhash-near")
+    order = F.struct(F.col("gone_id").isNull().alias("last"), "gone_id", "gone_sha")
     first = near.groupBy("root").agg(F.min(order).alias("first")).select(
-        F.col("first.near_id").alias("keep_id"), F.col("first.near_sha").alias("keep_sha"))
-    gone = near.join(first, F.col("near_id").eqNullSafe(F.col("keep_id")) & (F.col("near_sha") == F.col("keep_sha")), "left_anti")
-    return named.join(gone, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("__sha") == F.col("near_sha")), "left_anti").select(
-        *docs.columns)
+        F.col("first.gone_id").alias("keep_id"), F.col("first.gone_sha").alias("keep_sha"))
+    gone = near.join(first, F.col("gone_id").eqNullSafe(F.col("keep_id")) & (F.col("gone_sha") == F.col("keep_sha")), "left_anti")
+    return _without(docs, stored(gone.select("gone_id", "gone_sha"), "simhash-gone"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

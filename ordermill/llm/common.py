@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.session import scratch_path
@@ -65,6 +65,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(rows: DataFrame, group: str, quotas: DataFrame, steps: int = 12) -> DataFrame:
+    """(doc_id, group): of each group the ``quota`` distinct doc_ids with the
+    smallest hash. quotas: (group, quota), few rows.
+
+    Ids are counted by group and the first ``steps`` bits of their hash; only
+    those up to the step in which a group's quota is full are ranked, so no
+    task ranks a whole group, however large.
+    """
+    h = F.xxhash64("doc_id")
+    step = F.shiftrightunsigned(h.bitwiseXOR(F.lit(-1 << 63)), 64 - steps)  # in the order of the signed hash
+    ids = rows.select("doc_id", group).distinct().join(F.broadcast(quotas), group).withColumn("step", step)
+    up_to = Window.partitionBy(group).orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ids.groupBy(group, "step").agg(F.count(F.lit(1)).alias("n"), F.first("quota").alias("quota"))
+    wanted = counts.withColumn("before", F.coalesce(F.sum("n").over(up_to), F.lit(0))).where("before < quota").groupBy(group).agg(
+        F.max("step").alias("last"))
+    near = ids.join(F.broadcast(wanted), group).where(F.col("step") <= F.col("last"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(h, "doc_id"))
+    return near.withColumn("place", place).where(F.col("place") <= F.col("quota")).select("doc_id", group)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph given as rows (a, b) of BIGINT nodes.
 

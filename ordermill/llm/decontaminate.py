@@ -34,7 +34,7 @@ Words = tuple[bytes, ...]
 class WuManber:
     """Search of windows that all have ``m`` words; ``owners``: window -> items."""
 
-    def __init__(self, owners: dict[Words, set[str]], m: int):
+    def __init__(self, owners: dict[Words, set[str | None]], m: int):
         self.m, self.owners = m, owners
         self.block = min(2, m)
         self.far = m - self.block + 1
@@ -63,8 +63,8 @@ class WuManber:
         return found
 
 
-def searchers(items: list[tuple[str, bytes]], width: int) -> list[WuManber]:
-    owners: dict[int, dict[Words, set[str]]] = defaultdict(lambda: defaultdict(set))
+def searchers(items: list[tuple[str | None, bytes]], width: int) -> list[WuManber]:
+    owners: dict[int, dict[Words, set[str | None]]] = defaultdict(lambda: defaultdict(set))
     for item_id, text in items:
         words = tuple(alnum_words(text))
         m = min(width, len(words))
@@ -73,7 +73,7 @@ def searchers(items: list[tuple[str, bytes]], width: int) -> list[WuManber]:
     return [WuManber(dict(found), m) for m, found in sorted(owners.items())]
 
 
-def scan(words: list[bytes], tables: list[WuManber]) -> tuple[list[tuple[int, int]], set[str]]:
+def scan(words: list[bytes], tables: list[WuManber]) -> tuple[list[tuple[int, int]], set[str | None]]:
     """Spans of hit words (start, end) and the items that occur."""
     spans, items = [], set()
     for table in tables:
@@ -85,7 +85,7 @@ def scan(words: list[bytes], tables: list[WuManber]) -> tuple[list[tuple[int, in
 
 def slices(benchmark: DataFrame, width: int, slice_bytes: int):
     """Broadcast tables of the benchmark's slices (one, if it is small)."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("id"), "text").where("text IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // slice_bytes))
     for k in range(n):
@@ -97,9 +97,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sl
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256,
     contaminated, items (sorted), spans (maximal runs of hit words).
 
-    A null text, document or item, has no words; an item without words or
-    with a null id is never found; equal windows of several items count for
-    each, and rows that repeat an item_id add their windows to it.
+    A null text, document or item, has no words; an item without words is
+    never found; equal windows of several items count for each, and rows that
+    repeat an item_id add their windows to it. Items without an id count
+    together as one item in n_items, and are not in items and items_sha256.
     """
     state = "doc_id bigint, text string, spans binary, items array<string>"
     final = ("doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
@@ -116,7 +117,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sl
                 words = alnum_words(text)
                 found, names = scan(words, table.value)
                 spans = np.concatenate([np.frombuffer(spans, np.int64), np.array(found, np.int64).ravel()])
-                names = sorted(names.union(items))
+                names = names.union(items)
                 if last:
                     out.append(_row(doc_id, len(words), spans.reshape(-1, 2), names))
                 else:
@@ -125,7 +126,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sl
                 return pa.RecordBatch.from_pylist(out, schema=_FINAL)
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text"), pa.array([r["spans"] for r in out], pa.binary()),
-                 pa.array([r["items"] for r in out], pa.list_(pa.string()))], ["doc_id", "text", "spans", "items"])
+                 pa.array([list(r["items"]) for r in out], pa.list_(pa.string()))], ["doc_id", "text", "spans", "items"])
 
         df = map_arrow(df, run, final if k + 1 == len(tables) else state)
     return df
@@ -137,7 +138,8 @@ _FINAL = pa.schema([
     ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
 
-def _row(doc_id, n_words: int, spans: np.ndarray, items: list[str]) -> dict:
+def _row(doc_id, n_words: int, spans: np.ndarray, found: set[str | None]) -> dict:
+    items = sorted(i for i in found if i is not None)
     runs: list[list[int]] = []
     for start, end in spans[np.argsort(spans[:, 0], kind="stable")].tolist():
         if runs and start <= runs[-1][1]:
@@ -145,7 +147,7 @@ def _row(doc_id, n_words: int, spans: np.ndarray, items: list[str]) -> dict:
         else:
             runs.append([start, end])
     hit = sum(b - a for a, b in runs)
-    return {"doc_id": doc_id, "n_words": n_words, "n_hit": hit, "n_items": len(items),
+    return {"doc_id": doc_id, "n_words": n_words, "n_hit": hit, "n_items": len(found),
             "items_sha256": hashlib.sha256(",".join(items).encode()).hexdigest(), "contaminated": hit > 0,
             "items": items, "spans": [{"start": a, "end": b} for a, b in runs]}
 

@@ -8,24 +8,23 @@ is rejected if that cosine is below a limit learned from the sample's texts
 and slices of them, by language and by how many distinct n-grams a text has
 (short texts have lower cosines), or if it has no letter.
 
-Fit: on at most ``sample_rows`` labelled rows (a documented bound, dealt
-evenly to the languages, in the order of a hash of doc_id); their sparse
-counts go to the driver. Prediction is one pass over the whole texts with
+Fit: on at most ``sample_rows`` labelled rows in all (a documented bound,
+dealt evenly to the languages that have enough, in the order of a hash of
+doc_id); their sparse counts go to the driver. Prediction is one pass over the whole texts with
 no shuffle.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import map_arrow
+from ordermill.llm.common import map_arrow, smallest_hashes
 
 DIMS = 8192
 SAMPLE_ROWS = 2000
@@ -39,14 +38,14 @@ REJECT_FEW = 0.25
 #: Characters of the slices of each sample row.
 SLICES = tuple(8 << k for k in range(8))
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _NOT_WORD = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 #: Bytes that one step of the n-gram count takes (bounds its memory).
 _STEP = 1 << 20
 
 
 def has_letter(text: str) -> bool:
-    return _LETTER.search(text) is not None
+    """Whether a character is of Unicode category L (number signs like ½ or Ⅷ are not)."""
+    return any(map(str.isalpha, text))
 
 
 def counts(text: str) -> np.ndarray:
@@ -127,18 +126,28 @@ def slices(text: str) -> list[str]:
     return [t for t in parts if has_letter(t)]
 
 
+def shares(sizes: list[tuple[str, int]], total: int) -> list[tuple[str, int]]:
+    """An even share of ``total`` for each of sizes (name, rows), at most its rows."""
+    out, left = [], total
+    for i, (name, rows) in enumerate(sorted(sizes, key=lambda s: (s[1], s[0]))):
+        out.append((name, min(rows, left // (len(sizes) - i))))
+        left -= out[-1][1]
+    return out
+
+
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTROIDS, reject: float = REJECT) -> Model:
     """Learn from the rows of docs (doc_id, text, lang) that have a lang and a letter.
 
-    At most ``sample_rows`` rows in all, so many of each language as
-    divide it evenly. No such rows: a model that predicts ``und``.
+    At most ``sample_rows`` rows in all: the languages with the most rows
+    (so many at most) share it evenly, and what a small one leaves goes to
+    the others. A doc_id with several texts in a language counts with the
+    smallest. No such rows: a model that predicts ``und``.
     """
     named = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    n = max(1, named.select("lang").distinct().count())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = named.select("doc_id", "lang").withColumn("i", F.row_number().over(order)).where(
-        F.col("i") <= max(1, sample_rows // n)).select("doc_id").distinct()
-    sample = named.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id", "left_semi")
+    sizes = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows).collect()
+    quotas = docs.sparkSession.createDataFrame(shares([(r.lang, r["count"]) for r in sizes], sample_rows), "lang string, quota bigint")
+    picked = smallest_hashes(named, "lang", quotas)
+    sample = named.select("doc_id", "text", "lang").join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
     sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # a repeated doc_id is one row
 
     def sparse(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -23,10 +23,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import map_arrow
+from ordermill.llm.common import map_arrow, smallest_hashes, stored
 
 #: Rows of each label that the grammar is learned from at most.
 SAMPLE_ROWS = 10_000
@@ -154,13 +154,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
     At most ``sample_rows`` rows of each label, in the order of a hash of
     doc_id; rows without a text, a doc_id or a 0/1 label are not learned
-    from. Without rows of both labels the word lists alone count.
+    from, a doc_id with both labels is toxic, one with several texts counts
+    with the smallest. Without rows of both labels the word lists alone count.
     """
-    marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = marked.withColumn("i", F.row_number().over(order)).where(F.col("i") <= sample_rows).select("doc_id", "toxic")
+    marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    quotas = docs.sparkSession.createDataFrame([(0, sample_rows), (1, sample_rows)], "toxic int, quota bigint")
+    picked = smallest_hashes(marked, "toxic", quotas)
     sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
-        F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic"))  # a repeated doc_id is one row
+        F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # a repeated doc_id is one row
+    sample = stored(sample, "toxicity-sample")
 
     def entries(batch: pa.RecordBatch) -> pa.RecordBatch:
         """The words and word beginnings of each text, once per text."""
