@@ -54,6 +54,8 @@ COVERED = 50
 SHARDS, PART_BYTES, BLOCK_BYTES = 3, 96 << 20, 8 << 20
 #: Distinct words and phrases that a task holds before it passes their counts on.
 HOLD_WORDS, HOLD_KEYS = 400_000, 3_000_000
+#: Width of the steps of the score (0 to 1,000,000) by which a lang's phrases are counted before they are ranked.
+SCORE_STEP = 500
 #: Bits of a word's name in a key, and of a longer phrase's.
 WORD_BITS, PHRASE_BITS = 30, 34
 NEVER = np.iinfo(np.int16).max
@@ -453,7 +455,8 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST,
         if found.scans[n] < 0:
             break
         before = level.select(F.col("name").alias("prefix"), "names", "lang", "phrase")
-        level = stored(found.phrases(n).join(before, "prefix").join(last, "last").select(
+        counted = stored(found.phrases(n), "collocation-counts")  # so that joins know its size
+        level = stored(counted.join(before, "prefix").join(last, "last").select(
             "name", F.concat("names", F.array("last")).alias("names"), "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), "f"),
             "collocation-phrases")
         every.append(level)
@@ -474,10 +477,15 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST,
         "over", F.slice("names", F.col("at"), F.col("m")).alias("names")).groupBy("names").agg(F.max("over").alias("over"))
     left = candidates.join(best, "names").join(longer, "names", "left").where(
         F.col("over").isNull() | (F.col("over") * 100 < F.col("f") * covered))
-    left = left.select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
+    left = stored(left.select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score"), "collocation-scores")
+    step = F.expr(f"score div {SCORE_STEP}")  # of each lang, only the steps of the score that are needed are ranked
+    above = Window.partitionBy("lang").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = left.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("n")).withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0)))
+    least = stored(steps.where(F.col("above") < keep).groupBy("lang").agg(F.min("step").alias("least")), "collocation-steps")
+    left = left.join(least, "lang").where(step >= F.col("least")).drop("least")
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
     some = left.withColumn("bucket", F.pmod(F.xxhash64("phrase"), F.lit(buckets)))  # so that no task ranks all of a lang
     some = some.withColumn("i", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy(*order))).where(F.col("i") <= keep)
     top = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= keep)
-    return top.join(found.totals(), "lang").select(
+    return top.join(stored(found.totals(), "collocation-totals"), "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
