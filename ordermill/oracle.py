@@ -575,6 +575,22 @@ WHERE ts IS NOT NULL
 """
 
 
+S1_QUOTED_LINES = _with(RAW_PRODUCTS) + """
+SELECT product_id, CASE WHEN k % 16 < 6 AND k % 5 = 1 THEN 'first, of ' || product_name || chr(10) || 'the "second"' || chr(10)
+                        ELSE product_name END AS product_name, price,
+       concat_ws('; ', CASE WHEN k % 32 = 31 THEN 'row: malformed CSV line' END, """ + msg_num("price") + """) AS _error
+FROM (SELECT *, CAST(product_id AS BIGINT) AS k FROM raw_products)
+"""
+
+S3_ORDERS_QUOTED = _with(RAW_ORDERS) + """
+SELECT order_id, order_date, product_id, qty, unit_price, user_id,
+       CASE WHEN CAST(substr(file_day, 9, 2) AS INTEGER) % 4 = 0 AND CAST(order_id AS BIGINT) % 7 = 2
+            THEN coalesce(order_status, '') || ',' || chr(10) || '"checked"' || chr(10) ELSE order_status END AS order_status,
+       replace(file_day, '-', '') AS file_day, FALSE AS malformed
+FROM raw_orders
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_daily_revenue": P4_DAILY_REVENUE,
@@ -626,4 +642,7 @@ def oracle_sql() -> dict[str, str]:
         "s1_products_csv": S1_PRODUCTS_CSV,
         "s2_inventory_csv": S2_INVENTORY_CSV,
         "s3_orders_csv_backfill": P3_BACKFILL,
+        "s1_quoted_lines": S1_QUOTED_LINES,
+        "s3_orders_quoted": S3_ORDERS_QUOTED,
+        "s3_order_files_backfill": P3_BACKFILL_WRITTEN,
     }

@@ -20,6 +20,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,7 @@ from ordermill.operators.transforms import add_order_date_iso, add_order_total,
 from ordermill.schemas import CORRUPT_COLUMN, ORDERS, PRODUCTS
 from ordermill.session import configure
 from ordermill.sinks import files
+from ordermill.sources import csv_files
 
 TS = "__order_ts"
 DAY = "date"
@@ -53,19 +55,29 @@ REPORT_SCHEMA = ("date string, run_date string, rows bigint, revenue double, bad
 class Inputs:
     """Where raw tables come from: ``orders(days)`` returns raw order rows
     with ``_file_day`` for the given YYYYMMDD days (None = all);
-    ``products()`` returns raw products."""
+    ``products()`` returns raw products.
+
+    Sources that can be read by one optimistic scan also have ``scan(days)``,
+    which returns the rows with what it takes to check them, and
+    ``reread(files, days)`` for the files that fail the check.
+    """
 
     orders: Callable[[list[str] | None], DataFrame]
     products: Callable[[], DataFrame]
+    scan: Callable[[list[str] | None], DataFrame] | None = None
+    reread: Callable[[list[str], list[str] | None], DataFrame] | None = None
 
 
-def csv_inputs(spark: SparkSession, data_dir: str, layout: str = "files") -> Inputs:
-    """Order and product CSVs in ``data_dir`` (``layout`` as in
-    ``csv_files.read_orders``)."""
-    from ordermill.sources import csv_files
-
-    return Inputs(lambda days: csv_files.read_orders(spark, data_dir, days, layout=layout),
-                  lambda: csv_files.read_products(spark, data_dir))
+def csv_inputs(spark: SparkSession, data_dir: str, layout: str = "files", multi_line: bool | str = "auto") -> Inputs:
+    """Order and product CSVs in ``data_dir`` (``layout`` and ``multi_line``
+    as in ``csv_files.read_orders``). With "auto" orders are read by one scan,
+    and only files of another kind than the first are read again."""
+    inputs = Inputs(lambda days: csv_files.read_orders(spark, data_dir, days, layout=layout, multi_line=multi_line),
+                    lambda: csv_files.read_products(spark, data_dir, multi_line=multi_line))
+    if multi_line == "auto":
+        inputs.scan = lambda days: csv_files.scan_orders(spark, data_dir, days, layout=layout)
+        inputs.reread = lambda paths, days: csv_files.reread_orders(spark, paths, days, layout=layout)
+    return inputs
 
 
 def table_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -150,6 +162,69 @@ def day_summary(tagged: DataFrame) -> DataFrame:
     )
 
 
+def _other_files(df: DataFrame, paths: list[str]) -> DataFrame:
+    """The rows of ``df`` that come from other files than ``paths``."""
+    if not paths:
+        return df
+    listed = df.sparkSession.createDataFrame([(p,) for p in paths], f"{csv_files.SOURCE_PATH} string")
+    return df.join(F.broadcast(listed), csv_files.SOURCE_PATH, "left_anti")
+
+
+class TaggedRun:
+    """The tagged orders of some days, persisted while their outputs are written.
+
+    From an input that is scanned optimistically, the first action (which
+    fills the cache and so is the one read of the input) also finds the
+    files the scan may have misread; they are read again and replaced.
+    """
+
+    def __init__(self, inputs: Inputs, days: list[str], date_format: str | None):
+        tag = lambda raw: tag_orders(raw, date_format).persist(StorageLevel.MEMORY_AND_DISK)
+        self.held = [tag((inputs.scan or inputs.orders)(days))]
+        self.rows = self.held[0]
+        if inputs.scan is None:
+            return
+        try:
+            paths = csv_files.unsettled(self.rows)
+            self.rows = csv_files.rows_of(_other_files(self.rows, paths)).drop(csv_files.SOURCE_PATH)
+            if paths:
+                self.held.append(tag(inputs.reread(paths, days).drop(csv_files.SOURCE_PATH)))
+                self.rows = self.rows.unionByName(self.held[1])
+        except BaseException:
+            self.close()
+            raise
+
+    def close(self) -> None:
+        for frame in self.held:
+            frame.unpersist()
+
+
+def summarise(inputs: Inputs, days: list[str], date_format: str | None = "%Y-%m-%d") -> DataFrame:
+    """``day_summary`` of some days without persisting rows. An optimistic
+    scan is summed by day and file, so the files it may have misread can be
+    taken out of the sums and read again."""
+    if inputs.scan is None:
+        return day_summary(tag_orders(inputs.orders(days), date_format))
+    from ordermill.session import scratch_path
+
+    path = csv_files.SOURCE_PATH
+    row = F.col(f"{csv_files.LINE}.kind") != csv_files.HEADER
+    sums = [F.count_if(F.col(GOOD) & row).alias("rows"), F.sum(TOTAL).alias("total"), F.count_if(~F.col(GOOD) & row).alias("bad_rows")]
+    scanned = tag_orders(inputs.scan(days), date_format).groupBy(DAY, path).agg(*sums, *csv_files.line_checks())
+    spark, folder = scanned.sparkSession, scratch_path(scanned.sparkSession, "day-file-sums")
+    scanned.write.parquet(folder)
+    sums_read = spark.read.schema(scanned.schema).parquet(folder)
+    checks = sums_read.groupBy(path).agg(F.min("_top").alias("_top"), F.sum("_headers").alias("_headers"), F.sum("_open").alias("_open"))
+    paths = sorted(r[0] for r in checks.where(csv_files.is_unsettled()).select(path).collect())
+    parts = _other_files(sums_read, paths).select(DAY, "rows", "total", "bad_rows")
+    if paths:
+        again = tag_orders(inputs.reread(paths, days), date_format).groupBy(DAY).agg(
+            F.count_if(F.col(GOOD)).alias("rows"), F.sum(TOTAL).alias("total"), F.count_if(~F.col(GOOD)).alias("bad_rows"))
+        parts = parts.unionByName(again)
+    return parts.groupBy(DAY).agg(F.sum("rows").alias("rows"), F.coalesce(money_out(F.sum("total")), F.lit(0.0)).alias("revenue"),
+                                  F.sum("bad_rows").alias("bad_rows")).where("rows + bad_rows > 0")
+
+
 def valid_products(raw_products: DataFrame) -> tuple[DataFrame, DataFrame]:
     """V3 on the product file: (typed good rows, bad rows)."""
     return V.validate_dataframe(raw_products, PRODUCTS)
@@ -201,32 +276,34 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
     if not dry_run and not output_dir:
         raise ValueError("output_dir is required unless dry_run")
     day = normalize_date_str(date_str)
-    raw = inputs.orders([day])
     products_good, products_bad = valid_products(inputs.products())
-    tagged = tag_orders(raw, date_format)
+    parquet, run = None, None
     if not dry_run:
         products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # before anything is written, and in a dry run too, which joins nothing
         assert_unique_key(products_good.select("product_id"), "product_id", "products")
-        row = tagged.agg(F.count_if(F.col(GOOD)).alias("rows"),
-                         F.coalesce(money_out(F.sum(TOTAL)), F.lit(0.0)).alias("revenue"),
-                         F.count_if(~F.col(GOOD)).alias("bad_rows")).collect()[0]
-        rows, bad = int(row["rows"]), int(row["bad_rows"])
-        parquet = None
+        if dry_run:
+            per_day = summarise(inputs, [day], date_format)
+        else:
+            run = TaggedRun(inputs, [day], date_format)
+            per_day = day_summary(run.rows)
+        found = per_day.collect()  # a file without a day in its name may hold several
+        rows, bad = sum(r["rows"] for r in found), sum(r["bad_rows"] for r in found)
+        revenue = float(round(sum(Decimal(repr(r["revenue"])) for r in found), 2))
         if not dry_run:
             out = output_dir.rstrip("/")
-            summary = day_summary(tagged).withColumn("run_date", F.lit(day))
-            table_dir = _write_outputs(tagged, products_good, out, summary, [(_iso_day(day), rows, bad)], broadcast)
+            summary = day_summary(run.rows).withColumn("run_date", F.lit(day))
+            table_dir = _write_outputs(run.rows, products_good, out, summary, [(_iso_day(day), rows, bad)], broadcast)
             if table_dir:  # the day's partition, as the reference returns its file
                 parquet = f"{table_dir}/{DAY}={_iso_day(day)}"
             files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
     finally:
+        if run:
+            run.close()
         if not dry_run:
-            tagged.unpersist()
             products_good.unpersist()
-    return {"date": date_str, "rows": rows, "revenue": float(row["revenue"]), "bad_rows": bad,
+    return {"date": date_str, "rows": rows, "revenue": revenue, "bad_rows": bad,
             "parquet_path": parquet}
 
 
@@ -315,11 +392,8 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
         F.col(DAY).between(_iso_day(days[0]), _iso_day(days[-1])))
     products_error = _products_error(inputs.products)
 
-    def summarise(part: list[str]) -> list:
-        return day_summary(tag_orders(inputs.orders(part), date_format)).where(in_range).collect()
-
     if dry_run or products_error:
-        rows, errors = _each_day(days, summarise)
+        rows, errors = _each_day(days, lambda part: summarise(inputs, part, date_format).where(in_range).collect())
         report = _report(spark, days, rows, errors, products_error)
         if dry_run:
             return report
@@ -329,17 +403,17 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
         products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
 
         def write(window: list[str]) -> list:
-            tagged = tag_orders(inputs.orders(window), date_format).persist(StorageLevel.MEMORY_AND_DISK)
+            run = TaggedRun(inputs, window, date_format)
             try:
-                per_day = day_summary(tagged).where(in_range).collect()
+                per_day = day_summary(run.rows).where(in_range).collect()
                 counts = [(r[DAY], r["rows"], r["bad_rows"]) for r in per_day]
                 summary = spark.createDataFrame(
                     [(r[DAY], r[DAY].replace("-", ""), r["rows"], r["revenue"]) for r in per_day],
                     "date string, run_date string, rows bigint, revenue double")
-                _write_outputs(tagged, products_good, out, summary, counts, broadcast)
+                _write_outputs(run.rows, products_good, out, summary, counts, broadcast)
                 return per_day
             finally:
-                tagged.unpersist()
+                run.close()
 
         rows, errors = [], {}
         try:

@@ -28,6 +28,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 UNION_SPLIT = "1998-01-01 00:00:00"
 
 
+# Options of CSV text that keeps cells as they are.
+CSV_CELLS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _dbl(c: str) -> F.Column:
     return F.col(c).cast("double").alias(c)
 
@@ -271,7 +275,11 @@ def p3_backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "backfill")
     report = pipeline.backfill(spark, *_date_range(spark, sf_dir), pipeline.table_inputs(spark, sf_dir),
                                out, window_days=1000)
-    held = spark.read.parquet(f"{out}/processed").groupBy(F.col("date").cast("string").alias("date")).agg(
+    return _report_with_held(report, out)
+
+
+def _report_with_held(report: DataFrame, out: str) -> DataFrame:
+    held = report.sparkSession.read.parquet(f"{out}/processed").groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count(F.lit(1)).alias("rows_held"), F.round(F.sum("order_total"), 2).cast("double").alias("revenue_held"))
     return report.join(held, "date", "left").select("date", "rows", "revenue", "bad_rows", "status", "rows_held", "revenue_held")
 
@@ -540,6 +548,68 @@ def s3_orders_csv_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.backfill(spark, *_date_range(spark, sf_dir), inputs, dry_run=True)
 
 
+def s1_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product files of three kinds: plain ones, ones with line breaks
+    in quotes, ones with quotes that are never closed; the error of every row."""
+    from ordermill.sources import csv_files
+
+    configure(spark)
+    raw, k = tables.raw_products(spark, sf_dir), F.col("product_id").cast("bigint")
+    kind = k % 16
+    name = F.when((kind < 6) & (k % 5 == 1), F.concat(F.lit("first, of "), F.col("product_name"), F.lit('\nthe "second"\n'))).otherwise(F.col("product_name"))
+    price = F.when((kind == 15) & (k % 32 == 31), F.concat(F.lit('"'), F.col("price"))).otherwise(F.col("price"))
+    cells = F.to_csv(F.struct("product_id", name.alias("product_name"), "category"), CSV_CELLS)
+    base = scratch_path(spark, "csv-quoted")
+    lines = raw.select(kind.alias("part"), F.concat_ws(",", cells, price).alias("value"))
+    _headed(lines, "product_id,product_name,category,price", "part").write.partitionBy("part").text(f"{base}/products.csv")
+    tagged = V.tag(csv_files.read_products(spark, base), PRODUCTS)
+    return tagged.select("product_id", "product_name", "price", V.ERROR)
+
+
+def _headed(lines: DataFrame, header: str, by: str) -> DataFrame:
+    """Text lines (``by``, value) with the header line before those of each value of ``by``."""
+    heads = lines.select(by).distinct().select(by, F.lit(0).alias("at"), F.lit(header).alias("value"))
+    both = lines.select(by, F.lit(1).alias("at"), "value").unionByName(heads)
+    return both.repartition(by).sortWithinPartitions(by, "at").select(by, "value")
+
+
+def _order_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw orders and products as the reference gets them: one file
+    ``order_<day>.csv`` per day in one folder. On every fourth day of a month
+    some statuses hold a line break."""
+    raw = tables.raw_orders(spark, sf_dir)
+    broken = (F.substring("_file_day", 7, 2).cast("int") % 4 == 0) & (F.col("order_id").cast("bigint") % 7 == 2)
+    status = F.when(broken, F.concat(F.coalesce("order_status", F.lit("")), F.lit(',\n"checked"\n'))).otherwise(F.col("order_status"))
+    raw = raw.withColumn("order_status", status)
+    base = scratch_path(spark, "csv-days")
+    lines = raw.select(F.col("_file_day").alias("day"), F.to_csv(F.struct(*ORDERS.names), CSV_CELLS).alias("value"))
+    _headed(lines, ",".join(ORDERS.names), "day").write.partitionBy("day").text(f"{base}/parts")
+    files.flatten(spark, f"{base}/parts", f"{base}/data", lambda folder: f"order_{folder.removeprefix('day=')}.csv")
+    _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/data/products.csv")
+    return f"{base}/data"
+
+
+def s3_orders_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the daily order files, some of which hold line
+    breaks in quotes."""
+    from ordermill.sources import csv_files
+
+    configure(spark)
+    rows = csv_files.read_orders(spark, _order_files(spark, sf_dir))
+    return rows.select("order_id", "order_date", "product_id", "qty", "unit_price", "user_id", "order_status", F.col("_file_day").alias("file_day"),
+                       F.col("_corrupt_record").isNotNull().alias("malformed"))
+
+
+def s3_order_files_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S4 + P3 (writing) over daily files of both kinds: the report next
+    to what the written day partitions hold. Equals ``p3_backfill_written``."""
+    configure(spark)
+    out = scratch_path(spark, "backfill")
+    inputs = pipeline.csv_inputs(spark, _order_files(spark, sf_dir))
+    report = pipeline.backfill(spark, *_date_range(spark, sf_dir), inputs, out, window_days=1000)
+    return _report_with_held(report, out)
+
+
 def _csv_copy_to(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -595,4 +665,7 @@ def queries() -> dict[str, Query]:
         "s1_products_csv": s1_products_csv,
         "s2_inventory_csv": s2_inventory_csv,
         "s3_orders_csv_backfill": s3_orders_csv_backfill,
+        "s1_quoted_lines": s1_quoted_lines,
+        "s3_orders_quoted": s3_orders_quoted,
+        "s3_order_files_backfill": s3_order_files_backfill,
     }

@@ -63,6 +63,19 @@ def remove(df_or_spark, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def flatten(spark, parts_dir: str, output_dir: str, name) -> None:
+    """Turn a partitioned write with one file per folder into files of one
+    folder: ``parts_dir/<folder>/part-…`` becomes ``output_dir/<name(folder)>``.
+    One rename per folder, by the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(parts_dir).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(output_dir))
+    for found in system.globStatus(path(f"{parts_dir}/*/part-*")):
+        folder = found.getPath().getParent().getName()
+        if not system.rename(found.getPath(), path(f"{output_dir}/{name(folder)}")):
+            raise OSError(f"cannot move {found.getPath()}")
+
+
 def write_summaries(summary: DataFrame, output_dir: str) -> str:
     """Summary rows as JSON, one partition per date; a row without a
     date is filed under ``date=run``."""
