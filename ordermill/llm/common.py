@@ -45,10 +45,16 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+#: Rows and bytes of texts that a Python worker is handed at a time (bounds its memory).
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it
     (in local mode, or where all machines mount it); a cluster that does
-    not gets it with ``--py-files``."""
+    not gets it with ``--py-files``. Workers get texts in small batches."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
