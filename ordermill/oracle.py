@@ -220,7 +220,7 @@ def msg_str(c: str) -> str:
     return f"CASE WHEN {c} IS NULL THEN '{c}: field required' END"
 
 
-TAGGED_ORDERS = RAW_ORDERS + """,
+TAGGED = """,
 parsed_orders AS (
   SELECT *, """ + parse_sql("order_date") + """ AS ts,
          try_strptime(order_date, '%Y-%m-%d') AS ts_strict
@@ -248,6 +248,11 @@ flagged_orders AS (
   FROM tagged_orders
 )"""
 
+TAGGED_ORDERS = RAW_ORDERS + TAGGED
+
+# The raw orders with every order dated on the first of its month.
+RAW_MONTHLY = RAW_ORDERS.replace("o.o_orderdate", "date_trunc('month', o.o_orderdate)")
+
 VALID_PRODUCTS = RAW_PRODUCTS + """,
 products_checked AS (
   SELECT *, concat_ws('; ', """ + msg_int("product_id") + """, """ + msg_str("product_name") + """,
@@ -591,6 +596,28 @@ FROM raw_orders
 """
 
 
+P3_INCREMENTAL = _with(RAW_MONTHLY.replace("raw_orders AS", "first_orders AS"), """
+raw_orders AS (
+  SELECT order_id, order_date, product_id,
+         CASE WHEN substr(file_day, 6, 2) = '05' AND try_cast(qty AS INTEGER) >= 10 THEN NULL ELSE qty END AS qty,
+         unit_price, user_id, order_status, file_day
+  FROM first_orders WHERE substr(file_day, 6, 2) <> '08'
+)""" + TAGGED, """
+per_day AS (
+  SELECT date, CAST(COUNT(*) FILTER (WHERE good) AS BIGINT) AS rows, COALESCE(CAST(ROUND(SUM(total), 2) AS DOUBLE), 0.0) AS revenue,
+         CAST(COUNT(*) FILTER (WHERE NOT good) AS BIGINT) AS bad_rows
+  FROM flagged_orders GROUP BY date
+),
+gone AS (SELECT DISTINCT file_day AS date FROM first_orders WHERE substr(file_day, 6, 2) = '08')""") + """
+SELECT date, CASE WHEN substr(date, 6, 2) <> '05' THEN 'unchanged' WHEN rows > 0 THEN 'ok' ELSE 'no_valid_rows' END AS status,
+       rows, revenue, bad_rows, CASE WHEN rows > 0 THEN rows END AS rows_held, CASE WHEN rows > 0 THEN revenue END AS revenue_held,
+       substr(date, 6, 2) = '05' AS rewritten
+FROM per_day
+UNION ALL
+SELECT date, NULL, NULL, NULL, NULL, NULL, NULL, TRUE FROM gone
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_daily_revenue": P4_DAILY_REVENUE,
@@ -645,4 +672,5 @@ def oracle_sql() -> dict[str, str]:
         "s1_quoted_lines": S1_QUOTED_LINES,
         "s3_orders_quoted": S3_ORDERS_QUOTED,
         "s3_order_files_backfill": P3_BACKFILL_WRITTEN,
+        "p3_incremental": P3_INCREMENTAL,
     }

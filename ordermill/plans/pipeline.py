@@ -31,6 +31,7 @@ from ordermill.functions.numeric import line_total, money_out
 from ordermill.operators import validate as V
 from ordermill.operators.joins import assert_unique_key
 from ordermill.operators.transforms import add_order_date_iso, add_order_total, enrich_with_products
+from ordermill.plans import manifest
 from ordermill.schemas import CORRUPT_COLUMN, ORDERS, PRODUCTS
 from ordermill.session import configure
 from ordermill.sinks import files
@@ -46,6 +47,7 @@ STATUS_OK = "ok"
 STATUS_NO_VALID = "no_valid_rows"
 STATUS_MISSING = "missing"
 STATUS_ERROR = "error"
+STATUS_UNCHANGED = "unchanged"
 MSG_NO_FILE = "No order file for date "
 REPORT_SCHEMA = ("date string, run_date string, rows bigint, revenue double, bad_rows bigint, "
                  "status string, error string")
@@ -66,6 +68,9 @@ class Inputs:
     products: Callable[[], DataFrame]
     scan: Callable[[list[str] | None], DataFrame] | None = None
     reread: Callable[[list[str], list[str] | None], DataFrame] | None = None
+    #: For incremental backfills: the listing (date, path, length, modified) and the product files' fingerprint.
+    listing: Callable[[], DataFrame] | None = None
+    products_state: Callable[[], str] | None = None
 
 
 def csv_inputs(spark: SparkSession, data_dir: str, layout: str = "files", multi_line: bool | str = "auto") -> Inputs:
@@ -74,6 +79,8 @@ def csv_inputs(spark: SparkSession, data_dir: str, layout: str = "files", multi_
     and only files of another kind than the first are read again."""
     inputs = Inputs(lambda days: csv_files.read_orders(spark, data_dir, days, layout=layout, multi_line=multi_line),
                     lambda: csv_files.read_products(spark, data_dir, multi_line=multi_line))
+    inputs.listing = lambda: manifest.order_files(spark, data_dir, layout)
+    inputs.products_state = lambda: manifest.fingerprint(spark, f"{data_dir.rstrip('/')}/products.csv")
     if multi_line == "auto":
         inputs.scan = lambda days: csv_files.scan_orders(spark, data_dir, days, layout=layout)
         inputs.reread = lambda paths, days: csv_files.reread_orders(spark, paths, days, layout=layout)
@@ -338,15 +345,37 @@ def _error_text(exc: Exception) -> str:
     return next((x for x in lines if "many-to-one" in x), lines[0] if lines else type(exc).__name__)
 
 
+def _listing(inputs: Inputs, out: str) -> tuple[DataFrame, str, DataFrame]:
+    """The input's files and product fingerprint as they are now (kept, so
+    that later changes do not show), and the manifest."""
+    from ordermill.session import scratch_path
+
+    listing = inputs.listing()
+    spark, folder = listing.sparkSession, scratch_path(listing.sparkSession, "listing")
+    listing.write.parquet(folder)
+    return spark.read.schema(listing.schema).parquet(folder), inputs.products_state(), manifest.stored(spark, out)
+
+
+def _forget(spark: SparkSession, out: str, days: list[str]) -> None:
+    """Remove the outputs and the manifest of days that have no file any more."""
+    for day in days:
+        for kind in ("processed", "summaries", "bad_rows/dataset=orders", "manifest"):
+            files.remove(spark, f"{out}/{kind}/{DAY}={day}")
+
+
 def _report(spark: SparkSession, days: list[str], rows: list, errors: dict[str, str],
-            products_error: str | None) -> DataFrame:
-    """One row per day of the range."""
+            products_error: str | None, same: list = ()) -> DataFrame:
+    """One row per day of the range; ``same``: results of days that were not run."""
     found = {r[DAY]: r for r in rows}
+    unchanged = {r[DAY]: r for r in same}
     out = []
     for day in days:
         r = found.get(_iso_day(day))
         if day in errors or (r is not None and products_error):
             out.append((_iso_day(day), day, None, None, None, STATUS_ERROR, errors.get(day, products_error)))
+        elif r is None and _iso_day(day) in unchanged:
+            r = unchanged[_iso_day(day)]
+            out.append((_iso_day(day), day, r["rows"], r["revenue"], r["bad_rows"], STATUS_UNCHANGED, None))
         elif r is None:
             out.append((_iso_day(day), day, None, None, None, STATUS_MISSING, MSG_NO_FILE + day))
         else:
@@ -367,7 +396,7 @@ def _products_error(products: Callable[[], DataFrame]) -> str | None:
 
 def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_dir: str | None = None,
              dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
-             broadcast: bool = True, window_days: int = 31) -> DataFrame:
+             broadcast: bool = True, window_days: int = 31, incremental: bool = False) -> DataFrame:
     """Every day of [start, end].
 
     Returns one row per day: date, run_date, rows, revenue, bad_rows,
@@ -383,6 +412,11 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
     volume is bounded by the window, not by the range) and one
     dynamic-overwrite write per output. Windows are idempotent. The report
     (one row per day) is written to the output folder and read back.
+
+    ``incremental`` (a writing run over files): only the days whose files, or
+    whose products, differ from the manifest of earlier runs are run; the
+    others are reported as ``unchanged`` with their results. A day whose
+    files are all gone loses its outputs and is ``missing``.
     """
     configure(spark)
     if not dry_run and not output_dir:
@@ -391,6 +425,8 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
     in_range = F.col(DAY).isin([_iso_day(d) for d in days]) if len(days) <= 100 else (
         F.col(DAY).between(_iso_day(days[0]), _iso_day(days[-1])))
     products_error = _products_error(inputs.products)
+    if incremental and (dry_run or inputs.listing is None):
+        raise ValueError("an incremental backfill writes, and needs inputs with a listing of files")
 
     if dry_run or products_error:
         rows, errors = _each_day(days, lambda part: summarise(inputs, part, date_format).where(in_range).collect())
@@ -415,15 +451,26 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
             finally:
                 run.close()
 
-        rows, errors = [], {}
+        rows, errors, todo, same = [], {}, days, []
+        if incremental:
+            listing, state, known = _listing(inputs, out)
+            differ = manifest.changed(listing, known, state) & {_iso_day(d) for d in days}
+            todo = [d for d in days if _iso_day(d) in differ]
+            here = {r[DAY] for r in listing.select(DAY).distinct().collect()}
+            _forget(spark, out, sorted(differ - here))
+            same = manifest.results(known, {_iso_day(d) for d in days} & here - differ)
         try:
-            for i in range(0, len(days), max(1, window_days)):
-                done, failed = _each_day(days[i:i + max(1, window_days)], write)
+            for i in range(0, len(todo), max(1, window_days)):
+                done, failed = _each_day(todo[i:i + max(1, window_days)], write)
                 rows, errors = rows + done, errors | failed
+                if incremental and done:
+                    results = [(r[DAY], r["rows"], r["revenue"], r["bad_rows"], STATUS_OK if r["rows"] else STATUS_NO_VALID) for r in done]
+                    manifest.record(listing, state, spark.createDataFrame(
+                        results, "date string, rows bigint, revenue double, bad_rows bigint, status string"), out)
             files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
         finally:
             products_good.unpersist()
-        report = _report(spark, days, rows, errors, None)
+        report = _report(spark, days, rows, errors, None, same)
     path = f"{output_dir.rstrip('/')}/runs/{days[0]}_{days[-1]}/attempt-{uuid.uuid4().hex[:12]}/report"
     report.coalesce(1).write.parquet(path)
     return spark.read.parquet(path)

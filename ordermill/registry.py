@@ -573,6 +573,13 @@ def _headed(lines: DataFrame, header: str, by: str) -> DataFrame:
     return both.repartition(by).sortWithinPartitions(by, "at").select(by, "value")
 
 
+def _write_order_files(spark: SparkSession, raw: DataFrame, base: str, name: str = "parts") -> None:
+    """Raw orders as one file ``order_<day>.csv`` per day in ``base``/data."""
+    lines = raw.select(F.col("_file_day").alias("day"), F.to_csv(F.struct(*ORDERS.names), CSV_CELLS).alias("value"))
+    _headed(lines, ",".join(ORDERS.names), "day").write.partitionBy("day").text(f"{base}/{name}")
+    files.flatten(spark, f"{base}/{name}", f"{base}/data", lambda folder: f"order_{folder.removeprefix('day=')}.csv")
+
+
 def _order_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw orders and products as the reference gets them: one file
     ``order_<day>.csv`` per day in one folder. On every fourth day of a month
@@ -582,9 +589,7 @@ def _order_files(spark: SparkSession, sf_dir: str) -> str:
     status = F.when(broken, F.concat(F.coalesce("order_status", F.lit("")), F.lit(',\n"checked"\n'))).otherwise(F.col("order_status"))
     raw = raw.withColumn("order_status", status)
     base = scratch_path(spark, "csv-days")
-    lines = raw.select(F.col("_file_day").alias("day"), F.to_csv(F.struct(*ORDERS.names), CSV_CELLS).alias("value"))
-    _headed(lines, ",".join(ORDERS.names), "day").write.partitionBy("day").text(f"{base}/parts")
-    files.flatten(spark, f"{base}/parts", f"{base}/data", lambda folder: f"order_{folder.removeprefix('day=')}.csv")
+    _write_order_files(spark, raw, base)
     _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/data/products.csv")
     return f"{base}/data"
 
@@ -610,6 +615,43 @@ def s3_order_files_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report_with_held(report, out)
 
 
+def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 over monthly order files, twice: between the runs the files of
+    every May change (their quantities of 10 and more are taken for lost)
+    and those of every August go. Which days the second run has written
+    anew, by the files of their partitions, and what they hold then."""
+    configure(spark)
+    base, out = scratch_path(spark, "csv-months"), scratch_path(spark, "backfill")
+    raw = tables.raw_orders(spark, sf_dir, monthly=True)
+    _write_order_files(spark, raw, base)
+    _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/data/products.csv")
+    days = [r[0] for r in raw.select("_file_day").distinct().orderBy("_file_day").collect()]
+    run = lambda: pipeline.backfill(spark, days[0], days[-1], pipeline.csv_inputs(spark, f"{base}/data"), out,
+                                    window_days=1000, incremental=True).where("status <> 'missing'")
+
+    def held(name: str) -> DataFrame:
+        rows = spark.read.parquet(f"{out}/processed").select(F.col("date").cast("string").alias("date"), "order_total",
+                                                             F.col("_metadata.file_name").alias("file"))
+        found = rows.groupBy("date").agg(F.count(F.lit(1)).alias("rows_held"), F.array_sort(F.collect_set("file")).alias("files"),
+                                         F.round(F.sum("order_total"), 2).cast("double").alias("revenue_held"))
+        path = scratch_path(spark, name)
+        found.write.parquet(path)
+        return spark.read.parquet(path)
+
+    run().count()
+    first = held("held-first").select("date", F.col("files").alias("files_first"))
+    for day in days:
+        if day[4:6] in ("05", "08"):
+            files.remove(spark, f"{base}/data/order_{day}.csv")
+    again = raw.where(F.col("_file_day").substr(5, 2) == "05").withColumn(
+        "qty", F.when(F.col("qty").try_cast("int") >= 10, F.lit("")).otherwise(F.col("qty")))
+    _write_order_files(spark, again, base, "changed")
+    report = run()
+    joined = report.join(held("held-second"), "date", "full").join(first, "date", "full")
+    return joined.select("date", "status", "rows", "revenue", "bad_rows", "rows_held", "revenue_held",
+                         (~F.col("files").eqNullSafe(F.col("files_first"))).alias("rewritten"))
+
+
 def _csv_copy_to(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -668,4 +710,5 @@ def queries() -> dict[str, Query]:
         "s1_quoted_lines": s1_quoted_lines,
         "s3_orders_quoted": s3_orders_quoted,
         "s3_order_files_backfill": s3_order_files_backfill,
+        "p3_incremental": p3_incremental,
     }

@@ -63,6 +63,11 @@ def remove(df_or_spark, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def flatten(spark, parts_dir: str, output_dir: str, name) -> None:
     """Turn a partitioned write with one file per folder into files of one
     folder: ``parts_dir/<folder>/part-…`` becomes ``output_dir/<name(folder)>``.

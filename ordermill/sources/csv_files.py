@@ -305,7 +305,7 @@ def order_glob(data_dir: str, days: list[str] | None = None) -> str:
     return f"{base}/*{alt}*"
 
 
-def _orders_place(data_dir: str, days: list[str] | None, layout: str) -> tuple[str, str]:
+def orders_place(data_dir: str, days: list[str] | None, layout: str) -> tuple[str, str]:
     """(path, file name filter) of the order files."""
     if layout != "folders":
         return order_glob(data_dir, days), ORDER_GLOB
@@ -335,7 +335,7 @@ def read_orders(spark: SparkSession, data_dir: str, days: list[str] | None = Non
     produce them): the folder name carries "order" and the day.
     """
     days = [normalize_date_str(d) for d in days] if days else None
-    path, glob = _orders_place(data_dir, days, layout)
+    path, glob = orders_place(data_dir, days, layout)
     try:
         df = read_table_csv(spark, path, ORDERS, tokens, glob, multi_line)
     except FileNotFoundError as exc:
@@ -348,7 +348,7 @@ def scan_orders(spark: SparkSession, data_dir: str, days: list[str] | None = Non
     """The same rows by one scan (``scan_lines``), with ``_source_path`` and
     ``LINE``; the files that ``unsettled`` names are read with ``reread_orders``."""
     days = [normalize_date_str(d) for d in days] if days else None
-    path, glob = _orders_place(data_dir, days, layout)
+    path, glob = orders_place(data_dir, days, layout)
     try:
         return _with_day(scan_lines(spark, path, ORDERS, tokens, glob), days, layout)
     except FileNotFoundError as exc:

@@ -183,13 +183,14 @@ def _day_filter(days: list[str] | None) -> Column | None:
     return cond
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None, monthly: bool = False) -> DataFrame:
     """Orders as a CSV reader would hand them over: every cell a string.
 
     Each order's lines stand for one daily file, ``order_<YYYYMMDD>.csv``
     of its order date (``_source_file``, ``_file_day``). ``days`` keeps
     only those files' rows, as a filter the Parquet scan of ``orders``
-    receives.
+    receives. ``monthly`` dates every order on the first of its month, so
+    that there are few and larger days.
 
     Every text cell is derived on its own side of the join (order-level
     cells once per order, line-level cells once per line), so later
@@ -198,6 +199,8 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None)
     """
     k = F.col("o_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    if monthly:
+        od = od.withColumn("o_orderdate", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz"))
     cond = _day_filter(days)
     if cond is not None:
         od = od.where(cond)
