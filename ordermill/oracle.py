@@ -596,6 +596,36 @@ FROM raw_orders
 """
 
 
+# The raw orders with a hot key and a hot product that is rejected.
+RAW_HOT = RAW_ORDERS.replace("raw_orders AS", "cold_orders AS") + """,
+raw_orders AS (
+  SELECT CASE CAST(order_id AS BIGINT) % 3 WHEN 0 THEN '1' ELSE order_id END AS order_id, order_date,
+         CASE CAST(order_id AS BIGINT) % 3 WHEN 0 THEN '1' WHEN 1 THEN '10' ELSE product_id END AS product_id,
+         qty, unit_price, user_id, order_status, file_day FROM cold_orders
+)""" + TAGGED
+
+V_UNIQUE = _with(RAW_HOT, """
+keyed AS (SELECT *, COUNT(*) FILTER (WHERE good) OVER (PARTITION BY order_id, product_id) AS n FROM flagged_orders)""") + """
+SELECT order_id, product_id, qty, unit_price, CASE WHEN good THEN 'order_id, product_id: key is on ' || n || ' rows' ELSE _error END AS _error
+FROM keyed WHERE ts IS NOT NULL AND (NOT good OR n > 1)
+"""
+
+V_REFERENCE = _with(RAW_HOT, VALID_PRODUCTS) + """
+SELECT order_id, product_id, qty, unit_price, CASE WHEN good THEN 'product_id: no such product' ELSE _error END AS _error
+FROM flagged_orders f WHERE ts IS NOT NULL
+ AND (NOT good OR NOT EXISTS (SELECT 1 FROM valid_products v WHERE v.product_id = CAST(f.product_id AS BIGINT)))
+"""
+
+P3_LATE_ROWS = _with(RAW_MONTHLY.replace("raw_orders AS", "first_orders AS"), """
+raw_orders AS (
+  SELECT order_id, order_date, product_id, CASE WHEN CAST(order_id AS BIGINT) % 11 = 5 THEN '7' ELSE qty END AS qty,
+         unit_price, user_id, order_status, file_day FROM first_orders
+)""" + TAGGED.replace("CASE WHEN strftime(ts, '%Y-%m-%d') <> file_day THEN 'order_date: outside run date ' || file_day END", "NULL")) + """
+SELECT strftime(ts, '%Y-%m-%d') AS date, COUNT(*) AS rows, CAST(ROUND(SUM(total), 2) AS DOUBLE) AS revenue,
+       COUNT(*) AS rows_held, CAST(ROUND(SUM(total), 2) AS DOUBLE) AS revenue_held, CAST(SUM(""" + int_sql("qty") + """) AS BIGINT) AS units_held
+FROM flagged_orders WHERE good GROUP BY 1
+"""
+
 P3_INCREMENTAL = _with(RAW_MONTHLY.replace("raw_orders AS", "first_orders AS"), """
 raw_orders AS (
   SELECT order_id, order_date, product_id,
@@ -673,4 +703,7 @@ def oracle_sql() -> dict[str, str]:
         "s3_orders_quoted": S3_ORDERS_QUOTED,
         "s3_order_files_backfill": P3_BACKFILL_WRITTEN,
         "p3_incremental": P3_INCREMENTAL,
+        "p3_late_rows": P3_LATE_ROWS,
+        "v_unique": V_UNIQUE,
+        "v_reference": V_REFERENCE,
     }

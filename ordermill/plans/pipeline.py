@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.dates import iso_date, normalize_date_str
 from ordermill.functions.numeric import line_total, money_out
+from ordermill.operators import table_rules
 from ordermill.operators import validate as V
 from ordermill.operators.joins import assert_unique_key
 from ordermill.operators.transforms import add_order_date_iso, add_order_total, enrich_with_products
-from ordermill.plans import manifest
+from ordermill.plans import late, manifest
 from ordermill.schemas import CORRUPT_COLUMN, ORDERS, PRODUCTS
-from ordermill.session import configure
+from ordermill.session import configure, stored_table
 from ordermill.sinks import files
 from ordermill.sources import csv_files
 
@@ -41,6 +42,7 @@ TS = "__order_ts"
 DAY = "date"
 GOOD = "__good"
 TOTAL = "__total"
+LATE = "__late"
 
 # Per-day status of a backfill.
 STATUS_OK = "ok"
@@ -100,7 +102,7 @@ def _file_day_iso(c: Column) -> Column:
 
 
 def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
-               strict_optional: bool = False) -> DataFrame:
+               strict_optional: bool = False, late: bool = False) -> DataFrame:
     """Parse, validate and total raw orders in one projection.
 
     Adds: ``__order_ts`` (parsed date), ``_date_recovered``,
@@ -111,7 +113,9 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
     (the rounded line total of a good row).
 
     A row dated on another day than its file's is rejected ("outside run
-    date"), so writing a day never touches another day's partition.
+    date"), so writing a day never touches another day's partition. With
+    ``late`` such a row that breaks no other rule is neither good nor bad but
+    marked in ``__late``, to be merged into its own day (``plans/late.py``).
     """
     df = V.with_required_columns(raw, ORDERS)
     df = V.tag_dates(df, "order_date", date_format, parsed_col=TS)
@@ -130,6 +134,9 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
         F.lit(False))
     df = df.withColumns({"__rules": rules, "__on_day": on_day})
     outside = F.when(~F.col("__on_day"), F.concat(F.lit(V.MSG_OUTSIDE_RUN), file_day))
+    if late:
+        df = df.withColumn(LATE, V.is_valid(F.col("__rules")) & ~F.col("__on_day") & F.col(TS).isNotNull())
+        outside = F.when(~F.col(LATE), outside)
     df = df.withColumn(V.ERROR, F.when(F.col(TS).isNotNull(),
                                        F.concat_ws(V.SEPARATOR, F.nullif(F.col("__rules"), F.lit("")), outside)))
     df = df.withColumn(GOOD, V.is_valid(F.col("__rules")) & F.col("__on_day")).drop("__rules", "__on_day")
@@ -137,11 +144,23 @@ def tag_orders(raw: DataFrame, date_format: str | None = "%Y-%m-%d",
     return df.withColumn(TOTAL, F.when(F.col(GOOD), line_total(typed["qty"], typed["unit_price"])))
 
 
+def _typed_orders(rows: DataFrame, *more: str) -> DataFrame:
+    typed = V.typed_values(rows, ORDERS, overrides={"order_date": F.col(TS)})
+    return rows.select(*[typed[n].alias(n) for n in ORDERS.names], F.col(V.RECOVERED), *more)
+
+
 def good_orders(tagged: DataFrame) -> DataFrame:
     """Valid rows, typed, in the reference's column order (+ recovery flag)."""
-    typed = V.typed_values(tagged, ORDERS, overrides={"order_date": F.col(TS)})
-    return tagged.where(F.col(GOOD)).select(
-        *[typed[n].alias(n) for n in ORDERS.names], F.col(V.RECOVERED))
+    return _typed_orders(tagged.where(F.col(GOOD)))
+
+
+def late_orders(tagged: DataFrame) -> DataFrame:
+    """Late rows (of ``tag_orders(late=True)``), typed, with ``source_day``, the day of their file."""
+    return _typed_orders(tagged.where(F.col(LATE)).withColumn(late.SOURCE_DAY, F.col(DAY)), late.SOURCE_DAY)
+
+
+def _is_bad(tagged: DataFrame) -> Column:
+    return ~F.col(GOOD) & ~F.col(LATE) if LATE in tagged.columns else ~F.col(GOOD)
 
 
 def bad_orders(tagged: DataFrame, keep_parsed: bool = False) -> DataFrame:
@@ -156,7 +175,7 @@ def bad_orders(tagged: DataFrame, keep_parsed: bool = False) -> DataFrame:
     if keep_parsed:
         cols = [F.coalesce(iso_date(F.col(TS)), F.col(c)).alias(c) if c == "order_date" else F.col(c)
                 for c in keep]
-    return tagged.where(~F.col(GOOD)).select(*cols, F.col(V.PARSE_ERROR), F.col(V.ERROR))
+    return tagged.where(_is_bad(tagged)).select(*cols, F.col(V.PARSE_ERROR), F.col(V.ERROR))
 
 
 def day_summary(tagged: DataFrame) -> DataFrame:
@@ -165,7 +184,7 @@ def day_summary(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy(DAY).agg(
         F.count_if(F.col(GOOD)).alias("rows"),
         F.coalesce(money_out(F.sum(TOTAL)), F.lit(0.0)).alias("revenue"),
-        F.count_if(~F.col(GOOD)).alias("bad_rows"),
+        F.count_if(_is_bad(tagged)).alias("bad_rows"),
     )
 
 
@@ -177,6 +196,15 @@ def _other_files(df: DataFrame, paths: list[str]) -> DataFrame:
     return df.join(F.broadcast(listed), csv_files.SOURCE_PATH, "left_anti")
 
 
+def apply_table_rules(tagged: DataFrame, rules: list) -> DataFrame:
+    """Tagged orders with table-level rules (``table_rules``) on their good rows."""
+    if not rules:
+        return tagged
+    out = table_rules.apply_rules(tagged, rules, ORDERS, {"order_date": F.col(TS)})
+    good = F.col(GOOD) & (F.col(V.ERROR) == "")
+    return out.withColumns({GOOD: good, TOTAL: F.when(good, F.col(TOTAL))})
+
+
 class TaggedRun:
     """The tagged orders of some days, persisted while their outputs are written.
 
@@ -185,22 +213,25 @@ class TaggedRun:
     files the scan may have misread; they are read again and replaced.
     """
 
-    def __init__(self, inputs: Inputs, days: list[str], date_format: str | None):
-        tag = lambda raw: tag_orders(raw, date_format).persist(StorageLevel.MEMORY_AND_DISK)
+    def __init__(self, inputs: Inputs, days: list[str], date_format: str | None, rules: list | None = None, merge_late: bool = False):
+        tag = lambda raw: tag_orders(raw, date_format, late=merge_late).persist(StorageLevel.MEMORY_AND_DISK)
         self.held = [tag((inputs.scan or inputs.orders)(days))]
         self.rows = self.held[0]
-        if inputs.scan is None:
-            return
         try:
-            paths = csv_files.unsettled(self.rows)
-            self.rows = csv_files.rows_of(_other_files(self.rows, paths)).drop(csv_files.SOURCE_PATH)
-            if paths:
-                self.held.append(tag(inputs.reread(paths, days).drop(csv_files.SOURCE_PATH)))
-                self.rows = self.rows.unionByName(self.held[1])
+            if inputs.scan is not None:
+                self._settle(inputs, days, tag)
+            self.rows = apply_table_rules(self.rows, rules or [])
         except BaseException:
             self.close()
             raise
 
+    def _settle(self, inputs: Inputs, days: list[str], tag) -> None:
+        paths = csv_files.unsettled(self.rows)
+        self.rows = csv_files.rows_of(_other_files(self.rows, paths)).drop(csv_files.SOURCE_PATH)
+        if paths:
+            self.held.append(tag(inputs.reread(paths, days).drop(csv_files.SOURCE_PATH)))
+            self.rows = self.rows.unionByName(self.held[1])
+
     def close(self) -> None:
         for frame in self.held:
             frame.unpersist()
@@ -212,18 +243,14 @@ def summarise(inputs: Inputs, days: list[str], date_format: str | None = "%Y-%m-
     taken out of the sums and read again."""
     if inputs.scan is None:
         return day_summary(tag_orders(inputs.orders(days), date_format))
-    from ordermill.session import scratch_path
-
     path = csv_files.SOURCE_PATH
     row = F.col(f"{csv_files.LINE}.kind") != csv_files.HEADER
     sums = [F.count_if(F.col(GOOD) & row).alias("rows"), F.sum(TOTAL).alias("total"), F.count_if(~F.col(GOOD) & row).alias("bad_rows")]
     scanned = tag_orders(inputs.scan(days), date_format).groupBy(DAY, path).agg(*sums, *csv_files.line_checks())
-    spark, folder = scanned.sparkSession, scratch_path(scanned.sparkSession, "day-file-sums")
-    scanned.write.parquet(folder)
-    sums_read = spark.read.schema(scanned.schema).parquet(folder)
-    checks = sums_read.groupBy(path).agg(F.min("_top").alias("_top"), F.sum("_headers").alias("_headers"), F.sum("_open").alias("_open"))
+    scanned = stored_table(scanned, "day-file-sums")
+    checks = scanned.groupBy(path).agg(F.min("_top").alias("_top"), F.sum("_headers").alias("_headers"), F.sum("_open").alias("_open"))
     paths = sorted(r[0] for r in checks.where(csv_files.is_unsettled()).select(path).collect())
-    parts = _other_files(sums_read, paths).select(DAY, "rows", "total", "bad_rows")
+    parts = _other_files(scanned, paths).select(DAY, "rows", "total", "bad_rows")
     if paths:
         again = tag_orders(inputs.reread(paths, days), date_format).groupBy(DAY).agg(
             F.count_if(F.col(GOOD)).alias("rows"), F.sum(TOTAL).alias("total"), F.count_if(~F.col(GOOD)).alias("bad_rows"))
@@ -256,6 +283,7 @@ def _write_outputs(tagged: DataFrame, products_good: DataFrame, out: str, summar
     rows of now."""
     spark = tagged.sparkSession
     parquet = None
+    late.forget_base(spark, out, [day for day, _, _ in counts])
     if any(good for _, good, _ in counts):
         enriched = enrich(good_orders(tagged), products_good, broadcast)
         parquet = files.write_parquet_partition(enriched, f"{out}/processed", DAY)
@@ -274,11 +302,15 @@ def _write_outputs(tagged: DataFrame, products_good: DataFrame, out: str, summar
 
 def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir: str | None = None,
                  dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
-                 broadcast: bool = True) -> dict:
+                 broadcast: bool = True, rules: list | None = None, merge_late: bool = False) -> dict:
     """P1 (+P2, W5): one day, read → parse → validate → total → enrich →
     ISO date → summary → write. Returns the summary as a dict; ``date`` is
     the day as given, the stored summary uses the ISO day. Re-running a day
-    leaves the files of the last run alone."""
+    leaves the files of the last run alone. ``rules``: table-level rules
+    (``table_rules``) on the rows that pass the row rules. ``merge_late``:
+    valid rows of another day than the file's are merged into their day
+    (``plans/late.py``) instead of being rejected; rows and revenue are those
+    of the day with its late rows then."""
     configure(spark)
     if not dry_run and not output_dir:
         raise ValueError("output_dir is required unless dry_run")
@@ -290,10 +322,10 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
     try:
         # before anything is written, and in a dry run too, which joins nothing
         assert_unique_key(products_good.select("product_id"), "product_id", "products")
-        if dry_run:
+        if dry_run and not rules:
             per_day = summarise(inputs, [day], date_format)
         else:
-            run = TaggedRun(inputs, [day], date_format)
+            run = TaggedRun(inputs, [day], date_format, rules, merge_late and not dry_run)
             per_day = day_summary(run.rows)
         found = per_day.collect()  # a file without a day in its name may hold several
         rows, bad = sum(r["rows"] for r in found), sum(r["bad_rows"] for r in found)
@@ -305,6 +337,11 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
             if table_dir:  # the day's partition, as the reference returns its file
                 parquet = f"{table_dir}/{DAY}={_iso_day(day)}"
             files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
+            if merge_late:
+                touched = late.file_rows(enrich(late_orders(run.rows), products_good, broadcast), [_iso_day(day)], out)
+                for r in _merged(spark, out, touched, [_iso_day(day)]):
+                    if r[DAY] == _iso_day(day):
+                        rows, revenue, parquet = r["rows"], r["revenue"], f"{out}/processed/{DAY}={r[DAY]}"
     finally:
         if run:
             run.close()
@@ -314,6 +351,12 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
             "parquet_path": parquet}
 
 
+def _merged(spark: SparkSession, out: str, touched: set[str], run_days: list[str]) -> list:
+    """Merge late rows into the days whose late rows or own files a run has written."""
+    days = sorted(touched | (late.known_days(spark, out) & set(run_days)))
+    return late.merge(spark, out, days) if days else []
+
+
 def day_range(start: str, end: str | None = None) -> list[str]:
     """Inclusive list of YYYYMMDD days (driver side; its length is the
     length of the range, not of the data)."""
@@ -348,12 +391,8 @@ def _error_text(exc: Exception) -> str:
 def _listing(inputs: Inputs, out: str) -> tuple[DataFrame, str, DataFrame]:
     """The input's files and product fingerprint as they are now (kept, so
     that later changes do not show), and the manifest."""
-    from ordermill.session import scratch_path
-
-    listing = inputs.listing()
-    spark, folder = listing.sparkSession, scratch_path(listing.sparkSession, "listing")
-    listing.write.parquet(folder)
-    return spark.read.schema(listing.schema).parquet(folder), inputs.products_state(), manifest.stored(spark, out)
+    listing = stored_table(inputs.listing(), "listing")
+    return listing, inputs.products_state(), manifest.stored(listing.sparkSession, out)
 
 
 def _forget(spark: SparkSession, out: str, days: list[str]) -> None:
@@ -363,6 +402,14 @@ def _forget(spark: SparkSession, out: str, days: list[str]) -> None:
             files.remove(spark, f"{out}/{kind}/{DAY}={day}")
 
 
+def _with_late(rows: list, merged: list) -> list[dict]:
+    """Per-day results with the rows and revenue of the days that late rows were merged into."""
+    out = {r[DAY]: {DAY: r[DAY], "rows": r["rows"], "revenue": r["revenue"], "bad_rows": r["bad_rows"]} for r in rows}
+    for r in merged:
+        out[r[DAY]] = {DAY: r[DAY], "rows": r["rows"], "revenue": r["revenue"], "bad_rows": out.get(r[DAY], {}).get("bad_rows", 0)}
+    return list(out.values())
+
+
 def _report(spark: SparkSession, days: list[str], rows: list, errors: dict[str, str],
             products_error: str | None, same: list = ()) -> DataFrame:
     """One row per day of the range; ``same``: results of days that were not run."""
@@ -396,7 +443,8 @@ def _products_error(products: Callable[[], DataFrame]) -> str | None:
 
 def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_dir: str | None = None,
              dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
-             broadcast: bool = True, window_days: int = 31, incremental: bool = False) -> DataFrame:
+             broadcast: bool = True, window_days: int = 31, incremental: bool = False,
+             rules: list | None = None, merge_late: bool = False) -> DataFrame:
     """Every day of [start, end].
 
     Returns one row per day: date, run_date, rows, revenue, bad_rows,
@@ -417,6 +465,12 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
     whose products, differ from the manifest of earlier runs are run; the
     others are reported as ``unchanged`` with their results. A day whose
     files are all gone loses its outputs and is ``missing``.
+
+    ``rules``: table-level rules (``table_rules``); a writing run holds each
+    window to them, a dry run the whole range. ``merge_late`` (a writing
+    run): valid rows of another day than their file's are filed and, after
+    the last window, merged into their day (``plans/late.py``), in or out of
+    the range; rows and revenue of the report are those of the merged days.
     """
     configure(spark)
     if not dry_run and not output_dir:
@@ -429,7 +483,16 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
         raise ValueError("an incremental backfill writes, and needs inputs with a listing of files")
 
     if dry_run or products_error:
-        rows, errors = _each_day(days, lambda part: summarise(inputs, part, date_format).where(in_range).collect())
+        def sums(part: list[str]) -> list:
+            if not rules:
+                return summarise(inputs, part, date_format).where(in_range).collect()
+            run = TaggedRun(inputs, part, date_format, rules)
+            try:
+                return day_summary(run.rows).where(in_range).collect()
+            finally:
+                run.close()
+
+        rows, errors = _each_day(days, sums)
         report = _report(spark, days, rows, errors, products_error)
         if dry_run:
             return report
@@ -439,7 +502,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
         products_good = products_good.persist(StorageLevel.MEMORY_AND_DISK)
 
         def write(window: list[str]) -> list:
-            run = TaggedRun(inputs, window, date_format)
+            run = TaggedRun(inputs, window, date_format, rules, merge_late)
             try:
                 per_day = day_summary(run.rows).where(in_range).collect()
                 counts = [(r[DAY], r["rows"], r["bad_rows"]) for r in per_day]
@@ -447,11 +510,13 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
                     [(r[DAY], r[DAY].replace("-", ""), r["rows"], r["revenue"]) for r in per_day],
                     "date string, run_date string, rows bigint, revenue double")
                 _write_outputs(run.rows, products_good, out, summary, counts, broadcast)
+                if merge_late:
+                    touched.update(late.file_rows(enrich(late_orders(run.rows), products_good, broadcast), [_iso_day(d) for d in window], out))
                 return per_day
             finally:
                 run.close()
 
-        rows, errors, todo, same = [], {}, days, []
+        rows, errors, todo, same, touched = [], {}, days, [], set()
         if incremental:
             listing, state, known = _listing(inputs, out)
             differ = manifest.changed(listing, known, state) & {_iso_day(d) for d in days}
@@ -468,6 +533,8 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
                     manifest.record(listing, state, spark.createDataFrame(
                         results, "date string, rows bigint, revenue double, bad_rows bigint, status string"), out)
             files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
+            if merge_late:
+                rows = _with_late(rows, _merged(spark, out, touched, [_iso_day(d) for d in todo]))
         finally:
             products_good.unpersist()
         report = _report(spark, days, rows, errors, None, same)

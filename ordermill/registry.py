@@ -7,6 +7,7 @@ computed exactly in DECIMAL before.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -227,6 +228,38 @@ def v6_bad_union(spark: SparkSession, sf_dir: str) -> DataFrame:
                       V.PARSE_ERROR, V.ERROR)
 
 
+def _hot_keys(raw: DataFrame) -> DataFrame:
+    """Raw orders in which one key holds a third of the rows, and another
+    third is of a product whose row is rejected."""
+    k = F.col("order_id").cast("bigint") % 3
+    return raw.withColumns({"order_id": F.when(k == 0, F.lit("1")).otherwise(F.col("order_id")),
+                            "product_id": F.when(k == 0, F.lit("1")).when(k == 1, F.lit("10")).otherwise(F.col("product_id"))})
+
+
+def _ruled(spark: SparkSession, sf_dir: str, rules: list) -> DataFrame:
+    tagged = pipeline.tag_orders(_hot_keys(tables.raw_orders(spark, sf_dir)))
+    bad = pipeline.bad_orders(pipeline.apply_table_rules(tagged, rules))
+    return bad.where(F.col(V.ERROR).isNotNull()).select("order_id", "product_id", "qty", "unit_price", V.ERROR)
+
+
+def v_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 on the table: orders whose (order, product) is on several valid
+    rows are rejected, beside those that the row rules reject."""
+    from ordermill.operators.table_rules import UniqueKey
+
+    configure(spark)
+    return _ruled(spark, sf_dir, [UniqueKey(("order_id", "product_id"))])
+
+
+def v_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 on the table: orders of products that are not among the valid
+    ones are rejected, beside those that the row rules reject."""
+    from ordermill.operators.table_rules import KeyExists
+
+    configure(spark)
+    return _ruled(spark, sf_dir, [KeyExists(("product_id",), _valid_products(spark, sf_dir), ("product_id",), "product")])
+
+
 def v3_products_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3: products the rules reject, with the reason."""
     configure(spark)
@@ -652,6 +685,31 @@ def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~F.col("files").eqNullSafe(F.col("files_first"))).alias("rewritten"))
 
 
+def p3_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 over monthly days with late rows: every eleventh order arrives in
+    the next month's file, and every other eleventh is corrected there (all
+    its lines to a quantity of 7). Two runs: the second has the files of the
+    last two years again. What each day holds then, and its summary."""
+    configure(spark)
+    out = scratch_path(spark, "late")
+    raw = tables.raw_orders(spark, sf_dir, monthly=True)
+    k = F.col("order_id").cast("bigint") % 11
+    following = F.date_format(F.add_months(F.to_date("_file_day", "yyyyMMdd"), 1), "yyyyMMdd")
+    moved = raw.withColumn("_file_day", F.when(k == 4, following).otherwise(F.col("_file_day")))
+    corrected = raw.where(k == 5).withColumns({"_file_day": following, "qty": F.lit("7")})
+    every = moved.unionByName(corrected)
+    products = lambda: tables.raw_products(spark, sf_dir)
+    inputs = pipeline.Inputs(lambda days: every if not days else every.where(F.col("_file_day").isin(days)), products)
+    low, high = _date_range(spark, sf_dir)
+    last = (dt.datetime.strptime(high, "%Y%m%d") + dt.timedelta(days=32)).strftime("%Y%m%d")
+    pipeline.backfill(spark, low[:6] + "01", last, inputs, out, window_days=10_000, merge_late=True)
+    pipeline.backfill(spark, f"{int(high[:4]) - 1}0101", last, inputs, out, window_days=10_000, merge_late=True)
+    held = spark.read.parquet(f"{out}/processed").groupBy(F.col("date").cast("string").alias("date")).agg(
+        F.count(F.lit(1)).alias("rows_held"), F.round(F.sum("order_total"), 2).cast("double").alias("revenue_held"), F.sum("qty").alias("units_held"))
+    summary = spark.read.schema("rows bigint, revenue double, date string").json(f"{out}/summaries")
+    return held.join(summary, "date", "full").select("date", "rows", "revenue", "rows_held", "revenue_held", "units_held")
+
+
 def _csv_copy_to(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -711,4 +769,7 @@ def queries() -> dict[str, Query]:
         "s3_orders_quoted": s3_orders_quoted,
         "s3_order_files_backfill": s3_order_files_backfill,
         "p3_incremental": p3_incremental,
+        "p3_late_rows": p3_late_rows,
+        "v_unique": v_unique,
+        "v_reference": v_reference,
     }

@@ -13,7 +13,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library relies on.
 REQUIRED_CONF = {
@@ -136,3 +136,12 @@ def parallelism(spark: SparkSession) -> int:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one output."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: made once, of a
+    size that Spark knows, and safe from the loss of an executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

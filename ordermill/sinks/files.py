@@ -68,6 +68,26 @@ def exists(spark, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def touch(spark, path: str) -> None:
+    """An empty file, as a mark."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
+def partitions(spark, folder: str, *names: str) -> list[tuple[str, ...]]:
+    """The values of a table's partition folders, from one listing."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path("/".join([folder, *(f"{n}=*" for n in names)]))
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for found in system.globStatus(pattern) or []:
+        path, values = found.getPath(), []
+        for name in reversed(names):
+            values.append(path.getName().removeprefix(f"{name}="))
+            path = path.getParent()
+        out.append(tuple(reversed(values)))
+    return out
+
+
 def flatten(spark, parts_dir: str, output_dir: str, name) -> None:
     """Turn a partitioned write with one file per folder into files of one
     folder: ``parts_dir/<folder>/part-…`` becomes ``output_dir/<name(folder)>``.

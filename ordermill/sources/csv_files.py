@@ -41,7 +41,7 @@ from pyspark.sql.utils import AnalysisException
 from ordermill.functions.dates import normalize_date_str
 from ordermill.operators.validate import parse_date_column
 from ordermill.schemas import CORRUPT_COLUMN, INVENTORY, ORDERS, PRODUCTS, Schema
-from ordermill.session import scratch_path
+from ordermill.session import stored_table
 
 SOURCE_FILE = "_source_file"
 SOURCE_PATH = "_source_path"
@@ -186,7 +186,7 @@ def read_table_csv(spark: SparkSession, path: str | list[str], schema: Schema,
     if not kinds:
         raise FileNotFoundError(f"no {schema.name} file at {path}")
     if len(kinds) > 1:
-        found = _kept(found)
+        found = stored_table(found, "csv-files")
     parts = []
     for header, kind, n in sorted(map(tuple, kinds)):
         own, paths, glob = None, path, glob_filter
@@ -213,13 +213,6 @@ def read_table_csv(spark: SparkSession, path: str | list[str], schema: Schema,
     return null_tokens(reduce(DataFrame.unionByName, parts), schema.names, tokens)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A small table stored in the shared folder, so that it is made once."""
-    path = scratch_path(df.sparkSession, "csv-files")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _swallowed(header: str) -> Column:
     """The cell of a record that holds a line with as many separators as the
     header: a quote that was closed by another record's, with the records
