@@ -66,16 +66,30 @@ PACKED = "level int, part bigint, lang string, keys binary, n binary"
 REPORT = "level int, part bigint, fresh bigint"
 
 
-def tokens(text: bytes, block: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
-    """A-Z-lowered words ``[^\\x20\\x09]+`` with a stop between pieces; of a
-    long text about ``block`` bytes at a time, cut between pieces."""
+def tokens(text: bytes, block: int = BLOCK_BYTES) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The distinct A-Z-lowered words ``[^\\x20\\x09]+``, and the sequence of
+    their places in that list with -1 between pieces; of a long text about
+    ``block`` bytes at a time, cut between pieces."""
     text = text.translate(_PIECES)
     at = 0
     while at < len(text):
         end = text.find(_STOP, at + block)
         end = len(text) if end < 0 else end
-        yield text[at:end].replace(_STOP, b" \xff ").split()
+        codes = np.frombuffer(text, np.uint8, end - at, at)
         at = end
+        inside = (codes != 0x20) & (codes != 0xFF)
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            continue
+        data = pa.py_buffer(codes[inside].tobytes())
+        offsets = pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64).tobytes())
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, offsets, data]).dictionary_encode()
+        piece = np.searchsorted(np.flatnonzero(codes == 0xFF), starts)
+        place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(piece[1:] != piece[:-1])])
+        sequence = np.full(place[-1] + 1, -1, np.int64)
+        sequence[place] = words.indices.to_numpy()
+        yield words.dictionary.to_pylist(), sequence
 
 
 def _digests(lang: str, words: list[bytes]) -> np.ndarray:
@@ -162,8 +176,9 @@ class _Vocabulary:
         self.digests, self.name, self.when = np.zeros(1, np.uint64), np.full(1, -1, np.int64), np.full(1, NEVER, np.int16)
         self.n = np.zeros(1, np.int64)
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in set(words) if w not in self.at]
+    def ids(self, words: list[bytes], sequence: np.ndarray) -> np.ndarray:
+        """The task's number of each word of a sequence of places in words (0: a stop)."""
+        new = [w for w in words if w not in self.at]
         if new:
             for w in new:
                 self.at[w] = len(self.at)
@@ -171,7 +186,8 @@ class _Vocabulary:
             name, when = self.names.words(self.lang, new, digests)
             self.digests, self.name = np.concatenate([self.digests, digests]), np.concatenate([self.name, name])
             self.when, self.n = np.concatenate([self.when, when]), np.concatenate([self.n, np.zeros(len(new), np.int64)])
-        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        own = np.fromiter((self.at[w] for w in words), np.int64, len(words))
+        return np.where(sequence >= 0, own[sequence], 0)
 
     def packed(self, parts: int) -> Iterator[tuple]:
         words, part = list(self.at), _part(self.digests, parts)
@@ -205,11 +221,11 @@ def _scanner(folder: str, parts: int, shards: int, scan: int, scans: dict[int, i
         waiting: dict[str, list[bytes]] = {}
         size = 0
 
-        def count(lang: str, words: list[bytes]) -> None:
+        def count(lang: str, words: list[bytes], sequence: np.ndarray) -> None:
             if lang not in vocabularies:
                 vocabularies[lang] = _Vocabulary(lang, names)
             vocabulary = vocabularies[lang]
-            at = vocabulary.ids(words)
+            at = vocabulary.ids(words, sequence)
             if 1 in levels:
                 vocabulary.n += np.bincount(at, minlength=len(vocabulary.n))
             word = vocabulary.name[at]
@@ -246,12 +262,12 @@ def _scanner(folder: str, parts: int, shards: int, scan: int, scans: dict[int, i
                 if size >= block:
                     for own, whole in waiting.items():
                         for words in tokens(_STOP.join(whole), block):
-                            count(own, words)
+                            count(own, *words)
                             yield from pass_on(False)
                     waiting, size = {}, 0
         for own, whole in waiting.items():
             for words in tokens(_STOP.join(whole), block):
-                count(own, words)
+                count(own, *words)
         yield from pass_on(True)
 
     return run

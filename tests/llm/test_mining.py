@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 import random
 import re
@@ -281,5 +280,8 @@ def test_collocations_of_edge_rows(spark):
 
 def test_pieces_and_words():
     every = bytes(range(128)) * 2
-    words = list(itertools.chain(*collocations.tokens(every)))
-    assert b"".join(w for w in words if w != b"\xff") == bytes(b + 32 if 65 <= b <= 90 else b for b in every if b not in b".,;:!?\n\v\f\r \t")
+    words = [w[i] for w, seq in collocations.tokens(every, 40) for i in seq.tolist() if i >= 0]
+    assert b"".join(words) == bytes(b + 32 if 65 <= b <= 90 else b for b in every if b not in b".,;:!?\n\v\f\r \t")
+    (words, seq), = collocations.tokens(b" .A b;; a\tB\n\n")
+    assert words == [b"a", b"b"] and seq.tolist() == [0, 1, -1, 0, 1]
+    assert list(collocations.tokens(b"")) == list(collocations.tokens(b" ..\n")) == []
