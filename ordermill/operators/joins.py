@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.session import stored_table
+
 JOIN_TYPES = ("left", "inner", "right", "outer")
 
 
@@ -53,3 +55,47 @@ def assert_unique_key(df: DataFrame, key: str, what: str = "right side") -> None
     dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"join is not many-to-one: {what} has duplicate {key} {dup[0][key]}")
+
+
+def heavy_hitters(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """The values of ``key`` that hold more than a shuffle partition's fair
+    share of the rows: fewer than ``parts`` (the shuffle partitions) of them,
+    whatever the data. One partial count, of one row per key and task."""
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    counts = stored_table(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("n") > F.lit(max(1, total // parts))).select(key)
+
+
+def join_with_heavy_hitters(left: DataFrame, right: DataFrame, key: str, how: str = "left", parts: int | None = None) -> DataFrame:
+    """A many-to-one join (``left`` or ``inner``) whose hot keys are found by
+    counting, not by a size estimate: the right rows of hot keys (fewer than
+    ``parts``, as the right key is unique) are broadcast, the others shuffled.
+
+    ``left`` is read once for the count and passes through one plan: its hot
+    rows take their columns from the broadcast and cross the shuffle join
+    under a salt of their own that no right row has, so they are spread
+    evenly and match nothing there. The salt is a hash of the row, so a task
+    that is run again deals its rows out alike.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be left or inner, got {how!r}")
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    others = [c for c in right.columns if c != key]
+    hot = heavy_hitters(left, key, parts)
+    hot_rows = stored_table(right.join(F.broadcast(hot), key, "left_semi"), "hot-rows").select(
+        F.col(key).alias("__hot"), F.struct(F.lit(1).alias("__there"), *others).alias("__hot_row"))
+    hot_keys = hot.select(F.col(key).alias("__hot_key"))
+    rest = right.join(F.broadcast(hot_keys), F.col(key) == F.col("__hot_key"), "left_anti").select(
+        F.col(key).alias("__cold"), F.lit(-1).alias("__cold_salt"), F.struct(F.lit(1).alias("__there"), *others).alias("__cold_row"))
+    rows = left.join(F.broadcast(hot_keys), F.col(key) == F.col("__hot_key"), "left").join(
+        F.broadcast(hot_rows), F.col(key) == F.col("__hot"), "left")
+    is_hot = F.col("__hot_key").isNotNull()
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int")
+    rows = rows.withColumn("__salt", F.when(is_hot, spread).otherwise(F.lit(-1)))
+    joined = rows.join(rest.hint("merge"), (F.col(key) == F.col("__cold")) & (F.col("__salt") == F.col("__cold_salt")), "left")
+    found = F.coalesce(F.col("__hot_row"), F.col("__cold_row"))
+    if how == "inner":
+        joined = joined.where(F.coalesce(F.col("__hot_row.__there"), F.col("__cold_row.__there")).isNotNull())
+    return joined.select(*left.columns, *[found[c].alias(c) for c in others])

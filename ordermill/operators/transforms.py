@@ -11,7 +11,7 @@ from pyspark.sql.types import DecimalType, IntegralType, StringType, TimestampNT
 from ordermill.functions.dates import ensure_timestamp, iso_date
 from ordermill.functions.numeric import PRICE_TYPE, coerce_int, coerce_key, coerce_price, line_total
 from ordermill.operators import aggregate
-from ordermill.operators.joins import JOIN_TYPES, dimension, fits_broadcast, unique_key
+from ordermill.operators.joins import JOIN_TYPES, dimension, fits_broadcast, join_with_heavy_hitters, unique_key
 
 # Accepted spellings of the price column (case-insensitive)
 # and the fill texts for orders without a product.
@@ -67,7 +67,7 @@ def product_side(products: DataFrame) -> DataFrame:
 
 
 def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "left",
-                         validate: bool = True, broadcast: bool = True) -> DataFrame:
+                         validate: bool = True, broadcast: bool = True, split_hot: bool = False) -> DataFrame:
     """Join product name, category and price onto orders.
 
     ``how`` is one of left (default), inner, right, outer (J2). With
@@ -79,14 +79,22 @@ def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "lef
     Right and outer joins cannot be split on the orders side, so their
     matches are a left join (which can) and the products without orders are
     added to it.
+
+    ``split_hot``: products that hold a large share of the orders are found
+    by a count and joined apart (``joins.join_with_heavy_hitters``), so the
+    join is even whatever Spark estimates or measures.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
     left, right = _key(orders), product_side(products)
     if validate:
         right = unique_key(right, "product_id", "products")
-    right = dimension(right, broadcast)
-    joined = left.join(right, on="product_id", how="inner" if how in ("inner", "right") else "left")
+    kind = "inner" if how in ("inner", "right") else "left"
+    if split_hot:
+        joined = join_with_heavy_hitters(left, right, "product_id", kind)
+    else:
+        right = dimension(right, broadcast)
+        joined = left.join(right, on="product_id", how=kind)
     if how in ("right", "outer"):
         unsold = right.join(left.select("product_id").distinct(), on="product_id", how="left_anti")
         joined = joined.unionByName(unsold, allowMissingColumns=True)

@@ -27,6 +27,7 @@ ERROR = "_error"
 SEPARATOR = "; "
 PARSE_ERROR = "_parse_error"
 RECOVERED = "_date_recovered"
+DATE_ORDER = "_date_order"
 
 # Error texts.
 MSG_REQUIRED = "{field}: field required"
@@ -180,13 +181,33 @@ def tag_dates(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d",
     else:
         raw = F.col(column).cast("string")
         df = df.withColumn(strict_col, parse_strict(raw, date_format))
-        fallback = parse_fallback(raw)
+        fallback = parse_fallback(raw, F.col(DATE_ORDER) if DATE_ORDER in df.columns else None)
     return (df.withColumn(parsed_col, F.coalesce(F.col(strict_col), fallback))
               .withColumn(RECOVERED, F.col(strict_col).isNull() & F.col(parsed_col).isNotNull())
               .withColumn(PARSE_ERROR, F.when(F.col(parsed_col).isNull(), F.lit(MSG_PARSE_FAILED)))
               .drop(strict_col))
 
 
+def infer_date_order(df: DataFrame, column: str, by: str = "_source_file") -> DataFrame:
+    """Which number of a date comes first, per file: adds ``_date_order``,
+    which the date parse (C3) then follows.
+
+    Two phases: the texts that show their order (25/10, 10/25) are counted by
+    file, one row per file and task crossing the shuffle; a file in which all
+    of them agree has that order. Files without such a text, or with both
+    kinds, keep the fixed list of formats (NULL). Costs one more read."""
+    from ordermill.functions.dates import DAY_FIRST, MONTH_FIRST, order_evidence
+    from ordermill.session import stored_table
+
+    require_column(df, column)
+    shown = df.select(F.col(by).alias("__by"), order_evidence(F.col(column).cast("string")).alias("order")).where("order IS NOT NULL")
+    n = lambda order: F.count_if(F.col("order") == order)
+    known = shown.groupBy("__by").agg(n(DAY_FIRST).alias("d"), n(MONTH_FIRST).alias("m")).select(
+        "__by", F.when((F.col("m") == 0), F.lit(DAY_FIRST)).when(F.col("d") == 0, F.lit(MONTH_FIRST)).alias(DATE_ORDER))
+    known = stored_table(known.where(F.col(DATE_ORDER).isNotNull()), "date-orders")
+    return df.drop(DATE_ORDER).join(known, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
+
+
 def parse_date_column(df: DataFrame, column: str, date_format: str | None = "%Y-%m-%d"
                       ) -> tuple[DataFrame, DataFrame]:
     """(good, bad). Good rows hold the parsed ``timestamp_ntz`` and

@@ -535,6 +535,18 @@ P7_PROFILE = _with(RAW_ORDERS, RAW_PRODUCTS, RAW_INVENTORY) + "\n" + "\nUNION AL
     for ds, cols in RAW_COLS.items() for i, c in enumerate(cols))
 
 
+def _preview(dataset: str, columns: list[str]) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    cells = "\nUNION ALL\n".join(f"SELECT '{dataset}' AS dataset, row, {i} AS position, '{c}' AS \"column\", {c} AS value FROM first_{dataset}"
+                                 for i, c in enumerate(columns))
+    return (f"first_{dataset} AS (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS row FROM raw_{dataset} "
+            f"ORDER BY {order} LIMIT 5),\ncells_{dataset} AS (\n{cells})")
+
+
+P7_PREVIEW = _with(RAW_ORDERS, RAW_PRODUCTS, RAW_INVENTORY, *[_preview(ds, cols) for ds, cols in RAW_COLS.items()]) + """
+SELECT * FROM cells_orders UNION ALL SELECT * FROM cells_products UNION ALL SELECT * FROM cells_inventory
+"""
+
 C1_STRICT_DATES = _with(RAW_ORDERS) + """
 SELECT order_id, order_date, try_strptime(order_date, '%Y-%m-%d') AS order_ts FROM raw_orders
 """
@@ -616,6 +628,49 @@ FROM flagged_orders f WHERE ts IS NOT NULL
  AND (NOT good OR NOT EXISTS (SELECT 1 FROM valid_products v WHERE v.product_id = CAST(f.product_id AS BIGINT)))
 """
 
+C3_INFERRED_ORDER = _with(ORDERS_ALL, """
+texts AS (
+  SELECT order_id, product_id, order_date, strftime(order_date, '%Y%m') AS file, day(order_date) > 12 AS shows,
+         CASE WHEN month(order_date) % 2 = 1 THEN strftime(order_date, '%-d/%-m/%Y') ELSE strftime(order_date, '%-m/%-d/%Y') END AS text,
+         month(order_date) % 2 = 1 AS day_first
+  FROM orders_all
+),
+files AS (SELECT file, bool_or(shows) AS known FROM texts GROUP BY file)""") + """
+SELECT order_id, product_id, text, CASE WHEN known THEN CASE WHEN day_first THEN 'day first' ELSE 'month first' END END AS _date_order,
+       CASE WHEN known THEN date_trunc('day', order_date)::TIMESTAMP ELSE strptime(text, '%m/%d/%Y') END AS order_ts
+FROM texts JOIN files USING (file)
+"""
+
+C3_MORE_FORMS = _with(ORDERS_ALL) + """
+SELECT order_id, product_id, CASE order_id % 5 WHEN 0 THEN strftime(order_date, '%b %-d %Y') WHEN 1 THEN strftime(order_date, '%m/%d/%y')
+         WHEN 2 THEN strftime(order_date, '%a %b %d %Y') WHEN 3 THEN strftime(order_date, '%Y%m%dT%H%M%S')
+         ELSE strftime(order_date, '%A, %B %-d, %Y') END AS text,
+       CASE WHEN order_id % 5 = 3 THEN order_date ELSE date_trunc('day', order_date)::TIMESTAMP END AS order_ts
+FROM orders_all
+"""
+
+J1_ENRICH_HOT = _with(ORDERS_ALL, VALID_PRODUCTS, """
+hot AS (
+  SELECT order_id, CASE order_id % 4 WHEN 0 THEN 7 WHEN 1 THEN 10 ELSE product_id END AS product_id,
+         ROUND(qty * CAST(unit_price AS DECIMAL(28,6)), 2) AS order_total FROM orders_all
+)""") + """
+SELECT h.order_id, h.product_id, COALESCE(p.product_name, 'unknown_product') AS product_name,
+       COALESCE(p.category, 'unknown_category') AS category, CAST(p.product_price AS DOUBLE) AS product_price,
+       CAST(h.order_total AS DOUBLE) AS order_total
+FROM hot h LEFT JOIN valid_products p ON h.product_id = p.product_id
+"""
+
+
+A9_CHANNELS_BY_DAY = _with(RAW_MONTHLY.replace("raw_orders AS", "all_orders AS"), """
+raw_orders AS (
+  SELECT order_id, order_date, product_id, CASE WHEN substr(file_day, 6, 2) = '10' THEN '-1' ELSE qty END AS qty,
+         unit_price, user_id, order_status, file_day
+  FROM all_orders WHERE substr(file_day, 6, 2) <> '02' OR CAST(order_id AS BIGINT) % 50 > 20
+)""" + TAGGED) + """
+SELECT date, COUNT(*) FILTER (WHERE good) > 0 AS has_good, COUNT(*) FILTER (WHERE NOT good) > 0 AS has_bad
+FROM flagged_orders GROUP BY date
+"""
+
 P3_LATE_ROWS = _with(RAW_MONTHLY.replace("raw_orders AS", "first_orders AS"), """
 raw_orders AS (
   SELECT order_id, order_date, product_id, CASE WHEN CAST(order_id AS BIGINT) % 11 = 5 THEN '7' ELSE qty END AS qty,
@@ -704,6 +759,11 @@ def oracle_sql() -> dict[str, str]:
         "s3_order_files_backfill": P3_BACKFILL_WRITTEN,
         "p3_incremental": P3_INCREMENTAL,
         "p3_late_rows": P3_LATE_ROWS,
+        "c3_inferred_order": C3_INFERRED_ORDER,
+        "c3_more_forms": C3_MORE_FORMS,
+        "j1_enrich_hot": J1_ENRICH_HOT,
+        "p7_preview": P7_PREVIEW,
+        "a9_channels_by_day": A9_CHANNELS_BY_DAY,
         "v_unique": V_UNIQUE,
         "v_reference": V_REFERENCE,
     }

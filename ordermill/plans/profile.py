@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -49,6 +49,21 @@ def head_preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
+def preview_datasets(datasets: dict[str, DataFrame], n: int = 5) -> DataFrame:
+    """T5 of several datasets in one long table: dataset, row (from 1), column
+    and value as text. The rows are the first ``n`` in the order of all
+    columns, so the preview is the same on every run; each task passes on its
+    own first ``n`` rows."""
+    parts = []
+    for name, df in datasets.items():
+        first = df.orderBy(*df.columns).limit(n)
+        numbered = first.withColumn("row", F.row_number().over(Window.orderBy(*df.columns)))  # over n rows
+        cells = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                          for i, c in enumerate(df.columns)])
+        parts.append(numbered.select(F.lit(name).alias("dataset"), "row", F.inline(cells)))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def profile_datasets(datasets: dict[str, DataFrame]) -> DataFrame:
     """Column profiles of several datasets in one table."""
     parts = [column_profile(df, name) for name, df in datasets.items()]

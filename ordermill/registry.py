@@ -29,6 +29,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 UNION_SPLIT = "1998-01-01 00:00:00"
 
 
+# The date forms of c3_more_forms, by order key.
+MORE_DATE_FORMS = ("MMM d yyyy", "MM/dd/yy", "EEE MMM dd yyyy", "yyyyMMdd'T'HHmmss", "EEEE, MMMM d, yyyy")
+
 # Options of CSV text that keeps cells as they are.
 CSV_CELLS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -710,6 +713,65 @@ def p3_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.join(summary, "date", "full").select("date", "rows", "revenue", "rows_held", "revenue_held", "units_held")
 
 
+def c3_inferred_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 on files that each write dates in one order: a file is a month, odd
+    months write 25/10/1995, even ones 10/25/1995. What the files themselves
+    show decides."""
+    from ordermill.functions.dates import parse_date
+
+    configure(spark)
+    o = tables.orders(spark, sf_dir)
+    month = F.month("order_date")
+    text = F.when(month % 2 == 1, F.date_format("order_date", "d/M/yyyy")).otherwise(F.date_format("order_date", "M/d/yyyy"))
+    raw = o.select("order_id", "product_id", text.alias("text"), F.date_format("order_date", "'order_'yyyyMM'.csv'").alias("_source_file"))
+    known = V.infer_date_order(raw, "text")
+    return known.select("order_id", "product_id", "text", V.DATE_ORDER,
+                        parse_date(F.col("text"), "%Y-%m-%d", F.col(V.DATE_ORDER)).alias("order_ts"))
+
+
+def c3_more_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates with a day's name, with a month's name first, with a year of
+    two digits, and compact timestamps."""
+    from ordermill.functions.dates import parse_date
+
+    configure(spark)
+    o, k = tables.orders(spark, sf_dir), F.col("order_id") % 5
+    text = F.element_at(F.array(*[F.date_format("order_date", p) for p in MORE_DATE_FORMS]), (k + 1).cast("int"))
+    return o.select("order_id", "product_id", text.alias("text")).withColumn("order_ts", parse_date(F.col("text")))
+
+
+def j1_enrich_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 where two products hold half of the orders, by the join that finds
+    hot products by counting."""
+    configure(spark)
+    k = F.col("order_id") % 4
+    o = tables.orders(spark, sf_dir).withColumn(
+        "product_id", F.when(k == 0, F.lit(7)).when(k == 1, F.lit(10)).otherwise(F.col("product_id")).cast("bigint"))
+    out = enrich_with_products(add_order_total(o), _valid_products(spark, sf_dir), "left", split_hot=True)
+    return out.select("order_id", "product_id", "product_name", "category", _dbl("product_price"), _dbl("order_total"))
+
+
+def p7_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 (T5): the first five rows of each raw dataset (the limit is the feature)."""
+    configure(spark)
+    return profile.preview_datasets({
+        "orders": tables.raw_orders(spark, sf_dir).drop("_source_file", "_file_day"),
+        "products": tables.raw_products(spark, sf_dir),
+        "inventory": tables.raw_inventory(spark, sf_dir),
+    })
+
+
+def a9_channels_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 per day: whether its good and its bad channel have rows, as a run
+    decides on its outputs, where every tenth month has no valid quantity."""
+    configure(spark)
+    raw = tables.raw_orders(spark, sf_dir, monthly=True)
+    raw = raw.withColumn("qty", F.when(F.substring("_file_day", 5, 2) == "10", F.lit("-1")).otherwise(F.col("qty"))).where(
+        (F.substring("_file_day", 5, 2) != "02") | (F.col("order_id").cast("bigint") % 50 > 20))
+    per_day = pipeline.day_summary(pipeline.tag_orders(raw))
+    return per_day.select("date", (F.col("rows") > 0).alias("has_good"), (F.col("bad_rows") > 0).alias("has_bad"))
+
+
 def _csv_copy_to(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -770,6 +832,11 @@ def queries() -> dict[str, Query]:
         "s3_order_files_backfill": s3_order_files_backfill,
         "p3_incremental": p3_incremental,
         "p3_late_rows": p3_late_rows,
+        "c3_inferred_order": c3_inferred_order,
+        "c3_more_forms": c3_more_forms,
+        "j1_enrich_hot": j1_enrich_hot,
+        "p7_preview": p7_preview,
+        "a9_channels_by_day": a9_channels_by_day,
         "v_unique": v_unique,
         "v_reference": v_reference,
     }
