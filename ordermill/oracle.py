@@ -681,13 +681,24 @@ SELECT strftime(ts, '%Y-%m-%d') AS date, COUNT(*) AS rows, CAST(ROUND(SUM(total)
 FROM flagged_orders WHERE good GROUP BY 1
 """
 
-P3_INCREMENTAL = _with(RAW_MONTHLY.replace("raw_orders AS", "first_orders AS"), """
+# What two incremental runs leave: the orders after the changes between them.
+CHANGED = RAW_MONTHLY.replace("raw_orders AS", "first_orders AS") + """,
 raw_orders AS (
   SELECT order_id, order_date, product_id,
          CASE WHEN substr(file_day, 6, 2) = '05' AND try_cast(qty AS INTEGER) >= 10 THEN NULL ELSE qty END AS qty,
          unit_price, user_id, order_status, file_day
   FROM first_orders WHERE substr(file_day, 6, 2) <> '08'
-)""" + TAGGED, """
+)""" + TAGGED
+
+CHANGED_LINES = """
+orders_all AS (
+  SELECT """ + int_sql("order_id") + """ AS order_id, ts AS order_date, """ + int_sql("product_id") + """ AS product_id,
+         """ + int_sql("qty") + """ AS qty, TRY_CAST(unit_price AS DECIMAL(28,6)) AS unit_price, order_status
+  FROM flagged_orders WHERE good
+),
+products AS (SELECT product_id, product_name, category FROM valid_products)"""
+
+P3_INCREMENTAL = _with(CHANGED, """
 per_day AS (
   SELECT date, CAST(COUNT(*) FILTER (WHERE good) AS BIGINT) AS rows, COALESCE(CAST(ROUND(SUM(total), 2) AS DOUBLE), 0.0) AS revenue,
          CAST(COUNT(*) FILTER (WHERE NOT good) AS BIGINT) AS bad_rows
@@ -703,6 +714,18 @@ SELECT date, NULL, NULL, NULL, NULL, NULL, NULL, TRUE FROM gone
 """
 
 
+P4_FROM_PARTIALS = _with(CHANGED, VALID_PRODUCTS, CHANGED_LINES) + "," + P4_DAILY_REVENUE[P4_DAILY_REVENUE.index("day_category AS") - 1:]
+P5_FROM_PARTIALS = _with(CHANGED, VALID_PRODUCTS, CHANGED_LINES) + "," + P5_PRODUCT_PERFORMANCE[P5_PRODUCT_PERFORMANCE.index("sold AS") - 1:]
+A1_FROM_PARTIALS = _with(CHANGED, VALID_PRODUCTS, CHANGED_LINES, ENRICHED) + A1_DAILY_CATEGORY_REVENUE[
+    A1_DAILY_CATEGORY_REVENUE.index("SELECT strftime(order_date, '%Y-%m-%d') AS order_date_iso"):]
+
+T2_DAILY_ORDER = f"SELECT *, ROW_NUMBER() OVER (ORDER BY date) AS position FROM ({P4_DAILY_REVENUE})"
+T3_PERFORMANCE_ORDER = f"""SELECT *, ROW_NUMBER() OVER (ORDER BY revenue_completed DESC, product_id NULLS FIRST) AS position
+FROM ({P5_PRODUCT_PERFORMANCE})"""
+T4_ALERTS_ORDER = f"""SELECT *, ROW_NUMBER() OVER (ORDER BY stock_on_hand, product_id, warehouse_id) AS position
+FROM ({P6_INVENTORY_ALERTS})"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_daily_revenue": P4_DAILY_REVENUE,
@@ -764,6 +787,12 @@ def oracle_sql() -> dict[str, str]:
         "j1_enrich_hot": J1_ENRICH_HOT,
         "p7_preview": P7_PREVIEW,
         "a9_channels_by_day": A9_CHANNELS_BY_DAY,
+        "p4_from_partials": P4_FROM_PARTIALS,
+        "p5_from_partials": P5_FROM_PARTIALS,
+        "a1_from_partials": A1_FROM_PARTIALS,
+        "t2_daily_order": T2_DAILY_ORDER,
+        "t3_performance_order": T3_PERFORMANCE_ORDER,
+        "t4_alerts_order": T4_ALERTS_ORDER,
         "v_unique": V_UNIQUE,
         "v_reference": V_REFERENCE,
     }

@@ -32,7 +32,7 @@ from ordermill.operators import table_rules
 from ordermill.operators import validate as V
 from ordermill.operators.joins import assert_unique_key
 from ordermill.operators.transforms import add_order_date_iso, add_order_total, enrich_with_products
-from ordermill.plans import late, manifest
+from ordermill.plans import late, manifest, partials
 from ordermill.schemas import CORRUPT_COLUMN, ORDERS, PRODUCTS
 from ordermill.session import configure, stored_table
 from ordermill.sinks import files
@@ -277,7 +277,7 @@ def _iso_day(day: str) -> str:
 
 
 def _write_outputs(tagged: DataFrame, products_good: DataFrame, out: str, summary: DataFrame,
-                   counts: list[tuple[str, int, int]], broadcast: bool) -> str | None:
+                   counts: list[tuple[str, int, int]], broadcast: bool, sums: bool = False) -> str | None:
     """Write the outputs of the days in ``counts`` (ISO day, good rows, bad
     rows) and remove what an earlier run of a day left of a kind it has no
     rows of now."""
@@ -287,14 +287,16 @@ def _write_outputs(tagged: DataFrame, products_good: DataFrame, out: str, summar
     if any(good for _, good, _ in counts):
         enriched = enrich(good_orders(tagged), products_good, broadcast)
         parquet = files.write_parquet_partition(enriched, f"{out}/processed", DAY)
+        if sums:
+            partials.write(partials.of_lines(good_orders(tagged).withColumn(DAY, iso_date(F.col("order_date")))), out)
         files.write_summaries(summary.where(F.col("rows") > 0).select(DAY, "run_date", "rows", "revenue"),
                               f"{out}/summaries")
     if any(bad for _, _, bad in counts):
         files.write_bad_rows(bad_orders(tagged), f"{out}/bad_rows", "orders", known_empty=False)
     for day, good, bad in counts:
         if not good:
-            files.remove(spark, f"{out}/processed/{DAY}={day}")
-            files.remove(spark, f"{out}/summaries/{DAY}={day}")
+            for kind in ("processed", "summaries", *(["partials"] if sums else [])):
+                files.remove(spark, f"{out}/{kind}/{DAY}={day}")
         if not bad:
             files.remove(spark, f"{out}/bad_rows/dataset=orders/{DAY}={day}")
     return parquet
@@ -333,13 +335,14 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
         if not dry_run:
             out = output_dir.rstrip("/")
             summary = day_summary(run.rows).withColumn("run_date", F.lit(day))
-            table_dir = _write_outputs(run.rows, products_good, out, summary, [(_iso_day(day), rows, bad)], broadcast)
+            sums = partials.kept(spark, out)
+            table_dir = _write_outputs(run.rows, products_good, out, summary, [(_iso_day(day), rows, bad)], broadcast, sums)
             if table_dir:  # the day's partition, as the reference returns its file
                 parquet = f"{table_dir}/{DAY}={_iso_day(day)}"
             files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
             if merge_late:
                 touched = late.file_rows(enrich(late_orders(run.rows), products_good, broadcast), [_iso_day(day)], out)
-                for r in _merged(spark, out, touched, [_iso_day(day)]):
+                for r in _merged(spark, out, touched, [_iso_day(day)], sums):
                     if r[DAY] == _iso_day(day):
                         rows, revenue, parquet = r["rows"], r["revenue"], f"{out}/processed/{DAY}={r[DAY]}"
     finally:
@@ -351,10 +354,13 @@ def run_for_date(spark: SparkSession, date_str: str, inputs: Inputs, output_dir:
             "parquet_path": parquet}
 
 
-def _merged(spark: SparkSession, out: str, touched: set[str], run_days: list[str]) -> list:
+def _merged(spark: SparkSession, out: str, touched: set[str], run_days: list[str], sums: bool) -> list:
     """Merge late rows into the days whose late rows or own files a run has written."""
     days = sorted(touched | (late.known_days(spark, out) & set(run_days)))
-    return late.merge(spark, out, days) if days else []
+    found = late.merge(spark, out, days) if days else []
+    if sums and days:
+        partials.refresh(spark, out, days)
+    return found
 
 
 def day_range(start: str, end: str | None = None) -> list[str]:
@@ -398,7 +404,7 @@ def _listing(inputs: Inputs, out: str) -> tuple[DataFrame, str, DataFrame]:
 def _forget(spark: SparkSession, out: str, days: list[str]) -> None:
     """Remove the outputs and the manifest of days that have no file any more."""
     for day in days:
-        for kind in ("processed", "summaries", "bad_rows/dataset=orders", "manifest"):
+        for kind in ("processed", "summaries", "bad_rows/dataset=orders", "partials", "manifest"):
             files.remove(spark, f"{out}/{kind}/{DAY}={day}")
 
 
@@ -444,7 +450,7 @@ def _products_error(products: Callable[[], DataFrame]) -> str | None:
 def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_dir: str | None = None,
              dry_run: bool = False, date_format: str | None = "%Y-%m-%d",
              broadcast: bool = True, window_days: int = 31, incremental: bool = False,
-             rules: list | None = None, merge_late: bool = False) -> DataFrame:
+             rules: list | None = None, merge_late: bool = False, keep_partials: bool = False) -> DataFrame:
     """Every day of [start, end].
 
     Returns one row per day: date, run_date, rows, revenue, bad_rows,
@@ -471,6 +477,8 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
     run): valid rows of another day than their file's are filed and, after
     the last window, merged into their day (``plans/late.py``), in or out of
     the range; rows and revenue of the report are those of the merged days.
+    ``keep_partials``: the days' partial sums (``plans/partials.py``) are
+    written too; once they are there, every later run keeps them.
     """
     configure(spark)
     if not dry_run and not output_dir:
@@ -483,7 +491,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
         raise ValueError("an incremental backfill writes, and needs inputs with a listing of files")
 
     if dry_run or products_error:
-        def sums(part: list[str]) -> list:
+        def totals(part: list[str]) -> list:
             if not rules:
                 return summarise(inputs, part, date_format).where(in_range).collect()
             run = TaggedRun(inputs, part, date_format, rules)
@@ -492,7 +500,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
             finally:
                 run.close()
 
-        rows, errors = _each_day(days, sums)
+        rows, errors = _each_day(days, totals)
         report = _report(spark, days, rows, errors, products_error)
         if dry_run:
             return report
@@ -509,7 +517,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
                 summary = spark.createDataFrame(
                     [(r[DAY], r[DAY].replace("-", ""), r["rows"], r["revenue"]) for r in per_day],
                     "date string, run_date string, rows bigint, revenue double")
-                _write_outputs(run.rows, products_good, out, summary, counts, broadcast)
+                _write_outputs(run.rows, products_good, out, summary, counts, broadcast, sums)
                 if merge_late:
                     touched.update(late.file_rows(enrich(late_orders(run.rows), products_good, broadcast), [_iso_day(d) for d in window], out))
                 return per_day
@@ -517,6 +525,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
                 run.close()
 
         rows, errors, todo, same, touched = [], {}, days, [], set()
+        sums = keep_partials or partials.kept(spark, out)
         if incremental:
             listing, state, known = _listing(inputs, out)
             differ = manifest.changed(listing, known, state) & {_iso_day(d) for d in days}
@@ -534,7 +543,7 @@ def backfill(spark: SparkSession, start: str, end: str, inputs: Inputs, output_d
                         results, "date string, rows bigint, revenue double, bad_rows bigint, status string"), out)
             files.write_bad_rows(products_bad, f"{out}/bad_rows", "products")
             if merge_late:
-                rows = _with_late(rows, _merged(spark, out, touched, [_iso_day(d) for d in todo]))
+                rows = _with_late(rows, _merged(spark, out, touched, [_iso_day(d) for d in todo], sums))
         finally:
             products_good.unpersist()
         report = _report(spark, days, rows, errors, None, same)

@@ -35,11 +35,20 @@ def daily_category_net(orders: DataFrame, products: DataFrame,
         # whole in one join task.
         lines = (lines.groupBy("order_date_only", "product_id")
                  .agg(F.sum("order_amount").alias("order_amount")))
-    joined = lines.join(prod, lines.product_id == prod.p_product_id, "left")
+    return _net_by_category(lines, prod)
+
+
+def _net_by_category(amounts: DataFrame, prod: DataFrame) -> DataFrame:
+    joined = amounts.join(prod, amounts.product_id == prod.p_product_id, "left")
     return (joined.groupBy("order_date_only", "category")
             .agg(F.sum("order_amount").alias("revenue")))
 
 
+def category_net(amounts: DataFrame, products: DataFrame) -> DataFrame:
+    """A3 of amounts already summed per (order_date_only, product_id)."""
+    return _net_by_category(amounts, _product_side(products, "category"))
+
+
 def top_category(daily_cat: DataFrame) -> DataFrame:
     """N1 (+A4): per day the total and the top category by revenue."""
     return top_per_group(daily_cat, "order_date_only", "category", "revenue",
@@ -53,7 +62,12 @@ def daily_revenue(orders: DataFrame, products: DataFrame,
     Columns: date, total_revenue, top_category, top_category_revenue;
     ordered by date.
     """
-    per_day = top_category(daily_category_net(orders, products, broadcast))
+    return revenue_by_day(daily_category_net(orders, products, broadcast))
+
+
+def revenue_by_day(daily_cat: DataFrame) -> DataFrame:
+    """P4 from the day × category result."""
+    per_day = top_category(daily_cat)
     return (per_day.orderBy("order_date_only")
             .select(iso_date(F.col("order_date_only")).alias("date"),
                     money_out(F.col("total_revenue")).alias("total_revenue"),
@@ -71,7 +85,11 @@ def product_performance(orders: DataFrame, products: DataFrame,
     merges the rows that share the product side's key (all unmatched
     orders fall into one NULL row, as in the SQL).
     """
-    per_pid = status_sums(orders, "product_id")
+    return performance_of(status_sums(orders, "product_id"), products, broadcast)
+
+
+def performance_of(per_pid: DataFrame, products: DataFrame, broadcast: bool = True) -> DataFrame:
+    """P5 from the status sums (A5) per order product_id."""
     prod = dimension(_product_side(products, "product_name", "category"), broadcast)
     joined = per_pid.join(prod, per_pid.product_id == prod.p_product_id, "left")
     perf = (joined.groupBy(F.col("p_product_id").alias("product_id"), "product_name", "category")

@@ -651,19 +651,34 @@ def s3_order_files_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report_with_held(report, out)
 
 
-def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P3 over monthly order files, twice: between the runs the files of
-    every May change (their quantities of 10 and more are taken for lost)
-    and those of every August go. Which days the second run has written
-    anew, by the files of their partitions, and what they hold then."""
-    configure(spark)
-    base, out = scratch_path(spark, "csv-months"), scratch_path(spark, "backfill")
+def _two_runs(spark: SparkSession, sf_dir: str, out: str, between=None, **options) -> DataFrame:
+    """P3 over monthly order files, incrementally, twice: between the runs
+    the files of every May change (quantities of 10 and more are lost) and
+    those of every August go. The second run's report."""
+    base = scratch_path(spark, "csv-months")
     raw = tables.raw_orders(spark, sf_dir, monthly=True)
     _write_order_files(spark, raw, base)
     _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/data/products.csv")
     days = [r[0] for r in raw.select("_file_day").distinct().orderBy("_file_day").collect()]
     run = lambda: pipeline.backfill(spark, days[0], days[-1], pipeline.csv_inputs(spark, f"{base}/data"), out,
-                                    window_days=1000, incremental=True).where("status <> 'missing'")
+                                    window_days=1000, incremental=True, **options).where("status <> 'missing'")
+    run().count()
+    if between:
+        between()
+    for day in days:
+        if day[4:6] in ("05", "08"):
+            files.remove(spark, f"{base}/data/order_{day}.csv")
+    again = raw.where(F.col("_file_day").substr(5, 2) == "05").withColumn(
+        "qty", F.when(F.col("qty").try_cast("int") >= 10, F.lit("")).otherwise(F.col("qty")))
+    _write_order_files(spark, again, base, "changed")
+    return run()
+
+
+def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 with a manifest: which days the second of two runs has written
+    anew, by the files of their partitions, and what they hold then."""
+    configure(spark)
+    out, kept = scratch_path(spark, "backfill"), {}
 
     def held(name: str) -> DataFrame:
         rows = spark.read.parquet(f"{out}/processed").select(F.col("date").cast("string").alias("date"), "order_total",
@@ -674,20 +689,65 @@ def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         found.write.parquet(path)
         return spark.read.parquet(path)
 
-    run().count()
-    first = held("held-first").select("date", F.col("files").alias("files_first"))
-    for day in days:
-        if day[4:6] in ("05", "08"):
-            files.remove(spark, f"{base}/data/order_{day}.csv")
-    again = raw.where(F.col("_file_day").substr(5, 2) == "05").withColumn(
-        "qty", F.when(F.col("qty").try_cast("int") >= 10, F.lit("")).otherwise(F.col("qty")))
-    _write_order_files(spark, again, base, "changed")
-    report = run()
+    report = _two_runs(spark, sf_dir, out, lambda: kept.update(first=held("held-first")))
+    first = kept["first"].select("date", F.col("files").alias("files_first"))
     joined = report.join(held("held-second"), "date", "full").join(first, "date", "full")
     return joined.select("date", "status", "rows", "revenue", "bad_rows", "rows_held", "revenue_held",
                          (~F.col("files").eqNullSafe(F.col("files_first"))).alias("rewritten"))
 
 
+def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ordermill.plans import partials
+
+    out = scratch_path(spark, "backfill")
+    _two_runs(spark, sf_dir, out, keep_partials=True).count()
+    return partials.read(spark, out)
+
+
+def p4_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 merged from the days' stored sums, after some days have changed."""
+    from ordermill.plans import partials
+
+    configure(spark)
+    return partials.daily_revenue(_partials(spark, sf_dir), _valid_products(spark, sf_dir))
+
+
+def p5_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 merged from the days' stored sums, after some days have changed."""
+    from ordermill.plans import partials
+
+    configure(spark)
+    return partials.product_performance(_partials(spark, sf_dir), _valid_products(spark, sf_dir))
+
+
+def a1_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 merged from the days' stored sums, after some days have changed."""
+    from ordermill.plans import partials
+
+    configure(spark)
+    return partials.daily_category_revenue(_partials(spark, sf_dir), _valid_products(spark, sf_dir))
+
+
+def _in_order(spark: SparkSession, report: DataFrame, *order) -> DataFrame:
+    """A report written in order and read back with each row's place."""
+    return files.read_sorted(spark, files.write_sorted(report, scratch_path(spark, "sorted"), *order))
+
+
+def t2_daily_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 as stored, in the order of the days."""
+    return _in_order(spark, p4_daily_revenue(spark, sf_dir), "date")
+
+
+def t3_performance_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 as stored, by completed revenue, then product (none first)."""
+    return _in_order(spark, p5_product_performance(spark, sf_dir), F.desc("revenue_completed"), F.asc_nulls_first("product_id"))
+
+
+def t4_alerts_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: P6 as stored, by stock, product and warehouse."""
+    return _in_order(spark, p6_inventory_alerts(spark, sf_dir), "stock_on_hand", "product_id", "warehouse_id")
+
+
 def p3_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 over monthly days with late rows: every eleventh order arrives in
     the next month's file, and every other eleventh is corrected there (all
@@ -837,6 +897,12 @@ def queries() -> dict[str, Query]:
         "j1_enrich_hot": j1_enrich_hot,
         "p7_preview": p7_preview,
         "a9_channels_by_day": a9_channels_by_day,
+        "p4_from_partials": p4_from_partials,
+        "p5_from_partials": p5_from_partials,
+        "a1_from_partials": a1_from_partials,
+        "t2_daily_order": t2_daily_order,
+        "t3_performance_order": t3_performance_order,
+        "t4_alerts_order": t4_alerts_order,
         "v_unique": v_unique,
         "v_reference": v_reference,
     }
