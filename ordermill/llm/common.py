@@ -34,10 +34,19 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+#: What empties the caches that operators keep in a worker between their tasks.
+FORGET: list[Callable[[], None]] = []
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` of a function of one batch."""
+    """``mapInArrow`` of a function of one batch. The worker first drops what
+    other operators have kept in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ordermill.llm import common  # the worker's own module, not what is pickled with this function
+
+        for forget in common.FORGET:
+            forget()
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)

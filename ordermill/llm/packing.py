@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ordermill.llm.common import FORGET
+
 CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 20
@@ -93,10 +95,12 @@ class Encoder(dict):
 
 
 _ENCODERS: dict[str, Encoder] = {}
+FORGET.append(_ENCODERS.clear)
 
 
 def encoder(path: str) -> Encoder:
-    """One per worker process: its cache outlives a task."""
+    """One per worker process: its cache outlives a task, until another
+    operator's task runs there."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
