@@ -87,8 +87,10 @@ def join_with_heavy_hitters(left: DataFrame, right: DataFrame, key: str, how: st
     hot_rows = stored_table(right.join(F.broadcast(hot), key, "left_semi"), "hot-rows").select(
         F.col(key).alias("__hot"), F.struct(F.lit(1).alias("__there"), *others).alias("__hot_row"))
     hot_keys = hot.select(F.col(key).alias("__hot_key"))
+    # -1 as well, but no literal: the optimizer would fold that out of the join's keys
+    cold_salt = (F.pmod(F.xxhash64(key), F.lit(1)) - 1).cast("int")
     rest = right.join(F.broadcast(hot_keys), F.col(key) == F.col("__hot_key"), "left_anti").select(
-        F.col(key).alias("__cold"), F.lit(-1).alias("__cold_salt"), F.struct(F.lit(1).alias("__there"), *others).alias("__cold_row"))
+        F.col(key).alias("__cold"), cold_salt.alias("__cold_salt"), F.struct(F.lit(1).alias("__there"), *others).alias("__cold_row"))
     rows = left.join(F.broadcast(hot_keys), F.col(key) == F.col("__hot_key"), "left").join(
         F.broadcast(hot_rows), F.col(key) == F.col("__hot"), "left")
     is_hot = F.col("__hot_key").isNotNull()

@@ -82,7 +82,7 @@ def _violating(rows: DataFrame, rule, keys: dict[str, Column]) -> DataFrame:
     found = stored_table(found.drop("__n"), "repeated-keys")
     same = rows.join(found, list(keys)).where(F.struct(*rule.keep).eqNullSafe(F.col("__first")))
     alone = same.groupBy(*keys).count().where("count = 1").select(*keys, F.lit(True).alias("__alone"))
-    return found.join(alone, list(keys), "left").withColumn("__first", F.when("__alone", F.col("__first"))).drop("__alone")
+    return found.join(alone, list(keys), "left").withColumn("__first", F.when(F.col("__alone"), F.col("__first"))).drop("__alone")
 
 
 def apply_rules(tagged: DataFrame, rules: list, schema: Schema | None = None, overrides: dict[str, Column] | None = None) -> DataFrame:
