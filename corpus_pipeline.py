@@ -27,6 +27,10 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 BROADCAST_ROWS = 400_000
 
 
+#: Distinct chunks whose ids a worker of the packing stage remembers.
+PACKING_CACHE = 50_000
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
     """docs with its columns renamed c0, c1, ... (so no name can clash with a
     stage's own), and what a row is known by: its doc_id and its text's SHA-256."""
@@ -88,9 +92,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing of what is left into sequences of 4,096 tokens."""
+    """Packing of what is left into sequences of 4,096 tokens. The workers
+    remember little, as their memory is also that of the other stages."""
     importable(spark)
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), cache=PACKING_CACHE)
 
 
 STAGES = [("language_id", identify), ("exact_dedup", drop_copies), ("simhash", drop_near),

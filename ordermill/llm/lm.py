@@ -12,8 +12,8 @@ arrays in the shared folder, one file for each range of keys:
 * ``cont-*``: for each word of the range, in how many contexts it occurs.
 
 Workers map the files into memory and look up sorted keys, so a worker
-holds only what it reads. The number of ranges follows the session's
-shuffle partitions. Each file is written under a name of its own and then
+holds only what it reads. The number of ranges follows the size of the
+training text, and is twice the session's shuffle partitions at least. Each file is written under a name of its own and then
 renamed, so a task that is run again, or twice at a time, does no harm.
 
 p(w|h) = max(c(hw) - D, 0) / c(h) + (D1 n1(h) + D2 n2(h) + D3 n3+(h)) / c(h) * p(w)
@@ -43,6 +43,8 @@ from ordermill.session import scratch_path
 
 #: Tokens that a task counts or scores at a time.
 BLOCK = 1_000_000
+#: Bytes of training text for each range of keys, at most (more ranges where the session has many partitions).
+SHARD_BYTES = 16 << 20
 END = b""  # no word is empty
 #: Smoothing of the unigram base score.
 ADD = 0.1
@@ -219,6 +221,12 @@ def _token_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tup
         yield ids, tokens, sizes
 
 
+def _fits(contexts: int) -> None:
+    """A context's number and a word's number share 64 bits."""
+    if contexts > 1 << 32:
+        raise OverflowError(f"{contexts} contexts: keys hold numbers of 32 bits")
+
+
 def _pair_keys(number: np.ndarray, sizes: list[int], unknown: int) -> np.ndarray:
     """Context and word in one key; a document's first context is the number above the unknown word."""
     before = np.empty(len(number), np.uint64)
@@ -229,11 +237,14 @@ def _pair_keys(number: np.ndarray, sizes: list[int], unknown: int) -> np.ndarray
 
 def train(docs: DataFrame, shards: int | None = None, block: int = BLOCK) -> Model:
     """Fit on all rows of docs (doc_id, text). A null text is empty: its end
-    token alone. No rows: a model in which every word is unknown."""
+    token alone. No rows: a model in which every word is unknown. Words with
+    the same 64-bit hash count as one; 2**32 words and more are an error."""
     spark = docs.sparkSession
-    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    folder = shared_folder(spark, "lm")
     rows = docs.select("doc_id", "text")
+    if not shards:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // SHARD_BYTES))
+    folder = shared_folder(spark, "lm")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, tokens, _ in _token_blocks(batches, 4 * block):
@@ -254,6 +265,7 @@ def train(docs: DataFrame, shards: int | None = None, block: int = BLOCK) -> Mod
     starts = np.concatenate([[0], np.cumsum([sizes[s].words if s in sizes else 0 for s in range(shards)])]).tolist()
     total, tokens = starts[-1], sum(r.tokens for r in sizes.values())
     contexts = total + 2
+    _fits(contexts)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers(folder, shards, starts)

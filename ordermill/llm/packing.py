@@ -34,8 +34,9 @@ END_ID = 2
 GROUP_TOKENS = 1 << 20
 #: Cost of a piece of n tokens: LINEAR * n + n * n (projections against attention, hidden size 1024).
 LINEAR = 6 * 1024
-#: Distinct chunks, and words, whose ids a worker remembers (about 200 bytes each).
-CACHE = 600_000
+#: Distinct chunks, and words, whose ids a worker remembers (about 200 bytes each): so many that it
+#: has met lately, and as many before those.
+CACHE = 300_000
 #: White space to Python that is none to the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile(r"[ \t\n\r]+")
@@ -54,18 +55,21 @@ class Encoder(dict):
     recur; and a word of letters is one piece to its model, so its ids can
     be had from the model alone (which is checked on probes first)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
+        self.cache = cache
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100)]
         self.table = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in letters}
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # what was met before the last time that the cache was full
+        self.old_words: dict[str, bytes] = {}
         self.simple = True
         self.simple = all(self._simple(*_SIMPLE.fullmatch(p).groups()) == self._plain(p) for p in _PROBES)
 
@@ -76,17 +80,23 @@ class Encoder(dict):
         word = word.lower()
         ids = self.words.get(word)
         if ids is None:
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            ids = _packed([t.id for t in self.model.tokenize(word.translate(self.table))])
+            if len(self.words) >= self.cache:
+                self.old_words, self.words = self.words, {}
+            ids = self.old_words.get(word)
+            if ids is None:
+                ids = _packed([t.id for t in self.model.tokenize(word.translate(self.table))])
             self.words[word] = ids
         return ids + self[mark] if mark else ids
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE:
+        if len(self) >= self.cache:
+            self.old = dict(self)
             self.clear()
-        found = _SIMPLE.fullmatch(chunk) if self.simple else None
-        ids = self[chunk] = self._simple(*found.groups()) if found else self._plain(chunk)
+        ids = self.old.get(chunk)
+        if ids is None:
+            found = _SIMPLE.fullmatch(chunk) if self.simple else None
+            ids = self._simple(*found.groups()) if found else self._plain(chunk)
+        self[chunk] = ids
         return ids
 
     def ids(self, text: str) -> np.ndarray:
@@ -94,16 +104,16 @@ class Encoder(dict):
         return np.frombuffer(b"".join([self[c] for c in chunks]), "<u4")
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 FORGET.append(_ENCODERS.clear)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache: int = CACHE) -> Encoder:
     """One per worker process: its cache outlives a task, until another
     operator's task runs there."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, cache) not in _ENCODERS:
+        _ENCODERS[path, cache] = Encoder(path, cache)
+    return _ENCODERS[path, cache]
 
 
 def assign(lengths: list[int], capacity: int = CAPACITY, linear: int = LINEAR) -> list[tuple[int, int, int, int, int]]:
@@ -136,17 +146,18 @@ _SCHEMA = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         group_tokens: int = GROUP_TOKENS, linear: int = LINEAR, with_ids: bool = False) -> DataFrame:
+         group_tokens: int = GROUP_TOKENS, linear: int = LINEAR, with_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, and with ``with_ids`` the piece's ids.
 
     Every row of docs is a document of its own, also when it repeats
     another or its doc_id is null; a null or empty text is the end id alone.
+    ``cache`` bounds what a worker remembers (less costs time, not results).
     """
     schema = _SCHEMA.append(pa.field("ids", pa.list_(pa.int64()))) if with_ids else _SCHEMA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, cache)
         first = TaskContext.get().partitionId() << 32
         held: list[tuple[int | None, np.ndarray]] = []
         tokens = 0

@@ -208,8 +208,47 @@ def test_decontamination_equals_brute_force(spark, slice_bytes):
     assert decontaminate.contamination(documents(spark, rows), empty).where("contaminated").count() == 0
 
 
+def test_decontamination_tables_are_small_and_skip(spark):
+    from ordermill.llm.common import alnum_words
+
+    items = [(f"q{i}", words(4000, 40 + i).encode()) for i in range(20)]
+    _, tables = decontaminate.searchers(items, 10)
+    size = sum(len(t) for _, t in items)
+    assert len(tables) == 1 and tables[0].nbytes() < 12 * size
+    looked = [i for i in range(9, 9000, 9)]
+    text = alnum_words(b"nothing of this is in there " * 1500)
+    found = tables[0].find(text, decontaminate.word_hashes(text))
+    assert found == [] and len(looked) == 999
+    hit = text[:50] + alnum_words(items[3][1])[100:130] + text[:7]
+    spans, ids = decontaminate.scan(hit, (["a"] * 20, tables), {})
+    assert ids == {"a"} and min(s for s, _ in spans) == 50 and max(e for _, e in spans) == 80
+
+
+def test_decontamination_collisions_only_cost_time(monkeypatch):
+    monkeypatch.setattr(decontaminate, "word_hashes", lambda ws, known=None: np.array([len(w) % 2 for w in ws], np.uint64))
+    items = [("a", words(40, 1).encode()), ("b", words(12, 2).encode()), ("c", b"one two"), ("d", b"one")]
+    ids, tables = decontaminate.searchers(items, 10)
+    for text in (words(30, 3) + " " + words(12, 2) + " one two " + words(5, 1), words(40, 1), "one", ""):
+        w = text.encode().lower().split()
+        spans, found = decontaminate.scan(w, (ids, tables), {})
+        want = set()
+        for name, item in items:
+            i = item.split()
+            m = min(10, len(i))
+            windows = {tuple(i[k:k + m]) for k in range(len(i) - m + 1)}
+            if any(tuple(w[k:k + m]) in windows for k in range(len(w) - m + 1)):
+                want.add(name)
+        assert found == want
+
+
 # --- language model
 
+def test_lm_refuses_more_words_than_its_keys_hold():
+    lm._fits(1 << 32)
+    with pytest.raises(OverflowError):
+        lm._fits((1 << 32) + 1)
+
+
 def brute_lm(train, rows):
     """Interpolated modified Kneser-Ney of order 2, written from the formula."""
     toks = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", ascii_lower(t)) if w] + ["</s>"]
@@ -303,6 +342,13 @@ def test_packing_is_a_round_trip(spark, capacity, group):
     assert packing.pack(documents(spark, rows).limit(0), path).collect() == []
 
 
+def test_packing_ids_do_not_depend_on_the_cache():
+    texts = [words(300, seed) + " Été, straße. x\u00a0y" for seed in range(6)]
+    small, large = packing.Encoder(queries.tokenizer_path(), 7), packing.Encoder(queries.tokenizer_path())
+    assert all((small.ids(t) == large.ids(t)).all() for t in texts * 2)
+    assert len(small) <= 7 and len(small.old) <= 7 and len(small.words) <= 7 and len(small.old_words) <= 7
+
+
 def test_packing_balances_cost():
     lengths = [900, 50, 30, 2000, 700, 650, 4000, 20, 10, 5, 3000, 1500, 60, 9000] * 20
     pieces = packing.assign(lengths, 4096)
