@@ -1,12 +1,13 @@
-"""Removal of repeated byte strings with a logarithmic family of suffix arrays.
+"""Removal of repeated byte strings with a logarithmic family of suffix indexes.
 
 Every string of ``length`` bytes that also starts earlier (smaller doc_id,
 or earlier in the same document) is removed. The arrays are sparse: of the
 ``length - GRAM + 1`` grams of ``GRAM`` bytes in each such string, the one
 with the smallest hash is sampled, so equal strings sample the same gram at
-the same place, and about one suffix in 35 is kept. A suffix is ordered by
-a 48-bit name of its first ``GRAM`` bytes; arrays are cut into shards by
-ranges of names.
+the same place, and about one suffix in 35 is kept. Suffixes are ordered by
+a 48-bit hash of their first ``GRAM`` bytes (their name), not by their text,
+so these arrays find equal strings but give no suffix order; arrays are cut
+into shards by ranges of names.
 
 1. Whole copies of an earlier document are known by their SHA-256 and take
    no part in the rest: all their bytes go.

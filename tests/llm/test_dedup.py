@@ -169,6 +169,12 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, batches, hot, step,
         assert got[d].n_spans == len([x for x in want[d].split(b"\x00") if x])
 
 
+@pytest.mark.parametrize("batches,hot", [(4, 20_000), (5, 3)])
+def test_suffix_dedup_with_more_copies_than_are_left_out(spark, monkeypatch, batches, hot):
+    monkeypatch.setattr(suffix_dedup, "MOST_COPIES", 0)
+    test_suffix_dedup_equals_brute_force(spark, monkeypatch, batches, hot, 1 << 20, 50_000)
+
+
 def test_suffix_dedup_on_a_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
