@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -169,6 +170,34 @@ def test_license_merges_neighbouring_diagonals(spark):
     assert r.labels == "mit" and r.n_base == 0 and 0.8 < r.score < 1
 
 
+def test_license_texts_altered_and_cut(spark):
+    def text(label, changed=0, cut=1.0, seed=0):
+        r = random.Random(seed)
+        w = " ".join(t for t, x in license_scan.TEMPLATES if x == label).split()
+        w = w[:int(len(w) * cut)]
+        for _ in range(changed):
+            i = r.randrange(len(w))
+            w[i:i + 1] = r.choice([[], ["changed"], [w[i], "more"]])
+        return words(60, seed + 1) + "\n" + " ".join(w).upper() + "\n" + words(60, seed + 2)
+
+    kinds = sorted({x for _, x in license_scan.TEMPLATES})
+    rows = [(label, text(label, seed=i)) for i, label in enumerate(kinds)]
+    rows += [(label, text(label, changed=6, seed=50 + i)) for i, label in enumerate(("mit", "bsd", "apache", "gpl"))]
+    rows += [(label, text(label, cut=0.5, seed=90 + i)) for i, label in enumerate(("mit", "bsd", "gpl"))]
+    rows += [("cc-by-nc", "This work is licensed under CC BY-NC 4.0."), ("cc-by-nc-sa", "licensed under CC BY-NC-SA 4.0"), ("cc-by", "Licensed under CC BY 4.0!"),
+             ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.")]
+    bare = ["see the terms of the mozilla public license", "BSD, ISC and MPL are licenses", "the software is provided", "free software and its use",
+            "without warranty of any kind", "a creative commons license", "cc by", words(3000, 7), "in no event shall the authors be liable",
+            "this program is free software", "you may use this file in compliance with the law", "the above copyright notice"]
+    got = license_scan.scan(documents(spark, list(enumerate([t for _, t in rows] + bare)))).collect()
+    by = {r.doc_id: r for r in got}
+    for i, (label, _) in enumerate(rows):
+        assert label in by[i].labels.split(","), (label, by[i].labels)
+        assert set(by[i].labels.split(",")) <= {label, *by[i].base_labels.split(",")} | ({"gpl"} if label == "lgpl" else set()), (label, by[i].labels)
+        assert by[i].score >= 0.75 and all(60 <= s.start for s in by[i].spans if len(rows[i][1]) > 300)
+    assert all(by[len(rows) + i].labels == "" and by[len(rows) + i].score < 1 for i in range(len(bare)))
+
+
 # --- decontamination
 
 def brute_contamination(rows, items, width=10):
