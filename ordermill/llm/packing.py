@@ -36,7 +36,7 @@ GROUP_TOKENS = 1 << 20
 LINEAR = 6 * 1024
 #: Distinct chunks, and words, whose ids a worker remembers (about 200 bytes each): so many that it
 #: has met lately, and as many before those.
-CACHE = 300_000
+CACHE = 600_000
 #: White space to Python that is none to the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile(r"[ \t\n\r]+")
