@@ -19,7 +19,7 @@ from ordermill.operators import validate as V
 from ordermill.operators.transforms import add_order_date_iso, add_order_total, enrich_with_products
 from ordermill.plans import pipeline, profile, reports
 from ordermill.schemas import INVENTORY, ORDERS, PRODUCTS
-from ordermill.session import configure, scratch_path
+from ordermill.session import configure, scratch_path, stored_table
 from ordermill.sinks import files
 from ordermill.sources import tables
 
@@ -575,10 +575,10 @@ def s3_orders_csv_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     order file per day (a folder of part files each), then the backfill
     run over those files. Equals ``p3_backfill`` (same oracle)."""
     configure(spark)
-    raw = tables.raw_orders(spark, sf_dir)
+    raw = tables.raw_orders(spark, sf_dir, whole=True, by_day="few")
     base = scratch_path(spark, "csv-orders")
     files.write_partitioned(raw.drop("_file_day").withColumnRenamed("_source_file", "file"),
-                            base, "file", "csv")
+                            base, "file", "csv", arranged=True)
     _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/products.csv")
     inputs = pipeline.csv_inputs(spark, base, layout="folders")
     return pipeline.backfill(spark, *_date_range(spark, sf_dir), inputs, dry_run=True)
@@ -610,9 +610,10 @@ def _headed(lines: DataFrame, header: str, by: str) -> DataFrame:
 
 
 def _write_order_files(spark: SparkSession, raw: DataFrame, base: str, name: str = "parts") -> None:
-    """Raw orders as one file ``order_<day>.csv`` per day in ``base``/data."""
-    lines = raw.select(F.col("_file_day").alias("day"), F.to_csv(F.struct(*ORDERS.names), CSV_CELLS).alias("value"))
-    _headed(lines, ",".join(ORDERS.names), "day").write.partitionBy("day").text(f"{base}/{name}")
+    """Raw orders, each day's in one task, as one file ``order_<day>.csv`` per
+    day in ``base``/data. The writer puts the header before the rows."""
+    rows = raw.select(F.col("_file_day").alias("day"), *ORDERS.names)
+    rows.write.partitionBy("day").options(header=True, **CSV_CELLS).csv(f"{base}/{name}")
     files.flatten(spark, f"{base}/{name}", f"{base}/data", lambda folder: f"order_{folder.removeprefix('day=')}.csv")
 
 
@@ -620,7 +621,7 @@ def _order_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw orders and products as the reference gets them: one file
     ``order_<day>.csv`` per day in one folder. On every fourth day of a month
     some statuses hold a line break."""
-    raw = tables.raw_orders(spark, sf_dir)
+    raw = tables.raw_orders(spark, sf_dir, whole=True, by_day="one task")
     broken = (F.substring("_file_day", 7, 2).cast("int") % 4 == 0) & (F.col("order_id").cast("bigint") % 7 == 2)
     status = F.when(broken, F.concat(F.coalesce("order_status", F.lit("")), F.lit(',\n"checked"\n'))).otherwise(F.col("order_status"))
     raw = raw.withColumn("order_status", status)
@@ -656,21 +657,24 @@ def _two_runs(spark: SparkSession, sf_dir: str, out: str, between=None, **option
     the files of every May change (quantities of 10 and more are lost) and
     those of every August go. The second run's report."""
     base = scratch_path(spark, "csv-months")
-    raw = tables.raw_orders(spark, sf_dir, monthly=True)
-    _write_order_files(spark, raw, base)
+    _write_order_files(spark, tables.raw_orders(spark, sf_dir, monthly=True, whole=True, by_day="one task"), base)
     _csv_copy_to(tables.raw_products(spark, sf_dir), f"{base}/data/products.csv")
-    days = [r[0] for r in raw.select("_file_day").distinct().orderBy("_file_day").collect()]
+    days = sorted(day for day, in files.names(spark, f"{base}/data", r"order_(\d{8})\.csv"))
     run = lambda: pipeline.backfill(spark, days[0], days[-1], pipeline.csv_inputs(spark, f"{base}/data"), out,
                                     window_days=1000, incremental=True, **options).where("status <> 'missing'")
     run().count()
     if between:
         between()
+    may = [day for day in days if day[4:6] == "05"]
+    if may:  # written anew beside the others, then put in their place
+        cells = spark.read.schema(", ".join(f"{c} string" for c in ORDERS.names)).options(header=True, **CSV_CELLS)
+        again = cells.csv([f"{base}/data/order_{day}.csv" for day in may]).withColumn("_file_day", F.regexp_extract(F.col("_metadata.file_name"), r"\d{8}", 0))
+        again = stored_table(again.withColumn("qty", F.when(F.col("qty").try_cast("int") >= 10, F.lit("")).otherwise(F.col("qty"))), "changed-rows")
     for day in days:
         if day[4:6] in ("05", "08"):
             files.remove(spark, f"{base}/data/order_{day}.csv")
-    again = raw.where(F.col("_file_day").substr(5, 2) == "05").withColumn(
-        "qty", F.when(F.col("qty").try_cast("int") >= 10, F.lit("")).otherwise(F.col("qty")))
-    _write_order_files(spark, again, base, "changed")
+    if may:
+        _write_order_files(spark, again.repartition("_file_day"), base, "changed")
     return run()
 
 
@@ -755,14 +759,21 @@ def p3_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     last two years again. What each day holds then, and its summary."""
     configure(spark)
     out = scratch_path(spark, "late")
-    raw = tables.raw_orders(spark, sf_dir, monthly=True)
+    raw = tables.raw_orders(spark, sf_dir, monthly=True, whole=True)
     k = F.col("order_id").cast("bigint") % 11
     following = F.date_format(F.add_months(F.to_date("_file_day", "yyyyMMdd"), 1), "yyyyMMdd")
-    moved = raw.withColumn("_file_day", F.when(k == 4, following).otherwise(F.col("_file_day")))
-    corrected = raw.where(k == 5).withColumns({"_file_day": following, "qty": F.lit("7")})
-    every = moved.unionByName(corrected)
+    row = lambda **other: F.struct(*[other.get(c, F.col(c)).alias(c) for c in raw.columns])
+    moved = row(_file_day=F.when(k == 4, following).otherwise(F.col("_file_day")))
+    corrected = row(_file_day=following, qty=F.lit("7"))
+
+    def every(days: list[str] | None) -> DataFrame:
+        """One join of the tables; an order line gives one row or, where it is corrected, two."""
+        near = raw if not days else raw.where(F.col("_file_day").isin(days) | following.isin(days))
+        rows = near.select(F.inline(F.when(k == 5, F.array(moved, corrected)).otherwise(F.array(moved))))
+        return rows if not days else rows.where(F.col("_file_day").isin(days))
+
     products = lambda: tables.raw_products(spark, sf_dir)
-    inputs = pipeline.Inputs(lambda days: every if not days else every.where(F.col("_file_day").isin(days)), products)
+    inputs = pipeline.Inputs(every, products)
     low, high = _date_range(spark, sf_dir)
     last = (dt.datetime.strptime(high, "%Y%m%d") + dt.timedelta(days=32)).strftime("%Y%m%d")
     pipeline.backfill(spark, low[:6] + "01", last, inputs, out, window_days=10_000, merge_late=True)
@@ -784,7 +795,7 @@ def c3_inferred_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.month("order_date")
     text = F.when(month % 2 == 1, F.date_format("order_date", "d/M/yyyy")).otherwise(F.date_format("order_date", "M/d/yyyy"))
     raw = o.select("order_id", "product_id", text.alias("text"), F.date_format("order_date", "'order_'yyyyMM'.csv'").alias("_source_file"))
-    known = V.infer_date_order(raw, "text")
+    known = V.infer_date_order(stored_table(raw, "dated-orders"), "text")
     return known.select("order_id", "product_id", "text", V.DATE_ORDER,
                         parse_date(F.col("text"), "%Y-%m-%d", F.col(V.DATE_ORDER)).alias("order_ts"))
 

@@ -9,6 +9,8 @@ files as a first run.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,24 +29,27 @@ def _balanced(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, output_dir: str, by: str | list[str] = "date",
-                      fmt: str = "parquet", header: bool = True, small_rows: bool = False) -> str:
+                      fmt: str = "parquet", header: bool = True, small_rows: bool = False, arranged: bool = False) -> str:
     """W1 (and the W2/W3 layouts): write ``df`` under ``output_dir/by=value/``
     replacing only the partition values present in ``df``.
 
     ``small_rows`` is for frames with a handful of rows per partition value
     (summaries): they are hash-partitioned by the value, so the many small
     files are created by all writers in parallel (REBALANCE sizes tasks by
-    bytes and would give one task every file).
+    bytes and would give one task every file). ``arranged`` is for frames in
+    which the rows of a partition value already lie in few tasks: no shuffle.
     """
     by = [by] if isinstance(by, str) else list(by)
     configure(df.sparkSession)
-    if small_rows:
+    if arranged:
+        rows = df
+    elif small_rows:
         # An explicit count: AQE would merge a tiny frame back into one task.
         parallel = parallelism(df.sparkSession)
-        arranged = df.repartition(parallel, *[F.col(c) for c in by])
+        rows = df.repartition(parallel, *[F.col(c) for c in by])
     else:
-        arranged = _balanced(df, by)
-    writer = arranged.write.mode("overwrite").partitionBy(*by)
+        rows = _balanced(df, by)
+    writer = rows.write.mode("overwrite").partitionBy(*by)
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.format(fmt).save(output_dir)
@@ -88,6 +93,14 @@ def partitions(spark, folder: str, *names: str) -> list[tuple[str, ...]]:
     return out
 
 
+def names(spark, folder: str, pattern: str) -> list[tuple[str, ...]]:
+    """The groups of ``pattern`` in the names of a folder's files that match it whole, from one listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    found = (re.fullmatch(pattern, status.getPath().getName()) for status in listed)
+    return [m.groups() for m in found if m]
+
+
 def flatten(spark, parts_dir: str, output_dir: str, name) -> None:
     """Turn a partitioned write with one file per folder into files of one
     folder: ``parts_dir/<folder>/part-…`` becomes ``output_dir/<name(folder)>``.

@@ -280,8 +280,13 @@ def file_day(name: Column, days: list[str] | None = None) -> Column:
     """The ``YYYYMMDD`` day in a file name: the asked day it holds when
     ``days`` are given, otherwise the first eight digits that form a date
     (empty when there is none)."""
-    if days:
+    if days and not all(re.fullmatch("[0-9]{8}", d) for d in days):
         return F.regexp_extract(name, "(" + "|".join(days) + ")", 1)
+    if days:  # by set membership: a pattern of thousands of days costs more than the rest of a row's parse
+        first = F.regexp_extract(name, r"(\d{8})", 1)
+        every = F.regexp_extract_all(name, F.lit(r"(?=(\d{8}))"), F.lit(1))
+        later = F.get(F.array_intersect(every, F.split(F.lit(",".join(days)), ",")), 0)
+        return F.when(first.isin(days), first).when(first == "", first).otherwise(F.coalesce(later, F.substring(name, 1, 0)))
     is_day = lambda c: F.try_to_timestamp(c, F.lit("yyyyMMdd")).isNotNull()
     first = F.regexp_extract(name, r"(\d{8})", 1)
     return F.when(is_day(first), first).otherwise(F.coalesce(

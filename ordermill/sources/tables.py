@@ -183,7 +183,8 @@ def _day_filter(days: list[str] | None) -> Column | None:
     return cond
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None, monthly: bool = False) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None, monthly: bool = False,
+               whole: bool = False, by_day: str | None = None) -> DataFrame:
     """Orders as a CSV reader would hand them over: every cell a string.
 
     Each order's lines stand for one daily file, ``order_<YYYYMMDD>.csv``
@@ -195,7 +196,10 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None,
     Every text cell is derived on its own side of the join (order-level
     cells once per order, line-level cells once per line), so later
     filters that Catalyst pushes into the join condition reference plain
-    columns instead of re-deriving the text at every use.
+    columns instead of re-deriving the text at every use. ``whole`` is for
+    callers that write all rows as they are: the tables' own, smaller columns
+    cross the join, and the text is derived after it. With ``by_day`` they are
+    also dealt by day before that: each day to "one task", or to "few".
     """
     k = F.col("o_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
@@ -205,23 +209,30 @@ def raw_orders(spark: SparkSession, sf_dir: str, days: list[str] | None = None,
     if cond is not None:
         od = od.where(cond)
     file_day = F.date_format("o_orderdate", "yyyyMMdd")
-    od = od.select(
-        "o_orderkey",
-        raw_order_date(k, F.col("o_orderdate")).alias("order_date"),
-        F.when(k % 60 == 7, F.lit(None).cast("string"))
-         .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
-        (k % 40).alias("_m40"), (k % 70).alias("_m70"), (k % 60 == 8).alias("_no_status"),
-        file_day.alias("_file_day"),
-    )
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_quantity").cast("int").cast("string").alias("_qty_text"),
-        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("_price_text"),
-        _status(F.col("l_returnflag")).alias("_status"),
-    )
-    lines = _fact_join(li, od, few_orders=bool(days) and len(days) <= 31)
+    orders_side = {
+        "order_date": raw_order_date(k, F.col("o_orderdate")),
+        "user_id": F.when(k % 60 == 7, F.lit(None).cast("string")).otherwise(F.col("o_custkey").cast("string")),
+        "_m40": k % 40, "_m70": k % 70, "_no_status": k % 60 == 8, "_file_day": file_day,
+    }
+    lines_side = {
+        "order_id": F.col("l_orderkey").cast("string"),
+        "product_id": F.col("l_partkey").cast("string"),
+        "_qty_text": F.col("l_quantity").cast("int").cast("string"),
+        "_price_text": F.col("l_extendedprice").cast("decimal(12,2)").cast("string"),
+        "_status": _status(F.col("l_returnflag")),
+    }
+    li = table(spark, sf_dir, "lineitem")
+    few = bool(days) and len(days) <= 31
+    if whole:
+        small = {"l_quantity": F.col("l_quantity").cast("int"), "l_extendedprice": F.col("l_extendedprice").cast("decimal(12,2)")}
+        lines = _fact_join(li.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag").withColumns(small), od, few)
+        if by_day:
+            lines = lines.withColumn("__day", file_day)
+            lines = (lines.repartition("__day") if by_day == "one task" else lines.hint("rebalance", "__day")).drop("__day")
+        lines = lines.select(*[c.alias(n) for n, c in (orders_side | lines_side).items()])
+    else:
+        lines = _fact_join(li.select("l_orderkey", *[c.alias(n) for n, c in lines_side.items()]),
+                           od.select("o_orderkey", *[c.alias(n) for n, c in orders_side.items()]), few)
     return lines.select(
         "order_id", "order_date", "product_id",
         raw_qty(F.col("_m40"), F.col("_qty_text")).alias("qty"),

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import write_files
 from ordermill.operators import validate as V
+from ordermill.plans import pipeline
 from ordermill.schemas import PRODUCTS
 from ordermill.sources import csv_files
 
@@ -228,3 +230,28 @@ def test_uniform_input_is_read_once(spark, tmp_path):
     assert set(read) == {"True", "False"}
     # the look at the first header costs at most one split more
     assert all(total <= rows <= total + 12_000 for rows in read.values()), (read, total)
+
+
+def test_the_day_of_a_name_among_many_days(spark):
+    days = pipeline.day_range("20200101", "20251231")
+    names = ["order_20251025.csv", "order_99999999_20251026.csv", "order_120251027.csv", "order_2025102820251029.csv", "order_2025-10-25.csv", "order.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    asked = ["20251025", "20251026", "20251027", "20251029"]
+    for some in (days, asked):
+        old = [next((n[i:i + 8] for i in range(len(n)) if n[i:i + 8] in some), "") for n in names]
+        column = csv_files.file_day(F.col("name"), some)
+        assert [r[0] for r in df.select(column).collect()] == old
+        assert "|".join(some) not in df.select(column)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_written_order_file_begins_with_its_header(spark, tmp_path):
+    from ordermill import registry
+
+    cells = [("1", "2025-10-25", "1", "2", "1.5", None, "completed"), ("2", "x, \"y\"", "1", "", "1.5", "7", "a\nb")]
+    raw = spark.createDataFrame([(*c, "20251025") for c in cells] + [(*cells[0], "20251026")], ", ".join(
+        f"{n} string" for n in (*registry.ORDERS.names, "_file_day"))).repartition("_file_day")
+    registry._write_order_files(spark, raw, str(tmp_path))
+    for day, n in (("20251025", 2), ("20251026", 1)):
+        text = (tmp_path / "data" / f"order_{day}.csv").read_text()
+        assert text.startswith("order_id,order_date,product_id,qty,unit_price,user_id,order_status\n") and text.count("order_id") == 1
+        assert csv_files.read_orders(spark, str(tmp_path / "data"), [day]).count() == n
