@@ -1,6 +1,7 @@
 """Joins against the product dimension.
 
-No join carries a broadcast hint: Spark broadcasts a side whose size it
+A join carries a broadcast hint only where its caller has counted the rows
+(``small``); elsewhere Spark broadcasts a side whose size it
 knows or measures (AQE, in bytes) to be below
 ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise, where
 AQE splits skewed partitions. ``broadcast=False`` asks for the shuffle

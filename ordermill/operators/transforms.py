@@ -67,7 +67,7 @@ def product_side(products: DataFrame) -> DataFrame:
 
 
 def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "left",
-                         validate: bool = True, broadcast: bool = True, split_hot: bool = False) -> DataFrame:
+                         validate: bool = True, broadcast: bool = True, split_hot: bool = False, small: bool = False) -> DataFrame:
     """Join product name, category and price onto orders.
 
     ``how`` is one of left (default), inner, right, outer (J2). With
@@ -83,6 +83,8 @@ def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "lef
     ``split_hot``: products that hold a large share of the orders are found
     by a count and joined apart (``joins.join_with_heavy_hitters``), so the
     join is even whatever Spark estimates or measures.
+
+    ``small``: the caller has counted the products, and they are broadcast.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
@@ -93,7 +95,7 @@ def enrich_with_products(orders: DataFrame, products: DataFrame, how: str = "lef
     if split_hot:
         joined = join_with_heavy_hitters(left, right, "product_id", kind)
     else:
-        right = dimension(right, broadcast)
+        right = F.broadcast(right) if small else dimension(right, broadcast)
         joined = left.join(right, on="product_id", how=kind)
     if how in ("right", "outer"):
         unsold = right.join(left.select("product_id").distinct(), on="product_id", how="left_anti")

@@ -17,17 +17,26 @@ from ordermill.functions.dates import day
 from ordermill.functions.numeric import line_total, money_out
 from ordermill.operators.transforms import UNKNOWN_CATEGORY, enrich_with_products
 from ordermill.plans import reports
+from ordermill.session import parallelism
 from ordermill.sinks import files
 
 KEYS = ("date", "product_id", "order_status")
 
 
-def of_lines(lines: DataFrame, date: str = "date") -> DataFrame:
-    """Partial sums of typed order lines (``date`` names the column of their day, as text)."""
-    qty, price = F.col("qty"), F.col("unit_price")
-    return lines.groupBy(F.col(date).alias("date"), "product_id", "order_status").agg(
+def of_lines(lines: DataFrame, date: str = "date", days: int | None = None) -> DataFrame:
+    """Partial sums of typed order lines (``date`` names the column of their
+    day, as text). With ``days``, how many days there are about, the lines are
+    dealt by day, and where days are few by parts of a day too, so that the sums
+    lie as ``write`` needs them: one shuffle, of the columns that are summed."""
+    qty, price, keys = F.col("qty"), F.col("unit_price"), ["date", "product_id", "order_status"]
+    lines = lines.select(F.col(date).alias("date"), "product_id", "order_status", "qty", "unit_price")
+    if days:
+        tasks = max(parallelism(lines.sparkSession), int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        lines = lines.withColumn("__part", F.pmod(F.xxhash64("product_id"), F.lit(max(1, 2 * tasks // days))))
+        keys, lines = ["date", "__part", "product_id", "order_status"], lines.repartition(tasks, "date", "__part")
+    return lines.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("lines"), F.sum(qty).alias("units"), F.sum(qty * price).alias("amount"),
-        F.sum(line_total(qty, price)).alias("total"))
+        F.sum(line_total(qty, price)).alias("total")).drop("__part")
 
 
 def kept(spark: SparkSession, out: str) -> bool:
@@ -35,8 +44,8 @@ def kept(spark: SparkSession, out: str) -> bool:
 
 
 def write(partials: DataFrame, out: str) -> None:
-    """Replace the partials of the days that ``partials`` has."""
-    files.write_partitioned(partials, f"{out}/partials", "date", small_rows=True)
+    """Replace the partials of the days that ``partials`` (``of_lines`` with ``days``) has."""
+    files.write_partitioned(partials, f"{out}/partials", "date", arranged=True)
 
 
 def refresh(spark: SparkSession, out: str, days: list[str]) -> None:
@@ -47,7 +56,7 @@ def refresh(spark: SparkSession, out: str, days: list[str]) -> None:
     if here:
         folder = f"{out}/processed"
         lines = spark.read.option("basePath", folder).parquet(*[f"{folder}/date={d}" for d in here])
-        write(of_lines(lines.withColumn("date", F.col("date").cast("string"))), out)
+        write(of_lines(lines.withColumn("date", F.col("date").cast("string")), days=len(here)), out)
 
 
 def read(spark: SparkSession, out: str) -> DataFrame:

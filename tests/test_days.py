@@ -6,6 +6,7 @@ import os
 import random
 import time
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -330,3 +331,31 @@ def test_preview_is_the_same_on_every_run(spark):
     rows = profile.preview_datasets({"x": df, "y": df.limit(2)}, 3).collect()
     assert [(r.row, r.column, r.value) for r in rows if r.dataset == "x"] == [(1, "a", "0"), (1, "b", None), (2, "a", "1"), (2, "b", None), (3, "a", "2"), (3, "b", None)]
     assert sum(r.dataset == "y" for r in rows) == 4
+
+
+def test_a_merge_deals_rows_once_and_counts_the_latest_file(spark, tmp_path):
+    out = str(tmp_path / "out")
+    base = "order_id bigint, product_id bigint, qty int, order_total decimal(38,2), date string"
+    own = [(i, 1, 1, 1, "2025-01-01") for i in range(200)] + [(1, 1, 5, 5, "2025-01-01"), (9, 9, 1, 1, "2025-01-02")]
+    files.write_partitioned(spark.createDataFrame([(*r[:3], Decimal(r[3]), r[4]) for r in own], base), f"{out}/processed", "date")
+    brought = [(1, 1, 7, 7, "2025-01-01", "2025-02-01"), (1, 1, 8, 8, "2025-01-01", "2025-03-01"), (1, 1, 9, 9, "2025-01-01", "2025-03-01"),
+               (500, 1, 2, 2, "2025-01-01", "2025-02-01"), (3, 3, 4, 4, "2025-01-03", "2025-02-01")]
+    frame = spark.createDataFrame([(*r[:3], Decimal(r[3]), *r[4:]) for r in brought], base + ", source_day string")
+    days = sorted(late.file_rows(frame, ["2025-02-01", "2025-03-01"], out) | {"2025-01-02"})
+    plan = late._merged_rows(spark.createDataFrame([], base), frame)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Anti" not in plan and "Semi" not in plan
+    for _ in range(2):
+        got = {r.date: (r.rows, r.revenue, r.late_rows) for r in late.merge(spark, out, days)}
+        assert got == {"2025-01-01": (202, 218.0, 3), "2025-01-02": (1, 1.0, 0), "2025-01-03": (1, 4.0, 1)}
+    late.file_rows(frame.where("false"), ["2025-02-01"], out)
+    got = {r.date: (r.rows, r.revenue, r.late_rows) for r in late.merge(spark, out, days)}
+    assert got == {"2025-01-01": (201, 216.0, 2), "2025-01-02": (1, 1.0, 0)} and not os.path.exists(f"{out}/processed/date=2025-01-03")
+
+
+def test_partials_are_dealt_by_day_in_one_shuffle(spark):
+    rows = [(f"2025-01-0{1 + i % 3}", i % 7, ("completed", None)[i % 2], i % 5, Decimal(i)) for i in range(300)]
+    lines = spark.createDataFrame(rows, "date string, product_id bigint, order_status string, qty bigint, unit_price decimal(28,6)")
+    one, dealt = partials.of_lines(lines), partials.of_lines(lines, days=3)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert key(one) == key(dealt) and dealt.columns == one.columns
