@@ -21,7 +21,7 @@ alone. Running a day's own files again drops the mark before anything else.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.numeric import money_out
@@ -29,6 +29,8 @@ from ordermill.session import stored_table
 from ordermill.sinks import files
 
 LINE_KEY = ("date", "order_id", "product_id")
+#: Rows that a task of a merge sorts, about.
+TASK_ROWS = 1_000_000
 SOURCE_DAY = "source_day"
 
 
@@ -70,6 +72,32 @@ def _days_of(spark: SparkSession, folder: str, days: list[str], like: DataFrame
     return rows.withColumns({c: F.col(c).cast("string") for c in ("date", SOURCE_DAY) if c in rows.columns})
 
 
+def _merged_rows(base: DataFrame, late: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows of some days and which days these are, in one shuffle that serves the comparison by
+    order line and the partitioned write: by day, and within a day by as many
+    parts as its share of the rows asks for."""
+    spark = base.sparkSession
+    both = base.withColumn(SOURCE_DAY, F.lit(None).cast("string")).withColumn("__late", F.lit(False)).unionByName(
+        late.withColumn("__late", F.lit(True)))
+    counts = both.groupBy("date").count().collect()
+    total = sum(r["count"] for r in counts)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total // TASK_ROWS))
+    share = max(1, -(-total // tasks))
+    parts = spark.createDataFrame([(r["date"], -(-r["count"] // share)) for r in counts], "date string, __parts bigint")
+    dealt = both.join(F.broadcast(parts), "date").withColumn("__part", F.pmod(F.xxhash64("order_id"), F.col("__parts"))).drop("__parts")
+    key = Window.partitionBy("date", "__part", "order_id", "product_id")
+    latest = dealt.repartition(tasks, "date", "__part").withColumn("__latest", F.max(SOURCE_DAY).over(key))
+    keyed = F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
+    kept = F.when(F.col("__late"), keyed & (F.col(SOURCE_DAY) == F.col("__latest"))).otherwise(~keyed | F.col("__latest").isNull())
+    return latest.where(kept).drop(SOURCE_DAY, "__late", "__part", "__latest"), [r["date"] for r in counts]
+
+
+def _late_counts(late: DataFrame) -> DataFrame:
+    """(date, late_rows): the rows of the latest file of each order line."""
+    n = late.dropna(subset=list(LINE_KEY)).groupBy(*LINE_KEY, SOURCE_DAY).agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy(*LINE_KEY).agg(F.max_by("n", SOURCE_DAY).alias("n")).groupBy("date").agg(F.sum("n").alias("late_rows"))
+
+
 def merge(spark: SparkSession, out: str, days: list[str]) -> list:
     """Make the partitions of ``days`` anew from their own and their late
     rows, with their summaries. One row per day that has rows: date, rows,
@@ -77,23 +105,21 @@ def merge(spark: SparkSession, out: str, days: list[str]) -> list:
     unmarked = [d for d in days if not files.exists(spark, _mark(out, d))]
     own = _days_of(spark, f"{out}/processed", unmarked)
     if own is not None:
-        files.write_partitioned(own, f"{out}/late_base", "date")
+        files.write_partitioned(own, f"{out}/late_base", "date", arranged=True)
     for day in unmarked:
         files.touch(spark, _mark(out, day))
     base, late = _days_of(spark, f"{out}/late_base", days), _days_of(spark, f"{out}/late", days)
     if late is not None:
-        latest = stored_table(late.groupBy(*LINE_KEY).agg(F.max(SOURCE_DAY).alias(SOURCE_DAY)), "late-keys")
-        winners = late.join(latest, [*LINE_KEY, SOURCE_DAY], "left_semi").drop(SOURCE_DAY).withColumn("__late", F.lit(1))
-        rows = winners if base is None else base.join(latest, list(LINE_KEY), "left_anti").withColumn("__late", F.lit(0)).unionByName(winners)
-    elif base is not None:
-        rows = base.withColumn("__late", F.lit(0))
+        rows, here = _merged_rows(late.drop(SOURCE_DAY).where("false") if base is None else base, late)
     else:
-        rows = None
+        rows, here = base, [d for d in days if files.exists(spark, f"{out}/late_base/date={d}")]
     found = []
     if rows is not None:
-        files.write_partitioned(rows.drop("__late"), f"{out}/processed", "date")
-        found = rows.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.coalesce(money_out(F.sum("order_total")), F.lit(0.0)).alias("revenue"),
-                                         F.sum("__late").alias("late_rows")).collect()
+        files.write_partitioned(rows, f"{out}/processed", "date", arranged=True)
+        written = _days_of(spark, f"{out}/processed", here)  # other days may still hold what an earlier run left
+        found = written.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.coalesce(money_out(F.sum("order_total")), F.lit(0.0)).alias("revenue"))
+        found = (found.withColumn("late_rows", F.lit(0).cast("bigint")) if late is None else
+                 found.join(_late_counts(late), "date", "left").fillna({"late_rows": 0})).collect()
         summary = spark.createDataFrame([(r.date, r.date.replace("-", ""), r.rows, r.revenue) for r in found],
                                         "date string, run_date string, rows bigint, revenue double")
         files.write_summaries(summary, f"{out}/summaries")
