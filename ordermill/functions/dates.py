@@ -60,6 +60,9 @@ DAY_FIRST_FORMATS = {
 }
 MONTH_FIRST_FORMATS = {"9.9.#": "M.d.yyyy", "9.D.#": "M.d.yyyy"}
 DAY_FIRST, MONTH_FIRST = "day first", "month first"
+# The texts whose shapes begin with D/9/# and 9/D/#.
+SHOWS_DAY_FIRST = r"^(?:1[3-9]|[2-9]\d)([/.-])\d{1,2}\1(?:\d{4}|#)"
+SHOWS_MONTH_FIRST = r"^\d{1,2}([/.-])(?:1[3-9]|[2-9]\d)\1(?:\d{4}|#)"
 
 # A day's name before a date says nothing more.
 WEEKDAY = r"^(?i:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\.?,?\s+(?=[a-zA-Z0-9])"
@@ -176,8 +179,8 @@ def parse_fallback(c: Column, order: Column | None = None) -> Column:
 def order_evidence(c: Column) -> Column:
     """DAY_FIRST or MONTH_FIRST where a text shows it (one number is above
     12), else NULL."""
-    shape = _shape(_plain(c))
-    return F.when(shape.rlike(r"^D([/.-])9\1#"), F.lit(DAY_FIRST)).when(shape.rlike(r"^9([/.-])D\1#"), F.lit(MONTH_FIRST))
+    text = _plain(c)
+    return F.when(text.rlike(SHOWS_DAY_FIRST), F.lit(DAY_FIRST)).when(text.rlike(SHOWS_MONTH_FIRST), F.lit(MONTH_FIRST))
 
 
 def parse_date(c: Column, fmt: str | None = "%Y-%m-%d", order: Column | None = None) -> Column:

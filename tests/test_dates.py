@@ -92,3 +92,15 @@ def test_day_first_and_ambiguous_rows_are_parsed_separately(spark):
     # pandas would guess day-first for both from the first row; here each row
     # parses on its own: 25/10 can only be day-first, 01/02 is month-first.
     assert _parse(spark, ["25/10/2025", "01/02/2025"]) == [dt.datetime(2025, 10, 25), dt.datetime(2025, 1, 2)]
+
+
+def test_order_evidence_is_that_of_the_shapes(spark):
+    from ordermill.functions import dates
+
+    firsts, seps = ("0", "1", "5", "12", "13", "19", "25", "31", "99", "123"), "/.-"
+    texts = [f"{a}{s}{b}{t}{y}" for a in firsts for b in firsts for s in seps for t in (s, "/") for y in ("1995", "95", "69", "1995 10:00", "#", "199", "19955")]
+    texts += ["Monday 25/10/1995", " 10/25/1995 ", "a25/10/1995", "25/10", "", None]
+    shape = dates._shape(dates._plain(F.col("t")))
+    want = F.when(shape.rlike(r"^D([/.-])9\1#"), F.lit(dates.DAY_FIRST)).when(shape.rlike(r"^9([/.-])D\1#"), F.lit(dates.MONTH_FIRST))
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", dates.order_evidence(F.col("t")).alias("got"), want.alias("want"))
+    assert got.where("NOT got <=> want").collect() == [] and got.where("got IS NOT NULL").count() > 100
