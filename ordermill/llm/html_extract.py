@@ -2,20 +2,27 @@
 
 Parsing gives a page's text blocks, without what the markup itself marks as
 no main text (scripts, menus, headers, footers, sidebars, notices, adverts,
-forms, reader comments: by element, role, class or id). What is left is
-judged by the page's host, over its distinct pages (copies of a page count
-as one). This is not a suffix array: blocks, and runs of words of one
-length, are named by hashes and counted; nothing is sorted, so a repeated
-string is found only as such a block or run.
-
-* Where the page marks its main part (article, main, or a container named
-  as the content), the tokens are that part's blocks, and a block is
-  boilerplate if nearly all pages of the host have it (``SHARE``, of
-  ``MIN_HOST`` or more): passages that recur on some, like quotes and
-  copies, belong to the article.
-* Elsewhere blocks are judged alike, and the tokens are words: ``RUN``
-  words in a row that nearly all pages of the host have (``SHARE``, of
-  ``MIN_PAGES`` or more) are boilerplate too. All other words stay.
+forms, reader comments: by element, role, class or id). Where the page marks
+its main part (article, main, or a container named as the content), only
+that part's blocks are left. What is left is judged by the page's host, over
+its distinct pages (copies of a page count as one), marked and other pages
+each by themselves:
+
+* The words of all blocks of a page are its token stream. The streams of a
+  host's pages are put into suffix arrays, sorted by their suffixes' first
+  ``RUN`` words, and neighbours are compared: those that agree are the places
+  of a repeated string. If nearly all pages have it (``SHARE``, of
+  ``MIN_HOST`` or more; ``MIN_PAGES`` where no main part is marked), its
+  words are boilerplate; a longer string is the overlapping places of its
+  parts. Passages that recur on some pages only, like quotes, stay.
+* A whole block that nearly all pages have (``SHARE``, of ``MIN_HOST`` or
+  more) is boilerplate however short it is.
+
+All other words stay. A large host's distinct pages are dealt to several
+suffix arrays of about ``ARRAY_WORDS`` words, no page to two of them. A
+string on a share of all pages is on that share of the pages of one array at
+least, so what the arrays find are all the strings that need be counted over
+the whole host: each is looked for in every page, by its words.
 
 Counts are partial aggregates first: a line that all pages of a large host
 share is one row per task.
@@ -29,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +47,10 @@ RUN = 10
 MIN_PAGES = 3
 MIN_HOST = 10
 SHARE = 0.8
+#: Words of a suffix array, so many pages at least (as the mean), and as many rows of one page's copies.
+ARRAY_WORDS = 1 << 16
+ARRAY_PAGES = 40
+COPIES = 100
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -182,67 +193,142 @@ def host_of(url: str | None) -> str:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """(row, page_id, url, host, main, free): the blocks of the main part;
-    or null if none is marked, and free has the page's other blocks then.
-    row numbers the rows."""
+    """(row, page_id, url, host, marked, page, blocks): the blocks of the main
+    part; or, if none is marked, the page's other blocks. row numbers the
+    rows, page names the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 32
         for batch in batches:
-            urls, main, free = batch.column("url").to_pylist(), [], []
+            urls, marked, kept = batch.column("url").to_pylist(), [], []
             for page in batch.column("html").to_pylist():
                 found = blocks(page or "")
-                marked = [t for kind, t in found if kind == MAIN]
-                main.append(marked if marked or not found else None)
-                free.append(None if marked or not found else [t for _, t in found])
+                main = [t for kind, t in found if kind == MAIN]
+                marked.append(bool(main) or not found)
+                kept.append(main or [t for _, t in found])
             rows = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.int64()), batch.column("page_id").cast(pa.int64()), batch.column("url"),
-                 pa.array(map(host_of, urls), pa.string()), *(pa.array(x, pa.list_(pa.string())) for x in (main, free))],
-                ["row", "page_id", "url", "host", "main", "free"])
+                 pa.array(map(host_of, urls), pa.string()), pa.array(marked, pa.bool_()), pa.array(kept, pa.list_(pa.string()))],
+                ["row", "page_id", "url", "host", "marked", "blocks"])
 
     return pages.select("page_id", "url", "html").mapInArrow(
-        run, "row bigint, page_id bigint, url string, host string, main array<string>, free array<string>")
+        run, "row bigint, page_id bigint, url string, host string, marked boolean, blocks array<string>").withColumn(
+        "page", F.xxhash64("blocks"))
 
 
 def shared_blocks(facts: DataFrame, min_host: int, share: float) -> DataFrame:
-    """(host, shared): the hashes of blocks (marks) that nearly all pages of a host have."""
-    marked = facts.where("marks IS NOT NULL")
-    sizes = marked.groupBy("host").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= min_host)
-    each = marked.select("host", "page", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(
+    """(host, marked, shared): the hashes of blocks (marks) that nearly all pages of a host have."""
+    sizes = facts.groupBy("host", "marked").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= min_host)
+    each = facts.select("host", "marked", "page", F.explode("marks").alias("mark")).groupBy("host", "marked", "mark").agg(
         F.count_distinct("page").alias("n"))
-    return each.join(sizes, "host").where(F.col("n") >= F.col("pages") * share).groupBy("host").agg(
+    return each.join(sizes, ["host", "marked"]).where(F.col("n") >= F.col("pages") * share).groupBy("host", "marked").agg(
         F.collect_set("mark").alias("shared"))
 
 
-def _suffixes(open_: DataFrame, run_length: int) -> DataFrame:
-    """(row, page, host, pos, suffix): the suffixes of every page's token
-    stream by the hash of their first ``run_length`` tokens."""
+def suffix_array(words: pa.Array, run_length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The suffixes of pages' words (one string a page) of ``run_length``
+    words or more, sorted by that many words: (places, their pages, whether
+    one's words agree with those of the one before it, all words)."""
+    split = pc.split_pattern(words, " ")
+    tokens = split.flatten()
+    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+    ranks = tokens.dictionary_encode().indices.to_numpy().astype(np.int64)
+    depth = 1
+    while depth < run_length:  # ranks by twice as many words, from those by so many
+        step = min(depth, run_length - depth)
+        after = np.full(len(ranks), -1)
+        after[:-step] = ranks[step:]
+        ranks = np.unique(ranks * (len(ranks) + 1) + after + 1, return_inverse=True)[1].astype(np.int64)
+        depth += step
+    pages = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    whole = np.flatnonzero(np.arange(len(ranks)) + run_length <= ends[pages])
+    places = whole[np.argsort(ranks[whole], kind="stable")]
+    agrees = np.zeros(len(places), bool)
+    agrees[1:] = ranks[places[1:]] == ranks[places[:-1]]
+    return places, pages[places], agrees, tokens
+
+
+def repeated_strings(words: pa.Array, run_length: int, least: float) -> list[str]:
+    """The strings of ``run_length`` words that ``least`` of the pages have, or more."""
+    places, pages, agrees, tokens = suffix_array(words, run_length)
+    if not len(places):
+        return []
+    string = np.cumsum(~agrees) - 1
+    new = ~agrees
+    new[1:] |= pages[1:] != pages[:-1]  # places of a string are in the order of the pages
+    found = np.flatnonzero(np.bincount(string[new]) >= least)
+    return [" ".join(tokens[p:p + run_length].to_pylist()) for p in places[~agrees][found].tolist()]
+
+
+def _candidates(found: DataFrame, facts: DataFrame, run_length: int, min_pages: int, min_host: int, share: float,
+                array_words: int, copies: int) -> DataFrame:
+    """(host, marked, string): what nearly all pages of one of a host's suffix arrays have."""
+    group = ["host", "marked"]
+    enough = F.when(F.col("marked"), min_host).otherwise(min_pages)
+    counted = facts.groupBy(*group, "page").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("first"), F.first("words").alias("words"))
+    counted = stored(counted.withColumn("words", F.col("words") * F.when(F.col("rows") > copies, 1).otherwise(F.col("rows"))), "html-pages")
+    hosts = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("words")).where(F.col("pages") >= enough)
+    arrays = F.ceil(F.least(F.col("words") / array_words, F.col("pages") / ARRAY_PAGES))
+    hosts = stored(hosts.select(*group, F.greatest(arrays, F.lit(1)).cast("int").alias("arrays")), "html-hosts")
+    texts = found.select(*group, "row", "page", F.array_join("blocks", " ").alias("words"))
+    often = stored(counted.where(F.col("rows") > copies).select(*group, "page", "first"), "html-copies")
+    if not often.isEmpty():
+        texts = texts.join(often, [*group, "page"], "left").where("first IS NULL OR first = row")
+    texts = texts.join(hosts, group).select(*group, F.pmod("page", "arrays").alias("array"), "page", "words")
+
+    def strings(table: pa.Table) -> pa.Table:
+        _, first = np.unique(table.column("page").to_numpy(), return_index=True)
+        least = max(share * len(first) - 1e-6, 1)
+        found = repeated_strings(table.column("words").take(first).combine_chunks(), run_length, least)
+        return pa.table([pa.array([table.column(c)[0].as_py()] * len(found), t) for c, t in zip(group, (pa.string(), pa.bool_()))]
+                        + [pa.array(found, pa.string())], [*group, "string"])
+
+    return texts.groupBy(*group, "array").applyInArrow(strings, "host string, marked boolean, string string").distinct()
+
+
+def places_of(strings: list[str], run_length: int, blocks: list[str]) -> list[tuple[int, int]]:
+    """(place, string's number) of the strings of so many words in the blocks' words."""
+    numbers = {s: i for i, s in enumerate(strings)}
+    tokens = " ".join(blocks).split(" ")
+    runs = (" ".join(tokens[p:p + run_length]) for p in range(len(tokens) - run_length + 1))
+    return [(p, numbers[r]) for p, r in enumerate(runs) if r in numbers]
+
+
+def shared_strings(found: DataFrame, facts: DataFrame, run_length: int, min_pages: int, min_host: int, share: float,
+                   array_words: int, copies: int) -> DataFrame:
+    """(host, marked, strings): those of ``run_length`` words that nearly all pages of a host have."""
+    group = ["host", "marked"]
+    candidates = stored(_candidates(found, facts, run_length, min_pages, min_host, share, array_words, copies), "html-candidates")
+    lists = stored(candidates.groupBy(*group).agg(F.collect_list("string").alias("strings")), "html-lists")
+    if lists.isEmpty():
+        return lists
 
-    def run(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batch_iter:
-            for row, page, host, free in zip(*(batch.column(c).to_pylist() for c in ("row", "page", "host", "free"))):
-                tokens = " ".join(free).split(" ")
-                found = np.array([xxhash.xxh64_intdigest(" ".join(tokens[i:i + run_length])) for i in range(len(tokens) - run_length + 1)],
-                                 np.uint64).view(np.int64)
-                n = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, row)), pa.array(np.full(n, page)), pa.array([host] * n, pa.string()),
-                     pa.array(np.arange(n)), pa.array(found)], ["row", "page", "host", "pos", "suffix"])
-
-    return open_.select("row", "page", "host", "free").mapInArrow(
-        run, "row bigint, page bigint, host string, pos bigint, suffix bigint")
-
-
-def unique_runs(free: list[str], covered: list[int], run_length: int, common: list[bool]) -> str:
-    """The blocks that are not common, without the tokens that repeated substrings cover."""
-    sizes = [len(t.split(" ")) for t in free]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = [sorted({i for _, i in places_of(s, run_length, b)})
+                    for s, b in zip(batch.column("strings").to_pylist(), batch.column("blocks").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*group, "page")), pa.array(hits, pa.list_(pa.int32()))],
+                                             [*group, "page", "hits"])
+
+    hits = found.join(lists, group).select(*group, "page", "blocks", "strings").mapInArrow(
+        run, "host string, marked boolean, page bigint, hits array<int>")
+    hits = hits.groupBy(*group, "page").agg(F.first("hits").alias("hits"))
+    n = hits.select(*group, F.explode("hits").alias("i")).groupBy(*group, "i").agg(F.count(F.lit(1)).alias("n"))
+    sizes = facts.groupBy(*group).agg(F.count_distinct("page").alias("pages"))
+    wanted = n.join(sizes, group).where(F.col("n") >= F.col("pages") * share).groupBy(*group).agg(F.collect_list("i").alias("wanted"))
+    return wanted.join(lists, group).select(*group, F.transform("wanted", lambda i: F.col("strings")[i]).alias("strings"))
+
+
+def unique_words(blocks: list[str], covered: list[int], run_length: int, common: list[bool]) -> str:
+    """The blocks that are not common, without the words that repeated strings cover."""
+    sizes = [len(t.split(" ")) for t in blocks]
     keep = np.ones(sum(sizes), bool)
     for p in covered:
         keep[p:p + run_length] = False
     out, at = [], 0
-    for text, n, drop in zip(free, sizes, common):
+    for text, n, drop in zip(blocks, sizes, common):
         left = [] if drop else [w for w, kept in zip(text.split(" "), keep[at:at + n]) if kept]
         at += n
         if left:
@@ -250,40 +336,33 @@ def unique_runs(free: list[str], covered: list[int], run_length: int, common: li
     return "\n".join(out)
 
 
-def extract(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, min_host: int = MIN_HOST,
-            share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, min_host: int = MIN_HOST, share: float = SHARE,
+            array_words: int = ARRAY_WORDS, copies: int = COPIES) -> DataFrame:
     """One row per row of pages: page_id, url, text, n_chars.
 
     A null or empty html gives an empty text. n_chars counts code points.
+    ``array_words`` bounds a suffix array; from more rows than ``copies`` of
+    one page, only one goes to it (neither changes the results).
     """
+    group = ["host", "marked"]
     found = parsed(pages)
     mark = lambda block: F.xxhash64(block)
-    facts = stored(found.select("row", "page_id", "url", "host", F.xxhash64("main", "free").alias("page"),
-                                F.transform("main", mark).alias("marks"), "free"), "html-facts")
-    marked = found.where("main IS NOT NULL")
-    shared = stored(shared_blocks(facts, min_host, share), "html-shared")
-    if shared.isEmpty():
-        known = marked.withColumn("kept", F.col("main"))
+    words = F.aggregate("blocks", F.lit(0).cast("bigint"), lambda n, block: n + F.length(block) - F.length(F.replace(block, F.lit(" "))) + 1)
+    facts = stored(found.select("row", *group, "page", F.transform("blocks", mark).alias("marks"), words.alias("words")), "html-facts")
+    blocks_ = stored(shared_blocks(facts, min_host, share), "html-shared")
+    strings = stored(shared_strings(found, facts, run, min_pages, min_host, share, array_words, copies), "html-strings")
+    if blocks_.isEmpty() and strings.isEmpty():
+        texts = found.select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
     else:
-        known = marked.join(shared, "host", "left").withColumn("kept", F.when(F.col("shared").isNull(), F.col("main")).otherwise(
-            F.filter("main", lambda block: ~F.array_contains("shared", mark(block)))))
-    known = known.select("page_id", "url", F.array_join("kept", "\n").alias("text"))
-    open_ = facts.where("free IS NOT NULL")
-    if not open_.isEmpty():
-        common = shared_blocks(open_.withColumn("marks", F.transform("free", mark)), min_host, share)
-        suffixes = _suffixes(open_, run)
-        sizes = open_.groupBy("host").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= min_pages)
-        repeated = suffixes.groupBy("host", "suffix").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= min_pages).join(
-            sizes, "host").where(F.col("n") >= F.col("pages") * share).select("host", "suffix")
-        covered = suffixes.join(repeated, ["host", "suffix"], "left_semi").groupBy("row").agg(F.collect_list("pos").alias("covered"))
-        rest = open_.join(covered, "row", "left").join(common, "host", "left").select("page_id", "url", "free", "covered", F.transform(
-            "free", lambda block: F.coalesce(F.array_contains("shared", mark(block)), F.lit(False))).alias("common"))
+        common = F.transform("blocks", lambda block: F.coalesce(F.array_contains("shared", mark(block)), F.lit(False)))
+        known = found.join(blocks_.join(strings, group, "full"), group, "left").select("page_id", "url", "blocks", "strings", common.alias("common"))
 
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = [unique_runs(f, c or [], run, b) for f, c, b in zip(*(batch.column(x).to_pylist() for x in ("free", "covered", "common")))]
+                texts = [unique_words(b, [p for p, _ in places_of(s or [], run, b)] if s else [], run, c)
+                         for b, s, c in zip(*(batch.column(x).to_pylist() for x in ("blocks", "strings", "common")))]
                 yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                                  ["page_id", "url", "text"])
 
-        known = known.unionByName(rest.mapInArrow(clean, "page_id bigint, url string, text string"))
-    return known.withColumn("n_chars", F.char_length("text").cast("bigint"))
+        texts = known.mapInArrow(clean, "page_id bigint, url string, text string")
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))

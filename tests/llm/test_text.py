@@ -453,6 +453,63 @@ def test_html_extract_keeps_what_some_unmarked_pages_share(spark):
     assert got == {i: f"w{i}\n{part(i)}" for i in range(40)}
 
 
+def test_html_extract_finds_strings_inside_different_blocks(spark):
+    r = random.Random(77)
+    passage, rare = words(17, 31), words(14, 32)
+    hosts = {"big.example": 130, "edge.example": 10, "small.example": 9, "few.example": 3}
+    pages = {}
+    for marked in (True, False):
+        for host, n in hosts.items():
+            for i in range(n):
+                parts = [words(r.randrange(1, 12), 1000 + i), f"a{i} {passage} b{i}" if i % 5 or 5 < i < 20 or n == 3 else f"c{i}",
+                         f"d{i} {rare}" if i % 10 < 7 else "e", f"{words(4, 33)} f{i}", " ".join(passage.split()[:9])]
+                pages[len(pages)] = (host, marked, parts if i % 50 != 49 else ["short"])
+    pages |= {len(pages) + k: pages[k % 3] for k in range(300)}  # copies count once
+    page = lambda parts, marked: ("<article>" if marked else "<body>") + "".join(f"<p>{t}</p>" for t in parts)
+    df = spark.createDataFrame([(i, f"https://{h}/{i}", page(t, m)) for i, (h, m, t) in pages.items()], "page_id bigint, url string, html string")
+
+    want, cut = {}, set()
+    for group in {(h, m) for h, m, _ in pages.values()}:
+        distinct = {tuple(t) for h, m, t in pages.values() if (h, m) == group}
+        runs = Counter(x for t in distinct for x in {tuple(w) for w in zip(*(" ".join(t).split()[k:] for k in range(10)))})
+        blocks = Counter(b for t in distinct for b in set(t))
+        enough = len(distinct) >= 10
+        for i, (h, m, t) in pages.items():
+            if (h, m) == group:
+                tokens = [(w, k) for k, b in enumerate(t) for w in b.split()]
+                common = {b for b, n in blocks.items() if enough and n >= len(distinct) * 0.8}
+                gone = {p + k for p in range(len(tokens) - 9) for k in range(10)
+                        if (enough or not m) and runs[tuple(w for w, _ in tokens[p:p + 10])] >= max(3, len(distinct) * 0.8)}
+                lines = [" ".join(w for p, (w, b) in enumerate(tokens) if b == k and p not in gone) for k in range(len(t)) if t[k] not in common]
+                want[i] = "\n".join(x for x in lines if x)
+                cut |= {group} if gone else set()
+    assert {("big.example", True), ("edge.example", True), ("few.example", False)} <= cut and ("small.example", True) not in cut
+    for more in ({}, {"array_words": 300, "copies": 20}):
+        assert {x.page_id: x.text for x in html_extract.extract(df, **more).collect()} == want
+
+
+def test_html_suffix_array_equals_sorted_suffixes():
+    r = random.Random(5)
+    pages = [" ".join(r.choice("abc") for _ in range(n)) for n in (0, 1, 4, 5, 40, 60, 9)]
+    for run in (1, 2, 3, 5, 10):
+        tokens = [(p, i, w) for p, t in enumerate(pages) for i, w in enumerate(t.split(" "))]
+        named = {k: " ".join(w for _, _, w in tokens[k:k + run]) for k in range(len(tokens))
+                 if len({p for p, _, _ in tokens[k:k + run]}) == 1 and k + run <= len(tokens)}
+        places, of, agrees, _ = html_extract.suffix_array(pages_array(pages), run)
+        assert sorted(places) == sorted(named) and [tokens[k][0] for k in places] == of.tolist()
+        assert [bool(x) for x in agrees] == [i > 0 and named[a] == named[places[i - 1]] for i, a in enumerate(places)]
+        assert sum(~agrees) == len(set(named.values()))  # equal ones are neighbours
+        for least in (1, 2, 3):
+            on = Counter(s for p in range(len(pages)) for s in {named[k] for k in named if tokens[k][0] == p})
+            assert sorted(html_extract.repeated_strings(pages_array(pages), run, least)) == sorted(s for s, n in on.items() if n >= least)
+
+
+def pages_array(pages):
+    import pyarrow as pa
+
+    return pa.array(pages, pa.string())
+
+
 def test_html_extract_on_a_table(spark):
     got = queries.op7_html_extract(spark, SF).toPandas().set_index("page_id")
     pages = spark.read.parquet(f"{SF}/pages.parquet").toPandas()
