@@ -21,9 +21,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache as remembered
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -37,23 +39,27 @@ LINEAR = 6 * 1024
 #: Distinct chunks, and words, whose ids a worker remembers (about 200 bytes each): so many that it
 #: has met lately, and as many before those.
 CACHE = 600_000
-#: White space to Python that is none to the tokenizer.
-_ODD = re.compile("[\x1c-\x1f]")
-_SPACE = re.compile(r"[ \t\n\r]+")
-#: A word of letters whose lower case has the same length, and a point or comma.
-_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
-_PROBES = ("word", "Word,", "d\u00c9j\u00c0.", "stra\u00dfe", "\u00d1O\u00d1o,", "xyzzyplugh")
+#: A word of letters whose lower case has the same length, and ASCII marks.
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+_PROBES = ("word", "Word,", "d\u00c9j\u00c0.", "stra\u00dfe", "\u00d1O\u00d1o,", "xyzzyplugh", "Wort!?;'", "End...\\]`~{")
+_UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+@remembered
+def _ids_struct(n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}I")
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _ids_struct(len(ids)).pack(*ids)
 
 
 class Encoder(dict):
     """Ids of chunks, as bytes. The tokenizer drops white space and never
     joins what it separates, so a text's ids are those of its chunks, which
     recur; and a word of letters is one piece to its model, so its ids can
-    be had from the model alone (which is checked on probes first)."""
+    be had from the model alone (which is checked on probes first, as is that
+    A-Z count as a-z). Only a batch's distinct chunks are looked up."""
 
     def __init__(self, path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,6 +78,10 @@ class Encoder(dict):
         self.old_words: dict[str, bytes] = {}
         self.simple = True
         self.simple = all(self._simple(*_SIMPLE.fullmatch(p).groups()) == self._plain(p) for p in _PROBES)
+        self.lowers = all(self._plain(p) == self._plain(p.translate(_UPPER)) for p in _PROBES)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Where the case of A-Z counts: letters that marks are composed with before they are lowered, and added tokens.
+        self.cased = "|".join([r"[A-Z]\p{M}", *(f"(?i:{t})" for t in added)])
 
     def _plain(self, chunk: str) -> bytes:
         return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
@@ -84,24 +94,41 @@ class Encoder(dict):
                 self.old_words, self.words = self.words, {}
             ids = self.old_words.get(word)
             if ids is None:
-                ids = _packed([t.id for t in self.model.tokenize(word.translate(self.table))])
+                ids = _packed([t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.table))])
             self.words[word] = ids
         return ids + self[mark] if mark else ids
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.cache:
-            self.old = dict(self)
-            self.clear()
         ids = self.old.get(chunk)
         if ids is None:
             found = _SIMPLE.fullmatch(chunk) if self.simple else None
             ids = self._simple(*found.groups()) if found else self._plain(chunk)
+        if len(self) >= self.cache:
+            self.old = dict(self)
+            self.clear()
         self[chunk] = ids
         return ids
 
+    def ids_of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text (a null is empty)."""
+        texts = texts.fill_null("")
+        if self.lowers:
+            texts = pc.if_else(pc.match_substring_regex(texts, self.cased), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        known = [self[c] for c in chunks.dictionary.to_pylist()]
+        flat = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = chunks.indices.to_numpy()
+        n = sizes[which]
+        ends = np.append(0, np.cumsum(n))
+        ids = flat[np.repeat(starts[which] - ends[:-1], n) + np.arange(ends[-1])]
+        bounds = ends[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)))].tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def ids(self, text: str) -> np.ndarray:
-        chunks = _SPACE.split(text) if _ODD.search(text) else text.split()
-        return np.frombuffer(b"".join([self[c] for c in chunks]), "<u4")
+        return self.ids_of(pa.array([text], pa.string()))[0]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -175,8 +202,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(encode.ids(text or ""), np.uint32(end_id)).astype("<u4")
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.ids_of(batch.column("text"))):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 held.append((doc_id, ids))
                 tokens += len(ids)
                 if tokens >= group_tokens:

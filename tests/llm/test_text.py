@@ -378,6 +378,31 @@ def test_packing_ids_do_not_depend_on_the_cache():
     assert len(small) <= 7 and len(small.old) <= 7 and len(small.words) <= 7 and len(small.old_words) <= 7
 
 
+def test_packing_looks_up_a_batchs_distinct_chunks_once():
+    import pyarrow as pa
+
+    encode = packing.Encoder(queries.tokenizer_path())
+    plain = encode.tokenizer
+    looked = []
+    missing = encode._simple
+    encode._simple = lambda *chunk: looked.append(chunk) or missing(*chunk)
+    texts = ["Quorvax QUORVAX quorvax, Quorvax,", None, "", "  quorvax\tQuorvax\x1cquorvax!? "] * 50
+    assert [x.tolist() for x in encode.ids_of(pa.array(texts))] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sorted(looked) == [("quorvax", ""), ("quorvax", ",")]  # \x1c is no white space to the tokenizer
+
+
+def test_packing_ids_of_odd_texts_are_the_tokenizers():
+    import pyarrow as pa
+
+    r = random.Random(8)
+    odd = list("aAhHtTwWyYjJkKiIZ.,'!?-_<|>1 \t\n\x0b\x1c\x85\xa0\u0327\u0331\u0300\u030a\u0307\u0308\u0130\u0131\u015f\u00df\u1e9e\u03a3"
+               "\u03c2\u212b\u212a\u00c9\u00f1\u00b2\u2167\u4f60\U0001f600\x00\u200d") + ["'S", "'re", "Word", "...", "<|endoftext|>", "<|EndOfText|>"]
+    texts = ["".join(r.choice(odd) for _ in range(r.randrange(25))) for _ in range(5000)]
+    encode = packing.Encoder(queries.tokenizer_path())
+    assert encode.simple and encode.lowers
+    assert [x.tolist() for x in encode.ids_of(pa.array(texts))] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_balances_cost():
     lengths = [900, 50, 30, 2000, 700, 650, 4000, 20, 10, 5, 3000, 1500, 60, 9000] * 20
     pieces = packing.assign(lengths, 4096)
