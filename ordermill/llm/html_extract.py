@@ -37,7 +37,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -193,12 +192,10 @@ def host_of(url: str | None) -> str:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """(row, page_id, url, host, marked, page, blocks): the blocks of the main
-    part; or, if none is marked, the page's other blocks. row numbers the
-    rows, page names the blocks."""
+    """(page_id, url, host, marked, page, blocks): the blocks of the main part;
+    or, if none is marked, the page's other blocks. page names the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 32
         for batch in batches:
             urls, marked, kept = batch.column("url").to_pylist(), [], []
             for page in batch.column("html").to_pylist():
@@ -206,21 +203,19 @@ def parsed(pages: DataFrame) -> DataFrame:
                 main = [t for kind, t in found if kind == MAIN]
                 marked.append(bool(main) or not found)
                 kept.append(main or [t for _, t in found])
-            rows = np.arange(row, row + batch.num_rows)
-            row += batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), batch.column("page_id").cast(pa.int64()), batch.column("url"),
+                [batch.column("page_id").cast(pa.int64()), batch.column("url"),
                  pa.array(map(host_of, urls), pa.string()), pa.array(marked, pa.bool_()), pa.array(kept, pa.list_(pa.string()))],
-                ["row", "page_id", "url", "host", "marked", "blocks"])
+                ["page_id", "url", "host", "marked", "blocks"])
 
     return pages.select("page_id", "url", "html").mapInArrow(
-        run, "row bigint, page_id bigint, url string, host string, marked boolean, blocks array<string>").withColumn(
+        run, "page_id bigint, url string, host string, marked boolean, blocks array<string>").withColumn(
         "page", F.xxhash64("blocks"))
 
 
-def shared_blocks(facts: DataFrame, min_host: int, share: float) -> DataFrame:
+def shared_blocks(facts: DataFrame, sizes: DataFrame, min_host: int, share: float) -> DataFrame:
     """(host, marked, shared): the hashes of blocks (marks) that nearly all pages of a host have."""
-    sizes = facts.groupBy("host", "marked").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= min_host)
+    sizes = sizes.where(F.col("pages") >= min_host)
     each = facts.select("host", "marked", "page", F.explode("marks").alias("mark")).groupBy("host", "marked", "mark").agg(
         F.count_distinct("page").alias("n"))
     return each.join(sizes, ["host", "marked"]).where(F.col("n") >= F.col("pages") * share).groupBy("host", "marked").agg(
@@ -262,20 +257,17 @@ def repeated_strings(words: pa.Array, run_length: int, least: float) -> list[str
     return [" ".join(tokens[p:p + run_length].to_pylist()) for p in places[~agrees][found].tolist()]
 
 
-def _candidates(found: DataFrame, facts: DataFrame, run_length: int, min_pages: int, min_host: int, share: float,
+def _candidates(found: DataFrame, distinct: DataFrame, sizes: DataFrame, run_length: int, min_pages: int, min_host: int, share: float,
                 array_words: int, copies: int) -> DataFrame:
     """(host, marked, string): what nearly all pages of one of a host's suffix arrays have."""
     group = ["host", "marked"]
     enough = F.when(F.col("marked"), min_host).otherwise(min_pages)
-    counted = facts.groupBy(*group, "page").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("first"), F.first("words").alias("words"))
-    counted = stored(counted.withColumn("words", F.col("words") * F.when(F.col("rows") > copies, 1).otherwise(F.col("rows"))), "html-pages")
-    hosts = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("words")).where(F.col("pages") >= enough)
     arrays = F.ceil(F.least(F.col("words") / array_words, F.col("pages") / ARRAY_PAGES))
-    hosts = stored(hosts.select(*group, F.greatest(arrays, F.lit(1)).cast("int").alias("arrays")), "html-hosts")
-    texts = found.select(*group, "row", "page", F.array_join("blocks", " ").alias("words"))
-    often = stored(counted.where(F.col("rows") > copies).select(*group, "page", "first"), "html-copies")
+    hosts = sizes.where(F.col("pages") >= enough).select(*group, F.greatest(arrays, F.lit(1)).cast("int").alias("arrays"))
+    texts = found.select(*group, F.xxhash64("page_id", "url").alias("copy"), "page", F.array_join("blocks", " ").alias("words"))
+    often = stored(distinct.where(F.col("rows") > copies).select(*group, "page", "first"), "html-copies")
     if not often.isEmpty():
-        texts = texts.join(often, [*group, "page"], "left").where("first IS NULL OR first = row")
+        texts = texts.join(often, [*group, "page"], "left").where("first IS NULL OR first = copy")
     texts = texts.join(hosts, group).select(*group, F.pmod("page", "arrays").alias("array"), "page", "words")
 
     def strings(table: pa.Table) -> pa.Table:
@@ -296,11 +288,11 @@ def places_of(strings: list[str], run_length: int, blocks: list[str]) -> list[tu
     return [(p, numbers[r]) for p, r in enumerate(runs) if r in numbers]
 
 
-def shared_strings(found: DataFrame, facts: DataFrame, run_length: int, min_pages: int, min_host: int, share: float,
+def shared_strings(found: DataFrame, distinct: DataFrame, sizes: DataFrame, run_length: int, min_pages: int, min_host: int, share: float,
                    array_words: int, copies: int) -> DataFrame:
     """(host, marked, strings): those of ``run_length`` words that nearly all pages of a host have."""
     group = ["host", "marked"]
-    candidates = stored(_candidates(found, facts, run_length, min_pages, min_host, share, array_words, copies), "html-candidates")
+    candidates = stored(_candidates(found, distinct, sizes, run_length, min_pages, min_host, share, array_words, copies), "html-candidates")
     lists = stored(candidates.groupBy(*group).agg(F.collect_list("string").alias("strings")), "html-lists")
     if lists.isEmpty():
         return lists
@@ -316,7 +308,6 @@ def shared_strings(found: DataFrame, facts: DataFrame, run_length: int, min_page
         run, "host string, marked boolean, page bigint, hits array<int>")
     hits = hits.groupBy(*group, "page").agg(F.first("hits").alias("hits"))
     n = hits.select(*group, F.explode("hits").alias("i")).groupBy(*group, "i").agg(F.count(F.lit(1)).alias("n"))
-    sizes = facts.groupBy(*group).agg(F.count_distinct("page").alias("pages"))
     wanted = n.join(sizes, group).where(F.col("n") >= F.col("pages") * share).groupBy(*group).agg(F.collect_list("i").alias("wanted"))
     return wanted.join(lists, group).select(*group, F.transform("wanted", lambda i: F.col("strings")[i]).alias("strings"))
 
@@ -342,15 +333,20 @@ def extract(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, min_ho
 
     A null or empty html gives an empty text. n_chars counts code points.
     ``array_words`` bounds a suffix array; from more rows than ``copies`` of
-    one page, only one goes to it (neither changes the results).
+    one page, only those of one page_id and url go to it, where a page counts
+    once in any case (neither changes the results).
     """
     group = ["host", "marked"]
     found = parsed(pages)
     mark = lambda block: F.xxhash64(block)
     words = F.aggregate("blocks", F.lit(0).cast("bigint"), lambda n, block: n + F.length(block) - F.length(F.replace(block, F.lit(" "))) + 1)
-    facts = stored(found.select("row", *group, "page", F.transform("blocks", mark).alias("marks"), words.alias("words")), "html-facts")
-    blocks_ = stored(shared_blocks(facts, min_host, share), "html-shared")
-    strings = stored(shared_strings(found, facts, run, min_pages, min_host, share, array_words, copies), "html-strings")
+    facts = stored(found.select(F.xxhash64("page_id", "url").alias("copy"), *group, "page", F.transform("blocks", mark).alias("marks"), words.alias("words")), "html-facts")
+    distinct = facts.groupBy(*group, "page").agg(F.count(F.lit(1)).alias("rows"), F.min("copy").alias("first"), F.first("words").alias("words"))
+    distinct = stored(distinct, "html-pages")
+    dealt = F.col("words") * F.when(F.col("rows") > copies, 1).otherwise(F.col("rows"))
+    sizes = stored(distinct.groupBy(*group).agg(F.count(F.lit(1)).alias("pages"), F.sum(dealt).alias("words")), "html-hosts")
+    blocks_ = stored(shared_blocks(facts, sizes, min_host, share), "html-shared")
+    strings = stored(shared_strings(found, distinct, sizes, run, min_pages, min_host, share, array_words, copies), "html-strings")
     if blocks_.isEmpty() and strings.isEmpty():
         texts = found.select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
     else:
