@@ -27,8 +27,9 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 BROADCAST_ROWS = 400_000
 
 
-#: Distinct chunks whose ids a worker of the packing stage remembers.
+#: Distinct chunks whose ids a worker of the packing stage remembers, and texts that it looks up at a time.
 PACKING_CACHE = 50_000
+PACKING_ROWS = 500
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
@@ -95,7 +96,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing of what is left into sequences of 4,096 tokens. The workers
     remember little, as their memory is also that of the other stages."""
     importable(spark)
-    return packing.pack(docs, tokenizer_path(), cache=PACKING_CACHE)
+    return packing.pack(docs, tokenizer_path(), cache=PACKING_CACHE, rows=PACKING_ROWS)
 
 
 STAGES = [("language_id", identify), ("exact_dedup", drop_copies), ("simhash", drop_near),

@@ -39,6 +39,8 @@ LINEAR = 6 * 1024
 #: Distinct chunks, and words, whose ids a worker remembers (about 200 bytes each): so many that it
 #: has met lately, and as many before those.
 CACHE = 600_000
+#: Texts whose chunks are looked up at a time.
+ROWS = 2000
 #: A word of letters whose lower case has the same length, and ASCII marks.
 _SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
 _PROBES = ("word", "Word,", "d\u00c9j\u00c0.", "stra\u00dfe", "\u00d1O\u00d1o,", "xyzzyplugh", "Wort!?;'", "End...\\]`~{")
@@ -173,13 +175,15 @@ _SCHEMA = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         group_tokens: int = GROUP_TOKENS, linear: int = LINEAR, with_ids: bool = False, cache: int = CACHE) -> DataFrame:
+         group_tokens: int = GROUP_TOKENS, linear: int = LINEAR, with_ids: bool = False, cache: int = CACHE,
+         rows: int = ROWS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, and with ``with_ids`` the piece's ids.
 
     Every row of docs is a document of its own, also when it repeats
     another or its doc_id is null; a null or empty text is the end id alone.
-    ``cache`` bounds what a worker remembers (less costs time, not results).
+    ``cache`` bounds what a worker remembers, ``rows`` how many texts it looks
+    up at a time (less costs time, not results).
     """
     schema = _SCHEMA.append(pa.field("ids", pa.list_(pa.int64()))) if with_ids else _SCHEMA
 
@@ -192,16 +196,16 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         def flush() -> pa.RecordBatch:
             nonlocal held, tokens, first
             pieces = assign([len(ids) for _, ids in held], capacity, linear)
-            rows = []
+            out = []
             for d, start, n, s, offset in pieces:
                 doc_id, ids = held[d]
                 part = ids[start:start + n]
-                rows.append((doc_id, start, n, zlib.crc32(part.tobytes()), len(ids), first + s, offset, *([part.tolist()] if with_ids else [])))
+                out.append((doc_id, start, n, zlib.crc32(part.tobytes()), len(ids), first + s, offset, *([part.tolist()] if with_ids else [])))
             first += max(p[3] for p in pieces) + 1
             held, tokens = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-        for batch in batches:
+        for batch in (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows)):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.ids_of(batch.column("text"))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 held.append((doc_id, ids))

@@ -391,6 +391,12 @@ def test_packing_looks_up_a_batchs_distinct_chunks_once():
     assert sorted(looked) == [("quorvax", ""), ("quorvax", ",")]  # \x1c is no white space to the tokenizer
 
 
+def test_packing_does_not_depend_on_the_rows_looked_up_at_a_time(spark):
+    docs = documents(spark, EDGES)
+    got = [sorted(map(str, packing.pack(docs, queries.tokenizer_path(), cache=9, rows=n).collect())) for n in (1, 3, 2000)]
+    assert got[0] == got[1] == got[2] and len(got[0]) >= len(EDGES)
+
+
 def test_packing_ids_of_odd_texts_are_the_tokenizers():
     import pyarrow as pa
 
